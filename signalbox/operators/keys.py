@@ -6,14 +6,17 @@ keys are range-partitioned and sorted, each partition is counted, and a
 running sum over the per-partition counts (one row per partition, a proven
 size bound) is broadcast back as offsets. No step sees all keys in one task.
 
-The tagged rows are checkpointed (reliable, to ``spark.checkpoint.dir``)
-before they are counted: range bounds are sampled from shuffle output whose
-row order is not fixed, so counting and numbering must read the same
-materialized partitions, also after a lost executor.
+The tagged rows are written once to the shared folder
+(``spark.checkpoint.dir``) and read back before they are counted: range
+bounds are sampled from shuffle output whose row order is not fixed, so
+counting and numbering must read the same materialized tags, also after a
+lost executor. Positions live in the stored ``_mid`` column, so the read-back
+split layout does not matter.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,11 +48,13 @@ def assign_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     """
     n = num_partitions or _num_partitions(df)
     keys = [F.col(k) for k in key_cols]
-    shared_dir(df.sparkSession)
-    tagged = (df.repartitionByRange(n, *[k.asc_nulls_first() for k in keys])
-              .sortWithinPartitions(*[k.asc_nulls_first() for k in keys])
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/signalbox-ids/{uuid.uuid4().hex}"
+    (df.repartitionByRange(n, *[k.asc_nulls_first() for k in keys])
+     .sortWithinPartitions(*[k.asc_nulls_first() for k in keys])
+     .withColumn("_mid", F.monotonically_increasing_id())
+     .write.parquet(path))
+    tagged = spark.read.parquet(path)
     ordered = (tagged.withColumn("_part", F.shiftright("_mid", _POS_BITS))
                .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))
     counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import time
 from dataclasses import dataclass, fields
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -38,19 +39,52 @@ class ServiceTables:
         return [(f.name, getattr(self, f.name)) for f in fields(self)]
 
 
-def star_schema(spark: SparkSession, svc: DataFrame, codes: DataFrame) -> ServiceTables:
-    """All seven tables of one batch loaded into empty targets, as lazy plans."""
-    cancel_code = W.load_cancel_codes(codes)
-    company = W.load_companies(svc)
-    station, _ = W.load_stations(svc)
-    service_type = W.service_type_seed(spark)
-    sd, _ = W.load_service_details(svc, company, service_type, station)
-    dd, _ = W.load_delays(svc, sd)
-    cn, _ = W.load_cancellations(svc, sd, station, cancel_code)
-    return ServiceTables(cancel_code, company, station, service_type, sd, dd, cn)
+class LazyStarSchema:
+    """The seven tables of one batch loaded into empty targets; each table is
+    built on first access (id numbering runs a job), so asking for one
+    dimension does not load the facts."""
 
+    def __init__(self, spark: SparkSession, svc: DataFrame, codes: DataFrame):
+        self.spark, self.svc, self.codes = spark, svc, codes
 
-def star_schema_from_tables(t: Tables) -> ServiceTables:
+    @cached_property
+    def cancel_code(self):
+        return W.load_cancel_codes(self.codes)
+
+    @cached_property
+    def company(self):
+        return W.load_companies(self.svc)
+
+    @cached_property
+    def station(self):
+        return W.load_stations(self.svc)[0]
+
+    @cached_property
+    def service_type(self):
+        return W.service_type_seed(self.spark)
+
+    @cached_property
+    def service_details(self):
+        return W.load_service_details(self.svc, self.company, self.service_type, self.station)[0]
+
+    @cached_property
+    def delay_details(self):
+        return W.load_delays(self.svc, self.service_details)[0]
+
+    @cached_property
+    def cancellation(self):
+        return W.load_cancellations(self.svc, self.service_details, self.station,
+                                    self.cancel_code)[0]
+
+    def items(self):
+        return [(name, getattr(self, name)) for name in TABLES]
+
+
+def star_schema(spark: SparkSession, svc: DataFrame, codes: DataFrame) -> LazyStarSchema:
+    return LazyStarSchema(spark, svc, codes)
+
+
+def star_schema_from_tables(t: Tables) -> LazyStarSchema:
     return star_schema(t.spark, service_rows(t), cancel_code_rows(t))
 
 
