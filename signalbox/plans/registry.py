@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 from ..operators import analytics as A
 from ..operators import report as R
 from ..operators import warehouse as W
-from ..sources.binding import cancel_code_rows, service_rows
+from ..functions import cleaning as C
+from ..functions import timestamps as TS
+from ..operators import normalize as N
+from ..sources.binding import (raw_service_rows, service_rows, valid_code_list,
+                               valid_code_rows)
 from ..sources.tables import Tables
 from . import oracle
-from .services import TABLES, star_schema_from_tables
+from .services import TABLES, star_schema, star_schema_from_tables
 from .store import services_store
 from .wide_view import wide_services
 
@@ -68,6 +72,71 @@ def _on_view(fn, columns, **kw) -> Query:
 
 
 ST, CO, LT = "origin_station_name", "company_name", "arrival_lateness"
+KEYS = ["service_uid", "l_partkey", "l_suppkey"]
+
+
+def _raw(spark, sf_dir):
+    return raw_service_rows(Tables(spark, sf_dir))
+
+
+def _transformed(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return N.transform_services(raw_service_rows(t), valid_code_list(t))
+
+
+def _make_timestamp(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    return r.select(*KEYS, "origin_run_date", "origin_run_time",
+                    TS.date_time_to_timestamp("origin_run_date", "origin_run_time")
+                    .alias("origin_run_datetime"))
+
+
+def _hhmmss_epoch(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    return r.select(*KEYS, "scheduled_arrival_time",
+                    TS.hhmmss_epoch("scheduled_arrival_time", "1998-01-07").alias("arrival_epoch"))
+
+
+def _integers(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    return r.select(*KEYS, F.col("arrival_lateness").alias("lateness_text"),
+                    C.integers_or_null("arrival_lateness").alias("arrival_lateness"))
+
+
+def _crs_null(spark, sf_dir):
+    r = _raw(spark, sf_dir).select(*KEYS, F.col("cancellation_station_crs").alias("crs_text"),
+                                   "cancellation_station_crs")
+    return N.check_three_chars(r, "cancellation_station_crs", False)
+
+
+def _crs_drop(spark, sf_dir):
+    return N.check_three_chars(_raw(spark, sf_dir).select(*KEYS, "origin_crs"), "origin_crs", True)
+
+
+def _valid_cancel_code(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    r = raw_service_rows(t).select(*KEYS, F.col("cancel_code").alias("code_text"), "cancel_code")
+    return N.valid_codes(r, "cancel_code", valid_code_list(t))
+
+
+TRANSFORMED = ["service_uid", "company_name", "service_type", "origin_crs", "origin_stn_name",
+               "planned_final_destination", "planned_final_crs", "destination_reached_crs",
+               "destination_reached_name", "arrival_lateness", "cancellation_station_crs",
+               "cancellation_station_name", "cancel_code", "scheduled_arrival_datetime",
+               "origin_run_datetime", "l_partkey", "l_suppkey"]
+
+
+def _service_transform(spark, sf_dir):
+    return _transformed(spark, sf_dir).select(*TRANSFORMED)
+
+
+def _load_rejects(spark, sf_dir):
+    """Cancellations of the cleaned batch that fail a required lookup."""
+    t = Tables(spark, sf_dir)
+    svc = N.transform_services(raw_service_rows(t), valid_code_list(t))
+    star = star_schema(spark, svc, valid_code_rows(t))
+    _, rejects = W.load_cancellations(svc, star.service_details, star.station, star.cancel_code)
+    return rejects.select("service_uid", "origin_run_datetime", "reject_reason")
 
 
 def queries() -> dict[str, Query]:
@@ -115,6 +184,14 @@ def queries() -> dict[str, Query]:
         "cancel_count_station": _on_view(R.cancel_codes_by_station, [ST, "cancel_code"]),
         "cancellations_company": _on_view(R.cancellations_per_company, [CO, "cancellation_id"]),
         "key_statistics": _on_view(R.key_statistics, ["service_uid", LT, "cancellation_id"]),
+        "make_timestamp": _make_timestamp,
+        "hhmmss_epoch": _hhmmss_epoch,
+        "integers_or_null": _integers,
+        "crs_null": _crs_null,
+        "crs_drop": _crs_drop,
+        "valid_cancel_code": _valid_cancel_code,
+        "service_transform": _service_transform,
+        "load_rejects": _load_rejects,
     }
     return q
 

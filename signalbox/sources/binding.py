@@ -87,6 +87,7 @@ def service_rows(t: Tables) -> DataFrame:
         F.when(returned, F.col("sn_name")).alias("cancellation_station_name"),
         F.when(returned, F.col("p_brand")).alias("cancel_code"),
         *TIE_BREAK,
+        "l_linenumber",
     )
 
 
@@ -102,3 +103,70 @@ def cancel_code_rows(t: Tables) -> DataFrame:
          .alias("reason"),
         F.regexp_extract("code", r"(\d+)", 1).alias("abbreviation"),
     )
+
+
+# --- raw (pre-transform) rows: text dates and times, untidy codes -----------
+
+def hhmmss_number(seconds: Column) -> Column:
+    h = F.floor(seconds / 3600).cast("long")
+    m = F.floor((seconds % 3600) / 60).cast("long")
+    s = (seconds % 60).cast("long")
+    return h * 10000 + m * 100 + s
+
+
+def _time_text(seconds: Column, line: Column) -> Column:
+    n = hhmmss_number(seconds).cast("string")
+    return (F.when(F.col("l_discount") == 0.1, F.lit("9999"))
+            .when(line == 3, F.concat(n, F.lit(".0")))
+            .when(line % 2 == 0, F.lpad(n, 6, "0"))
+            .otherwise(n))
+
+
+def raw_service_rows(t: Tables) -> DataFrame:
+    """The 17-field extract row as text, derived from ``service_rows``: dates
+    as ``yyyy-MM-dd``, times as ``HHMMSS`` with and without leading zeros (and
+    an invalid one), codes padded, lower-cased or of the wrong length, and
+    lateness as text with 'cancelled at origin' for missing values."""
+    svc = service_rows(t)
+    line = F.col("l_linenumber")
+    run_s = (F.col("l_quantity").cast("long") * 1733 + line * 611) % 86400
+    arr_s = (F.col("l_partkey") * 37 + F.col("l_suppkey") * 101 + line) % 86400
+    late = F.col("arrival_lateness").cast("string")
+    return svc.select(
+        "service_uid", "company_name", "service_type",
+        F.lower(F.concat(F.lit(" "), F.col("origin_crs"),
+                         F.when(line == 1, F.lit("X")).otherwise(F.lit("")))).alias("origin_crs"),
+        "origin_stn_name",
+        _time_text(run_s, line).alias("origin_run_time"),
+        F.when(F.col("l_discount") == 0.0, F.lit("not-a-date"))
+         .otherwise(F.date_format("origin_run_datetime", "yyyy-MM-dd")).alias("origin_run_date"),
+        "planned_final_destination",
+        F.when(line == 4, F.concat(F.lit("\t"), F.col("planned_final_crs"), F.lit(" ")))
+         .otherwise(F.col("planned_final_crs")).alias("planned_final_crs"),
+        F.lower("destination_reached_crs").alias("destination_reached_crs"),
+        "destination_reached_name",
+        _time_text(arr_s, line).alias("scheduled_arrival_time"),
+        F.date_format("scheduled_arrival_datetime", "yyyy-MM-dd").alias("scheduled_arrival_date"),
+        F.when(F.col("arrival_lateness").isNull(), F.lit("cancelled at origin"))
+         .when(line == 2, F.concat(late, F.lit(".0"))).otherwise(late).alias("arrival_lateness"),
+        F.when(line == 5, F.concat(F.col("cancellation_station_crs"), F.lit("Q")))
+         .otherwise(F.col("cancellation_station_crs")).alias("cancellation_station_crs"),
+        "cancellation_station_name",
+        F.when(F.col("cancel_code").isNotNull() & (line == 6), F.lit("tabbycat"))
+         .otherwise(F.concat(F.lit(" "), F.lower("cancel_code"), F.lit(" "))).alias("cancel_code"),
+        *TIE_BREAK,
+    )
+
+
+def valid_code_list(t: Tables) -> DataFrame:
+    """Reference list of valid cancel codes (column ``Code``): upper-case brand
+    codes, without those ending in 5, so some codes in the data are unknown."""
+    return (t.part.select(F.upper("p_brand").alias("Code"))
+            .where(F.col("Code").isNotNull() & ~F.col("Code").endswith("5")).distinct())
+
+
+def valid_code_rows(t: Tables) -> DataFrame:
+    """The valid code list as cancel-code reference rows (code, reason, abbreviation)."""
+    return valid_code_list(t).select(
+        F.col("Code").alias("code"), F.concat(F.lit("reason "), F.col("Code")).alias("reason"),
+        F.regexp_extract("Code", r"(\d+)", 1).alias("abbreviation"))
