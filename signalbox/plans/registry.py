@@ -21,7 +21,7 @@ from ..operators import normalize as N
 from ..sources.binding import (raw_service_rows, service_rows, valid_code_list,
                                valid_code_rows)
 from ..sources.tables import Tables
-from . import oracle
+from . import json_queries, oracle
 from .services import TABLES, star_schema, star_schema_from_tables
 from .store import services_store
 from .wide_view import wide_services
@@ -193,8 +193,11 @@ def queries() -> dict[str, Query]:
         "service_transform": _service_transform,
         "load_rejects": _load_rejects,
     }
+    q.update(json_queries.QUERIES)
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    out = oracle.oracle_sql()
+    out.update(json_queries.oracle_sql())
+    return out
