@@ -21,7 +21,7 @@ from ..operators import normalize as N
 from ..sources.binding import (raw_service_rows, service_rows, valid_code_list,
                                valid_code_rows)
 from ..sources.tables import Tables
-from . import json_queries, oracle
+from . import incident_queries, json_queries, oracle
 from .services import TABLES, star_schema, star_schema_from_tables
 from .store import services_store
 from .wide_view import wide_services
@@ -194,10 +194,12 @@ def queries() -> dict[str, Query]:
         "load_rejects": _load_rejects,
     }
     q.update(json_queries.QUERIES)
+    q.update(incident_queries.QUERIES)
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     out = oracle.oracle_sql()
     out.update(json_queries.oracle_sql())
+    out.update(incident_queries.oracle_sql())
     return out

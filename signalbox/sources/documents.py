@@ -118,3 +118,110 @@ def station_search_documents(t: Tables) -> DataFrame:
                  F.col("stop.tiploc").alias("tiploc")).alias("location"),
         F.array(journey).alias("services"))
     return stops.select(F.to_json(doc).alias("value"))
+
+
+# --- incident messages -------------------------------------------------------
+
+NS_DECL = ('xmlns:ns2="http://nationalrail.co.uk/xml/common" '
+           'xmlns:ns3="http://nationalrail.co.uk/xml/incident"')
+
+
+def xml_escape(c: Column) -> Column:
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def operator_code(suppkey: Column) -> Column:
+    """Two-letter operator code of a supplier: AA, AB, ..."""
+    first = (F.floor(suppkey / 26) % 26 + 65).cast("int")
+    second = (suppkey % 26 + 65).cast("int")
+    return F.concat(F.chr(first), F.chr(second))
+
+
+def _el(name: str, value: Column, ns: str = "ns3") -> Column:
+    return F.concat(F.lit(f"<{ns}:{name}>"), value, F.lit(f"</{ns}:{name}>"))
+
+
+def incident_messages(t: Tables) -> DataFrame:
+    """One incident message per order (column ``value``, plus ``version``).
+
+    Operators: the order's distinct suppliers by key; routes: its distinct
+    part names, sorted, joined by ' / ' inside an escaped paragraph. Some
+    messages have no end time, no priority, no routes, or are malformed.
+    """
+    li = t.lineitem.select("l_orderkey", "l_suppkey", "l_partkey")
+    ops = (li.join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
+           .groupBy("l_orderkey")
+           .agg(F.array_sort(F.collect_set(F.struct("l_suppkey", "s_name"))).alias("ops")))
+    routes = (li.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+              .groupBy("l_orderkey").agg(F.array_sort(F.collect_set("p_name")).alias("routes")))
+    o = (t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate",
+                         "o_orderstatus", "o_orderpriority")
+         .join(ops, "l_orderkey").join(routes, "l_orderkey"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
+    op_xml = F.array_join(F.transform("ops", lambda x: F.concat(
+        F.lit("<ns3:AffectedOperator>"), _el("OperatorRef", operator_code(x["l_suppkey"])),
+        _el("OperatorName", xml_escape(x["s_name"])), F.lit("</ns3:AffectedOperator>"))), "")
+    route_text = F.concat(F.lit("<p>"), F.array_join("routes", " / "), F.lit("</p>"))
+    no_end = prio == "5-LOW"
+    no_priority = (status == "P") & (prio == "2-HIGH")
+    no_routes = (status == "P") & (prio == "3-MEDIUM")
+    malformed = (status == "P") & (prio == "4-NOT SPECIFIED")
+    body = F.concat(
+        F.lit(f'<?xml version="1.0" encoding="UTF-8"?><ns3:PtIncident {NS_DECL}>'),
+        _el("CreationTime", F.concat(day, F.lit("T08:30:00.123+01:00"))),
+        _el("IncidentNumber", F.concat(F.lit("INC"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"))),
+        _el("Version", F.col("l_orderkey").cast("string")),
+        _el("Planned", F.when(status == "O", F.lit("true")).otherwise(F.lit("false"))),
+        _el("ValidityPeriod", F.concat(
+            _el("StartTime", F.concat(day, F.lit("T09:00:00Z")), "ns2"),
+            F.when(no_end, F.lit("")).otherwise(
+                _el("EndTime", F.concat(day, F.lit("T23:59:00.5+01:00")), "ns2")))),
+        F.lit("<ns3:InfoLinks><ns3:InfoLink>"),
+        _el("Uri", F.concat(F.lit("https://incidents.example/"), F.col("l_orderkey").cast("string"))),
+        F.lit("</ns3:InfoLink></ns3:InfoLinks>"),
+        _el("Summary", xml_escape(F.concat(F.lit("Disruption <"), prio, F.lit("> & delays")))),
+        _el("Affects", F.concat(_el("Operators", op_xml),
+                                F.when(no_routes, F.lit("")).otherwise(
+                                    _el("RoutesAffected", xml_escape(route_text))))),
+        F.when(no_priority, F.lit("")).otherwise(_el("IncidentPriority", F.substring(prio, 1, 1))),
+        F.when(malformed, F.lit("")).otherwise(F.lit("</ns3:PtIncident>")))
+    return o.select(F.col("l_orderkey").cast("string").alias("message_key"), body.alias("value"))
+
+
+# --- operator pages (HTML) -------------------------------------------------------
+
+OPERATORS_PER_PAGE = 50
+
+
+def _satisfaction_text(acctbal: Column) -> Column:
+    return F.when(acctbal < 0, F.lit("n/a")).otherwise(
+        F.concat((F.floor(acctbal).cast("long") % 100).cast("string"), F.lit("%")))
+
+
+def operator_pages(t: Tables) -> DataFrame:
+    """Pages (page_id, url, html) listing operators in a 'dataframe wikitable'
+    after a decoy 'infobox' table; 50 suppliers per page, some cells marked up."""
+    s = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    name = xml_escape(F.concat(F.col("s_name"), F.when(F.col("s_nationkey") == 3, F.lit(" & Sons"))
+                               .otherwise(F.lit(""))))
+    name_cell = (F.when(F.col("s_nationkey") == 3,
+                        F.concat(F.lit('<a href="/wiki/op">'), name, F.lit("</a>")))
+                 .when(F.col("s_nationkey") == 5, F.concat(F.lit("<b>"), name, F.lit("</b>")))
+                 .otherwise(name))
+    row = F.concat(F.lit("<tr>\n<td>"), name_cell, F.lit("</td>\n<td>"), operator_code(F.col("s_suppkey")),
+                   F.lit("</td>\n<td>"), _satisfaction_text(F.col("s_acctbal")), F.lit("</td>\n</tr>"))
+    pages = (s.select(F.floor(F.col("s_suppkey") / OPERATORS_PER_PAGE).cast("long").alias("page_id"),
+                      F.struct("s_suppkey", row.alias("tr")).alias("r"))
+             .groupBy("page_id").agg(F.array_sort(F.collect_list("r")).alias("rs")))
+    body = F.array_join(F.transform("rs", lambda r: r["tr"]), "\n")
+    html = F.concat(
+        F.lit('<html><body><h1>Operators</h1><table class="infobox"><tr><th>Code</th></tr>'
+              '<tr><td>decoy</td></tr></table>\n<table border="1" class="dataframe wikitable">\n'
+              '<thead>\n<tr style="text-align: center;">\n<th>Operator</th>\n<th>Code</th>\n'
+              '<th>Passenger satisfaction[1]</th>\n</tr>\n</thead>\n<tbody>\n'),
+        body, F.lit("\n</tbody>\n</table></body></html>"))
+    return pages.select("page_id", F.concat(F.lit("https://operators.example/page/"),
+                                            F.col("page_id").cast("string")).alias("url"),
+                        html.alias("html"))
