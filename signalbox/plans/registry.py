@@ -21,7 +21,7 @@ from ..operators import normalize as N
 from ..sources.binding import (raw_service_rows, service_rows, valid_code_list,
                                valid_code_rows)
 from ..sources.tables import Tables
-from . import incident_queries, json_queries, oracle, stream_queries
+from . import incident_queries, io_queries, json_queries, oracle, stream_queries
 from .services import TABLES, star_schema, star_schema_from_tables
 from .store import services_store
 from .wide_view import wide_services
@@ -196,6 +196,7 @@ def queries() -> dict[str, Query]:
     q.update(json_queries.QUERIES)
     q.update(incident_queries.QUERIES)
     q.update(stream_queries.QUERIES)
+    q.update(io_queries.QUERIES)
     return q
 
 
@@ -204,4 +205,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(json_queries.oracle_sql())
     out.update(incident_queries.oracle_sql())
     out.update(stream_queries.oracle_sql())
+    out.update(io_queries.oracle_sql())
     return out
