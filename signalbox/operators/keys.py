@@ -44,13 +44,16 @@ def assign_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     """Add ``id_col`` = start_after + rank of the (unique) key, distributed.
 
     ``df`` must be unique on ``key_cols``; ties would make positions depend
-    on task order.
+    on task order. Without ``num_partitions`` the range shuffle uses the
+    session's partition count and adaptive execution merges adjacent ranges
+    of a small input (merged ranges stay contiguous and sorted).
     """
-    n = num_partitions or _num_partitions(df)
     keys = [F.col(k) for k in key_cols]
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/signalbox-ids/{uuid.uuid4().hex}"
-    (df.repartitionByRange(n, *[k.asc_nulls_first() for k in keys])
+    ranged = (df.repartitionByRange(num_partitions, *[k.asc_nulls_first() for k in keys])
+              if num_partitions else df.repartitionByRange(*[k.asc_nulls_first() for k in keys]))
+    (ranged
      .sortWithinPartitions(*[k.asc_nulls_first() for k in keys])
      .withColumn("_mid", F.monotonically_increasing_id())
      .write.parquet(path))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import incidents as I
-from ..session import shared_dir
+from ..session import materialize, shared_dir
 from ..sources.documents import incident_messages, operator_pages
 from ..sources.html import extract_html_table, table_columns
 from ..sources.tables import Tables
@@ -22,8 +22,9 @@ def _good(spark, sf_dir):
     return I.split_messages(_details(spark, sf_dir))[0]
 
 
-def _flat(spark, sf_dir):
-    return I.flatten_incidents(_good(spark, sf_dir))
+def _flat(spark, sf_dir, stage: bool = False):
+    flat = I.flatten_incidents(_good(spark, sf_dir))
+    return materialize(flat, "incident-flat") if stage else flat
 
 
 def _parsed_ok(spark, sf_dir):
@@ -88,7 +89,7 @@ def _operators(spark, sf_dir):
 
 class _IncidentStar:
     def __init__(self, spark, sf_dir):
-        self.flat = _flat(spark, sf_dir)
+        self.flat = _flat(spark, sf_dir, stage=True)
         self.priority = I.load_priorities(self.flat)
         self.incident, self.rejects = I.load_incidents(self.flat, self.priority)
         self.route = I.load_routes(self.flat)
@@ -100,12 +101,12 @@ def dim_priority(spark, sf_dir):
 
 
 def fact_incident(spark, sf_dir):
-    flat = _flat(spark, sf_dir)
+    flat = _flat(spark, sf_dir, stage=True)
     return I.load_incidents(flat, I.load_priorities(flat))[0]
 
 
 def incident_rejects(spark, sf_dir):
-    flat = _flat(spark, sf_dir)
+    flat = _flat(spark, sf_dir, stage=True)
     rej = I.load_incidents(flat, I.load_priorities(flat))[1]
     return rej.select("incident_version", "reject_reason")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import warehouse as W
 from ..sources.binding import cancel_code_rows, service_rows
+from ..session import materialize
 from ..sources.tables import Tables
 
 TABLES = ("cancel_code", "company", "station", "service_type", "service_details",
@@ -45,7 +46,12 @@ class LazyStarSchema:
     dimension does not load the facts."""
 
     def __init__(self, spark: SparkSession, svc: DataFrame, codes: DataFrame):
-        self.spark, self.svc, self.codes = spark, svc, codes
+        self.spark, self._svc_plan, self.codes = spark, svc, codes
+
+    @cached_property
+    def svc(self):
+        """The batch, written once to the shared folder: every table reads it."""
+        return materialize(self._svc_plan, "svc")
 
     @cached_property
     def cancel_code(self):
@@ -110,7 +116,10 @@ def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
 
     def append(name, df, partitioned):
         if partitioned:
-            df = df.sortWithinPartitions("run_month")
+            # Contiguous (month, id) ranges per task: a few files per month,
+            # and a large month still spreads over many tasks.
+            df = df.repartitionByRange("run_month", df.columns[0]).sortWithinPartitions(
+                "run_month", df.columns[0])
         w = df.write.mode("append")
         if partitioned:
             w = w.partitionBy("run_month")

@@ -19,7 +19,7 @@ from ..sources.binding import cancel_code_rows, service_rows
 from ..sources.tables import Tables
 from .services import ServiceTables, load_all, open_star_schema
 
-_OPENED: dict[tuple[str, str], str] = {}
+_OPENED: dict[tuple[str, str], ServiceTables] = {}
 
 
 def _digest(sf_dir: str) -> str:
@@ -35,8 +35,8 @@ def _digest(sf_dir: str) -> str:
 def services_store(spark: SparkSession, sf_dir: str) -> ServiceTables:
     app = spark.sparkContext.applicationId
     key = (app, sf_dir)
-    root = _OPENED.get(key)
-    if root is None:
+    tables = _OPENED.get(key)
+    if tables is None:
         root = f"{shared_dir(spark)}/signalbox-store/{_digest(sf_dir)}/services-{app}"
         if not path_exists(spark, f"{root}/_loaded"):
             t = Tables(spark, sf_dir)
@@ -44,5 +44,6 @@ def services_store(spark: SparkSession, sf_dir: str) -> ServiceTables:
                               rejects_root=f"{root}/_rejects")
             spark.createDataFrame(sorted(counts.items()), "table_name string, row_count long") \
                 .coalesce(1).write.mode("overwrite").parquet(f"{root}/_loaded")
-        _OPENED[key] = root
-    return open_star_schema(spark, root)
+        # Opened once per session: partition discovery and footers are read once.
+        tables = _OPENED[key] = open_star_schema(spark, root)
+    return tables

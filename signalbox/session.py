@@ -64,3 +64,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return True
     except Exception:  # noqa: BLE001 - missing path raises AnalysisException
         return False
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` once to the shared folder and return the read-back table.
+
+    Cuts lineage for an intermediate that several jobs read (each would
+    otherwise recompute it), and survives lost executors: the data lives in
+    the cluster's shared folder, not in executor memory.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/signalbox-stage/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
