@@ -16,9 +16,12 @@ split layout does not matter.
 
 from __future__ import annotations
 
+import os
+import time
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,12 +54,19 @@ def assign_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     keys = [F.col(k) for k in key_cols]
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/signalbox-ids/{uuid.uuid4().hex}"
+    # Range sampling and the shuffle both read the input; keep it for the two
+    # passes (a recomputed input is fine: the written tags fix the numbering).
+    t0 = time.time()
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = (df.repartitionByRange(num_partitions, *[k.asc_nulls_first() for k in keys])
               if num_partitions else df.repartitionByRange(*[k.asc_nulls_first() for k in keys]))
     (ranged
      .sortWithinPartitions(*[k.asc_nulls_first() for k in keys])
      .withColumn("_mid", F.monotonically_increasing_id())
      .write.parquet(path))
+    df.unpersist()
+    if os.environ.get("SIGNALBOX_TRACE"):
+        print(f"  ids {id_col}: tags written {time.time() - t0:.1f}s", flush=True)
     tagged = spark.read.parquet(path)
     ordered = (tagged.withColumn("_part", F.shiftright("_mid", _POS_BITS))
                .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from ..operators import analytics as A
 from ..operators import report as R
 from ..operators import warehouse as W
+from ..operators.keys import assign_ids
 from ..functions import cleaning as C
 from ..functions import timestamps as TS
 from ..operators import normalize as N
 from ..sources.binding import (raw_service_rows, service_rows, valid_code_list,
                                valid_code_rows)
+from ..session import materialize
 from ..sources.tables import Tables
 from . import incident_queries, io_queries, json_queries, oracle, stream_queries
 from .services import TABLES, star_schema, star_schema_from_tables
@@ -59,6 +61,14 @@ def _insert_if_absent(spark, sf_dir):
     return existing.unionByName(new)
 
 
+def _assign_ids(spark, sf_dir):
+    """W01 on the largest key set: every distinct (service_uid, run date) of
+    the batch numbered in key order, distributed."""
+    keys = service_rows(Tables(spark, sf_dir)).select(
+        "service_uid", F.col("origin_run_datetime").alias("run_date")).distinct()
+    return assign_ids(keys, ["service_uid", "run_date"], "service_key_id")
+
+
 def _wide(columns=None, as_of=None):
     def make(spark, sf_dir):
         return wide_services(services_store(spark, sf_dir), columns, as_of)
@@ -76,12 +86,13 @@ KEYS = ["service_uid", "l_partkey", "l_suppkey"]
 
 
 def _raw(spark, sf_dir):
-    return raw_service_rows(Tables(spark, sf_dir))
+    """The extract's raw rows, stored once (as the extract step leaves them)."""
+    return materialize(raw_service_rows(Tables(spark, sf_dir)), "raw-services")
 
 
 def _transformed(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return N.transform_services(raw_service_rows(t), valid_code_list(t))
+    return N.transform_services(_raw(spark, sf_dir), valid_code_list(t))
 
 
 def _make_timestamp(spark, sf_dir):
@@ -115,7 +126,7 @@ def _crs_drop(spark, sf_dir):
 
 def _valid_cancel_code(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    r = raw_service_rows(t).select(*KEYS, F.col("cancel_code").alias("code_text"), "cancel_code")
+    r = _raw(spark, sf_dir).select(*KEYS, F.col("cancel_code").alias("code_text"), "cancel_code")
     return N.valid_codes(r, "cancel_code", valid_code_list(t))
 
 
@@ -133,7 +144,7 @@ def _service_transform(spark, sf_dir):
 def _load_rejects(spark, sf_dir):
     """Cancellations of the cleaned batch that fail a required lookup."""
     t = Tables(spark, sf_dir)
-    svc = N.transform_services(raw_service_rows(t), valid_code_list(t))
+    svc = N.transform_services(_raw(spark, sf_dir), valid_code_list(t))
     star = star_schema(spark, svc, valid_code_rows(t))
     _, rejects = W.load_cancellations(svc, star.service_details, star.station, star.cancel_code)
     return rejects.select("service_uid", "origin_run_datetime", "reject_reason")
@@ -150,6 +161,7 @@ def queries() -> dict[str, Query]:
         "fact_cancellation": _star("cancellation"),
         "load_counts": _load_counts,
         "insert_if_absent": _insert_if_absent,
+        "assign_ids": _assign_ids,
         "wide_services": _wide(),
         "wide_services_day": _wide(as_of=oracle.AS_OF),
         "kpi_totals": _on_view(A.kpi_totals, [LT, "cancellation_id"]),
