@@ -97,12 +97,24 @@ def first_per_key(df: DataFrame, key_cols: Sequence[str],
     return agg.select(*key_cols, *[F.col("_row")[c].alias(c) for c in payload]).select(*df.columns)
 
 
-def absent_rows(batch: DataFrame, target: DataFrame | None,
-                key_cols: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``target`` (ON CONFLICT DO NOTHING)."""
+def absent_rows(batch: DataFrame, target: DataFrame | None, key_cols: Sequence[str],
+                prune: tuple[str, DataFrame] | None = None) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``target`` (ON CONFLICT DO NOTHING).
+
+    ``target`` is unique on ``key_cols`` (every load keeps it so), so its keys
+    are joined as stored, without a distinct over the whole table. ``prune``
+    = (partition column of ``target``, DataFrame of the values the batch
+    touches): the target is first cut to those partitions with a semi join
+    against the batch's few values, so a daily load reads one month of the
+    stored fact instead of all of it.
+    """
     if target is None:
         return batch
-    return batch.join(target.select(*key_cols).distinct(), list(key_cols), "left_anti")
+    keys = target.select(*key_cols, *([prune[0]] if prune else []))
+    if prune is not None:
+        col, values = prune
+        keys = keys.join(F.broadcast(values.select(col).distinct()), col, "left_semi")
+    return batch.join(keys.select(*key_cols), list(key_cols), "left_anti")
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame | None,

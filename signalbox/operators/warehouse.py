@@ -102,13 +102,28 @@ def load_stations(svc: DataFrame, existing: DataFrame | None = None) -> tuple[Da
 
 # --- facts ----------------------------------------------------------------
 
+def _staged(df: DataFrame, stage) -> DataFrame:
+    """Apply the caller's staging (e.g. a written table) to the looked-up
+    candidates, which the good / reject split and the id numbering all read."""
+    return stage(df) if stage is not None else df
+
+
+def _month_prune(existing: DataFrame | None, batch: DataFrame):
+    """Partition pruning for insert-if-absent on a stored fact: the months the
+    batch's run dates fall in (stored facts are partitioned by ``run_month``)."""
+    if existing is None or "run_month" not in existing.columns:
+        return None
+    run = "run_date" if "run_date" in batch.columns else "origin_run_datetime"
+    return ("run_month", batch.select(F.trunc(run, "month").alias("run_month")))
+
+
 SERVICE_DETAIL_COLUMNS = ["service_details_id", "service_uid", "company_id", "service_type_id",
                           "origin_station_id", "destination_station_id", "run_date"]
 
 
 def service_detail_candidates(svc: DataFrame, company: DataFrame, service_type: DataFrame,
                               station: DataFrame,
-                              order_cols: Sequence[str] = SERVICE_ORDER
+                              order_cols: Sequence[str] = SERVICE_ORDER, stage=None
                               ) -> tuple[DataFrame, DataFrame]:
     """First row per (service_uid, run date) with its four lookups; good / rejects."""
     cols = ["service_uid", "origin_run_datetime", "company_name", "service_type",
@@ -119,17 +134,17 @@ def service_detail_candidates(svc: DataFrame, company: DataFrame, service_type:
     j = lookup(j, service_type, "service_type", "service_type_name", "service_type_id")
     j = lookup(j, station, "origin_crs", "crs", "station_id", "origin_station_id")
     j = lookup(j, station, "planned_final_crs", "crs", "station_id", "destination_station_id")
-    j = j.withColumnRenamed("origin_run_datetime", "run_date")
+    j = _staged(j.withColumnRenamed("origin_run_datetime", "run_date"), stage)
     return check_required(j, ["service_uid", "run_date", "company_id", "service_type_id",
                               "origin_station_id", "destination_station_id"])
 
 
 def load_service_details(svc: DataFrame, company: DataFrame, service_type: DataFrame,
-                         station: DataFrame, existing: DataFrame | None = None
+                         station: DataFrame, existing: DataFrame | None = None, stage=None
                          ) -> tuple[DataFrame, DataFrame]:
     """service_details rows to append (unique on service_uid, run_date)."""
-    good, rejects = service_detail_candidates(svc, company, service_type, station)
-    new = absent_rows(good, existing, ["service_uid", "run_date"])
+    good, rejects = service_detail_candidates(svc, company, service_type, station, stage=stage)
+    new = absent_rows(good, existing, ["service_uid", "run_date"], _month_prune(existing, good))
     out = assign_ids(new, ["service_uid", "run_date"], "service_details_id",
                      max_id(existing, "service_details_id"))
     return out.select(*SERVICE_DETAIL_COLUMNS), rejects
@@ -144,14 +159,15 @@ def _fact_first(svc: DataFrame, keep, cols: Sequence[str],
 
 def load_delays(svc: DataFrame, service_details: DataFrame,
                 existing: DataFrame | None = None,
-                order_cols: Sequence[str] = SERVICE_ORDER) -> tuple[DataFrame, DataFrame]:
+                order_cols: Sequence[str] = SERVICE_ORDER, stage=None) -> tuple[DataFrame, DataFrame]:
     """Lateness > 0, fact id by (uid, run date), unique on the fact id."""
     first = _fact_first(svc, F.col("arrival_lateness") > 0,
                         ["arrival_lateness", "scheduled_arrival_datetime"], order_cols)
     j = lookup(first, service_details, ["service_uid", "origin_run_datetime"],
                ["service_uid", "run_date"], "service_details_id")
+    j = _staged(j, stage)
     good, rejects = check_required(j, ["service_details_id"])
-    new = absent_rows(good, existing, ["service_details_id"])
+    new = absent_rows(good, existing, ["service_details_id"], _month_prune(existing, first))
     out = assign_ids(new, ["service_details_id"], "delay_details_id",
                      max_id(existing, "delay_details_id"))
     return out.select("delay_details_id", "service_details_id",
@@ -161,7 +177,7 @@ def load_delays(svc: DataFrame, service_details: DataFrame,
 
 def load_cancellations(svc: DataFrame, service_details: DataFrame, station: DataFrame,
                        cancel_code: DataFrame, existing: DataFrame | None = None,
-                       order_cols: Sequence[str] = SERVICE_ORDER) -> tuple[DataFrame, DataFrame]:
+                       order_cols: Sequence[str] = SERVICE_ORDER, stage=None) -> tuple[DataFrame, DataFrame]:
     """Rows with a cancel code; fact id, two stations and the code id."""
     first = _fact_first(svc, F.col("cancel_code").isNotNull(),
                         ["cancellation_station_crs", "destination_reached_crs", "cancel_code"],
@@ -170,10 +186,10 @@ def load_cancellations(svc: DataFrame, service_details: DataFrame, station: Data
                ["service_uid", "run_date"], "service_details_id")
     j = lookup(j, station, "cancellation_station_crs", "crs", "station_id", "cancelled_station_id")
     j = lookup(j, station, "destination_reached_crs", "crs", "station_id", "reached_station_id")
-    j = lookup(j, cancel_code, "cancel_code", "code", "cancel_code_id")
+    j = _staged(lookup(j, cancel_code, "cancel_code", "code", "cancel_code_id"), stage)
     good, rejects = check_required(j, ["service_details_id", "cancelled_station_id",
                                        "reached_station_id", "cancel_code_id"])
-    new = absent_rows(good, existing, ["service_details_id"])
+    new = absent_rows(good, existing, ["service_details_id"], _month_prune(existing, first))
     out = assign_ids(new, ["service_details_id"], "cancellation_id",
                      max_id(existing, "cancellation_id"))
     return out.select("cancellation_id", "service_details_id", "cancelled_station_id",

@@ -1,4 +1,9 @@
-"""Registered queries for sources and sinks."""
+"""Registered queries for sources and sinks.
+
+The JDBC source and sink (S07, K03) are in ``sinks.files`` but have no
+registered query: exercising them needs a database, and none may be started
+here (an embedded one would be seen by this process only).
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ from ..constants import STATIONS
 from ..operators import analytics as A
 from ..schemas import FLAT_SERVICE
 from ..session import shared_dir
-from ..sinks.files import read_jdbc, write_csv, write_jdbc
+from ..sinks.files import write_csv
 from ..sources.binding import FLAT_COLUMNS, TIE_BREAK, service_rows
 from ..sources.json_docs import read_service_csv
 from ..sources.tables import Tables
@@ -47,25 +52,6 @@ def service_csv_scan(spark, sf_dir):
     return found.unionByName(missing)
 
 
-def jdbc_roundtrip(spark, sf_dir):
-    """K03 + S07: the service_details fact bulk-inserted into a relational
-    table over JDBC and read back by query with parallel range reads.
-
-    The target here is an in-process Derby database (the only JDBC engine on
-    the classpath); production points ``url`` at the warehouse server."""
-    sd = services_store(spark, sf_dir).service_details.drop("run_month")
-    url = f"jdbc:derby:memory:signalbox_{uuid.uuid4().hex};create=true"
-    write_jdbc(sd.coalesce(4), url, "service_details",
-               properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
-    bounds = sd.agg(F.min("service_details_id"), F.max("service_details_id")).first()
-    out = read_jdbc(spark, url, 'SELECT * FROM service_details',
-                    properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
-                                "preferTimestampNTZ": "true"},
-                    partition_column="service_details_id", lower=int(bounds[0] or 0),
-                    upper=int(bounds[1] or 0) + 1, num_partitions=4)
-    return out.select(*[F.col(c).alias(c.lower()) for c in out.columns])
-
-
 def schema_switch(spark, sf_dir):
     """Tables saved into the ``service_data`` and ``incident_data``
     namespaces; after switching the current database an unqualified name
@@ -113,7 +99,6 @@ def reached_pct_company_merge(spark, sf_dir):
 QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "service_csv_scan": service_csv_scan,
-    "jdbc_roundtrip": jdbc_roundtrip,
     "schema_switch": schema_switch,
     "station_scope": station_scope,
     "daily_report": daily_report,
@@ -159,7 +144,6 @@ _SVC_COLS = ", ".join(SVC_COLUMNS)
 ORACLE = {
     "csv_roundtrip": O.services(f"SELECT {_SVC_COLS} FROM svc"),
     "service_csv_scan": JQ.DOCS_CTE + "\nSELECT * FROM flat",
-    "jdbc_roundtrip": O.services("SELECT * FROM service_details"),
     "schema_switch": O.services("SELECT * FROM station"),
     "station_scope": JQ.DOCS_CTE + f"""
 SELECT station_crs, uid AS service_uid, run_date, origin_desc AS origin_name, last_desc AS destination_name

@@ -130,13 +130,15 @@ def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
     svc = svc.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def step(name, new, partitioned=False, rejects=None):
+            # Appended rows = stored rows after - before; parquet answers
+            # count() from file footers, so no extra pass over the new rows.
             t0 = time.time()
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
-            counts[name] = new.count()
+            prev = existing(name)
+            before = prev.count() if prev is not None else 0
             out = append(name, new, partitioned)
+            counts[name] = out.count() - before
             if rejects is not None and rejects_root:
                 rejects.write.mode("append").parquet(f"{rejects_root}/{name}")
-            new.unpersist()
             if os.environ.get("SIGNALBOX_TRACE"):
                 print(f"load {name}: {counts[name]} rows {time.time() - t0:.1f}s", flush=True)
             return out
@@ -147,16 +149,17 @@ def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
         station = step("station", st_new, rejects=st_rej)
         service_type = step("service_type", W.absent_rows(
             W.service_type_seed(spark), existing("service_type"), ["service_type_name"]))
+        stage = lambda df: materialize(df, "load-candidates")
         sd_new, sd_rej = W.load_service_details(svc, company, service_type, station,
-                                                existing("service_details"))
+                                                existing("service_details"), stage=stage)
         sd = step("service_details", sd_new.withColumn("run_month", run_month(F.col("run_date"))),
                   True, sd_rej)
         sd_keys = sd.select("service_details_id", "service_uid", "run_date", "run_month")
         day_of = sd.select("service_details_id", "run_month")
-        dd_new, dd_rej = W.load_delays(svc, sd_keys, existing("delay_details"))
+        dd_new, dd_rej = W.load_delays(svc, sd_keys, existing("delay_details"), stage=stage)
         step("delay_details", dd_new.join(day_of, "service_details_id"), True, dd_rej)
         cn_new, cn_rej = W.load_cancellations(svc, sd_keys, station, cancel_code,
-                                              existing("cancellation"))
+                                              existing("cancellation"), stage=stage)
         step("cancellation", cn_new.join(day_of, "service_details_id"), True, cn_rej)
     finally:
         svc.unpersist()

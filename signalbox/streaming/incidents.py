@@ -41,20 +41,22 @@ def incident_stream(spark: SparkSession, landing: str, whole_files: bool = False
 class IncidentBatchWriter:
     """foreachBatch handler writing the incident tables under ``root``."""
 
-    def __init__(self, root: str, operator_path: str):
+    def __init__(self, root: str, operator_path: str, files_per_epoch: int = 4):
         self.root = root.rstrip("/")
         self.operator_path = operator_path
+        # Micro-batches are small: bound the files each epoch adds per table.
+        self.files_per_epoch = files_per_epoch
 
     def _existing(self, spark, name):
         p = f"{self.root}/{name}"
         return spark.read.parquet(p) if path_exists(spark, p) else None
 
     def _append(self, df, name):
-        df.write.mode("append").parquet(f"{self.root}/{name}")
+        df.coalesce(self.files_per_epoch).write.mode("append").parquet(f"{self.root}/{name}")
         return df.sparkSession.read.parquet(f"{self.root}/{name}")
 
     def _overwrite_epoch(self, df, name, epoch_id, partition_cols=()):
-        (df.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+        (df.withColumn("epoch", F.lit(epoch_id)).coalesce(self.files_per_epoch).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("epoch", *partition_cols).parquet(f"{self.root}/{name}"))
 
