@@ -39,10 +39,12 @@ def date_time_to_timestamp(date_col: Column | str, time_col: Column | str) -> Co
 
 
 def hhmmss_epoch(time_col: Column | str, on_day) -> Column:
-    """Seconds since the epoch of ``HHMMSS`` on ``on_day`` (UTC wall clock)."""
+    """Seconds since the epoch of ``HHMMSS`` on ``on_day``, reading the
+    wall clock as UTC whatever the session zone (no zone conversion)."""
     day = on_day.isoformat() if isinstance(on_day, (_dt.date, _dt.datetime)) else str(on_day)
     ts = date_time_to_timestamp(F.lit(day[:10]), time_col)
-    return F.unix_seconds(ts.cast("timestamp"))
+    return (F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600
+            + F.minute(ts) * 60 + F.second(ts))
 
 
 def iso_wallclock(text: Column | str) -> Column:

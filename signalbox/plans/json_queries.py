@@ -7,25 +7,29 @@ from pyspark.sql import functions as F
 from ..operators import extract as X
 from ..schemas import SERVICE, STATION_SEARCH
 from ..sources import json_docs as J
-from ..sources.documents import service_documents, station_search_documents
+from ..session import materialize
+from ..sources.documents import order_services, service_documents, station_search_documents
 from ..sources.tables import Tables
 
 
-def _services(spark, sf_dir):
-    return J.parse_json(service_documents(Tables(spark, sf_dir)), SERVICE)
+def _services(spark, sf_dir, orders=None):
+    return J.parse_json(service_documents(Tables(spark, sf_dir), orders), SERVICE)
 
 
-def _good_services(spark, sf_dir):
-    good, _ = J.split_fetch_errors(_services(spark, sf_dir), "Service")
+def _good_services(spark, sf_dir, orders=None):
+    good, _ = J.split_fetch_errors(_services(spark, sf_dir, orders), "Service")
     return good
 
 
-def _journeys(spark, sf_dir):
-    return J.journeys(J.parse_json(station_search_documents(Tables(spark, sf_dir)), STATION_SEARCH))
+def _journeys(spark, sf_dir, orders=None):
+    docs = station_search_documents(Tables(spark, sf_dir), orders)
+    return J.journeys(J.parse_json(docs, STATION_SEARCH))
 
 
 def _flat(spark, sf_dir):
-    return X.relevant_fields(_journeys(spark, sf_dir), _good_services(spark, sf_dir))
+    """Both document sets render from one staged per-order table."""
+    orders = materialize(order_services(Tables(spark, sf_dir)), "order-services")
+    return X.relevant_fields(_journeys(spark, sf_dir, orders), _good_services(spark, sf_dir, orders))
 
 
 def services_json(spark, sf_dir):

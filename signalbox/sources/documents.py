@@ -80,9 +80,10 @@ def _pair(loc: Column, time: Column) -> Column:
                             time.alias("workingTime"), F.substring(time, 1, 4).alias("publicTime")))
 
 
-def service_documents(t: Tables) -> DataFrame:
-    """Service detail documents as JSON text (column ``value``)."""
-    o = order_services(t)
+def service_documents(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """Service detail documents as JSON text (column ``value``); ``orders``
+    is a precomputed ``order_services`` (shared with the station searches)."""
+    o = orders if orders is not None else order_services(t)
     err = F.col("fetch_error")
     first = F.get(F.col("locations"), 0)
     last = F.element_at(F.col("locations"), -1)
@@ -99,9 +100,9 @@ def service_documents(t: Tables) -> DataFrame:
     return o.select(F.to_json(doc).alias("value"))
 
 
-def station_search_documents(t: Tables) -> DataFrame:
+def station_search_documents(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Station search documents as JSON text: one per calling point."""
-    o = order_services(t)
+    o = orders if orders is not None else order_services(t)
     first = F.get(F.col("locations"), 0)
     last = F.element_at(F.col("locations"), -1)
     stops = o.select("*", F.explode("locations").alias("stop"))
