@@ -117,6 +117,7 @@ def _month_prune(existing: DataFrame | None, batch: DataFrame):
     return ("run_month", batch.select(F.trunc(run, "month").alias("run_month")))
 
 
+SERVICE_DETAIL_ID_ORDER = ["run_date", "service_uid"]
 SERVICE_DETAIL_COLUMNS = ["service_details_id", "service_uid", "company_id", "service_type_id",
                           "origin_station_id", "destination_station_id", "run_date"]
 
@@ -145,7 +146,10 @@ def load_service_details(svc: DataFrame, company: DataFrame, service_type: DataF
     """service_details rows to append (unique on service_uid, run_date)."""
     good, rejects = service_detail_candidates(svc, company, service_type, station, stage=stage)
     new = absent_rows(good, existing, ["service_uid", "run_date"], _month_prune(existing, good))
-    out = assign_ids(new, ["service_uid", "run_date"], "service_details_id",
+    # Ids follow load order (run date, then uid), as daily appends number
+    # them; id ranges are then also run-month ranges, so the partitioned
+    # write needs no second shuffle.
+    out = assign_ids(new, SERVICE_DETAIL_ID_ORDER, "service_details_id",
                      max_id(existing, "service_details_id"))
     return out.select(*SERVICE_DETAIL_COLUMNS), rejects
 

@@ -116,10 +116,10 @@ def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
 
     def append(name, df, partitioned):
         if partitioned:
-            # Contiguous (month, id) ranges per task: a few files per month,
-            # and a large month still spreads over many tasks.
-            df = df.repartitionByRange("run_month", df.columns[0]).sortWithinPartitions(
-                "run_month", df.columns[0])
+            # Fact ids follow run date, and each task holds a contiguous id
+            # range (from the numbering), so a task writes one or two month
+            # folders: no extra shuffle for the file layout.
+            df = df.sortWithinPartitions("run_month", df.columns[0])
         w = df.write.mode("append")
         if partitioned:
             w = w.partitionBy("run_month")
