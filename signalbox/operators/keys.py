@@ -30,10 +30,6 @@ from ..session import shared_dir
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
 
-def _num_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def max_id(target: DataFrame | None, id_col: str) -> Column:
     """Largest id of ``target`` as a scalar-subquery Column (0 when empty)."""
     if target is None:
