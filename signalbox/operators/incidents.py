@@ -44,7 +44,7 @@ def split_messages(details: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsable messages with operators and routes / quarantine with a reason."""
     reason = (F.when(F.col("corrupt_record").isNotNull(), F.lit("malformed"))
               .when(F.col("routes_affected").isNull(), F.lit("no routes"))
-              .when(F.coalesce(F.size("operators_affected"), F.lit(0)) == 0, F.lit("no operators")))
+              .when(F.coalesce(F.size("operators_affected"), F.lit(-1)) <= 0, F.lit("no operators")))
     d = details.withColumn("quarantine_reason", reason)
     return (d.where(F.col("quarantine_reason").isNull()).drop("quarantine_reason"),
             d.where(F.col("quarantine_reason").isNotNull()))
