@@ -48,3 +48,28 @@ def test_load_all_twice_appends_nothing(spark, tmp_path):
     assert first["service_details"] > 0
     again = load_all(spark, service_rows(t), cancel_code_rows(t), root)
     assert set(again.values()) == {0}
+
+
+def test_load_on_top_of_older_months(spark, tmp_path):
+    """A stored warehouse holding the services before a cut-off, then the whole
+    batch: only the new keys are appended (the anti join reads the pruned
+    months), ids continue after the stored ones, and totals equal one load."""
+    from pyspark.sql import functions as F
+
+    from signalbox.plans.services import load_all
+    from signalbox.sources.binding import cancel_code_rows, service_rows
+    from signalbox.sources.tables import Tables
+    t = Tables(spark, SMALL)
+    root = f"{tmp_path}/wh"
+    svc = service_rows(t)
+    cut = F.lit("1997-01-01").cast("timestamp_ntz")
+    first = load_all(spark, svc.where(F.col("origin_run_datetime") < cut), cancel_code_rows(t), root)
+    second = load_all(spark, svc, cancel_code_rows(t), root)
+    fresh = load_all(spark, svc, cancel_code_rows(t), f"{tmp_path}/fresh")
+    for name in ("service_details", "delay_details", "cancellation"):
+        assert first[name] + second[name] == fresh[name]
+    sd = spark.read.parquet(f"{root}/service_details")
+    assert sd.select("service_details_id").distinct().count() == fresh["service_details"]
+    assert sd.agg(F.max("service_details_id")).first()[0] == fresh["service_details"]
+    old_max = sd.where(F.col("run_date") < cut).agg(F.max("service_details_id")).first()[0]
+    assert old_max == first["service_details"]
