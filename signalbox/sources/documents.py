@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .binding import hhmmss_number
 from .tables import Tables
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount",
@@ -27,10 +28,8 @@ FETCH_ERROR = "Timeout: The request could not be completed."
 
 
 def hhmmss(seconds: Column) -> Column:
-    h = F.floor(seconds / 3600).cast("long")
-    m = F.floor((seconds % 3600) / 60).cast("long")
-    s = (seconds % 60).cast("long")
-    return F.lpad((h * 10000 + m * 100 + s).cast("string"), 6, "0")
+    """Seconds of day -> ``HHMMSS`` text with leading zeros."""
+    return F.lpad(hhmmss_number(seconds).cast("string"), 6, "0")
 
 
 def _location() -> Column:
