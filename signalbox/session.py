@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Stored facts have one folder per run month (about 12 a year): list them
+    # on the driver instead of launching a listing job on every re-read. Lower
+    # it for stores with many thousands of partition folders.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1024",
 }
 
 
