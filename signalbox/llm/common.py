@@ -38,6 +38,12 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``_row``, so that working columns
+    beside it clash with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often it is used."""
     return F.transform(F.array(value), body)[0]

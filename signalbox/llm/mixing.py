@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, WORD, let, order_key, running_total, store
+from .common import SPACES, WORD, let, order_key, running_total, store, whole_row
 
 #: Fixed values of the mix.
 WEIGHTS = [5, 2, 1]
@@ -184,14 +184,16 @@ def mix_documents(df: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("first", "words"))).alias("_ranges"))  # of one document
         .drop("doc_offset", "pass"))
     once = Window.partitionBy("_k1", "_k2").orderBy("_k1")  # repeated rows have their ranges under one key
-    rows = df.select("*", *_row_key()).withColumn("_rn", F.row_number().over(once)).where("_rn = 1")
+    rows = df.select(whole_row(df), F.col("text"), *_row_key())
+    rows = rows.withColumn("_rn", F.row_number().over(once)).where("_rn = 1")
     joined = rows.join(ranges, ["_k1", "_k2"])
     # the text as words with the white space that follows each
     cut = F.split(F.regexp_replace(F.col("text"), "^" + SPACES, ""),
                   r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     piece = let(cut, lambda w: F.array_join(F.flatten(F.transform(
         F.col("_ranges"), lambda r: F.slice(w, (r["first"] + 1).cast("int"), r["words"].cast("int")))), ""))
-    out = joined.withColumn("text", F.regexp_replace(piece, SPACES + "$", ""))
+    out = joined.select("_row", F.regexp_replace(piece, SPACES + "$", "").alias("_text"))
+    own = {"text": F.col("_text")}
     if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(df.schema["n_chars"].dataType))
-    return out.select(*df.columns)
+        own["n_chars"] = F.char_length("_text").cast(df.schema["n_chars"].dataType)
+    return out.select(*[own.get(c, F.col("_row")[c]).alias(c) for c in df.columns])
