@@ -17,13 +17,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, let
+from .common import SPACES, let, store
 
 K = 128
 SHINGLE = 5
 HASH_RANGE = float(1 << 63)
-#: Documents are dealt by blocks of 2**13 successive ids to find neighbours.
-BLOCK_BITS = 13
+#: Documents are dealt by blocks of 2**12 successive ids to find neighbours.
+BLOCK_BITS = 12
 MERGE_FAN = 64
 
 
@@ -90,16 +90,17 @@ def merge_sketches(df: DataFrame, by: list[str], sketch_col: str, k: int = K) ->
 
 
 def with_next(df: DataFrame) -> DataFrame:
-    """Adds next_text and next_sketch: of the following row by descending
-    doc_id (ties by descending text, null ids last); after the last, the first.
+    """``df`` (doc_id, text, not null) with sketch, next_text and next_sketch:
+    next is the following row by descending doc_id (ties by descending text,
+    null ids last); after the last row, the first.
 
     Rows are dealt once, by blocks of successive ids; only one row a block
-    travels to the block above. ``df``: doc_id, text (not null), sketch.
+    travels to the block above.
     """
     ord_ = order_key_desc()
-    rows = df.withColumn("_ord", ord_).withColumn("_block", F.shiftright("_ord", BLOCK_BITS))
-    ids = df.select(ord_.alias("_ord")).withColumn("_block", F.shiftright("_ord", BLOCK_BITS))
-    heads = ids.groupBy("_block").agg(F.max("_ord").alias("_head"))
+    blocked = lambda x: x.withColumn("_ord", ord_).withColumn("_block", F.shiftright("_ord", BLOCK_BITS))
+    # a stored table of one row a block: its size is known when the join is planned
+    heads = store(blocked(df).groupBy("_block").agg(F.max("_ord").alias("_head")), "block-heads")
     # the next block below, by cells of 2**12 blocks; after the last, the first
     cells = heads.withColumn("_cell", F.shiftright("_block", 12))
     tops = cells.groupBy("_cell").agg(F.max("_block").alias("_top"))
@@ -110,9 +111,11 @@ def with_next(df: DataFrame) -> DataFrame:
                .withColumn("_next", F.coalesce(F.lead("_block").over(
                    Window.partitionBy("_cell").orderBy(F.desc("_block"))), F.col("_then"))))
     first = (df.withColumn("_ord", ord_).join(heads, F.col("_ord") == F.col("_head"))
-             .groupBy("_block").agg(F.max(F.struct("text", "sketch")).alias("_first")))
-    tails = (follows.select(F.col("_block").alias("_to"), F.col("_next").alias("_block")).join(first, "_block")
-             .select(F.col("_to").alias("_block"), "_first"))
+             .groupBy("_block").agg(F.max("text").alias("_first"))
+             .withColumn("_first", F.struct(F.col("_first").alias("text"), fingerprint(F.col("_first")).alias("sketch"))))
+    tails = store(follows.select(F.col("_block").alias("_to"), F.col("_next").alias("_block")).join(first, "_block")
+                  .select(F.col("_to").alias("_block"), "_first"), "block-tails")
+    rows = blocked(df.withColumn("sketch", fingerprint(F.col("text"))))
     w = Window.partitionBy("_block").orderBy(F.desc("_ord"), F.desc("text"))
     return (rows.withColumn("_lead", F.lead(F.struct("text", "sketch")).over(w))
             .join(tails, "_block", "left")
@@ -136,8 +139,7 @@ def edit_report(df: DataFrame) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next. Null text is empty; every row
     counts, repeated ones as well; a table of one row is its own next."""
-    rows = (df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .withColumn("sketch", fingerprint(F.col("text"))))
+    rows = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     x = with_next(rows).withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half),
