@@ -44,12 +44,12 @@ EXTRA_OPERATORS = [
     ("South Western Railway", "SW", 75.0),
     ("Island Line", "IL", 75.0),
 ]
-# Positions (0-based data rows) of the operator table that are dropped.
-OPERATOR_ROWS_DROPPED = [9, 21]
+# Known bad rows (0-based data rows) of the one captured operator page.
+KNOWN_BAD_OPERATOR_ROWS = [9, 21]
 OPERATOR_SATISFACTION_HEADER = "Passenger satisfaction[1]"
 OPERATOR_SATISFACTION_COLUMN = "Passenger satisfaction (%)"
 
-# Chart and selection cap of the dashboard.
+# Rows of a top-k chart.
 TOP_K = 20
 NO_REASON = "None filled out"
 REACHED = "Reached"

@@ -35,26 +35,16 @@ def top_k(df: DataFrame, metric: str, key: str | Sequence[str], k: int | None =
     return ordered.limit(k) if k else ordered
 
 
-def filter_selected(view: DataFrame, column: str, selection=None, cap: int | None = TOP_K) -> DataFrame:
-    """Rows whose ``column`` is in the selection; empty selection keeps all.
-
-    A list is capped to its first ``cap`` values (the dashboard's limit); a
-    DataFrame selection (one column) is applied as a broadcast semi join after
-    a size check of at most ``cap`` distinct values.
-    """
+def filter_selected(view: DataFrame, column: str, selection=None) -> DataFrame:
+    """Rows whose ``column`` is one of the selected values, a list or a
+    one-column DataFrame; all of them count. An empty list keeps every row."""
     if selection is None:
         return view
     if isinstance(selection, DataFrame):
         sel = selection.select(F.col(selection.columns[0]).alias(column)).distinct()
-        if cap:
-            sel = sel.orderBy(column).limit(cap)
-        return view.join(F.broadcast(sel), column, "left_semi")
+        return view.join(sel, column, "left_semi")
     values = list(selection)
-    if not values:
-        return view
-    if cap:
-        values = values[:cap]
-    return view.where(F.col(column).isin(values))
+    return view.where(F.col(column).isin(values)) if values else view
 
 
 def kpi_totals(view: DataFrame) -> DataFrame:
@@ -144,8 +134,8 @@ def destination_status(view: DataFrame, selection=None) -> DataFrame:
 
 
 def lateness_vs_schedule(view: DataFrame, selection=None) -> DataFrame:
-    """A10: row-level scatter data (no selection cap)."""
-    v = filter_selected(view, STATION, selection, cap=None)
+    """A10: row-level scatter data."""
+    v = filter_selected(view, STATION, selection)
     return v.select(
         "service_details_id", "scheduled_arrival", "arrival_lateness",
         F.date_format("scheduled_arrival", "yyyy-MM-dd HH:mm:ss").alias("scheduled_arrival_formatted"),

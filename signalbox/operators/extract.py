@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CANCELLED_DISPLAY, TERMINAL_DISPLAY
+from .keys import first_per_key
 
 FLAT_COLUMNS = [
     "service_uid", "company_name", "service_type", "origin_crs", "origin_stn_name",
@@ -70,6 +71,7 @@ def service_facts(services: DataFrame, doc: str = "doc") -> DataFrame:
         d["atocName"].alias("company_name"), d["serviceType"].alias("service_type"),
         locs.alias("locations"),
         first_location(locs)["crs"].alias("origin_crs"),
+        F.to_json(d).alias("capture"),
         last_location(locs)["description"].alias("planned_final_destination"),
         last_location(locs)["crs"].alias("planned_final_crs"),
         term.alias("terminal"),
@@ -83,10 +85,11 @@ def relevant_fields(journeys: DataFrame, services: DataFrame,
     date) and project the 17 flat fields; journeys whose pairing fails a
     required field go to quarantine with a reason.
 
-    Repeated captures of one service are dropped before the join, so k
-    repeats do not fan out k x k.
+    Of repeated captures of one service the first in the order of their text
+    counts, whatever order they come in; the rest are dropped before the join,
+    so k repeats do not fan out k x k.
     """
-    facts = service_facts(services, doc).dropDuplicates(["service_uid", "run_date"])
+    facts = first_per_key(service_facts(services, doc), ["service_uid", "run_date"], ["capture"]).drop("capture")
     j = F.col(journey)
     jr = journeys.select(j.alias("journey"), *[c for c in journeys.columns if c != journey])
     jr = jr.withColumn("_uid", F.col("journey.serviceUid")).withColumn("_rd", F.col("journey.runDate"))

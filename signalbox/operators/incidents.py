@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import ALERT_OPERATOR_CODES, EXTRA_OPERATORS, OPERATOR_ROWS_DROPPED
+from ..constants import ALERT_OPERATOR_CODES, EXTRA_OPERATORS
 from ..functions.cleaning import boolean_or_null, int_or_null, percent_or_null, split_routes
 from ..functions.timestamps import iso_wallclock
+from ..sources.xml_docs import every_operator, first_descendant
 from .keys import absent_rows, assign_ids, first_per_key, max_id
+from ..session import materialize
 from .warehouse import check_required, lookup
 
 FLAT_INCIDENT_COLUMNS = [
@@ -19,25 +24,35 @@ FLAT_INCIDENT_COLUMNS = [
 
 
 def incident_details(parsed: DataFrame, msg: str = "msg") -> DataFrame:
-    """Typed scalar fields, the operator list and the route list."""
+    """Typed scalar fields, the operator list and the route list. Every
+    scalar is the first descendant of its name, null when there is none."""
     m = F.col(msg)
-    others = [c for c in parsed.columns if c != msg]
+    others = [c for c in parsed.columns if c not in (msg, "raw")]
+
+    def first(element: str, found: Column) -> Column:
+        return first_descendant(found, element, msg)
+    period, links, affects = m["ValidityPeriod"], m["InfoLinks"], m["Affects"]
     return parsed.select(
         *others,
         m["_corrupt_record"].alias("corrupt_record"),
-        iso_wallclock(m["CreationTime"]).alias("creation_time"),
-        m["IncidentNumber"].alias("incident_number"),
-        m["Version"].alias("version"),
-        boolean_or_null(m["Planned"]).alias("planned"),
-        iso_wallclock(m["ValidityPeriod"]["StartTime"]).alias("start_time"),
-        iso_wallclock(m["ValidityPeriod"]["EndTime"]).alias("end_time"),
-        F.get(m["InfoLinks"]["InfoLink"], 0)["Uri"].alias("info_link"),
-        m["Summary"].alias("summary"),
-        int_or_null(m["IncidentPriority"]).alias("incident_priority"),
-        F.transform(m["Affects"]["Operators"]["AffectedOperator"], lambda o: F.struct(
+        iso_wallclock(first("CreationTime", m["CreationTime"])).alias("creation_time"),
+        first("IncidentNumber", m["IncidentNumber"]).alias("incident_number"),
+        first("Version", m["Version"]).alias("version"),
+        boolean_or_null(first("Planned", m["Planned"])).alias("planned"),
+        iso_wallclock(first("StartTime", _inner(period, "StartTime"))).alias("start_time"),
+        iso_wallclock(first("EndTime", _inner(period, "EndTime"))).alias("end_time"),
+        first("Uri", _inner(_inner(links, "InfoLink"), "Uri")).alias("info_link"),
+        first("Summary", m["Summary"]).alias("summary"),
+        int_or_null(first("IncidentPriority", m["IncidentPriority"])).alias("incident_priority"),
+        F.transform(every_operator(msg), lambda o: F.struct(
             o["OperatorRef"].alias("affected_operator_ref"),
             o["OperatorName"].alias("affected_operator_name"))).alias("operators_affected"),
-        split_routes(m["Affects"]["RoutesAffected"]).alias("routes_affected"))
+        split_routes(first("RoutesAffected", _inner(affects, "RoutesAffected"))).alias("routes_affected"))
+
+
+def _inner(containers: Column, field: str) -> Column:
+    """The field's values over all containers, in order."""
+    return F.flatten(F.filter(F.transform(containers, lambda c: c[field]), lambda x: x.isNotNull()))
 
 
 def split_messages(details: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,15 +80,21 @@ def flatten_incidents(good: DataFrame) -> DataFrame:
 # --- operator reference table (I07, I08) ---------------------------------------
 
 def operator_info(table_rows: DataFrame, spark: SparkSession | None = None,
+                  known_bad: tuple[str, dict[str, list[int]]] | None = None,
                   position_col: str = "row_pos") -> DataFrame:
-    """Operator table rows -> satisfaction as a number, renamed, two
-    known-bad rows dropped by position, six missing operators appended.
+    """Operator table rows -> satisfaction as a number, renamed, the six
+    missing operators appended.
 
     ``table_rows`` has columns Operator, Code, ``Passenger satisfaction[1]``
-    and the data-row position within its table.
+    and the data-row position within its table. ``known_bad`` = (column that
+    names the page, rows to drop by position for each page); none by default.
     """
     spark = spark or table_rows.sparkSession
-    rows = table_rows.where(~F.col(position_col).isin(OPERATOR_ROWS_DROPPED)).select(
+    if known_bad:
+        page_col, bad = known_bad
+        for page, positions in bad.items():
+            table_rows = table_rows.where(~(F.col(page_col).eqNullSafe(page) & F.col(position_col).isin(positions)))
+    rows = table_rows.select(
         F.col("Operator").alias("operator_name"), F.col("Code").alias("operator_code"),
         percent_or_null(F.col("`Passenger satisfaction[1]`")).alias("customer_satisfaction"))
     extra = spark.createDataFrame(EXTRA_OPERATORS,
@@ -81,14 +102,15 @@ def operator_info(table_rows: DataFrame, spark: SparkSession | None = None,
     return rows.unionByName(extra)
 
 
-def load_operators(info: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Insert-if-absent on operator name (first row by code, satisfaction)."""
-    good, _ = check_required(info, ["operator_name", "operator_code"])
-    first = first_per_key(good.select("operator_name", "operator_code", "customer_satisfaction"),
-                          ["operator_name"], ["operator_code", "customer_satisfaction"])
+def load_operators(info: DataFrame, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Insert-if-absent on operator name (first row by code, satisfaction);
+    rows to append and rejects."""
+    info = materialize(info.select("operator_name", "operator_code", "customer_satisfaction"), "operator-info")
+    good, rejects = check_required(info, ["operator_name", "operator_code"])
+    first = first_per_key(good, ["operator_name"], ["operator_code", "customer_satisfaction"])
     new = absent_rows(first, existing, ["operator_name"])
     return assign_ids(new, ["operator_name"], "operator_id", max_id(existing, "operator_id")).select(
-        "operator_id", "operator_code", "operator_name", "customer_satisfaction")
+        "operator_id", "operator_code", "operator_name", "customer_satisfaction"), rejects
 
 
 # --- incident star schema (I09-I14) ---------------------------------------------
@@ -108,18 +130,22 @@ INCIDENT_REQUIRED = ["incident_num", "incident_version", "link", "summary", "pri
                      "is_planned", "creation_time", "start_time"]
 
 
+INCIDENT_ORDER = ["creation_time", "incident_num", "start_time", "end_time", "link", "summary",
+                  "incident_priority", "is_planned"]
+
+
 def load_incidents(flat: DataFrame, priority: DataFrame,
                    existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """One incident per version (first by creation time), priority looked
-    up; rows missing a required value are rejected with a reason."""
+    up; rows missing a required value, the version included, are rejected with
+    a reason. ``flat`` is read more than once: hand in a written table."""
     cand = flat.select(
         F.col("incident_number").alias("incident_num"), F.col("version").alias("incident_version"),
         F.col("info_link").alias("link"), "summary", "incident_priority",
-        F.col("planned").alias("is_planned"), "creation_time", "start_time", "end_time")
-    first = first_per_key(cand.where(F.col("incident_version").isNotNull()), ["incident_version"],
-                          ["creation_time", "incident_num", "start_time", "end_time", "link",
-                           "summary", "incident_priority", "is_planned"])
-    j = lookup(first, priority, "incident_priority", "priority_code", "priority_id")
+        F.col("planned").alias("is_planned"), "creation_time", "start_time", "end_time").distinct()
+    named = F.col("incident_version").isNotNull()
+    first = first_per_key(cand.where(named), ["incident_version"], INCIDENT_ORDER)
+    j = lookup(first.unionByName(cand.where(~named)), priority, "incident_priority", "priority_code", "priority_id")
     good, rejects = check_required(j, INCIDENT_REQUIRED)
     new = absent_rows(good, existing, ["incident_version"])
     out = assign_ids(new, ["incident_version"], "incident_id", max_id(existing, "incident_id"))
@@ -208,3 +234,55 @@ def alerts(good_messages: DataFrame) -> DataFrame:
         "version", F.col("affected_operator_ref").alias("operator_code"),
         alert_text(F.col("affected_operator_name"), F.col("summary"), F.col("incident_priority"),
                    F.col("routes_affected"), F.col("start_time"), F.col("end_time")).alias("message"))
+
+
+MESSAGE_ORDER = ["creation_time", "incident_number", "start_time", "end_time", "info_link", "summary",
+                 "incident_priority", "planned"]
+
+
+def stored_alerts(good_messages: DataFrame, stored: DataFrame) -> DataFrame:
+    """The alerts of the versions in ``stored`` (column version), from the
+    message that was stored: the first of its version. One alert per (version,
+    operator), however often and in whatever container a message names it."""
+    mine = materialize(good_messages.drop("corrupt_record").join(stored, "version", "left_semi"), "alert-messages")
+    found = alerts(first_per_key(mine, ["version"], MESSAGE_ORDER))
+    return found.groupBy("version", "operator_code").agg(F.min("message").alias("message"))
+
+
+# --- the whole load (I14) -----------------------------------------------------------
+
+class IncidentTables(NamedTuple):
+    priority: DataFrame
+    incident: DataFrame
+    route_affected: DataFrame
+    incident_route_link: DataFrame
+    incident_operator_link: DataFrame
+
+
+INCIDENT_KEYS = {"priority": ["priority_code"], "incident": ["incident_version"], "route_affected": ["route_name"],
+                 "incident_route_link": ["route_id", "incident_id"],
+                 "incident_operator_link": ["operator_id", "incident_id"]}
+
+
+def load_all_incidents(flat: DataFrame, operator: DataFrame,
+                       existing: Callable[[str], DataFrame | None],
+                       append: Callable[[str, DataFrame], DataFrame],
+                       reject: Callable[[str, DataFrame], None]) -> IncidentTables:
+    """One batch of flat rows into the incident tables, in dependency order.
+
+    ``existing(name)`` gives the stored table or None, ``append(name, rows)``
+    stores new rows and returns the whole table, ``reject(name, rows)`` gets the
+    rows that a load refuses. Batch and stream differ in these alone.
+    """
+    priority = append("priority", load_priorities(flat, existing("priority")))
+    new, refused = load_incidents(flat, priority, existing("incident"))
+    incident = append("incident", new)
+    reject("incident", refused)
+    route = append("route_affected", load_routes(flat, existing("route_affected")))
+    new, refused = link_routes(flat, incident, route, existing("incident_route_link"))
+    route_link = append("incident_route_link", new)
+    reject("incident_route_link", refused)
+    new, refused = link_operators(flat, incident, operator, existing("incident_operator_link"))
+    operator_link = append("incident_operator_link", new)
+    reject("incident_operator_link", refused)
+    return IncidentTables(priority, incident, route, route_link, operator_link)

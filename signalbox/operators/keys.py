@@ -16,16 +16,13 @@ split layout does not matter.
 
 from __future__ import annotations
 
-import os
-import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import materialize, run_root
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
@@ -47,22 +44,15 @@ def assign_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     session's partition count and adaptive execution merges adjacent ranges
     of a small input (merged ranges stay contiguous and sorted).
     """
-    keys = [F.col(k) for k in key_cols]
+    keys = [F.col(k).asc_nulls_first() for k in key_cols]
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/signalbox-ids/{uuid.uuid4().hex}"
-    # Range sampling and the shuffle both read the input; keep it for the two
-    # passes (a recomputed input is fine: the written tags fix the numbering).
-    t0 = time.time()
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (df.repartitionByRange(num_partitions, *[k.asc_nulls_first() for k in keys])
-              if num_partitions else df.repartitionByRange(*[k.asc_nulls_first() for k in keys]))
-    (ranged
-     .sortWithinPartitions(*[k.asc_nulls_first() for k in keys])
+    path = f"{run_root(spark)}/ids-{uuid.uuid4().hex}"
+    # The range bounds come from a sample of the input: a caller with an
+    # expensive input hands in a written one. The written tags fix the numbering.
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    (ranged.sortWithinPartitions(*keys)
      .withColumn("_mid", F.monotonically_increasing_id())
      .write.parquet(path))
-    df.unpersist()
-    if os.environ.get("SIGNALBOX_TRACE"):
-        print(f"  ids {id_col}: tags written {time.time() - t0:.1f}s", flush=True)
     tagged = spark.read.parquet(path)
     ordered = (tagged.withColumn("_part", F.shiftright("_mid", _POS_BITS))
                .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)))
@@ -78,19 +68,41 @@ def assign_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
 
 def first_per_key(df: DataFrame, key_cols: Sequence[str],
                   order_cols: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest by ``order_cols`` (nulls first).
+    """One row per key: the smallest by ``order_cols`` (nulls first), then by
+    the other columns.
 
-    Written as an aggregate (``min_by``) rather than a window, so rows are
-    combined map-side before the shuffle and a hot key costs one row per
-    map task, not a third of the table in one sort.
+    The keys that repeat are counted first (a hash aggregate over the key
+    columns alone) and written; rows of all other keys pass through without a
+    shuffle or a sort, and only the repeated ones go through ``min_by``, which
+    combines them map-side. ``df`` is read twice: hand in a written table.
     """
     payload = [c for c in df.columns if c not in key_cols]
     if not payload:
         return df.select(*key_cols).distinct()
-    order = F.struct(*[F.col(c) for c in order_cols]) if order_cols else F.lit(0)
-    agg = df.groupBy(*key_cols).agg(
+    order = F.struct(*[F.col(c) for c in dict.fromkeys([*order_cols, *payload])])
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key_cols)]
+    repeated = materialize(df.groupBy(*named).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"),
+                           "repeated-keys")
+    same = F.lit(True)
+    for i, k in enumerate(key_cols):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    again = df.join(repeated, same, "left_semi").groupBy(*key_cols).agg(
         F.min_by(F.struct(*[F.col(c) for c in payload]), order).alias("_row"))
-    return agg.select(*key_cols, *[F.col("_row")[c].alias(c) for c in payload]).select(*df.columns)
+    again = again.select(*key_cols, *[F.col("_row")[c].alias(c) for c in payload])
+    return df.join(repeated, same, "left_anti").unionByName(again)
+
+
+def check_unique(target: DataFrame | None, key_cols: Sequence[str], name: str,
+                 prune: tuple[str, DataFrame] | None = None) -> None:
+    """Fail when a stored table repeats a key: appending to it would go on from a
+    broken load. ``prune`` as in ``absent_rows``."""
+    if target is None:
+        return
+    if prune is not None:
+        target = target.join(F.broadcast(prune[1].select(prune[0]).distinct()), prune[0], "left_semi")
+    twice = target.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"{name}: stored rows repeat a key of {', '.join(key_cols)}; load into a fresh folder")
 
 
 def absent_rows(batch: DataFrame, target: DataFrame | None, key_cols: Sequence[str],

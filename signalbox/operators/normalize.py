@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import integers_or_null, three_char_code, upper_code
 from ..functions.timestamps import date_time_to_timestamp
-from .sizing import broadcast_if_small
 
 RAW_DATE_TIME = ["scheduled_arrival_date", "scheduled_arrival_time", "origin_run_date",
                  "origin_run_time"]
@@ -31,7 +30,7 @@ def valid_codes(df: DataFrame, column: str, codes: DataFrame, code_col: str = "C
     not a Python list shipped in the plan.
     """
     ref = codes.select(upper_code(code_col).alias("_code")).where(F.col("_code").isNotNull()).distinct()
-    ref = broadcast_if_small(ref.withColumn("_known", F.lit(True)))
+    ref = ref.withColumn("_known", F.lit(True))
     key = upper_code(column)
     j = df.join(ref, key == ref["_code"], "left")
     return j.withColumn(column, F.when(F.col("_known"), key)).drop("_code", "_known")

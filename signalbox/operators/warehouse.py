@@ -154,6 +154,11 @@ def load_service_details(svc: DataFrame, company: DataFrame, service_type: DataF
     return out.select(*SERVICE_DETAIL_COLUMNS), rejects
 
 
+def _month(wanted: bool) -> list:
+    """The run month of a fact's candidate row, as the stored facts are partitioned."""
+    return [F.trunc("origin_run_datetime", "month").alias("run_month")] if wanted else []
+
+
 def _fact_first(svc: DataFrame, keep, cols: Sequence[str],
                 order_cols: Sequence[str]) -> DataFrame:
     rows = svc.where(keep).select(*dict.fromkeys(["service_uid", "origin_run_datetime",
@@ -163,8 +168,10 @@ def _fact_first(svc: DataFrame, keep, cols: Sequence[str],
 
 def load_delays(svc: DataFrame, service_details: DataFrame,
                 existing: DataFrame | None = None,
-                order_cols: Sequence[str] = SERVICE_ORDER, stage=None) -> tuple[DataFrame, DataFrame]:
-    """Lateness > 0, fact id by (uid, run date), unique on the fact id."""
+                order_cols: Sequence[str] = SERVICE_ORDER, stage=None,
+                with_month: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Lateness > 0, fact id by (uid, run date), unique on the fact id;
+    ``with_month`` adds the storage partition ``run_month``."""
     first = _fact_first(svc, F.col("arrival_lateness") > 0,
                         ["arrival_lateness", "scheduled_arrival_datetime"], order_cols)
     j = lookup(first, service_details, ["service_uid", "origin_run_datetime"],
@@ -176,13 +183,16 @@ def load_delays(svc: DataFrame, service_details: DataFrame,
                      max_id(existing, "delay_details_id"))
     return out.select("delay_details_id", "service_details_id",
                       F.col("arrival_lateness").cast("int").alias("arrival_lateness"),
-                      F.col("scheduled_arrival_datetime").alias("scheduled_arrival")), rejects
+                      F.col("scheduled_arrival_datetime").alias("scheduled_arrival"),
+                      *_month(with_month)), rejects
 
 
 def load_cancellations(svc: DataFrame, service_details: DataFrame, station: DataFrame,
                        cancel_code: DataFrame, existing: DataFrame | None = None,
-                       order_cols: Sequence[str] = SERVICE_ORDER, stage=None) -> tuple[DataFrame, DataFrame]:
-    """Rows with a cancel code; fact id, two stations and the code id."""
+                       order_cols: Sequence[str] = SERVICE_ORDER, stage=None,
+                       with_month: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows with a cancel code; fact id, two stations and the code id;
+    ``with_month`` adds the storage partition ``run_month``."""
     first = _fact_first(svc, F.col("cancel_code").isNotNull(),
                         ["cancellation_station_crs", "destination_reached_crs", "cancel_code"],
                         order_cols)
@@ -197,4 +207,4 @@ def load_cancellations(svc: DataFrame, service_details: DataFrame, station: Data
     out = assign_ids(new, ["service_details_id"], "cancellation_id",
                      max_id(existing, "cancellation_id"))
     return out.select("cancellation_id", "service_details_id", "cancelled_station_id",
-                      "reached_station_id", "cancel_code_id"), rejects
+                      "reached_station_id", "cancel_code_id", *_month(with_month)), rejects

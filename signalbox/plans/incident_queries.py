@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..constants import ALERT_OPERATOR_CODES, EXTRA_OPERATORS
 from ..operators import incidents as I
-from ..session import materialize, shared_dir
+from ..session import materialize, run_root
 from ..sources.documents import incident_messages, operator_pages
 from ..sources.html import extract_html_table, table_columns
 from ..sources.tables import Tables
 from ..sources.xml_docs import parse_incidents
+from ..streaming.incidents import read_outbox
 
 OP_COLUMNS = ["Operator", "Code", "Passenger satisfaction[1]"]
 
@@ -27,37 +31,33 @@ def _flat(spark, sf_dir, stage: bool = False):
     return materialize(flat, "incident-flat") if stage else flat
 
 
-def _parsed_ok(spark, sf_dir):
-    return _details(spark, sf_dir).where(F.col("corrupt_record").isNull())
-
-
 def incident_xml_parse(spark, sf_dir):
     d = parse_incidents(incident_messages(Tables(spark, sf_dir)))
     return d.select(F.col("message_key").alias("message_version"),
                     F.col("msg._corrupt_record").isNotNull().alias("is_malformed"),
-                    F.col("msg.Version").alias("parsed_version"))
+                    F.get(F.col("msg.Version"), 0).alias("parsed_version"))
 
 
 def incident_details(spark, sf_dir):
-    return _parsed_ok(spark, sf_dir).select(*I.FLAT_INCIDENT_COLUMNS[:9])
+    return _details(spark, sf_dir).select(*I.FLAT_INCIDENT_COLUMNS[:9])
 
 
 def incident_operators(spark, sf_dir):
-    d = _parsed_ok(spark, sf_dir)
+    d = _details(spark, sf_dir)
     return d.select("version", F.explode("operators_affected").alias("o")).select(
         "version", "o.affected_operator_ref", "o.affected_operator_name")
 
 
 def iso_wallclock(spark, sf_dir):
-    return _parsed_ok(spark, sf_dir).select("version", "creation_time", "start_time", "end_time")
+    return _details(spark, sf_dir).select("version", "creation_time", "start_time", "end_time")
 
 
 def incident_coerce(spark, sf_dir):
-    return _parsed_ok(spark, sf_dir).select("version", "planned", "incident_priority")
+    return _details(spark, sf_dir).select("version", "planned", "incident_priority")
 
 
 def routes_split(spark, sf_dir):
-    return _parsed_ok(spark, sf_dir).select("version", F.explode("routes_affected").alias("route"))
+    return _details(spark, sf_dir).select("version", F.explode("routes_affected").alias("route"))
 
 
 def incident_quarantine(spark, sf_dir):
@@ -84,16 +84,20 @@ def operator_info(spark, sf_dir):
 
 
 def _operators(spark, sf_dir):
-    return I.load_operators(operator_info(spark, sf_dir))
+    return I.load_operators(operator_info(spark, sf_dir))[0]
 
 
-class _IncidentStar:
-    def __init__(self, spark, sf_dir):
-        self.flat = _flat(spark, sf_dir, stage=True)
-        self.priority = I.load_priorities(self.flat)
-        self.incident, self.rejects = I.load_incidents(self.flat, self.priority)
-        self.route = I.load_routes(self.flat)
-        self.operator = _operators(spark, sf_dir)
+def _load(spark, sf_dir):
+    """I14 into a fresh folder: (tables, operator)."""
+    root = f"{run_root(spark)}/incidents-{uuid.uuid4().hex}"
+    operator = materialize(_operators(spark, sf_dir), "operator")
+
+    def append(name, rows):
+        rows.write.mode("append").parquet(f"{root}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+    tables = I.load_all_incidents(_flat(spark, sf_dir, stage=True), operator, lambda name: None, append,
+                                  lambda name, rows: rows.write.parquet(f"{root}/_rejects/{name}"))
+    return tables, operator
 
 
 def dim_priority(spark, sf_dir):
@@ -115,24 +119,24 @@ def dim_route(spark, sf_dir):
     return I.load_routes(_flat(spark, sf_dir))
 
 
+def _incident_ids(flat):
+    return materialize(I.load_incidents(flat, I.load_priorities(flat))[0].select("incident_id", "incident_version"), "incident")
+
+
 def link_incident_route(spark, sf_dir):
-    s = _IncidentStar(spark, sf_dir)
-    return I.link_routes(s.flat, s.incident, s.route)[0]
+    flat = _flat(spark, sf_dir, stage=True)
+    return I.link_routes(flat, _incident_ids(flat), I.load_routes(flat))[0]
 
 
 def link_incident_operator(spark, sf_dir):
-    s = _IncidentStar(spark, sf_dir)
-    return I.link_operators(s.flat, s.incident, s.operator)[0]
+    flat = _flat(spark, sf_dir, stage=True)
+    return I.link_operators(flat, _incident_ids(flat), _operators(spark, sf_dir))[0]
 
 
 def incident_load_counts(spark, sf_dir):
-    s = _IncidentStar(spark, sf_dir)
-    tables = {"operator": s.operator, "priority": s.priority, "incident": s.incident,
-              "route_affected": s.route,
-              "incident_route_link": I.link_routes(s.flat, s.incident, s.route)[0],
-              "incident_operator_link": I.link_operators(s.flat, s.incident, s.operator)[0]}
+    tables, operator = _load(spark, sf_dir)
     out = None
-    for name, df in tables.items():
+    for name, df in {"operator": operator, **tables._asdict()}.items():
         c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"),
                                                                 "row_count")
         out = c if out is None else out.unionByName(c)
@@ -149,10 +153,9 @@ def alert_text(spark, sf_dir):
 
 def alert_outbox(spark, sf_dir):
     """Alerts written to an outbox partitioned by operator code, read back."""
-    import uuid
-    path = f"{shared_dir(spark)}/signalbox-outbox/{uuid.uuid4().hex}"
+    path = f"{run_root(spark)}/outbox-{uuid.uuid4().hex}"
     I.alerts(_good(spark, sf_dir)).write.partitionBy("operator_code").parquet(path)
-    return spark.read.parquet(path).select("operator_code", "version", "message")
+    return read_outbox(spark, path)
 
 
 QUERIES = {
@@ -185,7 +188,8 @@ _CODE = "chr(CAST(floor({k} / 26) % 26 + 65 AS INTEGER)) || chr(CAST({k} % 26 +
 INCIDENT_CTE = f"""WITH
 ords AS (
   SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_orderpriority,
-         CAST(o_orderkey AS VARCHAR) AS version, strftime(o_orderdate, '%Y-%m-%d') AS day,
+         CAST(o_orderkey AS VARCHAR) AS key,
+         CASE WHEN NOT (o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') THEN key END AS given, strftime(o_orderdate, '%Y-%m-%d') AS day,
          (o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED') AS malformed,
          (o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM') AS no_routes,
          (o_orderstatus = 'P' AND o_orderpriority = '2-HIGH') AS no_priority,
@@ -193,13 +197,13 @@ ords AS (
   FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
 ),
 det AS (
-  SELECT o_orderkey, version, malformed, no_routes,
+  SELECT o_orderkey, key, given AS version, malformed, no_routes,
          CAST(day || ' 08:30:00' AS TIMESTAMP) AS creation_time,
          'INC' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS incident_number,
          (o_orderstatus = 'O') AS planned,
          CAST(day || ' 09:00:00' AS TIMESTAMP) AS start_time,
          CASE WHEN NOT no_end THEN CAST(day || ' 23:59:00' AS TIMESTAMP) END AS end_time,
-         'https://incidents.example/' || version AS info_link,
+         'https://incidents.example/' || key AS info_link,
          'Disruption <' || o_orderpriority || '> & delays' AS summary,
          CASE WHEN NOT no_priority THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS incident_priority
   FROM ords
@@ -226,6 +230,8 @@ inc_first AS (
       incident_number NULLS FIRST, start_time NULLS FIRST, end_time NULLS FIRST, info_link NULLS FIRST,
       summary NULLS FIRST, incident_priority NULLS FIRST, planned NULLS FIRST) AS rn_
     FROM flat WHERE version IS NOT NULL) WHERE rn_ = 1
+  UNION ALL BY NAME SELECT DISTINCT creation_time, incident_number, version, planned, start_time, end_time, info_link,
+    summary, incident_priority FROM flat WHERE version IS NULL
 ),
 inc_cand AS (
   SELECT f.incident_number AS incident_num, f.version AS incident_version, f.info_link AS link,
@@ -257,11 +263,9 @@ oprows AS (
 opinfo AS (
   SELECT "Operator" AS operator_name, "Code" AS operator_code,
          TRY_CAST(regexp_replace("Passenger satisfaction[1]", '^%+|%+$', '', 'g') AS DOUBLE) AS customer_satisfaction
-  FROM oprows WHERE row_pos NOT IN (9, 21)
+  FROM oprows
   UNION ALL
-  SELECT * FROM (VALUES ('Gatwick Express', 'GX', 80.0::DOUBLE), ('Great Northern', 'GN', 80.0::DOUBLE),
-                        ('Southern', 'SN', 80.0::DOUBLE), ('Thameslink', 'TL', 80.0::DOUBLE),
-                        ('South Western Railway', 'SW', 75.0::DOUBLE), ('Island Line', 'IL', 75.0::DOUBLE))
+  SELECT * FROM (VALUES {", ".join(f"('{n}', '{c}', {p}::DOUBLE)" for n, c, p in EXTRA_OPERATORS)})
     v(operator_name, operator_code, customer_satisfaction)
 ),
 op_first AS (
@@ -289,9 +293,7 @@ operator_link AS (
         LEFT JOIN incident i ON f.version = i.incident_version
         WHERE o.operator_id IS NOT NULL AND i.incident_id IS NOT NULL)
 ),
-allow AS (SELECT unnest(['LO', 'VT', 'CC', 'CS', 'CH', 'XC', 'EM', 'XR', 'ES', 'GC', 'LE', 'GW', 'HX', 'HT',
-                         'GR', 'LD', 'ME', 'NT', 'SR', 'SE', 'TP', 'AW', 'LM', 'GX', 'GN', 'SN', 'TL',
-                         'SW', 'IL']) AS code),
+allow AS (SELECT unnest({ALERT_OPERATOR_CODES}) AS code),
 route_text AS (
   SELECT g.o_orderkey, string_agg(chr(10) || '• ' || r.p_name, '' ORDER BY r.p_name) AS bullets
   FROM good g JOIN rts r ON r.l_orderkey = g.o_orderkey GROUP BY g.o_orderkey
@@ -310,19 +312,24 @@ alerts AS (
   WHERE o.affected_operator_ref IN (SELECT code FROM allow)
 )"""
 
+def _parsed(*columns: str) -> str:
+    """A message that is not valid XML has no fields."""
+    return ", ".join(f"CASE WHEN NOT malformed THEN {c} END AS {c}" for c in columns)
+
+
 ORACLE = {
-    "incident_xml_parse": """SELECT version AS message_version, malformed AS is_malformed,
-        CASE WHEN malformed THEN NULL ELSE version END AS parsed_version FROM ords""",
-    "incident_details": """SELECT creation_time, incident_number, version, planned, start_time, end_time,
-        info_link, summary, incident_priority FROM det WHERE NOT malformed""",
+    "incident_xml_parse": """SELECT key AS message_version, malformed AS is_malformed,
+        CASE WHEN NOT malformed THEN given END AS parsed_version FROM ords""",
+    "incident_details": f"""SELECT {_parsed("creation_time", "incident_number", "version", "planned", "start_time", "end_time",
+                                         "info_link", "summary", "incident_priority")} FROM det""",
     "incident_operators": """SELECT d.version, o.affected_operator_ref, o.affected_operator_name
         FROM det d JOIN ops o ON o.l_orderkey = d.o_orderkey WHERE NOT d.malformed""",
-    "iso_wallclock": "SELECT version, creation_time, start_time, end_time FROM det WHERE NOT malformed",
-    "incident_coerce": "SELECT version, planned, incident_priority FROM det WHERE NOT malformed",
+    "iso_wallclock": f"SELECT {_parsed('version', 'creation_time', 'start_time', 'end_time')} FROM det",
+    "incident_coerce": f"SELECT {_parsed('version', 'planned', 'incident_priority')} FROM det",
     "routes_split": """SELECT d.version, r.p_name AS route FROM det d JOIN rts r ON r.l_orderkey = d.o_orderkey
         WHERE NOT d.malformed AND NOT d.no_routes""",
     "incident_flatten": "SELECT * FROM flat",
-    "incident_quarantine": """SELECT version AS message_key, CASE WHEN malformed THEN 'malformed' ELSE 'no routes' END AS reason
+    "incident_quarantine": """SELECT key AS message_key, CASE WHEN malformed THEN 'malformed' ELSE 'no routes' END AS reason
         FROM det WHERE malformed OR no_routes""",
     "html_table_extract": 'SELECT page_id, row_pos, "Operator", "Code", "Passenger satisfaction[1]" FROM oprows',
     "cancel_code_list": 'SELECT DISTINCT "Code" FROM oprows',

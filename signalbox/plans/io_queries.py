@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import STATIONS
 from ..operators import analytics as A
 from ..schemas import FLAT_SERVICE
-from ..session import shared_dir
+from ..session import materialize, run_root
 from ..sinks.files import write_csv
 from ..sources.binding import FLAT_COLUMNS, TIE_BREAK, service_rows
 from ..sources.json_docs import read_service_csv
@@ -30,7 +30,7 @@ SVC_COLUMNS = FLAT_COLUMNS + TIE_BREAK + ["l_linenumber"]
 
 
 def _scratch(spark, name: str) -> str:
-    return f"{shared_dir(spark)}/signalbox-io/{name}-{uuid.uuid4().hex}"
+    return f"{run_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def csv_roundtrip(spark, sf_dir):
@@ -53,23 +53,29 @@ def service_csv_scan(spark, sf_dir):
 
 
 def schema_switch(spark, sf_dir):
-    """Tables saved into the ``service_data`` and ``incident_data``
-    namespaces; after switching the current database an unqualified name
-    resolves in the selected one."""
+    """One table name in the ``service_data`` and ``incident_data``
+    namespaces (stations; operators as stations of their code); an unqualified
+    name resolves in the current database. The two are dropped in the end."""
     tag = uuid.uuid4().hex[:8]
     base = _scratch(spark, "catalog")
     prev = spark.catalog.currentDatabase()
-    star = star_schema_from_tables(Tables(spark, sf_dir))
-    for db in ("service_data", "incident_data"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}_{tag} LOCATION '{base}/{db}'")
-    star.station.write.saveAsTable(f"service_data_{tag}.station")
-    spark.createDataFrame([], "station_id long, crs string, station_name string") \
-        .write.saveAsTable(f"incident_data_{tag}.station")
-    spark.catalog.setCurrentDatabase(f"service_data_{tag}")
+    t = Tables(spark, sf_dir)
+    content = {"service_data": star_schema_from_tables(t).station,
+               "incident_data": t.supplier.select(F.col("s_suppkey").alias("station_id"), F.lit(None).cast("string").alias("crs"),
+                                                  F.col("s_name").alias("station_name"))}
+    out = []
     try:
-        return spark.table("station")
+        for db, rows in content.items():
+            spark.sql(f"CREATE DATABASE {db}_{tag} LOCATION '{base}/{db}'")
+            rows.write.saveAsTable(f"{db}_{tag}.station")
+        for db in content:
+            spark.catalog.setCurrentDatabase(f"{db}_{tag}")
+            out.append(materialize(spark.table("station").withColumn("database_name", F.lit(db)), f"switch-{db}"))
     finally:
         spark.catalog.setCurrentDatabase(prev)
+        for db in content:
+            spark.sql(f"DROP DATABASE IF EXISTS {db}_{tag} CASCADE")
+    return out[0].unionByName(out[1])
 
 
 SCOPE_STATIONS = [f"C{i}" for i in range(1, len(STATIONS) + 1)]
@@ -144,7 +150,8 @@ _SVC_COLS = ", ".join(SVC_COLUMNS)
 ORACLE = {
     "csv_roundtrip": O.services(f"SELECT {_SVC_COLS} FROM svc"),
     "service_csv_scan": JQ.DOCS_CTE + "\nSELECT * FROM flat",
-    "schema_switch": O.services("SELECT * FROM station"),
+    "schema_switch": O.services("""SELECT *, 'service_data' AS database_name FROM station
+UNION ALL SELECT s_suppkey, NULL, s_name, 'incident_data' FROM supplier"""),
     "station_scope": JQ.DOCS_CTE + f"""
 SELECT station_crs, uid AS service_uid, run_date, origin_desc AS origin_name, last_desc AS destination_name
 FROM journeys WHERE station_crs IN ({O._in_list(SCOPE_STATIONS)})""",

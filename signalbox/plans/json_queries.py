@@ -27,9 +27,11 @@ def _journeys(spark, sf_dir, orders=None):
 
 
 def _flat(spark, sf_dir):
-    """Both document sets render from one staged per-order table."""
+    """Both document sets render from one staged per-order table; the service
+    documents are read twice (repeats are found first) and so are written."""
     orders = materialize(order_services(Tables(spark, sf_dir)), "order-services")
-    return X.relevant_fields(_journeys(spark, sf_dir, orders), _good_services(spark, sf_dir, orders))
+    services = materialize(_good_services(spark, sf_dir, orders), "services")
+    return X.relevant_fields(_journeys(spark, sf_dir, orders), services)
 
 
 def services_json(spark, sf_dir):
@@ -41,8 +43,13 @@ def services_json(spark, sf_dir):
 
 
 def fetch_errors_split(spark, sf_dir):
-    _, errors = J.split_fetch_errors(_services(spark, sf_dir), "Service")
-    return errors
+    """Errors of both kinds of documents, fetched for a service or a station."""
+    orders = order_services(Tables(spark, sf_dir))
+    searches = J.parse_json(station_search_documents(Tables(spark, sf_dir), orders), STATION_SEARCH)
+    sides = {"Service": _services(spark, sf_dir, orders), "Station": searches}
+    out = [J.split_fetch_errors(docs, key)[1].select(F.lit(key).alias("fetched"), "error", F.col(key).alias("fetch_key"))
+           for key, docs in sides.items()]
+    return out[0].unionByName(out[1])
 
 
 def journeys_explode(spark, sf_dir):
@@ -54,8 +61,7 @@ def journeys_explode(spark, sf_dir):
 
 
 def _facts(spark, sf_dir):
-    good = _good_services(spark, sf_dir).where(F.size("doc.locations") > 0)
-    return X.service_facts(good)
+    return X.service_facts(_good_services(spark, sf_dir))
 
 
 def array_endpoints(spark, sf_dir):
@@ -150,6 +156,10 @@ facts AS (
   LEFT JOIN loc t ON t.l_orderkey = s.o_orderkey AND t.pos = e.term_pos
   LEFT JOIN loc c ON c.l_orderkey = s.o_orderkey AND c.pos = e.cancel_pos
 ),
+captured AS (  -- each good capture of a service; the second of two has another company
+  SELECT *, atoc_name AS company FROM facts WHERE NOT fetch_error
+  UNION ALL SELECT *, '~' || atoc_name FROM facts WHERE NOT fetch_error AND o_orderkey % 11 = 3
+),
 journeys AS (
   SELECT l.crs AS station_crs, f.* FROM loc l JOIN facts f ON f.o_orderkey = l.l_orderkey
 ),
@@ -170,26 +180,34 @@ flat AS (
   FROM journeys WHERE NOT fetch_error AND NOT no_locations
 )"""
 
-_WITH_LOCS = "FROM facts WHERE NOT fetch_error AND NOT no_locations"
+
+def _with_calls(expr: str) -> str:
+    """Null where the document has no calling points."""
+    return f"CASE WHEN NOT no_locations THEN {expr} END"
+
+
+def _cancelled(expr: str) -> str:
+    return _with_calls(f"CASE WHEN c_crs IS NOT NULL AND c_desc IS NOT NULL AND c_code IS NOT NULL THEN {expr} END")
+
 
 ORACLE = {
-    "services_json": """SELECT uid AS service_uid, run_date, service_type, atoc_name AS company_name,
-        CASE WHEN no_locations THEN NULL ELSE n END AS n_locations FROM facts WHERE NOT fetch_error""",
-    "fetch_errors_split": """SELECT 'Timeout: The request could not be completed.' AS error, uid AS Service
-        FROM facts WHERE fetch_error""",
+    "services_json": """SELECT uid AS service_uid, run_date, service_type, company AS company_name,
+        CASE WHEN no_locations THEN NULL ELSE n END AS n_locations FROM captured""",
+    "fetch_errors_split": """SELECT 'Service' AS fetched, 'Timeout: The request could not be completed.' AS error,
+        uid AS fetch_key FROM facts, unnest(range(CASE WHEN o_orderkey % 11 = 3 THEN 2 ELSE 1 END)) WHERE fetch_error
+      UNION ALL SELECT 'Service', 'malformed document', NULL FROM facts WHERE o_orderkey % 11 <> 3 AND o_orderkey % 13 = 5
+      UNION ALL SELECT 'Station', 'Timeout: The request could not be completed.', station_crs FROM journeys WHERE o_orderkey % 17 = 2
+      UNION ALL SELECT 'Station', 'malformed document', NULL FROM journeys WHERE o_orderkey % 17 = 6""",
     "journeys_explode": """SELECT station_crs, uid AS service_uid, run_date, origin_desc AS origin_name,
         last_desc AS destination_name FROM journeys""",
-    "array_endpoints": f"""SELECT uid AS service_uid, origin_crs, last_crs AS planned_final_crs,
-        last_desc AS planned_final_destination {_WITH_LOCS}""",
-    "terminal_location": f"""SELECT uid AS service_uid, term_crs AS terminal_crs,
-        term_display AS terminal_display {_WITH_LOCS}""",
+    "array_endpoints": f"""SELECT uid AS service_uid, {_with_calls("origin_crs")} AS origin_crs,
+        {_with_calls("last_crs")} AS planned_final_crs, {_with_calls("last_desc")} AS planned_final_destination FROM captured""",
+    "terminal_location": f"""SELECT uid AS service_uid, {_with_calls("term_crs")} AS terminal_crs,
+        {_with_calls("term_display")} AS terminal_display FROM captured""",
     "lateness_default": f"""SELECT uid AS service_uid,
-        CASE WHEN term_pos IS NOT NULL THEN coalesce(term_lateness, 0) END AS arrival_lateness {_WITH_LOCS}""",
-    "cancelled_call": f"""SELECT uid AS service_uid,
-        CASE WHEN c_crs IS NOT NULL AND c_desc IS NOT NULL AND c_code IS NOT NULL THEN c_crs END AS cancellation_station_crs,
-        CASE WHEN c_crs IS NOT NULL AND c_desc IS NOT NULL AND c_code IS NOT NULL THEN c_desc END AS cancellation_station_name,
-        CASE WHEN c_crs IS NOT NULL AND c_desc IS NOT NULL AND c_code IS NOT NULL THEN c_code END AS cancel_code
-        {_WITH_LOCS}""",
+        {_with_calls("CASE WHEN term_pos IS NOT NULL THEN coalesce(term_lateness, 0) END")} AS arrival_lateness FROM captured""",
+    "cancelled_call": f"""SELECT uid AS service_uid, {_cancelled("c_crs")} AS cancellation_station_crs,
+        {_cancelled("c_desc")} AS cancellation_station_name, {_cancelled("c_code")} AS cancel_code FROM captured""",
     "destination_reached": """SELECT DISTINCT service_uid, destination_reached_crs, destination_reached_name FROM flat""",
     "service_flatten": "SELECT * FROM flat",
     "extract_quarantine": """SELECT uid AS service_uid, run_date, station_crs,

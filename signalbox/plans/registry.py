@@ -22,6 +22,8 @@ from ..operators import normalize as N
 from ..sources.binding import (raw_service_rows, service_rows, valid_code_list,
                                valid_code_rows)
 from ..session import materialize
+from ..sources.documents import code_pages
+from ..sources.html import extract_html_table, table_columns
 from ..sources.tables import Tables
 from . import incident_queries, io_queries, json_queries, oracle, stream_queries
 from .services import TABLES, star_schema, star_schema_from_tables
@@ -51,7 +53,7 @@ def _insert_if_absent(spark, sf_dir):
     """Load the services before a cut-off, then the whole batch on top: the
     result is the stored rows plus only the new keys, numbered after them."""
     t = Tables(spark, sf_dir)
-    svc = service_rows(t)
+    svc = materialize(service_rows(t), "insert-batch")  # read by every load below
     company = W.load_companies(svc)
     station, _ = W.load_stations(svc)
     stype = W.service_type_seed(spark)
@@ -86,13 +88,19 @@ KEYS = ["service_uid", "l_partkey", "l_suppkey"]
 
 
 def _raw(spark, sf_dir):
-    """The extract's raw rows, stored once (as the extract step leaves them)."""
-    return materialize(raw_service_rows(Tables(spark, sf_dir)), "raw-services")
+    """The extract's raw rows (as the extract step leaves them)."""
+    return raw_service_rows(Tables(spark, sf_dir))
+
+
+def _published_codes(t: Tables):
+    """The valid codes, read from the pages that list them (a small, written table)."""
+    found = table_columns(extract_html_table(code_pages(valid_code_list(t)), "wikitable"), ["Code"])
+    return materialize(found.select("Code").where(F.col("Code").isNotNull()).distinct(), "valid-codes")
 
 
 def _transformed(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return N.transform_services(_raw(spark, sf_dir), valid_code_list(t))
+    return N.transform_services(_raw(spark, sf_dir), _published_codes(t))
 
 
 def _make_timestamp(spark, sf_dir):
@@ -127,7 +135,7 @@ def _crs_drop(spark, sf_dir):
 def _valid_cancel_code(spark, sf_dir):
     t = Tables(spark, sf_dir)
     r = _raw(spark, sf_dir).select(*KEYS, F.col("cancel_code").alias("code_text"), "cancel_code")
-    return N.valid_codes(r, "cancel_code", valid_code_list(t))
+    return N.valid_codes(r, "cancel_code", _published_codes(t))
 
 
 TRANSFORMED = ["service_uid", "company_name", "service_type", "origin_crs", "origin_stn_name",
@@ -144,7 +152,7 @@ def _service_transform(spark, sf_dir):
 def _load_rejects(spark, sf_dir):
     """Cancellations of the cleaned batch that fail a required lookup."""
     t = Tables(spark, sf_dir)
-    svc = N.transform_services(_raw(spark, sf_dir), valid_code_list(t))
+    svc = N.transform_services(_raw(spark, sf_dir), _published_codes(t))
     star = star_schema(spark, svc, valid_code_rows(t))
     _, rejects = W.load_cancellations(svc, star.service_details, star.station, star.cancel_code)
     return rejects.select("service_uid", "origin_run_datetime", "reject_reason")
@@ -155,7 +163,6 @@ def queries() -> dict[str, Query]:
         "dim_cancel_code": _star("cancel_code"),
         "dim_company": _star("company"),
         "dim_station": _star("station"),
-        "seed_service_type": _star("service_type"),
         "fact_service_details": _star("service_details"),
         "fact_delay_details": _star("delay_details"),
         "fact_cancellation": _star("cancellation"),

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import time
 from dataclasses import dataclass, fields
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import warehouse as W
+from ..operators.keys import check_unique
 from ..sources.binding import cancel_code_rows, service_rows
-from ..session import materialize
+from ..session import materialize, path_exists
 from ..sources.tables import Tables
 
 TABLES = ("cancel_code", "company", "station", "service_type", "service_details",
@@ -94,6 +92,12 @@ def star_schema_from_tables(t: Tables) -> LazyStarSchema:
     return star_schema(t.spark, service_rows(t), cancel_code_rows(t))
 
 
+#: Natural key of each stored table.
+KEYS = {"cancel_code": ["code"], "company": ["company_name"], "station": ["crs"],
+        "service_type": ["service_type_name"], "service_details": ["service_uid", "run_date"],
+        "delay_details": ["service_details_id"], "cancellation": ["service_details_id"]}
+
+
 def open_star_schema(spark: SparkSession, root: str) -> ServiceTables:
     return ServiceTables(**{name: spark.read.parquet(f"{root}/{name}") for name in TABLES})
 
@@ -103,16 +107,18 @@ def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
     """Load one batch into the tables under ``root`` in dependency order.
 
     Dimensions are written first and read back, so the fact loads see stored
-    (statistics-carrying) dimensions. Facts are partitioned by run month (``run_month``) so the
-    day view prunes to one month in every fact scan. The batch is persisted once
-    and released at the end. Re-running with the same batch appends nothing.
-    Returns rows appended per table.
+    (statistics-carrying) dimensions. Facts are partitioned by run month
+    (``run_month``) so the day view prunes to one month in every fact scan. The
+    batch is written once to the shared folder. Re-running with the same batch
+    appends nothing; a target that repeats a key is refused. Returns rows
+    appended per table.
     """
-    from ..session import path_exists
-
     def existing(name):
         p = f"{root}/{name}"
-        return spark.read.parquet(p) if path_exists(spark, p) else None
+        found = spark.read.parquet(p) if path_exists(spark, p) else None
+        prune = ("run_month", months) if name in FACTS and found is not None else None
+        check_unique(found, KEYS[name], name, prune)
+        return found
 
     def append(name, df, partitioned):
         if partitioned:
@@ -124,43 +130,42 @@ def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
         if partitioned:
             w = w.partitionBy("run_month")
         w.parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
+        # an empty partitioned table has no file to take the schema from
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
     counts: dict[str, int] = {}
-    svc = svc.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        def step(name, new, partitioned=False, rejects=None):
-            # Appended rows = stored rows after - before; parquet answers
-            # count() from file footers, so no extra pass over the new rows.
-            t0 = time.time()
-            prev = existing(name)
-            before = prev.count() if prev is not None else 0
-            out = append(name, new, partitioned)
-            counts[name] = out.count() - before
-            if rejects is not None and rejects_root:
-                rejects.write.mode("append").parquet(f"{rejects_root}/{name}")
-            if os.environ.get("SIGNALBOX_TRACE"):
-                print(f"load {name}: {counts[name]} rows {time.time() - t0:.1f}s", flush=True)
-            return out
-
-        cancel_code = step("cancel_code", W.load_cancel_codes(codes, existing("cancel_code")))
-        company = step("company", W.load_companies(svc, existing("company")))
-        st_new, st_rej = W.load_stations(svc, existing("station"))
-        station = step("station", st_new, rejects=st_rej)
-        service_type = step("service_type", W.absent_rows(
-            W.service_type_seed(spark), existing("service_type"), ["service_type_name"]))
-        stage = lambda df: materialize(df, "load-candidates")
-        sd_new, sd_rej = W.load_service_details(svc, company, service_type, station,
-                                                existing("service_details"), stage=stage)
-        sd = step("service_details", sd_new.withColumn("run_month", run_month(F.col("run_date"))),
-                  True, sd_rej)
-        sd_keys = sd.select("service_details_id", "service_uid", "run_date", "run_month")
-        day_of = sd.select("service_details_id", "run_month")
-        dd_new, dd_rej = W.load_delays(svc, sd_keys, existing("delay_details"), stage=stage)
-        step("delay_details", dd_new.join(day_of, "service_details_id"), True, dd_rej)
-        cn_new, cn_rej = W.load_cancellations(svc, sd_keys, station, cancel_code,
-                                              existing("cancellation"), stage=stage)
-        step("cancellation", cn_new.join(day_of, "service_details_id"), True, cn_rej)
-    finally:
-        svc.unpersist()
+    svc = materialize(svc, "load-batch")
+    months = materialize(svc.select(run_month(F.col("origin_run_datetime")).alias("run_month")).distinct(), "load-months")
+
+    def step(name, prev, new, rejects=None):
+        # Appended rows = stored rows after - before; parquet answers
+        # count() from file footers, so no extra pass over the new rows.
+        before = prev.count() if prev is not None else 0
+        out = append(name, new, name in FACTS)
+        counts[name] = out.count() - before
+        if rejects is not None and rejects_root:
+            rejects.write.mode("append").parquet(f"{rejects_root}/{name}")
+        return out
+
+    prev = existing("cancel_code")
+    cancel_code = step("cancel_code", prev, W.load_cancel_codes(codes, prev))
+    prev = existing("company")
+    company = step("company", prev, W.load_companies(svc, prev))
+    prev = existing("station")
+    new, rejects = W.load_stations(svc, prev)
+    station = step("station", prev, new, rejects)
+    prev = existing("service_type")
+    service_type = step("service_type", prev, W.absent_rows(
+        W.service_type_seed(spark), prev, ["service_type_name"]))
+    stage = lambda df: materialize(df, "load-candidates")
+    prev = existing("service_details")
+    new, rejects = W.load_service_details(svc, company, service_type, station, prev, stage=stage)
+    sd = step("service_details", prev, new.withColumn("run_month", run_month(F.col("run_date"))), rejects)
+    keys = sd.select("service_details_id", "service_uid", "run_date", "run_month")
+    prev = existing("delay_details")
+    new, rejects = W.load_delays(svc, keys, prev, stage=stage, with_month=True)
+    step("delay_details", prev, new, rejects)
+    prev = existing("cancellation")
+    new, rejects = W.load_cancellations(svc, keys, station, cancel_code, prev, stage=stage, with_month=True)
+    step("cancellation", prev, new, rejects)
     return counts

@@ -2,48 +2,52 @@
 
 Dashboard and report queries read the loaded warehouse, as they read the
 database in production. The first request for a data folder runs the load
-(W10) into ``<spark.checkpoint.dir>/signalbox-store/<digest>/``; later
-requests read the written tables. A finished load leaves a ``_loaded``
-marker table, so a half-written store is rebuilt in a fresh folder.
+(W10) into a fresh folder and then moves that to
+``<run folder>/store-<digest>``; later requests read the written tables. The
+digest covers every input file, so changed inputs are loaded anew, and an
+attempt that broke off is never read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import uuid
 
 from pyspark.sql import SparkSession
 
-from ..session import path_exists, shared_dir
+from ..session import _file_system, path_exists, remove, rename, run_root
 from ..sources.binding import cancel_code_rows, service_rows
 from ..sources.tables import Tables
 from .services import ServiceTables, load_all, open_star_schema
 
-_OPENED: dict[tuple[str, str], ServiceTables] = {}
+#: Tables that the load reads.
+INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
+_OPENED: dict[str, ServiceTables] = {}
 
-def _digest(sf_dir: str) -> str:
-    base = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir
-    stamp = ""
-    try:
-        stamp = str(int(os.path.getmtime(os.path.join(base, "lineitem.parquet"))))
-    except OSError:
-        pass
-    return hashlib.sha1(f"{base}|{stamp}".encode()).hexdigest()[:16]
+
+def _digest(spark: SparkSession, sf_dir: str) -> str:
+    """Names the input files, their sizes and times, as their file system has them."""
+    stamps = [sf_dir]
+    for table in INPUTS:
+        path, fs = _file_system(spark, f"{sf_dir}/{table}.parquet")
+        files = [fs.getFileStatus(path)]
+        if files[0].isDirectory():
+            files = sorted(fs.listStatus(path), key=lambda f: f.getPath().getName())
+        stamps += [f"{f.getPath().getName()}|{f.getLen()}|{f.getModificationTime()}" for f in files]
+    return hashlib.sha1("\n".join(stamps).encode()).hexdigest()[:16]
 
 
 def services_store(spark: SparkSession, sf_dir: str) -> ServiceTables:
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir)
-    tables = _OPENED.get(key)
+    root = f"{run_root(spark)}/store-{_digest(spark, sf_dir)}"
+    tables = _OPENED.get(root)
     if tables is None:
-        root = f"{shared_dir(spark)}/signalbox-store/{_digest(sf_dir)}/services-{app}"
-        if not path_exists(spark, f"{root}/_loaded"):
+        if not path_exists(spark, root):
             t = Tables(spark, sf_dir)
-            counts = load_all(spark, service_rows(t), cancel_code_rows(t), root,
-                              rejects_root=f"{root}/_rejects")
-            spark.createDataFrame(sorted(counts.items()), "table_name string, row_count long") \
-                .coalesce(1).write.mode("overwrite").parquet(f"{root}/_loaded")
+            attempt = f"{run_root(spark)}/attempt-{uuid.uuid4().hex}"
+            load_all(spark, service_rows(t), cancel_code_rows(t), attempt, rejects_root=f"{attempt}/_rejects")
+            if not rename(spark, attempt, root):
+                remove(spark, attempt)  # another load of the same inputs came first
         # Opened once per session: partition discovery and footers are read once.
-        tables = _OPENED[key] = open_star_schema(spark, root)
+        tables = _OPENED[root] = open_star_schema(spark, root)
     return tables

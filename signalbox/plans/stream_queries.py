@@ -8,20 +8,18 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import run_root
 from ..sources.documents import incident_messages
 from ..sources.tables import Tables
 from ..sources.xml_docs import parse_incidents
-from ..streaming.incidents import incident_stream, run_incident_stream
+from ..streaming.incidents import incident_stream, read_outbox, run_incident_stream
 from . import incident_queries as IQ
 
-FILES_PER_DELIVERY = 4
-FILES_PER_TRIGGER = 2
 RESTART_CUTOFF = "1998-01-01"
 
 
 def _base(spark) -> str:
-    return f"{shared_dir(spark)}/signalbox-stream/{uuid.uuid4().hex}"
+    return f"{run_root(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def _deliver(spark, sf_dir, landing: str, where=None) -> None:
@@ -29,7 +27,7 @@ def _deliver(spark, sf_dir, landing: str, where=None) -> None:
     msgs = incident_messages(Tables(spark, sf_dir))
     if where is not None:
         msgs = msgs.where(where)
-    msgs.select("value").repartition(FILES_PER_DELIVERY).write.mode("append").text(landing)
+    msgs.select("value").hint("rebalance").write.mode("append").text(landing)
 
 
 def _operators(spark, sf_dir, base: str) -> str:
@@ -45,13 +43,13 @@ def _run(spark, sf_dir, deliveries=1, restart=False) -> str:
     day = F.to_date(F.regexp_extract("value", r"<ns3:CreationTime>(\d{4}-\d{2}-\d{2})", 1))
     if restart:
         _deliver(spark, sf_dir, landing, day < F.lit(RESTART_CUTOFF))
-        run_incident_stream(spark, landing, root, ops, ck, max_files_per_trigger=FILES_PER_TRIGGER)
+        run_incident_stream(spark, landing, root, ops, ck)
         _deliver(spark, sf_dir, landing, ~(day < F.lit(RESTART_CUTOFF)))
-        run_incident_stream(spark, landing, root, ops, ck, max_files_per_trigger=FILES_PER_TRIGGER)
+        run_incident_stream(spark, landing, root, ops, ck)
         return root
     for _ in range(deliveries):
         _deliver(spark, sf_dir, landing)
-    run_incident_stream(spark, landing, root, ops, ck, max_files_per_trigger=FILES_PER_TRIGGER)
+    run_incident_stream(spark, landing, root, ops, ck)
     return root
 
 
@@ -63,10 +61,9 @@ def stream_ingest(spark, sf_dir):
     """Every landed message read once by the stream."""
     base = _base(spark)
     _deliver(spark, sf_dir, f"{base}/landing")
-    parsed = parse_incidents(incident_stream(spark, f"{base}/landing",
-                                             max_files_per_trigger=FILES_PER_TRIGGER))
+    parsed = parse_incidents(incident_stream(spark, f"{base}/landing"))
     out = parsed.select(F.col("msg._corrupt_record").isNotNull().alias("is_malformed"),
-                        F.col("msg.Version").alias("parsed_version"))
+                        F.get(F.col("msg.Version"), 0).alias("parsed_version"))
     (out.writeStream.format("parquet").option("path", f"{base}/out")
      .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
      .start().awaitTermination())
@@ -79,7 +76,7 @@ def stream_incidents(spark, sf_dir):
 
 
 def stream_dedupe(spark, sf_dir):
-    """Every message delivered twice; each version is stored once."""
+    """Every message delivered twice, both in one micro-batch; each version is stored once."""
     return spark.read.parquet(f"{_run(spark, sf_dir, deliveries=2)}/incident").select(*INCIDENT_NO_IDS)
 
 
@@ -100,7 +97,7 @@ def stream_alerts(spark, sf_dir):
     per (stored version, allow-listed operator). A message whose incident is
     rejected (no priority) is not alerted, as its processing stops there."""
     root = _run(spark, sf_dir, deliveries=2)
-    return spark.read.parquet(f"{root}/outbox").select("operator_code", "version", "message")
+    return read_outbox(spark, f"{root}/outbox")
 
 
 QUERIES = {
@@ -114,8 +111,7 @@ QUERIES = {
 
 _NO_IDS = ", ".join(INCIDENT_NO_IDS)
 ORACLE = {
-    "stream_ingest": """SELECT malformed AS is_malformed, CASE WHEN malformed THEN NULL ELSE version END
-        AS parsed_version FROM ords""",
+    "stream_ingest": "SELECT malformed AS is_malformed, CASE WHEN NOT malformed THEN given END AS parsed_version FROM ords",
     "stream_incidents": f"SELECT {_NO_IDS} FROM incident",
     "stream_dedupe": f"SELECT {_NO_IDS} FROM incident",
     "stream_quarantine": """SELECT CASE WHEN malformed THEN 'malformed' ELSE 'no routes' END AS reason,

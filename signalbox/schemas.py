@@ -8,6 +8,9 @@ def _s(*names: str) -> list[StructField]:
     return [StructField(n, StringType()) for n in names]
 
 
+# Takes the text of a document that is not valid JSON.
+CORRUPT = "_corrupt_record"
+
 TIME_PAIR = StructType(_s("tiploc", "description", "workingTime", "publicTime"))
 
 JOURNEY = StructType([
@@ -34,7 +37,7 @@ JOURNEY = StructType([
 STATION_SEARCH = StructType([
     StructField("location", StructType(_s("name", "crs", "tiploc"))),
     StructField("services", ArrayType(JOURNEY)),
-    *_s("error", "Station"),
+    *_s("error", "Station", CORRUPT),
 ])
 
 LOCATION = StructType([
@@ -60,7 +63,7 @@ SERVICE = StructType([
     StructField("origin", ArrayType(TIME_PAIR)),
     StructField("destination", ArrayType(TIME_PAIR)),
     StructField("locations", ArrayType(LOCATION)),
-    *_s("error", "Service"),
+    *_s("error", "Service", CORRUPT),
 ])
 
 # Flat row of the extract (17 text fields; lateness as int).

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -15,10 +18,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Stored facts have one folder per run month (about 12 a year): list them
-    # on the driver instead of launching a listing job on every re-read. Lower
-    # it for stores with many thousands of partition folders.
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1024",
+    # Longer generated methods are not compiled by the JIT and run many times
+    # slower than the same plan without whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -42,14 +44,16 @@ def get_session(master: str | None = None, app: str = "signalbox",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and written tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a private folder is created and registered.
+    Read from ``spark.checkpoint.dir``. Only a ``local`` session (tests) gets a
+    private folder when it has none: elsewhere executors have disks of their own.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="signalbox-ckpt-", dir="/tmp")
         sc.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
@@ -58,16 +62,43 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def run_root(spark: SparkSession) -> str:
+    """Folder of this application's working tables, below the shared folder."""
+    return f"{shared_dir(spark)}/signalbox-{spark.sparkContext.applicationId}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is below it, on its own file system."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def release_run(spark: SparkSession) -> None:
+    """Delete the application's working tables. Results read them lazily: call
+    it when the last result has been written."""
+    remove(spark, run_root(spark))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when a Spark-written table exists at ``path`` (any file system)."""
-    if path.startswith("file:") or path.startswith("/"):
-        local = path[5:] if path.startswith("file:") else path
-        return os.path.exists(os.path.join(local, "_SUCCESS"))
-    try:
-        spark.read.format("text").load(path + "/_SUCCESS").limit(1).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing path raises AnalysisException
+    """True when the table folder ``path`` has data, asked of its own file
+    system: markers such as ``_SUCCESS`` and unfinished attempts (names with a
+    leading underscore or dot) do not count, and no error means "absent"."""
+    p, fs = _file_system(spark, path)
+    if not fs.exists(p):
         return False
+    return any(st.getPath().getName()[:1] not in ("_", ".") for st in fs.listStatus(p))
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a finished folder to its name; False when the name is taken."""
+    a, fs = _file_system(spark, source)
+    b, _ = _file_system(spark, target)
+    return not fs.exists(b) and fs.rename(a, b)
 
 
 def materialize(df, label: str = "stage"):
@@ -77,8 +108,28 @@ def materialize(df, label: str = "stage"):
     otherwise recompute it), and survives lost executors: the data lives in
     the cluster's shared folder, not in executor memory.
     """
-    import uuid
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/signalbox-stage/{label}-{uuid.uuid4().hex}"
+    path = f"{run_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Once per application: Spark's file server takes a zip of this package to
+    every executor, for Python tasks; nothing need be installed there."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="signalbox-"), "signalbox_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)

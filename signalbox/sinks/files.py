@@ -21,18 +21,13 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
     w.save()
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, properties: dict | None = None,
-              partition_column: str | None = None, lower: int | None = None,
-              upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """A query against the warehouse; with a numeric partition column the
-    scan is split into parallel range reads."""
-    r = spark.read.format("jdbc").option("url", url)
-    if partition_column:
-        r = (r.option("dbtable", f"({query}) q").option("partitionColumn", partition_column)
-             .option("lowerBound", lower).option("upperBound", upper)
-             .option("numPartitions", num_partitions or 8))
-    else:
-        r = r.option("query", query)
+def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str, lower: int, upper: int,
+              num_partitions: int, properties: dict | None = None) -> DataFrame:
+    """A query against the warehouse, as parallel range reads on a numeric
+    column. The caller sets the ranges: one task would read the whole table."""
+    r = (spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) q")
+         .option("partitionColumn", partition_column).option("lowerBound", lower)
+         .option("upperBound", upper).option("numPartitions", num_partitions))
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     return r.load()

@@ -8,10 +8,13 @@ are the order's line items (at most a few dozen) in line order. A returned
 item is a CANCELLED_CALL (with a reason code unless the part is large), an
 open item not returned TERMINATES, the rest are CALLs; lateness is the
 quantity, absent when divisible by 3. Some captures are fetch errors and
-some lack calling points.
+some lack calling points. By order key, some are captured twice, the second
+time with other values (its text sorts after the first), and some captures are
+cut off in the middle.
 
 Station search document: one per calling point, listing the service that
-calls there (a service is seen through each of its stations).
+calls there (a service is seen through each of its stations); some are fetch
+errors for the station, some are cut off.
 """
 
 from __future__ import annotations
@@ -69,7 +72,7 @@ def order_services(t: Tables) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", F.lit("bus")).otherwise(F.lit("train")).alias("service_type"),
         hhmmss(start).alias("origin_time"),
         hhmmss((start + 7200) % 86400).alias("destination_time"),
-        "locations",
+        "locations", F.col("o_orderkey").alias("order_key"),
         ((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")).alias("fetch_error"),
         ((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW")).alias("no_locations"))
 
@@ -96,7 +99,16 @@ def service_documents(t: Tables, orders: DataFrame | None = None) -> DataFrame:
         F.when(~err & ~F.col("no_locations"), F.col("locations")).alias("locations"),
         F.when(err, F.lit(FETCH_ERROR)).alias("error"),
         F.when(err, F.col("uid")).alias("Service"))
-    return o.select(F.to_json(doc).alias("value"))
+    text = o.select(F.col("order_key"), F.to_json(doc).alias("value"))
+    again = F.replace("value", F.lit('"atocName":"'), F.lit('"atocName":"~'))
+    copies = (F.when(F.col("order_key") % 11 == 3, F.array(again, "value"))
+              .when(F.col("order_key") % 13 == 5, F.array("value", _cut("value"))).otherwise(F.array("value")))
+    return text.select("order_key", F.explode(copies).alias("value")).select("value")
+
+
+def _cut(text: str) -> Column:
+    """A document whose transfer broke off half way."""
+    return F.substr(text, F.lit(1), (F.length(text) / 2).cast("int"))
 
 
 def station_search_documents(t: Tables, orders: DataFrame | None = None) -> DataFrame:
@@ -117,7 +129,10 @@ def station_search_documents(t: Tables, orders: DataFrame | None = None) -> Data
         F.struct(F.col("stop.description").alias("name"), F.col("stop.crs").alias("crs"),
                  F.col("stop.tiploc").alias("tiploc")).alias("location"),
         F.array(journey).alias("services"))
-    return stops.select(F.to_json(doc).alias("value"))
+    error = F.struct(F.lit(FETCH_ERROR).alias("error"), F.col("stop.crs").alias("Station"))
+    copies = (F.when(F.col("order_key") % 17 == 2, F.array("value", F.to_json(error)))
+              .when(F.col("order_key") % 17 == 6, F.array(_cut("value"), "value")).otherwise(F.array("value")))
+    return stops.withColumn("value", F.to_json(doc)).select(F.explode(copies).alias("value"))
 
 
 # --- incident messages -------------------------------------------------------
@@ -147,7 +162,10 @@ def incident_messages(t: Tables) -> DataFrame:
 
     Operators: the order's distinct suppliers by key; routes: its distinct
     part names, sorted, joined by ' / ' inside an escaped paragraph. Some
-    messages have no end time, no priority, no routes, or are malformed.
+    messages have no end time, no priority, no routes, no version, or are
+    malformed. By order key, some repeat the validity period (the first
+    counts), some have an operator container per operator, and some have what
+    is affected one level deeper.
     """
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_partkey")
     ops = (li.join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey")
@@ -168,23 +186,29 @@ def incident_messages(t: Tables) -> DataFrame:
     no_priority = (status == "P") & (prio == "2-HIGH")
     no_routes = (status == "P") & (prio == "3-MEDIUM")
     malformed = (status == "P") & (prio == "4-NOT SPECIFIED")
+    no_version = (status == "P") & (prio == "1-URGENT")
+    shape = F.col("l_orderkey") % 7
+    later = F.concat(_el("StartTime", F.lit("2031-01-01T00:00:00Z"), "ns2"), _el("EndTime", F.lit("2031-01-02T00:00:00Z"), "ns2"))
+    boxes = F.when(shape == 4, F.replace(op_xml, F.lit("</ns3:AffectedOperator><ns3:AffectedOperator>"), F.lit(
+        "</ns3:AffectedOperator></ns3:Operators><ns3:Operators><ns3:AffectedOperator>"))).otherwise(op_xml)
+    affected = F.concat(_el("Operators", boxes), F.when(no_routes, F.lit("")).otherwise(
+        _el("RoutesAffected", xml_escape(route_text))))
     body = F.concat(
         F.lit(f'<?xml version="1.0" encoding="UTF-8"?><ns3:PtIncident {NS_DECL}>'),
         _el("CreationTime", F.concat(day, F.lit("T08:30:00.123+01:00"))),
         _el("IncidentNumber", F.concat(F.lit("INC"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"))),
-        _el("Version", F.col("l_orderkey").cast("string")),
+        F.when(no_version, F.lit("")).otherwise(_el("Version", F.col("l_orderkey").cast("string"))),
         _el("Planned", F.when(status == "O", F.lit("true")).otherwise(F.lit("false"))),
         _el("ValidityPeriod", F.concat(
             _el("StartTime", F.concat(day, F.lit("T09:00:00Z")), "ns2"),
             F.when(no_end, F.lit("")).otherwise(
                 _el("EndTime", F.concat(day, F.lit("T23:59:00.5+01:00")), "ns2")))),
+        F.when((shape == 3) & ~no_end, _el("ValidityPeriod", later)).otherwise(F.lit("")),
         F.lit("<ns3:InfoLinks><ns3:InfoLink>"),
         _el("Uri", F.concat(F.lit("https://incidents.example/"), F.col("l_orderkey").cast("string"))),
         F.lit("</ns3:InfoLink></ns3:InfoLinks>"),
         _el("Summary", xml_escape(F.concat(F.lit("Disruption <"), prio, F.lit("> & delays")))),
-        _el("Affects", F.concat(_el("Operators", op_xml),
-                                F.when(no_routes, F.lit("")).otherwise(
-                                    _el("RoutesAffected", xml_escape(route_text))))),
+        _el("Affects", F.when(shape == 5, _el("Scope", affected)).otherwise(affected)),
         F.when(no_priority, F.lit("")).otherwise(_el("IncidentPriority", F.substring(prio, 1, 1))),
         F.when(malformed, F.lit("")).otherwise(F.lit("</ns3:PtIncident>")))
     return o.select(F.col("l_orderkey").cast("string").alias("message_key"), body.alias("value"))
@@ -202,7 +226,9 @@ def _satisfaction_text(acctbal: Column) -> Column:
 
 def operator_pages(t: Tables) -> DataFrame:
     """Pages (page_id, url, html) listing operators in a 'dataframe wikitable'
-    after a decoy 'infobox' table; 50 suppliers per page, some cells marked up."""
+    after a decoy 'infobox' table; 50 suppliers per page, some cells marked up.
+    By page, tags are in capitals and quotes single, references numeric, or
+    cells hold a table of their own."""
     s = t.supplier.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     name = xml_escape(F.concat(F.col("s_name"), F.when(F.col("s_nationkey") == 3, F.lit(" & Sons"))
                                .otherwise(F.lit(""))))
@@ -222,6 +248,24 @@ def operator_pages(t: Tables) -> DataFrame:
               '<thead>\n<tr style="text-align: center;">\n<th>Operator</th>\n<th>Code</th>\n'
               '<th>Passenger satisfaction[1]</th>\n</tr>\n</thead>\n<tbody>\n'),
         body, F.lit("\n</tbody>\n</table></body></html>"))
+    shouted, numeric, nested = html, F.replace(html, F.lit("&amp;"), F.lit("&#38;")), F.replace(
+        html, F.lit("</b></td>"), F.lit("</b><table class='wikitable'><tr><td>note</td></tr></table></td>"))
+    for low in ("<tr", "</tr", "<td", "</td", "<th", "</th", "<table", "</table"):
+        shouted = F.replace(shouted, F.lit(low), F.lit(low.upper()))
+    shouted = F.replace(shouted, F.lit('class="dataframe wikitable"'), F.lit("CLASS = 'dataframe wikitable'"))
+    way = F.col("page_id") % 4
+    html = F.when(way == 1, shouted).when(way == 2, numeric).when(way == 3, nested).otherwise(html)
     return pages.select("page_id", F.concat(F.lit("https://operators.example/page/"),
                                             F.col("page_id").cast("string")).alias("url"),
                         html.alias("html"))
+
+
+def code_pages(codes: DataFrame) -> DataFrame:
+    """Pages (page_id, html) that list cancel codes (column ``Code``) in a
+    'wikitable', a few pages for all of them, as the published code list does."""
+    row = F.concat(F.lit("<tr><td>"), xml_escape(F.col("Code")), F.lit("</td><td>cause of "), xml_escape(F.col("Code")),
+                   F.lit("</td></tr>"))
+    pages = codes.groupBy(F.pmod(F.xxhash64("Code"), F.lit(8)).alias("page_id")).agg(
+        F.array_join(F.array_sort(F.collect_list(row)), "").alias("rows"))
+    return pages.select("page_id", F.concat(F.lit('<table class="wikitable"><tr><th>Code</th><th>Cause</th></tr>'),
+                                            F.col("rows"), F.lit("</table>")).alias("html"))

@@ -10,18 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import FLAT_SERVICE, SERVICE, STATION_SEARCH
+from ..schemas import CORRUPT, FLAT_SERVICE, SERVICE, STATION_SEARCH
+
+
+JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
 def parse_json(docs: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """Text column of JSON documents -> one struct column ``doc`` (bad JSON -> nulls)."""
-    return docs.select(F.from_json(F.col(column), schema).alias("doc"), *[
+    """Text column of JSON documents -> one struct column ``doc``; the text of a
+    broken document lands in ``doc._corrupt_record``."""
+    return docs.select(F.from_json(F.col(column), schema, JSON_OPTIONS).alias("doc"), *[
         c for c in docs.columns if c != column])
 
 
-def read_json_docs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One JSON document per line (or per file with ``multiLine``) under ``path``."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+def read_json_docs(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """One JSON document per line (or per file with ``multi_line``) under ``path``."""
+    return spark.read.schema(schema).options(**JSON_OPTIONS).option("multiLine", multi_line).json(path)
 
 
 def read_station_searches(spark: SparkSession, path: str) -> DataFrame:
@@ -34,26 +38,28 @@ def read_services(spark: SparkSession, path: str) -> DataFrame:
     return read_json_docs(spark, path, SERVICE)
 
 
-def journeys(searches: DataFrame) -> DataFrame:
-    """One row per journey of each (good) station search document.
+def _doc(docs: DataFrame) -> DataFrame:
+    """The struct column ``doc``, also of the flattened fields of a file read."""
+    doc = F.col("doc") if "doc" in docs.columns else F.struct(*[F.col(c) for c in docs.columns])
+    return docs.select(doc.alias("doc"))
 
-    Input: a DataFrame with struct column ``doc`` of STATION_SEARCH (or the
-    flattened fields of a file read)."""
-    doc = F.col("doc") if "doc" in searches.columns else F.struct(*[F.col(c) for c in searches.columns])
-    return (searches.select(doc.alias("doc"))
-            .where(F.col("doc.error").isNull())
-            .select(F.col("doc.location.crs").alias("station_crs"),
-                    F.explode("doc.services").alias("journey")))
+
+def journeys(searches: DataFrame) -> DataFrame:
+    """One row per journey of each good station search document."""
+    good, _ = split_fetch_errors(searches, "Station")
+    return good.select(F.col("doc.location.crs").alias("station_crs"), F.explode("doc.services").alias("journey"))
 
 
 def split_fetch_errors(docs: DataFrame, key_field: str) -> tuple[DataFrame, DataFrame]:
     """Good documents and error documents (``error`` text plus the key
-    the fetch was for: ``Station`` or ``Service``)."""
-    doc = F.col("doc") if "doc" in docs.columns else F.struct(*[F.col(c) for c in docs.columns])
-    d = docs.select(doc.alias("doc"))
-    good = d.where(F.col("doc.error").isNull())
-    errors = d.where(F.col("doc.error").isNotNull()).select(
-        F.col("doc.error").alias("error"), F.col(f"doc.{key_field}").alias(key_field))
+    the fetch was for: ``Station`` or ``Service``). A document that is not
+    valid JSON is an error of an unknown key; its text is kept in ``document``."""
+    d = _doc(docs)
+    broken = F.col(f"doc.{CORRUPT}")
+    good = d.where(F.col("doc.error").isNull() & broken.isNull())
+    errors = d.where(F.col("doc.error").isNotNull() | broken.isNotNull()).select(
+        F.when(broken.isNotNull(), F.lit("malformed document")).otherwise(F.col("doc.error")).alias("error"),
+        F.col(f"doc.{key_field}").alias(key_field), broken.alias("document"))
     return good, errors
 
 

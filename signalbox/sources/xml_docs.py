@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Element paths of an incident message, namespaces ignored. Values are read
-# as text and typed by the transform, so bad values become nulls, not errors.
+# Elements of an incident message, namespaces ignored. Any of them may repeat,
+# so all are arrays, and ``first_of`` takes the first in document order. Values
+# are read as text and typed by the transform: bad values become nulls.
 INCIDENT_SCHEMA = (
-    "CreationTime string, IncidentNumber string, Version string, Planned string, "
-    "ValidityPeriod struct<StartTime string, EndTime string>, "
-    "InfoLinks struct<InfoLink array<struct<Uri string>>>, Summary string, "
-    "Affects struct<Operators struct<AffectedOperator array<struct<OperatorRef string, "
-    "OperatorName string>>>, RoutesAffected string>, IncidentPriority string, "
+    "CreationTime array<string>, IncidentNumber array<string>, Version array<string>, Planned array<string>, "
+    "ValidityPeriod array<struct<StartTime array<string>, EndTime array<string>>>, "
+    "InfoLinks array<struct<InfoLink array<struct<Uri array<string>>>>>, Summary array<string>, "
+    "Affects array<struct<Operators array<struct<AffectedOperator array<struct<OperatorRef string, "
+    "OperatorName string>>>>, RoutesAffected array<string>>>, IncidentPriority array<string>, "
     "_corrupt_record string")
 XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": "_corrupt_record"}
@@ -26,6 +27,27 @@ def parse_incidents(messages: DataFrame, column: str = "value") -> DataFrame:
                            F.from_xml(F.col(column), INCIDENT_SCHEMA, XML_OPTIONS).alias("msg"))
 
 
+def first_descendant(found: Column, element: str, msg: str = "msg", raw: str = "raw") -> Column:
+    """The first of the values found at the element's usual place; else the
+    text of the first such element anywhere in the message. Malformed messages
+    have none: XPath would fail on them."""
+    anywhere = F.nullif(F.xpath_string(F.col(raw), F.lit(f"//*[local-name()='{element}']")), F.lit(""))
+    usual = F.get(F.filter(found, lambda v: v.isNotNull()), 0)
+    return F.coalesce(usual, F.when(F.col(msg)["_corrupt_record"].isNull(), anywhere))
+
+
+def every_operator(msg: str = "msg", raw: str = "raw") -> Column:
+    """(ref, name) of every affected operator, whatever container it is in."""
+    usual = F.flatten(F.flatten(F.filter(F.transform(
+        F.col(msg)["Affects"], lambda a: F.filter(F.transform(a["Operators"], lambda o: F.coalesce(
+            o["AffectedOperator"], F.array())), lambda x: x.isNotNull())), lambda x: x.isNotNull())))
+    path = "//*[local-name()='AffectedOperator']/*[local-name()='{}']/text()"
+    refs, names = (F.xpath(F.col(raw), F.lit(path.format(e))) for e in ("OperatorRef", "OperatorName"))
+    pairs = F.transform(F.arrays_zip(refs.alias("r"), names.alias("n")), lambda z: F.struct(
+        z["r"].alias("OperatorRef"), z["n"].alias("OperatorName")))
+    return F.when(F.size(usual) > 0, usual).when(F.col(msg)["_corrupt_record"].isNull(), pairs)
+
+
 def read_incident_files(spark: SparkSession, path: str) -> DataFrame:
     """One message per file under ``path`` (whole file as text), parsed."""
     text = spark.read.option("wholetext", True).text(path)

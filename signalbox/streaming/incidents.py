@@ -7,19 +7,21 @@ insert-if-absent against the stored tables (T03: a version is stored once
 over the life of the stream, whatever the redelivery), poison messages go
 to a quarantine table (T04), and alerts go to an outbox partitioned by epoch
 and operator code. T05: the checkpoint location makes a restart resume, and
-every write is replay-safe: loads are idempotent, the quarantine and outbox
-partitions of an epoch are overwritten, and "new version" means not loaded
-by an earlier epoch, so a replayed epoch alerts exactly as the first try.
+every write is replay-safe: loads are idempotent, the quarantine, rejects and
+outbox partitions of an epoch of a stream are overwritten, and "new version"
+means not loaded by an earlier epoch, so a replayed epoch alerts exactly as
+the first try.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import incidents as I
-from ..session import path_exists
+from ..session import materialize, path_exists
 from ..sources.xml_docs import parse_incidents
 
 TABLES = ("priority", "incident", "route_affected", "incident_route_link",
@@ -38,62 +40,71 @@ def incident_stream(spark: SparkSession, landing: str, whole_files: bool = False
     return df.select(F.col("_metadata.file_path").alias("message_key"), "value")
 
 
+def read_outbox(spark: SparkSession, path: str) -> DataFrame:
+    """The alerts of an outbox, which has no files as long as nobody was alerted."""
+    columns = "operator_code string, version string, message string"
+    return spark.read.schema(columns).option("basePath", path).parquet(path).select("operator_code", "version", "message")
+
+
 class IncidentBatchWriter:
-    """foreachBatch handler writing the incident tables under ``root``."""
+    """foreachBatch handler writing the incident tables under ``root``.
 
-    def __init__(self, root: str, operator_path: str, files_per_epoch: int = 4):
+    What an epoch overwrites on replay (quarantine, rejects, outbox) lies under
+    the stream's own id, so a stream begun anew with another checkpoint leaves
+    the epochs of the one before as they are.
+    """
+
+    def __init__(self, root: str, operator_path: str, checkpoint: str):
         self.root = root.rstrip("/")
         self.operator_path = operator_path
-        # Micro-batches are small: bound the files each epoch adds per table.
-        self.files_per_epoch = files_per_epoch
+        self.checkpoint = checkpoint.rstrip("/")
+        self._run = None
+
+    def _run_id(self, spark) -> str:
+        """The stream's id, which Spark keeps in its checkpoint."""
+        if self._run is None:
+            self._run = json.loads(spark.read.text(f"{self.checkpoint}/metadata").first()[0])["id"]
+        return self._run
 
     def _existing(self, spark, name):
         p = f"{self.root}/{name}"
-        return spark.read.parquet(p) if path_exists(spark, p) else None
+        found = spark.read.parquet(p) if path_exists(spark, p) else None
+        return found
 
-    def _append(self, df, name):
-        df.coalesce(self.files_per_epoch).write.mode("append").parquet(f"{self.root}/{name}")
-        return df.sparkSession.read.parquet(f"{self.root}/{name}")
+    def _append(self, spark, name, df):
+        if name == "incident":
+            df = df.withColumns({"loaded_run": F.lit(self._run), "loaded_epoch": F.lit(self._epoch)})
+        df.hint("rebalance").write.mode("append").parquet(f"{self.root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
-    def _overwrite_epoch(self, df, name, epoch_id, partition_cols=()):
-        (df.withColumn("epoch", F.lit(epoch_id)).coalesce(self.files_per_epoch).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("epoch", *partition_cols).parquet(f"{self.root}/{name}"))
+    def _overwrite_epoch(self, df, name, partition_cols=()):
+        (df.withColumns({"run": F.lit(self._run), "epoch": F.lit(self._epoch)}).hint("rebalance")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run", "epoch", *partition_cols).parquet(f"{self.root}/{name}"))
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        details = I.incident_details(parse_incidents(batch)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            good, bad = I.split_messages(details)
-            self._overwrite_epoch(bad.select("message_key", F.col("quarantine_reason").alias("reason")),
-                                  "quarantine", epoch_id)
-            flat = I.flatten_incidents(good).persist(StorageLevel.MEMORY_AND_DISK)
-            operator = spark.read.parquet(self.operator_path)
-
-            priority = self._append(I.load_priorities(flat, self._existing(spark, "priority")),
-                                    "priority")
-            inc_prev = self._existing(spark, "incident")
-            inc_new, rejects = I.load_incidents(flat, priority, inc_prev)
-            incident = self._append(inc_new.withColumn("loaded_epoch", F.lit(epoch_id)), "incident")
-            self._overwrite_epoch(rejects.select("incident_version", "reject_reason"), "rejects",
-                                  epoch_id)
-            route = self._append(I.load_routes(flat, self._existing(spark, "route_affected")),
-                                 "route_affected")
-            self._append(I.link_routes(flat, incident, route,
-                                       self._existing(spark, "incident_route_link"))[0],
-                         "incident_route_link")
-            self._append(I.link_operators(flat, incident, operator,
-                                          self._existing(spark, "incident_operator_link"))[0],
-                         "incident_operator_link")
-
-            # Alerts for versions first stored by this epoch (stable on replay).
-            mine = incident.where(F.col("loaded_epoch") == epoch_id).select(
-                F.col("incident_version").alias("version"))
-            alerts = I.alerts(good).join(mine, "version", "left_semi")
-            self._overwrite_epoch(alerts, "outbox", epoch_id, ("operator_code",))
-            flat.unpersist()
-        finally:
-            details.unpersist()
+        self._run_id(spark)
+        self._epoch = epoch_id
+        # written, not cached: several loads read it, and executors may be lost
+        details = materialize(I.incident_details(parse_incidents(batch)), "stream-details")
+        good, bad = I.split_messages(details)
+        self._overwrite_epoch(bad.select("message_key", F.col("quarantine_reason").alias("reason")), "quarantine")
+        flat = materialize(I.flatten_incidents(good), "stream-flat")
+        rejects = []
+        tables = I.load_all_incidents(
+            flat, spark.read.parquet(self.operator_path), lambda name: self._existing(spark, name),
+            lambda name, df: self._append(spark, name, df),
+            lambda name, df: rejects.append(df.select(F.lit(name).alias("table_name"), F.to_json(F.struct("*")).alias("row"),
+                                                      "reject_reason")))
+        refused = rejects[0]
+        for more in rejects[1:]:
+            refused = refused.unionByName(more)
+        self._overwrite_epoch(refused, "rejects")
+        # Alerts for versions first stored by this epoch (stable on replay).
+        mine = tables.incident.where((F.col("loaded_run") == self._run) & (F.col("loaded_epoch") == epoch_id)).select(
+            F.col("incident_version").alias("version"))
+        self._overwrite_epoch(I.stored_alerts(good, mine), "outbox", ("operator_code",))
 
 
 def run_incident_stream(spark: SparkSession, landing: str, root: str, operator_path: str,
@@ -102,7 +113,7 @@ def run_incident_stream(spark: SparkSession, landing: str, root: str, operator_p
     """Start (or resume, from ``checkpoint``) the incident stream. With
     ``available_now`` it processes what has landed and stops."""
     stream = incident_stream(spark, landing, whole_files, max_files_per_trigger)
-    w = (stream.writeStream.foreachBatch(IncidentBatchWriter(root, operator_path))
+    w = (stream.writeStream.foreachBatch(IncidentBatchWriter(root, operator_path, checkpoint))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="15 seconds")
     q = w.start()

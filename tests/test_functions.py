@@ -76,3 +76,14 @@ def test_coercions(spark):
     assert _col(spark, ["false", "true", "maybe"], C.boolean_or_null) == [False, True, None]
     assert _col(spark, ["80%", "n/a", " 75 "], C.percent_or_null) == [80.0, None, 75.0]
     assert _col(spark, ["2", " 3 ", "x"], C.int_or_null) == [2, 3, None]
+
+
+def test_selection_has_no_cap_and_both_forms_agree(spark):
+    from signalbox.operators.analytics import filter_selected
+    view = spark.createDataFrame([(f"S{i:02d}", i) for i in range(60)], "origin_station_name string, n int")
+    names = [f"S{i:02d}" for i in range(45, 5, -1)]
+    chosen = spark.createDataFrame([(n,) for n in names] * 2, "name string")
+    by_list = filter_selected(view, "origin_station_name", names).collect()
+    by_frame = filter_selected(view, "origin_station_name", chosen).collect()
+    assert len(by_list) == 40 and sorted(by_list) == sorted(by_frame)
+    assert filter_selected(view, "origin_station_name", []).count() == 60

@@ -1,7 +1,10 @@
 """HTML table extraction."""
 
+import pytest
+
+from signalbox.constants import KNOWN_BAD_OPERATOR_ROWS
 from signalbox.operators.incidents import operator_info
-from signalbox.sources.html import extract_html_table, table_columns
+from signalbox.sources.html import extract_html_table, table_columns, table_of
 
 PAGE = """<html><table class="infobox"><tr><th>Code</th></tr><tr><td>decoy</td></tr></table>
 <table border="3" class="dataframe wikitable"><thead><tr><th>Code</th><th>Cause</th>
@@ -20,12 +23,33 @@ def test_first_wikitable_by_header(spark):
     assert got[0][2] == "text1" and got[1][2] == "text2 & more" and got[0][3] is None
 
 
-def test_operator_info_drops_rows_and_appends(spark):
+def test_operator_info_appends_and_drops_named_rows_only(spark):
     rows = spark.createDataFrame(
-        [(i, f"Op{i}", f"C{i}", "80%" if i % 2 else "n/a") for i in range(25)],
-        "row_pos int, Operator string, Code string, `Passenger satisfaction[1]` string")
+        [(page, i, f"Op{page}-{i}", f"C{i}", "80%" if i % 2 else "n/a") for page in ("p", "q") for i in range(25)],
+        "url string, row_pos int, Operator string, Code string, `Passenger satisfaction[1]` string")
     info = operator_info(rows, spark).collect()
-    names = {r["operator_name"] for r in info}
-    assert "Op9" not in names and "Op21" not in names and "Island Line" in names
-    assert len(info) == 25 - 2 + 6
-    assert {r["customer_satisfaction"] for r in info if r["operator_name"] in ("Op1", "Op2")} == {80.0, None}
+    assert len(info) == 50 + 6 and "Island Line" in {r["operator_name"] for r in info}
+    assert {r["customer_satisfaction"] for r in info if r["operator_name"] in ("Opp-1", "Opp-2")} == {80.0, None}
+    some = {r["operator_name"] for r in operator_info(rows, spark, ("url", {"p": KNOWN_BAD_OPERATOR_ROWS})).collect()}
+    assert len(some) == 50 - 2 + 6 and "Opp-9" not in some and "Opq-9" in some
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<TABLE CLASS='x wikitable'><TR><TH>Code<th>Name<tr><td rowspan=2>a</td><td>it&#8217;s</td></tr><tr><td>y</td></tr></TABLE>",
+     [["Code", "Name"], ["a", "it’s"], ["a", "y"]]),
+    ("<table class=wikitable><tr><td>a<table class=wikitable><tr><td>inner</td></tr></table>b</td><td>c</td></tr></table>", [["ab", "c"]]),
+    ("<table class=wikitable><tr><td colspan=2>w<td rowspan=3>x<tr><td>1<td>2<tr><td>3<td>4<td>5</table>",
+     [["w", "w", "x"], ["1", "2", "x"], ["3", "4", "x", "5"]]),
+    ("<table class='wikitables'><tr><td>other class</td></tr></table>", []),
+    ("<table class='wikitable'><tr><td rowspan='x'>&nbsp;a&eacute;<!-- no --><b>b</b> </td></tr>", [["aéb"]]),
+    ("", []), (None, []), ("</td></table><tr><td>stray", []),
+])
+def test_tables_as_found_on_pages(page, want):
+    assert table_of(page, "wikitable") == want
+
+
+def test_second_table_and_pages_without(spark):
+    two = PAGE.replace("infobox", "wikitable")
+    pages = spark.createDataFrame([(1, two), (2, "<p>none</p>"), (3, None)], "page_id long, html string")
+    assert {r["page_id"] for r in extract_html_table(pages, "wikitable", 1).collect()} == {1}
+    assert [r["Code"] for r in table_columns(extract_html_table(pages, "wikitable", 0), ["Code"]).collect()] == ["decoy"]

@@ -60,6 +60,52 @@ def test_quarantine_and_rejects(spark):
         [("V3", "missing: priority_id")]
 
 
+def test_a_message_without_a_version_is_rejected(spark):
+    nameless = message("V1").replace("<ns3:Version>V1</ns3:Version>", "")
+    good, bad = I.split_messages(details(spark, [message("V2"), nameless, nameless]))
+    flat = I.flatten_incidents(good)
+    incident, rejects = I.load_incidents(flat, I.load_priorities(flat))
+    assert bad.count() == 0 and [r["incident_version"] for r in incident.collect()] == ["V2"]
+    assert [(r["incident_version"], r["reject_reason"]) for r in rejects.collect()] == [(None, "missing: incident_version")]
+
+
+def test_operators_are_loaded_or_rejected(spark):
+    info = spark.createDataFrame([("A", "AA", 1.0), ("A", "AB", 2.0), (None, "AC", 3.0), ("B", None, 4.0), ("C", "CC", None)],
+                                 "operator_name string, operator_code string, customer_satisfaction double")
+    rows, rejects = I.load_operators(info)
+    assert [(r["operator_id"], r["operator_name"], r["operator_code"]) for r in rows.orderBy("operator_id").collect()] == \
+        [(1, "A", "AA"), (2, "C", "CC")]
+    assert sorted(r["reject_reason"] for r in rejects.collect()) == ["missing: operator_code", "missing: operator_name"]
+
+
+def test_first_descendant_wherever_it_is(spark):
+    m = message("V1")
+    period = "<ns3:ValidityPeriod><ns2:StartTime>2024-01-01T00:00:00Z</ns2:StartTime></ns3:ValidityPeriod>"
+    box = "</ns3:AffectedOperator></ns3:Operators><ns3:Operators><ns3:AffectedOperator>"
+    shapes = [m.replace("</ns3:ValidityPeriod>", "</ns3:ValidityPeriod>" + period),
+              m.replace("</ns3:AffectedOperator><ns3:AffectedOperator>", box),
+              m.replace("<ns3:Affects>", "<ns3:Affects><ns3:Scope>").replace("</ns3:Affects>", "</ns3:Scope></ns3:Affects>"),
+              m.replace("<ns3:Summary>", "<ns3:More><ns3:Summary>").replace("</ns3:Summary>", "</ns3:Summary></ns3:More><ns3:Version>V9</ns3:Version>")]
+    first, *rest = [r.asDict() for r in details(spark, [m, *shapes]).drop("message_key").collect()]
+    assert first["start_time"] == dt.datetime(2023, 9, 10, 10, 0) and len(first["operators_affected"]) == 2
+    for other in rest:
+        assert other == first
+
+
+def test_both_ways_of_the_whole_load_add_up(spark):
+    d = details(spark, [message("V1"), message("V1"), message("V3", priority=None), message("V5")])
+    good, _ = I.split_messages(d)
+    ops = spark.createDataFrame([(1, "GW", "Great Western", 80.0)],
+                                "operator_id long, operator_code string, operator_name string, customer_satisfaction double")
+    rejected = {}
+    t = I.load_all_incidents(I.flatten_incidents(good), ops, lambda name: None, lambda name, rows: rows,
+                             lambda name, rows: rejected.setdefault(name, rows))
+    assert {r["incident_version"] for r in t.incident.collect()} == {"V1", "V5"}
+    assert {r["incident_version"] for r in rejected["incident"].collect()} == {"V3"}
+    assert t.incident_route_link.count() == 4 and t.incident_operator_link.count() == 2
+    assert {r["affected_operator_ref"] for r in rejected["incident_operator_link"].collect()} >= {"ZZ"}
+
+
 def test_alert_text(spark):
     good, _ = I.split_messages(details(spark, [message("V1"), message("V4", end=False)]))
     alerts = {r["version"]: r["message"] for r in I.alerts(good).collect()}

@@ -4,6 +4,7 @@ plus load idempotence (the driver runs the full list at sf0.01)."""
 import pytest
 
 import __spark_entry__ as E
+from signalbox.plans import registry
 from tools.oracle_check import duck, rows_of
 
 from .conftest import SMALL
@@ -31,7 +32,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
 def test_entry_runs(spark):
