@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, whole_row
+from .common import bit_table, in_table, store, whole_row
 from .shingles import shingle_hashes
 
 K = 64
@@ -61,23 +61,6 @@ def item_sets(benchmark: DataFrame) -> DataFrame:
     return store(rows.mapInArrow(_items, _ITEMS), "bench-items")
 
 
-def _slots(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return v % BITS, v // BITS % BITS
-
-
-def bit_table(items: DataFrame) -> np.ndarray:
-    """The fixed-size table of all items' shingles; at most BITS / 64 rows reach the driver."""
-    v = items.select(F.explode("whole").alias("v")).distinct()
-    bits = BITS.bit_length() - 1
-    slot = v.select(F.explode(F.array(F.col("v") % BITS, F.shiftright("v", bits) % BITS)).alias("s"))
-    words = (slot.groupBy(F.floor(F.col("s") / 64).alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).collect())
-    table = np.zeros(BITS // 64, np.int64)
-    for w, b in words:
-        table[w] = b
-    return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
-
-
 def _windows(s: np.ndarray, at: np.ndarray, hit: np.ndarray, classes: list[int]) -> list[dict]:
     """The sketched windows around the hits, as far as they retain one."""
     out = []
@@ -101,8 +84,7 @@ def _scan(batches: Iterator[pa.RecordBatch], table: np.ndarray, classes: list[in
         keep, hits, windows = [], [], []
         for i, t in enumerate(b.column(3)):
             s = shingle_hashes(t.as_py())
-            one, two = _slots(s)
-            hit = table[one] & table[two]
+            hit = in_table(table, s)
             if hit.any():
                 keep.append(i)
                 hits.append(np.unique(s[hit]))
@@ -123,7 +105,7 @@ def contained_items(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     the row by its id and text."""
     items = item_sets(benchmark)
     classes = sorted(r[0] for r in items.select("class").distinct().collect())  # 64 at most
-    table = bit_table(items)
+    table = bit_table(items.select(F.explode("whole").alias("v")), BITS)
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), *_keys(), "text")
     found = store(rows.mapInArrow(lambda it: _scan(it, table, classes), _HITS), "bench-hits").dropDuplicates(["k1", "k2"])
     keys = ["k1", "k2"]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import order_key, store, whole_row
+from .common import bit_table, in_table, order_key, store, whole_row
 from .components import components
 from .shingles import shingle_hashes
 
@@ -46,6 +46,8 @@ LEAST = 40
 ESTIMATE = LEAST / K
 #: Rows of a block of a list; pairs per copy of a hot set.
 BLOCK, PAIRS_PER_COPY = 512, 512
+#: Bits of the table of wanted class ids.
+BITS = 1 << 23
 
 _SETS = "rid long, doc_id long, n long, key1 long, key2 long, sketch array<long>"
 
@@ -128,11 +130,29 @@ def _whole_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["cid", "whole"])
 
 
+def _passing(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield b.filter(pa.array(in_table(table, _place(b.column(0).to_numpy()))))
+
+
+def _place(cid):
+    """Class ids as non-negative values of a bit table."""
+    return cid & ((1 << 62) - 1)
+
+
+def whole_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(cid, whole): the full shingle sets of the classes in ``ids``. A bit table
+    of fixed size drops most other texts before they are shuffled."""
+    table = bit_table(ids.select(F.col("cid").bitwiseAND(F.lit((1 << 62) - 1)).alias("v")), BITS)
+    some = texts.mapInArrow(lambda it: _passing(it, table), texts.schema)
+    one = some.join(ids, "cid").groupBy("cid").agg(F.min("text").alias("text"))
+    return store(one.mapInArrow(_whole_set, "cid long, whole array<long>"), "near-whole")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets have the similarity. ``texts``: (cid, text) of all classes."""
     ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    one = texts.join(ids, "cid").groupBy("cid").agg(F.min("text").alias("text"))
-    sets = store(one.mapInArrow(_whole_set, "cid long, whole array<long>"), "near-whole")
+    sets = whole_sets(texts, ids)
     x = _salted(pairs, sets.withColumnRenamed("whole", "wa"), "a")
     x = _salted(x, sets.withColumnRenamed("whole", "wb"), "b")
     both = F.size(F.array_intersect("wa", "wb"))
@@ -165,8 +185,7 @@ def across_components(lists: DataFrame, roots: DataFrame, texts: DataFrame) -> D
     at = lists.where("m > 2").join(rooted, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     split = at.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
     open_ = store(at.join(split.select("v"), "v").select("cid", "root").distinct(), "near-open")
-    one = texts.join(open_.select("cid"), "cid").groupBy("cid").agg(F.min("text").alias("text"))
-    sets = store(one.mapInArrow(_whole_set, "cid long, whole array<long>"), "near-whole")
+    sets = whole_sets(texts, open_.select("cid"))
     each = sets.select("cid", F.size("whole").alias("n"), F.explode("whole").alias("v"))
     shared = each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     mine = each.join(shared, "v").groupBy("cid").agg(

@@ -19,7 +19,7 @@ _SHIFT = np.uint64(29)
 class _Words(dict):
     """Hashes of words, kept up to a bound."""
 
-    KEPT = 1 << 19
+    KEPT = 1 << 16
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
