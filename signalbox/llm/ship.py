@@ -1,29 +1,5 @@
 """Hands the package to the executors, for the operators with Python tasks."""
 
-from __future__ import annotations
+from ..session import ship_package as ship
 
-import os
-import tempfile
-import zipfile
-
-from pyspark.sql import SparkSession
-
-_PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Once per application: Spark's file server takes a zip of the package to
-    every executor, so nothing need be installed there."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    path = os.path.join(tempfile.mkdtemp(prefix="signalbox-"), "signalbox_package.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(_PACKAGE):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
-    spark.sparkContext.addPyFile(path)
-    _shipped.add(app)
+__all__ = ["ship"]
