@@ -75,11 +75,12 @@ def containment(a: Column, b: Column, k: int = K) -> Column:
 def merge_sketches(df: DataFrame, by: list[str], sketch_col: str, k: int = K) -> DataFrame:
     """One sketch per group of ``by`` from the sketches of its parts.
 
-    Merges in a tree of fan-in ``MERGE_FAN``: parts fall by hash into as many
-    cells as the largest group needs, so no task gathers a whole hot group.
+    Merges in a tree of fan-in ``MERGE_FAN``: distinct parts fall by hash into
+    as many cells as the largest group needs, so no task gathers a whole hot
+    group. Null sketches are no parts.
     """
-    parts = df.select(*by, F.col(sketch_col).alias("_s")).where(F.col("_s").isNotNull())
-    parts = parts.withColumn("_h", F.xxhash64(F.monotonically_increasing_id()))
+    parts = df.select(*by, F.col(sketch_col).alias("_s")).where(F.col("_s").isNotNull()).distinct()
+    parts = parts.withColumn("_h", F.xxhash64("_s"))
     largest = parts.groupBy(*by).count().agg(F.max("count")).first()[0] or 1
     levels = max(1, math.ceil(math.log(largest, MERGE_FAN)))
     for level in range(levels - 1, -1, -1):
