@@ -15,6 +15,10 @@ by its last document at most. An empty table writes no shard.
 
 from __future__ import annotations
 
+import array
+import functools
+import itertools
+import os
 import re
 import struct
 import uuid
@@ -61,15 +65,15 @@ class WaveletMatrix:
         cur = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         zeros, planes, dirs = [], [], []
         for level in range(bits - 1, -1, -1):
-            one = ((cur >> level) & 1).astype(bool)
+            one = (cur & cur.dtype.type(1 << level)) != 0
             packed = np.packbits(one, bitorder="little")
             ones = np.bitwise_count(np.pad(packed, (0, -len(packed) % (1 << cls.BLOCK - 3))))
             per = ones.reshape(-1, 1 << cls.BLOCK - 3).sum(1, dtype=np.uint32)
             dirs.append(np.concatenate([[0], np.cumsum(per)]).astype("<u4"))
             planes.append(packed)
-            low = cur[~one]
+            low = np.compress(~one, cur)
             zeros.append(len(low))
-            cur = np.concatenate([low, cur[one]])
+            cur = np.concatenate([low, np.compress(one, cur)])
         return cls(n, zeros, planes, dirs)
 
     def to_bytes(self) -> bytes:
@@ -160,9 +164,9 @@ class WaveletMatrix:
         cur = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
             one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
-            z, up = self.zeros[level], np.empty_like(cur)
-            up[~one] = cur[:z]
-            up[one] = cur[z:] | cur.dtype.type(1 << len(self.planes) - 1 - level)
+            cur[self.zeros[level]:] |= cur.dtype.type(1 << len(self.planes) - 1 - level)
+            up = np.empty_like(cur)
+            up[np.concatenate([np.flatnonzero(~one), np.flatnonzero(one)])] = cur
             cur = up
         return cur
 
@@ -171,45 +175,69 @@ class TextEncoder:
     """Ids of texts as little-endian u32 bytes, by the tokenizers library.
 
     The vocabulary's pre-tokenizer always cuts before a space that a
-    non-space follows, so a text of single spaces is encoded piece by piece
-    and the pieces' ids are kept; other texts are encoded whole.
+    non-space follows, so a text of single spaces is encoded piece by piece.
+    Pieces that are not known yet are encoded together as one text; only the
+    first id of each begins with a space, which tells them apart again. Short
+    pieces are kept, up to a bound: the frequent ones come early. Other texts
+    are encoded whole.
     """
 
-    KEPT, LONGEST = 1 << 19, 48
+    KEPT, LONGEST, JOINED = 250_000, 12, 256
 
     def __init__(self, path: str | None = None):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core
         import public_tokenizers
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
-        self.odd = re.compile(r" (?:\s|$)")
+        self.odd = re.compile(r" (?:\s|\Z)")
+        words = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(words.values()) + 1, bool)
+        self.spaced[[i for w, i in words.items() if w.startswith("\u0120")]] = True
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, "<u4").tobytes() for x in done]
+    def _whole(self, text: str) -> bytes:
+        done = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return array.array("I", done[0].ids).tobytes()
+
+    def _together(self, pieces: list[str]) -> bytes:
+        """Ids of the pieces, each after a space; a few hundred make a text."""
+        texts = [" " + " ".join(pieces[i:i + self.JOINED]) for i in range(0, len(pieces), self.JOINED)]
+        return b"".join([array.array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[t] if self.odd.search(t) else self._pieces(t) for t in texts]
-        if len(self.known) > self.KEPT:
-            self.known.clear()
-        known = self.known
-        new = {p for pieces in cut for p in pieces if p not in known}
-        now: dict[str, bytes] = {}
-        for p, ids in zip(new, self._encode(list(new)), strict=True):
-            (known if len(p) <= self.LONGEST else now)[p] = ids
-        if now:
-            return [b"".join([known[p] if p in known else now[p] for p in pieces]) for pieces in cut]
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
-
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]]
-
-
-def _groups(rows: Iterator[tuple], most: int = 1 << 20) -> Iterator[list[tuple]]:
+        cut = [None if self.odd.search(t) else t.split(" ") for t in texts]
+        pieces = list(set().union(*[p[1:] for p in cut if p]))
+        found = list(map(self.known.get, pieces))
+        here = dict(zip(pieces, found, strict=True))  # small: the lookups below stay in cache
+        new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+        if new:
+            data = self._together(new)
+            cuts = [*np.flatnonzero(self.spaced[np.frombuffer(data, "<u4")]).tolist(), len(data) // 4]
+            if len(cuts) != len(new) + 1:
+                raise ValueError("the vocabulary does not cut its pieces before spaces")
+            here.update(zip(new, [data[4 * a:4 * z] for a, z in itertools.pairwise(cuts)], strict=True))
+            short = (p for p in new if len(p) <= self.LONGEST)
+            self.known.update((p, here[p]) for p in itertools.islice(short, max(0, self.KEPT - len(self.known))))
+        out = []
+        for t, p in zip(texts, cut, strict=True):
+            if p is None:
+                out.append(self._whole(t))
+            else:
+                p[0] = self._whole(p[0])
+                p[1:] = map(here.__getitem__, p[1:])
+                out.append(b"".join(p))
+        return out
+
+
+@functools.cache
+def _encoder(path: str | None) -> TextEncoder:
+    """One per Python worker, for all its tasks."""
+    return TextEncoder(path)
+
+
+def _groups(rows: Iterator[tuple], most: int = 1 << 19) -> Iterator[list[tuple]]:
     """Successive (doc_id, text) rows of together about ``most`` characters."""
     out, chars = [], 0
     for row in rows:
@@ -225,7 +253,7 @@ def _groups(rows: Iterator[tuple], most: int = 1 << 20) -> Iterator[list[tuple]]
 def _write_shards(batches: Iterator[pa.RecordBatch], path: str | None, shard_tokens: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    part, encoder = TaskContext.get().partitionId(), TextEncoder(path)
+    part, encoder = TaskContext.get().partitionId(), _encoder(path)
     schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
                         ("lengths", pa.list_(pa.int64())), ("n_tokens", pa.int64()), ("matrix", pa.binary())])
     end = np.array([END_ID], "<u4").tobytes()
@@ -265,9 +293,15 @@ def read_shards(spark, path: str) -> DataFrame:
     return spark.read.schema(SHARD_SCHEMA).parquet(path)
 
 
+def _rows(b: pa.RecordBatch) -> Iterator[dict]:
+    """One shard at a time."""
+    for i in range(b.num_rows):
+        yield {name: b.column(name)[i].as_py() for name in b.schema.names}
+
+
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for row in b.to_pylist():
+        for row in _rows(b):
             ids = WaveletMatrix.from_bytes(row["matrix"]).ids().astype("<u4")
             starts = np.cumsum([0, *row["lengths"]])
             n = len(row["lengths"])
@@ -297,7 +331,7 @@ def occurrences(shards: DataFrame, token: int) -> DataFrame:
     token, by select on the matrices."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
+            for row in _rows(b):
                 m = WaveletMatrix.from_bytes(row["matrix"])
                 at = [m.select(token, k) for k in range(m.count(token))]
                 doc = np.searchsorted(np.cumsum(row["lengths"]), at, side="right")
