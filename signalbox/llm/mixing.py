@@ -31,6 +31,8 @@ OUTPUT_SHARDS = 256
 #: sources; the repair makes up for the rounding. Bounds the broadcast table.
 DRAW_BINS = 1 << 16
 ROUNDS = 12
+#: Slots of a range of draws, the unit in which they are dealt to tasks.
+SLOTS_A_RANGE = 1 << 14
 
 
 def word_count(text: Column) -> Column:
@@ -145,9 +147,13 @@ def shard_draws(sources: DataFrame) -> DataFrame:
 
 def mixed_slots(sources: DataFrame) -> DataFrame:
     """(src, shard, slot, pass, block): which block every slot of the mix takes."""
-    slots = (shard_draws(sources)
-             .select("src", "shard", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("count") - 1)).alias("slot"))
-             .join(sources.select("src", "blocks"), "src"))
+    # the draws are few rows that stand for many slots: deal them out in ranges first
+    ranges = shard_draws(sources).select("src", "shard", (F.col("start") + F.col("count")).alias("_to"), F.explode(
+        F.sequence("start", F.col("start") + F.col("count") - 1, F.lit(SLOTS_A_RANGE).cast("long"))).alias("start"))
+    partitions = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.least(F.col("start") + SLOTS_A_RANGE, "_to") - 1
+    slots = (ranges.join(sources.select("src", "blocks"), "src").repartition(partitions, "src", "shard", "start")
+             .select("src", "shard", "blocks", F.explode(F.sequence("start", last)).alias("slot")))
     turn = F.floor(F.col("slot") / F.col("blocks"))
     return slots.withColumn("pass", turn.cast("int")).select(
         "src", "shard", "slot", "pass",
