@@ -131,7 +131,8 @@ def contamination_report(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``df`` without the documents that contain an item."""
-    bad = contained_items(df, benchmark).select("k1", "k2").distinct()
+    # a stored table: its size is known when the join is planned
+    bad = store(contained_items(df, benchmark).select("k1", "k2").distinct(), "contaminated")
     return df.select(whole_row(df), *_keys()).join(bad, ["k1", "k2"], "left_anti").select("_row.*")
 
 
@@ -141,7 +142,7 @@ def oracle() -> str:
         return f"""
   SELECT DISTINCT {key}, s FROM (
     SELECT {key}, unnest(CASE WHEN len(w) >= 5
-        THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+        THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
     FROM (SELECT {key}, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                            '[^\\x20\\x09-\\x0D]+') AS w FROM {table}))"""

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import store
+
 #: Fixed lists of tags and of the words in classes and ids.
 SKIPPED_TAGS = set("nav footer aside form button select menu dialog svg math object audio video canvas map".split())
 RAW_TAGS = "script style title textarea noscript template iframe xmp noembed noframes head".split()
@@ -233,6 +235,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_texts(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text (empty if none), n_chars."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    rows = rows.join(host_paths(pages).select("host", "path"), "host", "left")
+    # a stored table: its size is known when the join is planned, so that a few
+    # hosts are broadcast and the pages of a hot one stay where they are
+    won = store(host_paths(pages).select("host", "path"), "host-paths")
+    rows = rows.join(won, "host", "left")
     return rows.select("page_id", "url", "html", "path").mapInArrow(
         _texts, "page_id long, url string, text string, n_chars long")

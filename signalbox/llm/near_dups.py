@@ -245,9 +245,37 @@ def duplicate_report(df: DataFrame) -> DataFrame:
 def keep_one(df: DataFrame) -> DataFrame:
     """``df`` without the documents that are not the first of their component;
     of repeated rows of a kept document one stays."""
-    gone = link_components(df).where("not kept").select("rid").distinct()
+    # a stored table: its size is known when the join is planned
+    gone = store(link_components(df).where("not kept").select("rid").distinct(), "near-gone")
     rows = df.select(whole_row(df), _rid().alias("rid")).join(gone, "rid", "left_anti")
     if not df.groupBy(_rid().alias("rid")).count().where("count > 1").isEmpty():
         first = Window.partitionBy("rid").orderBy("_row.text")
         rows = rows.withColumn("n", F.row_number().over(first)).where("n = 1")
     return rows.select("_row.*")
+
+
+def oracle() -> str:
+    """DuckDB SQL for ``duplicate_report`` over documents: all pairs that share
+    a shingle, exact similarity, and reachability."""
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_have
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM shared JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+  WHERE 100 * both_have >= {PERCENT} * (p.n + q.n - both_have)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT edge.b, reach.r FROM reach JOIN edge ON edge.a = reach.doc_id)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
+"""

@@ -40,4 +40,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The other operators hash, learn or tokenize; tests hold them against brute force."""
-    return {"op9_decontamination": decontamination.oracle()}
+    return {"op5_near_dedup": near_dups.oracle(), "op9_decontamination": decontamination.oracle()}
