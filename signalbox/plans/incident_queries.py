@@ -9,17 +9,16 @@ from pyspark.sql import functions as F
 from ..constants import ALERT_OPERATOR_CODES, EXTRA_OPERATORS
 from ..operators import incidents as I
 from ..session import materialize, run_root
-from ..sources.documents import incident_messages, operator_pages
 from ..sources.html import extract_html_table, table_columns
-from ..sources.tables import Tables
 from ..sources.xml_docs import parse_incidents
 from ..streaming.incidents import read_outbox
+from .captures import capture
 
 OP_COLUMNS = ["Operator", "Code", "Passenger satisfaction[1]"]
 
 
 def _details(spark, sf_dir):
-    return I.incident_details(parse_incidents(incident_messages(Tables(spark, sf_dir))))
+    return I.incident_details(parse_incidents(capture(spark, sf_dir, "incident_messages")))
 
 
 def _good(spark, sf_dir):
@@ -32,7 +31,7 @@ def _flat(spark, sf_dir, stage: bool = False):
 
 
 def incident_xml_parse(spark, sf_dir):
-    d = parse_incidents(incident_messages(Tables(spark, sf_dir)))
+    d = parse_incidents(capture(spark, sf_dir, "incident_messages"))
     return d.select(F.col("message_key").alias("message_version"),
                     F.col("msg._corrupt_record").isNotNull().alias("is_malformed"),
                     F.get(F.col("msg.Version"), 0).alias("parsed_version"))
@@ -66,7 +65,7 @@ def incident_quarantine(spark, sf_dir):
 
 
 def _op_rows(spark, sf_dir):
-    rows = extract_html_table(operator_pages(Tables(spark, sf_dir)), "wikitable", 0)
+    rows = extract_html_table(capture(spark, sf_dir, "operator_pages"), "wikitable", 0)
     return table_columns(rows, OP_COLUMNS)
 
 

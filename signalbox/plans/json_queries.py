@@ -7,31 +7,28 @@ from pyspark.sql import functions as F
 from ..operators import extract as X
 from ..schemas import SERVICE, STATION_SEARCH
 from ..sources import json_docs as J
-from ..session import materialize
-from ..sources.documents import order_services, service_documents, station_search_documents
-from ..sources.tables import Tables
+from .captures import capture
 
 
-def _services(spark, sf_dir, orders=None):
-    return J.parse_json(service_documents(Tables(spark, sf_dir), orders), SERVICE)
+def _services(spark, sf_dir):
+    return J.parse_json(capture(spark, sf_dir, "service_documents"), SERVICE)
 
 
-def _good_services(spark, sf_dir, orders=None):
-    good, _ = J.split_fetch_errors(_services(spark, sf_dir, orders), "Service")
+def _good_services(spark, sf_dir):
+    good, _ = J.split_fetch_errors(_services(spark, sf_dir), "Service")
     return good
 
 
-def _journeys(spark, sf_dir, orders=None):
-    docs = station_search_documents(Tables(spark, sf_dir), orders)
-    return J.journeys(J.parse_json(docs, STATION_SEARCH))
+def _searches(spark, sf_dir):
+    return J.parse_json(capture(spark, sf_dir, "station_searches"), STATION_SEARCH)
+
+
+def _journeys(spark, sf_dir):
+    return J.journeys(_searches(spark, sf_dir))
 
 
 def _flat(spark, sf_dir):
-    """Both document sets render from one staged per-order table; the service
-    documents are read twice (repeats are found first) and so are written."""
-    orders = materialize(order_services(Tables(spark, sf_dir)), "order-services")
-    services = materialize(_good_services(spark, sf_dir, orders), "services")
-    return X.relevant_fields(_journeys(spark, sf_dir, orders), services)
+    return X.relevant_fields(_journeys(spark, sf_dir), _good_services(spark, sf_dir))
 
 
 def services_json(spark, sf_dir):
@@ -44,9 +41,7 @@ def services_json(spark, sf_dir):
 
 def fetch_errors_split(spark, sf_dir):
     """Errors of both kinds of documents, fetched for a service or a station."""
-    orders = order_services(Tables(spark, sf_dir))
-    searches = J.parse_json(station_search_documents(Tables(spark, sf_dir), orders), STATION_SEARCH)
-    sides = {"Service": _services(spark, sf_dir, orders), "Station": searches}
+    sides = {"Service": _services(spark, sf_dir), "Station": _searches(spark, sf_dir)}
     out = [J.split_fetch_errors(docs, key)[1].select(F.lit(key).alias("fetched"), "error", F.col(key).alias("fetch_key"))
            for key, docs in sides.items()]
     return out[0].unionByName(out[1])

@@ -19,13 +19,13 @@ from ..operators.keys import assign_ids
 from ..functions import cleaning as C
 from ..functions import timestamps as TS
 from ..operators import normalize as N
-from ..sources.binding import (raw_service_rows, service_rows, valid_code_list,
-                               valid_code_rows)
+from ..sources.binding import service_rows, valid_code_list, valid_code_rows
 from ..session import materialize
 from ..sources.documents import code_pages
 from ..sources.html import extract_html_table, table_columns
 from ..sources.tables import Tables
 from . import incident_queries, io_queries, json_queries, oracle, stream_queries
+from .captures import capture
 from .services import TABLES, star_schema, star_schema_from_tables
 from .store import services_store
 from .wide_view import wide_services
@@ -89,7 +89,7 @@ KEYS = ["service_uid", "l_partkey", "l_suppkey"]
 
 def _raw(spark, sf_dir):
     """The extract's raw rows (as the extract step leaves them)."""
-    return raw_service_rows(Tables(spark, sf_dir))
+    return capture(spark, sf_dir, "raw_services")
 
 
 def _published_codes(t: Tables):

@@ -26,7 +26,7 @@ INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 _OPENED: dict[str, ServiceTables] = {}
 
 
-def _digest(spark: SparkSession, sf_dir: str) -> str:
+def inputs_digest(spark: SparkSession, sf_dir: str) -> str:
     """Names the input files, their sizes and times, as their file system has them."""
     stamps = [sf_dir]
     for table in INPUTS:
@@ -39,7 +39,7 @@ def _digest(spark: SparkSession, sf_dir: str) -> str:
 
 
 def services_store(spark: SparkSession, sf_dir: str) -> ServiceTables:
-    root = f"{run_root(spark)}/store-{_digest(spark, sf_dir)}"
+    root = f"{run_root(spark)}/store-{inputs_digest(spark, sf_dir)}"
     tables = _OPENED.get(root)
     if tables is None:
         if not path_exists(spark, root):

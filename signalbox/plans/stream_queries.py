@@ -9,11 +9,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import run_root
-from ..sources.documents import incident_messages
-from ..sources.tables import Tables
 from ..sources.xml_docs import parse_incidents
 from ..streaming.incidents import incident_stream, read_outbox, run_incident_stream
 from . import incident_queries as IQ
+from .captures import capture
 
 RESTART_CUTOFF = "1998-01-01"
 
@@ -24,7 +23,7 @@ def _base(spark) -> str:
 
 def _deliver(spark, sf_dir, landing: str, where=None) -> None:
     """Write the messages (optionally a slice) as new files in the landing folder."""
-    msgs = incident_messages(Tables(spark, sf_dir))
+    msgs = capture(spark, sf_dir, "incident_messages")
     if where is not None:
         msgs = msgs.where(where)
     msgs.select("value").hint("rebalance").write.mode("append").text(landing)
