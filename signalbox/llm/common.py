@@ -99,10 +99,9 @@ def bit_table(values: DataFrame, bits: int) -> np.ndarray:
     v = F.col(values.columns[0])
     places = F.array(v % bits, F.shiftright(v, bits.bit_length() - 1) % bits)
     words = (values.select(F.explode(places).alias("s")).groupBy(F.floor(F.col("s") / 64).alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).collect())
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).toArrow())
     table = np.zeros(bits // 64, np.int64)
-    for w, b in words:
-        table[w] = b
+    table[words["w"].to_numpy()] = words["b"].to_numpy()
     return table
 
 

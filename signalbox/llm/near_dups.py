@@ -47,7 +47,7 @@ ESTIMATE = LEAST / K
 #: Rows of a block of a list; pairs per copy of a hot set.
 BLOCK, PAIRS_PER_COPY = 512, 512
 #: Bits of the table of wanted class ids.
-BITS = 1 << 23
+BITS = 1 << 21
 
 _SETS = "rid long, doc_id long, n long, key1 long, key2 long, sketch array<long>"
 

@@ -140,7 +140,7 @@ def _gradient(net: Net, texts: list[np.ndarray], y: np.ndarray, weight: np.ndarr
     at = r.argmax(1)
     cell_max = np.take_along_axis(r, at[:, None], 1)[:, 0]
     z, (pooled, starts, pair, x, h, n, mean, top) = _head(net, cell_max, counts)
-    dz = ((1 / (1 + np.exp(-z)) - y) * weight).astype(np.float32) / len(y)
+    dz = ((1 / (1 + np.exp(-z)) - y) * weight).astype(np.float32)
     both = np.concatenate([mean, top], 1)
     g_out, g_obias = both.T @ dz, dz.sum(keepdims=True)
     dboth = dz[:, None] * net.out
@@ -181,6 +181,13 @@ def _short_slices(data: list[bytes], y: np.ndarray, r: np.random.Generator) -> t
     return more, np.array(kind)
 
 
+def _groups(cells: list[np.ndarray], pick: np.ndarray) -> Iterator[np.ndarray]:
+    """A batch in parts of about ``GROUP_BYTES``, which bounds what a step holds."""
+    size = np.cumsum([len(cells[i]) for i in pick]) * CELL // GROUP_BYTES
+    for part in np.unique(size):
+        yield pick[size == part]
+
+
 def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Net:
     """Adam over whole texts and one short slice of each; both labels weigh the same in all."""
     net, r = Net.start(seed), np.random.default_rng(seed)
@@ -197,7 +204,10 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Net:
         order = r.permutation(len(cells))
         for a in range(0, len(order), BATCH):
             pick = order[a:a + BATCH]
-            grads = _gradient(Net(*params), [cells[i] for i in pick], y[pick], weight[pick])
+            grads = [np.zeros_like(p) for p in params]
+            for part in _groups(cells, pick):
+                for g, more in zip(grads, _gradient(Net(*params), [cells[i] for i in part], y[part], weight[part]), strict=True):
+                    g += more / len(pick)
             step += 1
             rate = RATE * (1 - 0.9 * step / total)
             for p, g, mi, vi in zip(params, grads, m, v, strict=True):

@@ -182,7 +182,7 @@ class TextEncoder:
     are encoded whole.
     """
 
-    KEPT, LONGEST, JOINED = 250_000, 12, 256
+    KEPT, LONGEST, JOINED = 150_000, 12, 256
 
     def __init__(self, path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core
@@ -237,7 +237,7 @@ def _encoder(path: str | None) -> TextEncoder:
     return TextEncoder(path)
 
 
-def _groups(rows: Iterator[tuple], most: int = 1 << 19) -> Iterator[list[tuple]]:
+def _groups(rows: Iterator[tuple], most: int = 1 << 18) -> Iterator[list[tuple]]:
     """Successive (doc_id, text) rows of together about ``most`` characters."""
     out, chars = [], 0
     for row in rows:
