@@ -3,17 +3,21 @@
 High-recall generators propose spans, which may overlap: addresses with an at
 sign or one spelled out, groups of digits with any usual separators, grouped
 account codes. Each candidate gets features of its format (digits, groups,
-checks such as Luhn) and of its context (characters and words around). Boosted
-trees learn, from a bounded sample, how the base rules' finds differ from the
-other candidates; probabilities are calibrated on a part that the trees did not
-see, and each kind's threshold is the least at which the calibration part keeps
+checks such as Luhn) and of its context (characters and words around). A
+candidate's label is 1 where a base rule finds the very span or where it passes
+a check that the base rules do not have: an account code its mod 97, an address
+a plausible domain behind a clear at, a number of 7 to 15 digits a phone word
+before it. Boosted trees learn from a bounded sample and from ``EXAMPLES`` made
+texts of every kind, so that a kind which is rare in the table is known as well;
+probabilities are calibrated on a part that the trees did not see, and each
+kind's threshold is the least at which the calibration part keeps
 ``PRECISION``. A candidate at or above it that overlaps no base span is added.
 
 The base spans (email, ip, card, phone by their fixed rules) always stay. All
 scans take time in proportion to the text. The sample: candidates of the
 ``SAMPLE_DOCS`` documents with the least hash of their id, of at most
 ``SAMPLE_CHARS`` characters, and ``SAMPLE_ROWS`` candidates of those at most.
-Without candidates of both sorts nothing is added.
+The made texts come from a fixed seed.
 
 Null text is empty. Repeated rows each get their result; extra columns are
 ignored; an empty table gives no rows.
@@ -22,6 +26,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -35,6 +40,7 @@ SAMPLE_DOCS = 6000
 SAMPLE_CHARS = 1 << 15
 SAMPLE_ROWS = 40_000
 PRECISION = 0.98
+EXAMPLES = 600
 
 #: Base kinds in order, and the kinds that the method adds.
 KINDS = ["email", "ip", "card", "phone"]
@@ -114,8 +120,11 @@ _ANY_DIGIT = re.compile("[0-9]")
 _AT = re.compile(r"[^\s@<>\"'(),;:]{1,64}+@[^\s@<>\"'(),;:]{2,255}+")
 _SPELLED = re.compile(r"(?<![\w.+-])[\w.+-]{1,64}+ ?(?:\(at\)|\[at\]|\{at\}| at ) ?[\w-]{1,63}+"
                       r"(?: ?(?:\(dot\)|\[dot\]|\{dot\}| dot |\.) ?[\w-]{1,63}+){1,6}", re.I)
+#: As above, but a plain dot stands without spaces: the end of a sentence ends the address.
+_SPELLED_TIGHT = re.compile(r"(?<![\w.+-])[\w.+-]{1,64}+ ?(?:\(at\)|\[at\]|\{at\}| at ) ?[\w-]{1,63}+"
+                            r"(?:(?: ?(?:\(dot\)|\[dot\]|\{dot\}) ?| dot |\.)[\w-]{1,63}+){1,6}", re.I)
 _NUMBER = re.compile(r"(?<![0-9])\+?\(?[0-9]++(?:[ ().\-/]{1,3}+[0-9]++)*+")
-_CODE = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_CODE = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))")
 
 
 def candidates(text: str) -> list[tuple[str, int, int]]:
@@ -129,7 +138,8 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
             out.append(("at", m.start(), end))
     low = text.lower()
     if any(w in low for w in ("(at)", "[at]", "{at}", " at ")) and any(w in low for w in ("dot", ".")):
-        out += [("at", *m.span()) for m in _SPELLED.finditer(text) if re.search(r"\W(?:at|dot)\W", m[0], re.I)]
+        spelled = {m.span() for rule in (_SPELLED, _SPELLED_TIGHT) for m in rule.finditer(text) if re.search(r"\W(?:at|dot)\W", m[0], re.I)}
+        out += [("at", *span) for span in sorted(spelled)]
     for m in _NUMBER.finditer(text):
         n = len(_digits(m[0])) if m.end() - m.start() < 80 else 99
         if 7 <= n <= 24:
@@ -137,13 +147,54 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
             if m[0][0] == "+" or m[0][0] == "(":
                 inner = m.start() + 1
                 out.append(("digits", inner, m.end()))
-    out += [("code", *m.span()) for m in _CODE.finditer(text)]
+    for m in _CODE.finditer(text):
+        # a word in capitals may follow the code: every end of a group is an end
+        ends = [m.start(1) + g.start() for g in re.finditer(" ", m[1])] + [m.end(1)]
+        out += [("code", m.start(1), end) for end in ends if len(text[m.start(1):end].replace(" ", "")) >= 15]
     return out
 
 
+_AT_SIGN = re.compile(r"@|\(at\)|\[at\]|\{at\}| at ", re.I)
+_CLEAR_DOT = re.compile(r" ?(?:\(dot\)|\[dot\]|\{dot\}) ?| dot ", re.I)
+_LABELS = re.compile(r"(?:(?!-)[\w-]{1,63}(?<!-)\.)+[^\W\d_]{2,24}")
+_CUE = re.compile(r"\b(?:tele)?(?:phones?|tel|call|mobile|mob|cell|fax|sms|whatsapp|dial|hotline|contact)\b[^0-9]{0,20}\Z", re.I)
+_DATE = re.compile(r"(?:19|20)[0-9]{2}[-/.][0-9]{2}[-/.][0-9]{2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2}")
+
+
+def mod97(code: str) -> bool:
+    """Whether an account code is of an IBAN's length and its check digits hold."""
+    c = code.replace(" ", "")
+    return 15 <= len(c) <= 34 and int("".join(str(int(x, 36)) for x in c[4:] + c[:4])) % 97 == 1
+
+
+def plausible(address: str) -> bool:
+    """One clear at, and a domain whose last label has letters only. A bare ' at ' needs a spelled dot."""
+    parts = _AT_SIGN.split(address)
+    if len(parts) != 2 or not parts[0].strip():
+        return False
+    domain = parts[1].strip()
+    if " at " in address.lower() and not _CLEAR_DOT.search(domain):
+        return False
+    return _LABELS.fullmatch(_CLEAR_DOT.sub(".", domain)) is not None
+
+
+def cued(text: str, start: int, end: int) -> bool:
+    """A number like a phone's (no date, whole brackets) with a phone word shortly before it."""
+    s = text[start:end]
+    return (7 <= len(_digits(s)) <= 15 and s.count("(") == s.count(")") and not _DATE.match(s) and text[max(0, start - 1):start] not in ("+", "(")
+            and _CUE.search(text, max(0, start - 32), start) is not None)
+
+
+def passes(text: str, kind: str, start: int, end: int) -> bool:
+    """The check of the candidate's kind that no base rule has."""
+    if kind == "digits":
+        return cued(text, start, end)
+    return (mod97 if kind == "code" else plausible)(text[start:end])
+
+
 #: Words before a candidate that speak for personal data (fixed list).
 CONTEXT = ("phone", "tel", "call", "mobile", "fax", "mail", "card", "visa", "account", "iban", "ip", "address", "contact", "ssn")
-FEATURES = 22
+FEATURES = 23
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -160,7 +211,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         s[:1] == "+", "@" in s, len(local) if domain else 0, len(labels), len(labels[-1]) if labels else 0,
         bool(len(d) >= 13 and luhn(d)), len(groups) == 4 and all(len(g) < 4 and int(g) < 256 for g in groups),
         "(" in s or "[" in s, before.isalnum() or before in ("@", "+", "."), after.isalnum() or after in ("@", "%"),
-        any(w in near for w in CONTEXT), len(set(s)) / max(1, len(s))]
+        any(w in near for w in CONTEXT), len(set(s)) / max(1, len(s)), passes(text, kind, start, end)]
 
 
 class Trees(NamedTuple):
@@ -260,9 +311,35 @@ def fit(x: np.ndarray, y: np.ndarray, part: np.ndarray) -> Trees | None:
 
 
 def _labelled(text: str) -> list[tuple[list[float], int]]:
-    """Features of a text's candidates; label 1 where a base rule finds the very span."""
+    """Features of a text's candidates; label 1 where a base rule finds the very span or its own check passes."""
     base = {(s, e) for _, s, e in base_spans(text)}
-    return [(features(text, k, s, e), int((s, e) in base)) for k, s, e in candidates(text)]
+    return [(features(text, k, s, e), int((s, e) in base or passes(text, k, s, e))) for k, s, e in candidates(text)]
+
+
+def _examples() -> Iterator[str]:
+    """Made texts, the same in every run: each kind with and without what its check asks for."""
+    r = random.Random(97)
+    letters = lambda a, z: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(a, z)))
+    digits = lambda n: "".join(r.choices("0123456789", k=n))
+    around = lambda: " ".join(letters(1, 9) for _ in range(r.randint(3, 6)))
+    for i in range(EXAMPLES):
+        good = i % 2
+        at, dot = r.choice([("(at)", "(dot)"), (" (at) ", " dot "), (" [at] ", " [dot] "), ("{at}", "."), (" at ", " dot "), ("(at)", "."), ("@", ".")])
+        domain = dot.join([letters(2, 9) + "\u00fc" * (at == "@"), *([letters(2, 6)] if r.random() < 0.3 else []), letters(2, 4) if good else digits(3)])
+        yield f"{around()} {letters(2, 8)}{at}{domain} {around()}"
+        if not good:
+            yield f"{around()} at {letters(3, 9)}. {letters(3, 9)} {around()} at {letters(3, 8)}.{letters(2, 3)} {around()}"
+        gap = r.choice(["", " ", "-", " ", "."])
+        number = gap.join(["0" + digits(r.randint(2, 3)), digits(r.randint(3, 4)), digits(r.randint(3, 4))])
+        number = f"({digits(3)}) {digits(3)}-{digits(4)}" if r.random() < 0.3 else number
+        cue = r.choice(["phone", "tel.", "Tel:", "call", "call me on", "mobile", "fax", "Phone number:", "telephone"]) if good else letters(4, 8) + "x"
+        yield f"{around()} {cue} {number} {around()}"
+        body = r.choice(["", letters(4, 4).upper()]) + digits(4 * r.randint(3, 5) + r.choice([0, 0, 2, 3]))
+        country = letters(2, 2).upper()
+        check = 98 - int("".join(str(int(x, 36)) for x in f"{body}{country}00")) % 97
+        code = f"{country}{check if good else (check + r.randint(1, 90)) % 97:02d}{body}"
+        code = " ".join(code[k:k + 4] for k in range(0, len(code), 4)) if r.random() < 0.5 else code
+        yield f"{around()} {r.choice(['IBAN ', 'account ', ''])}{code} {around()}"
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,10 +356,10 @@ def train(df: DataFrame) -> Trees | None:
     ids = df.where(F.col("doc_id").isNotNull()).select("doc_id", h.alias("_h")).distinct().orderBy("_h").limit(SAMPLE_DOCS)
     rows = df.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids), "doc_id").select("_h", "text")
     got = rows.mapInArrow(_sample, "h long, x array<double>, y int").orderBy("h", "y", "x").limit(SAMPLE_ROWS).toArrow()
-    if not got.num_rows:
-        return None
-    x = np.array(got["x"].to_pylist())
-    return fit(x, got["y"].to_numpy(), (got["h"].to_numpy() % 3 == 0).astype(int))
+    made = [(i, x, y) for i, t in enumerate(_examples()) for x, y in _labelled(t)]
+    x = np.array(got["x"].to_pylist() + [m[1] for m in made], float)
+    h = np.concatenate([got["h"].to_numpy(), np.array([m[0] // 4 for m in made], np.int64)])
+    return fit(x, np.concatenate([got["y"].to_numpy(), np.array([m[2] for m in made], np.int32)]), (h % 3 == 0).astype(int))
 
 
 def spans_of(text: str, model: Trees | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

@@ -99,3 +99,27 @@ def test_odd_rows(spark):
     got = {(r.doc_id, r.n_email) for r in P.pii_report(df).collect()}
     assert got == {(None, 0), (1, 0), (2, 20000)} and P.pii_report(df).count() == 4
     assert P.pii_report(df.where("false")).count() == 0
+
+
+PLANTED = [
+    ("write to bob (at) example dot org. Then ann(at)mail.example.org waits", [("email_like", "bob (at) example dot org"), ("email_like", "ann(at)mail.example.org")]),
+    ("or eve at example dot com now", [("email_like", "eve at example dot com")]),
+    ("call me on 020 7946 0958 today", [("number_like", "020 7946 0958")]),
+    ("Phone: (227) 555-6608, thanks", [("number_like", "(227) 555-6608")]),
+    ("pay GB82 WEST 1234 5698 7654 32 soon", [("account_like", "GB82 WEST 1234 5698 7654 32")]),
+    ("DE89370400440532013000 and BE68 5390 0754 7034 CALL NO93 8601 1117 947.", [
+        ("account_like", "DE89370400440532013000"), ("account_like", "BE68 5390 0754 7034"), ("account_like", "NO93 8601 1117 947")]),
+    ("pay GB83 WEST 1234 5698 7654 32 soon", []), ("we met at home. then left at example.org 020 7946 0958", []), ("call 2024-10-01 12", []),
+]
+
+
+def test_planted_spans_of_each_added_kind_are_reported(spark):
+    ship(spark)
+    df = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    rows = [(-1 - i, t) for i, (t, _) in enumerate(PLANTED)]
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    for table in (planted, df.limit(2000).unionByName(planted)):
+        got = {r.doc_id: r.spans for r in P.pii_report(table).where("doc_id < 0").collect()}
+        for i, (t, want) in enumerate(PLANTED):
+            found = [s.split(":") for s in got[-1 - i].split(",") if s]
+            assert [(k, t[int(a):int(z)]) for k, a, z in found] == want, t
