@@ -10,8 +10,10 @@
 
 Never part of the text: scripts, styles, comments in the markup, menus, page
 headers, footers, sidebars, notices, adverts, forms and reader comments, by
-tag, role, class or id. A block is the inline content between two block-level
-tags; character references are decoded, white space becomes one space, blocks
+tag, role, class or id. A form, or a container left out by its class or id only,
+stays where it carries the page (see ``_carries``); where these names would
+leave out all text, none of them counts. A block is the inline content between
+two block-level tags; character references are decoded, white space becomes one space, blocks
 are joined by an empty line. Nothing else is dropped or cut.
 
 Null or empty html gives an empty text. Pages without a host share the empty
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import store
 
 #: Fixed lists of tags and of the words in classes and ids.
-SKIPPED_TAGS = set("nav footer aside form button select menu dialog svg math object audio video canvas map".split())
+SKIPPED_TAGS = set("nav footer aside button select menu dialog svg math object audio video canvas map".split())
 RAW_TAGS = "script style title textarea noscript template iframe xmp noembed noframes head".split()
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE_TAGS = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s "
@@ -46,6 +48,9 @@ SKIPPED_WORDS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo popup modal share sharing social comment "
     "comments disqus replies related recommended newsletter subscribe breadcrumb breadcrumbs pagination pager login "
     "signup search toolbar widget alert".split())
+#: In a class like has-sidebar or no-ads the other words tell about the page, not about the container.
+MODIFIERS = {"has", "no", "non", "with", "without"}
+READERS = {"comment", "comments", "disqus", "replies"}
 GOOD_WORDS = set("article content main post entry story text body".split())
 WEIGHTS = {"article": 1.5, "main": 1.3, "section": 0.9, "td": 0.9, "body": 0.7, "html": 0.6}
 #: Containers with less of a page's text get no vote; a vote is in thousandths.
@@ -62,20 +67,54 @@ _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 _WORD = re.compile(r"[^a-z]+")
 
 
+class Doubt(NamedTuple):
+    """A container that is left out by its name, or a form, unless it carries the page."""
+
+    words: set[str]              # the skipped words of its class and id
+    plain: bool                  # a class or id consists of skipped words only
+    article: list[int]           # one entry per article opened in it
+
+
 class Block(NamedTuple):
     text: str
     links: int                   # characters of it inside links
     inside: tuple[int, ...]      # containers around it, by number
 
 
-def _named(attrs: str) -> tuple[str, set[str], str]:
-    """(class, words of class and id, role) of a tag's attributes."""
+def _named(attrs: str) -> tuple[str, set[str], str, str]:
+    """(class, words of class and id, role, id) of a tag's attributes."""
     if "=" not in attrs:
-        return "", set(), ""
+        return "", set(), "", ""
     got = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
     cls = got.get("class", "")
     words = set(_WORD.split(f"{cls} {got.get('id', '')}".lower())) - {""} if cls or "id" in got else set()
-    return cls, words, got.get("role", "").lower()
+    return cls, words, got.get("role", "").lower(), got.get("id", "")
+
+
+def _skipped_words(cls: str, ident: str) -> tuple[set[str], bool]:
+    """The skipped words of a class and id, and whether one name has no other words."""
+    found: set[str] = set()
+    plain = False
+    for name in f"{cls} {ident}".lower().split():
+        words = set(_WORD.split(name)) - {""}
+        if words & SKIPPED_WORDS and not words & MODIFIERS:
+            found |= words & SKIPPED_WORDS
+            plain = plain or words <= SKIPPED_WORDS
+    return found, plain
+
+
+def _carries(d: Doubt, mine: list[int], rest: list[int]) -> bool:
+    """Whether a doubtful container holds the page's content, by (characters,
+    characters in links, paragraphs, characters in articles) in it and outside.
+    Beside an article it must have most of the text and of the paragraphs."""
+    size, links, paragraphs, article = mine
+    if d.words & READERS and rest[0] > rest[1]:
+        return False
+    if rest[3]:
+        return not d.plain and 2 * links <= size and size > rest[0] and (paragraphs > rest[2] or not paragraphs + rest[2])
+    if d.article and (article >= LEAST_SHARE * (size + rest[0]) or paragraphs >= rest[2]):
+        return True
+    return 2 * links <= size and (paragraphs > rest[2] or size >= rest[0])
 
 
 def _general(tag: str, cls: str) -> str:
@@ -86,9 +125,12 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str, set[str]]]]:
     """The page's clean blocks in order, and its containers: (path, tag, words)."""
     blocks: list[Block] = []
     containers: list[tuple[str, str, set[str]]] = []
-    stack: list[tuple[str, int, bool]] = []   # tag, container number or -1, skipped
+    stack: list[tuple[str, int, bool, bool]] = []   # tag, container number or -1, skipped, doubtful
     inside: list[int] = []
-    skipped = links = article = 0
+    doubts: list[Doubt] = []
+    doubtful: list[int] = []
+    places: list[tuple[tuple[int, ...], bool, bool]] = []   # per block: doubtful containers, in a paragraph, in an article
+    skipped = links = article = paragraph = 0
     held: list[str] = []
     linked = 0
 
@@ -98,14 +140,18 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str, set[str]]]]:
             text = " ".join("".join(held).split())
             if text:
                 blocks.append(Block(text, linked, tuple(inside)))
+                places.append((tuple(doubtful), paragraph > 0, article > 0))
             held.clear()
         linked = 0
 
     def pop() -> None:
-        nonlocal skipped, links, article
-        tag, number, skip = stack.pop()
+        nonlocal skipped, links, article, paragraph
+        tag, number, skip, doubt = stack.pop()
         skipped -= skip
         links -= tag == "a"
+        paragraph -= tag == "p"
+        if doubt:
+            doubtful.pop()
         article -= tag in ("article", "main")
         if number >= 0:
             inside.pop()
@@ -142,22 +188,49 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str, set[str]]]]:
             if depth >= 0 and stack[depth][0] == "p" or tag == "li" and depth >= 0 and stack[depth][0] == "li":
                 while len(stack) > depth:
                     pop()
-        cls, words, role = _named(attrs)
-        skip = tag in SKIPPED_TAGS or tag == "head" or role in SKIPPED_ROLES or tag not in PLAIN_TAGS and (
-            tag not in INLINE_TAGS and bool(words & SKIPPED_WORDS) and not (article and words & SKIPPED_WORDS == {"header"}))
-        skip = skip or tag == "header" and not article
+        cls, words, role, ident = _named(attrs)
+        skip = tag in SKIPPED_TAGS or tag == "head" or role in SKIPPED_ROLES or tag == "header" and not article
+        doubt = False
+        if not skip and not skipped and tag not in INLINE_TAGS and tag not in PLAIN_TAGS and (tag == "form" or words & SKIPPED_WORDS):
+            named, plain = _skipped_words(cls, ident)
+            doubt = tag == "form" or bool(named) and not (article and named == {"header"})
+            if doubt:
+                doubtful.append(len(doubts))
+                doubts.append(Doubt(named, plain, []))
+        if tag in ("article", "main") and not skip and not skipped:
+            for i in doubtful:
+                doubts[i].article.append(1)
         number = -1
         if tag in CONTAINERS and not skip and not skipped:
             path = (containers[inside[-1]][0] + ">" if inside else "") + _general(tag, cls)
             number = len(containers)
             containers.append((path, tag, words))
             inside.append(number)
-        stack.append((tag, number, skip))
+        stack.append((tag, number, skip, doubt))
         skipped += skip
+        paragraph += tag == "p"
         links += tag == "a"
         article += tag in ("article", "main")
     flush()
-    return blocks, containers
+    return _decided(blocks, places, doubts), containers
+
+
+def _decided(blocks: list[Block], places: list[tuple[tuple[int, ...], bool, bool]], doubts: list[Doubt]) -> list[Block]:
+    """The blocks outside the doubtful containers that do not carry the page; all, if none is."""
+    if not any(d for d, _, _ in places):
+        return blocks
+    total = [0] * 4
+    own = [[0] * 4 for _ in doubts]
+    for b, (inside, paragraph, article) in zip(blocks, places, strict=True):
+        n = len(b.text)
+        for sums in (total, *[own[i] for i in inside]):
+            sums[0] += n
+            sums[1] += min(b.links, n)
+            sums[2] += paragraph
+            sums[3] += n * article
+    kept = [_carries(d, mine, [t - m for t, m in zip(total, mine, strict=True)]) for d, mine in zip(doubts, own, strict=True)]
+    left = [b for b, (inside, _, _) in zip(blocks, places, strict=True) if all(kept[i] for i in inside)]
+    return left or blocks
 
 
 def scores(page: str) -> dict[str, int]:

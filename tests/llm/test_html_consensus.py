@@ -50,6 +50,20 @@ def test_templates(page):
     assert H.extract(page, None) == WANT
 
 
+@pytest.mark.parametrize("page", [
+    f"<body><div class='layout has-sidebar'><div class='sidebar'><p>Side words.</p></div><div class=content>{BODY}</div></div></body>",
+    f"<body><div class='container no-ads'><article>{BODY}</article></div><div class=ads><p>Buy</p></div></body>",
+    f"<body><section class='post widget-body'>{BODY}<div class='related-posts'><article><p>More</p></article></div></section></body>",
+    f"<body><div id='content-with-menu'><ul class=menu><li>Home</li></ul>{BODY}</div></body>",
+    f"<body><form id=aspnetForm><div class='menu'><p>Home</p></div><main>{BODY}</main><select><option>x</select></form></body>",
+    f"<body><form>{BODY}</form></body>", f"<div class='modal'>{BODY}</div>", f"<div class='share comments'>{BODY}</div>",
+    f"<article>{BODY}</article><div class='comment-list'>{'<p>A long reader comment on this story.</p>' * 20}</div>",
+    f"<article>{BODY}</article><div class='sidebar'>{'<p>A long teaser of another story.</p>' * 20}</div>",
+])
+def test_names_of_wrappers_do_not_drop_the_article(page):
+    assert H.extract(page, None) == WANT
+
+
 def test_consensus_overrules_a_page(spark):
     ship(spark)
     noise = "<div class='promo-free'><p>" + "Loud words everywhere. " * 40 + "</p></div>"
