@@ -6,7 +6,12 @@
 2. The scores are votes, added up per host and path in Spark (partial sums
    first, so a hot host is no hot task); the path with most votes wins.
 3. Each page is extracted again from the containers with its host's winning
-   path. A page that has none (or no text there) uses its own best container.
+   path, if they hold most of what the page's own best container holds (or
+   ``LEAST_SHARE`` of it, where that is around them). Otherwise its own best
+   container is used: the host has several templates, and the path may hold a
+   teaser only. One case is left to the host: no other page has that best path,
+   and the winning path holds as much as it usually does, so the page has its
+   article there, beside something loud.
 
 Never part of the text: scripts, styles, comments in the markup, menus, page
 headers, footers, sidebars, notices, adverts, forms and reader comments, by
@@ -22,10 +27,11 @@ host. Repeated rows are extracted each; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -55,6 +61,8 @@ GOOD_WORDS = set("article content main post entry story text body".split())
 WEIGHTS = {"article": 1.5, "main": 1.3, "section": 0.9, "td": 0.9, "body": 0.7, "html": 0.6}
 #: Containers with less of a page's text get no vote; a vote is in thousandths.
 LEAST_SHARE = 0.2
+#: A winning path is used where it holds so much of the page's own best container.
+MOST = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -233,9 +241,8 @@ def _decided(blocks: list[Block], places: list[tuple[tuple[int, ...], bool, bool
     return left or blocks
 
 
-def scores(page: str) -> dict[str, int]:
-    """Votes of a page, by container path: thousandths of the weighted share of its clean text."""
-    blocks, containers = parse(page)
+def _scored(blocks: list[Block], containers: list[tuple[str, str, set[str]]]) -> tuple[dict[str, int], dict[str, float]]:
+    """(votes, characters outside links) by container path."""
     size: dict[str, float] = defaultdict(float)
     kind: dict[str, tuple[str, set[str]]] = {}
     total = 0.0
@@ -252,20 +259,34 @@ def scores(page: str) -> dict[str, int]:
             tag, words = kind[path]
             weight = WEIGHTS.get(tag, 1.0) * (1.25 if words & GOOD_WORDS else 1.0) * (1 + 0.02 * path.count(">"))
             out[path] = round(1000 * weight * n / total)
-    return out
+    return out, size
+
+
+def scores(page: str) -> dict[str, int]:
+    """Votes of a page, by container path: thousandths of the weighted share of its clean text."""
+    return _scored(*parse(page))[0]
 
 
 def best_path(votes: dict[str, int]) -> str | None:
     return min(votes, key=lambda p: (-votes[p], p)) if votes else None
 
 
-def extract(page: str | None, path: str | None) -> str:
-    """The text of the containers with the path, or of the page's own best; a page without containers: all blocks."""
+def _number(path: str) -> int:
+    return int.from_bytes(hashlib.blake2b(path.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def extract(page: str | None, path: str | None, usual: float | None = None, shared: Iterable[int] = ()) -> str:
+    """The text of the containers with the path, or of the page's own best; a page without containers: all blocks.
+    ``usual``: the mean of the host's characters at the path; ``shared``: the best paths that several pages have."""
     blocks, containers = parse(page or "")
-    own = None
-    for attempt in (path, False):
-        if attempt is False:
-            own = attempt = best_path(scores(page or ""))
+    votes, size = _scored(blocks, containers)
+    own = best_path(votes)
+    if path is not None and own is not None and path != own:
+        around = path.startswith(own + ">")
+        if size.get(path, 0) < (LEAST_SHARE if around else MOST) * size[own]:
+            alone = usual is not None and size.get(path, 0) >= MOST * usual and _number(own) not in shared
+            path = path if alone else own
+    for attempt in (path, own):
         if attempt is None:
             continue
         took = [b.text for b in blocks if any(containers[i][0] == attempt for i in b.inside)]
@@ -280,27 +301,31 @@ def host_of(url: Column) -> Column:
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        hosts, paths, votes = [], [], []
+        rows = []
         for host, page in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            for path, v in scores(page.as_py() or "").items():
-                hosts.append(host)
-                paths.append(path)
-                votes.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.int64())],
-                                         ["host", "path", "vote"])
+            votes, size = _scored(*parse(page.as_py() or ""))
+            own = best_path(votes)
+            rows += [(host, path, v, int(size[path]), int(path == own), _number(path)) for path, v in votes.items()]
+        kinds = [pa.string(), pa.string(), *[pa.int64()] * 4]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
+                                         ["host", "path", "vote", "size", "best", "number"])
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): the winning path of every host; ties go to the path first in order."""
-    votes = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(_votes, "host string, path string, vote long")
-    total = votes.groupBy("host", "path").agg(F.sum("vote").alias("votes"))
-    won = total.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("n"), "path")).alias("w"))
-    return won.select("host", F.col("w.path").alias("path"), (-F.col("w.n")).alias("votes"))
+    """(host, path, votes, usual, shared): the winning path of every host, ties go to the path first in order; the mean
+    of the characters there; numbers of the paths that are the best of several pages."""
+    votes = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
+        _votes, "host string, path string, vote long, size long, best long, number long")
+    total = votes.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.avg("size").alias("usual"), F.sum("best").alias("best"),
+                                              F.first("number").alias("number"))
+    won = total.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("n"), "path", "usual")).alias("w"),
+                                    F.collect_list(F.when(F.col("best") > 1, F.col("number"))).alias("shared"))
+    return won.select("host", F.col("w.path").alias("path"), (-F.col("w.n")).alias("votes"), F.col("w.usual").alias("usual"), "shared")
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [extract(h.as_py(), p) for h, p in zip(b.column(2), b.column(3).to_pylist(), strict=True)]
+        texts = [extract(h.as_py(), p, u, s or ()) for h, p, u, s in zip(b.column(2), *[b.column(i).to_pylist() for i in (3, 4, 5)], strict=True)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()),
                                           pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
@@ -310,7 +335,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
     # a stored table: its size is known when the join is planned, so that a few
     # hosts are broadcast and the pages of a hot one stay where they are
-    won = store(host_paths(pages).select("host", "path"), "host-paths")
+    won = store(host_paths(pages).drop("votes"), "host-paths")
     rows = rows.join(won, "host", "left")
-    return rows.select("page_id", "url", "html", "path").mapInArrow(
+    return rows.select("page_id", "url", "html", "path", "usual", "shared").mapInArrow(
         _texts, "page_id long, url string, text string, n_chars long")

@@ -77,6 +77,20 @@ def test_consensus_overrules_a_page(spark):
     assert won.path.endswith("div.c")
 
 
+def test_pages_of_a_minority_template_keep_their_article(spark):
+    ship(spark)
+    page = lambda i: f"<body><div class='content'><p>Text {i} of this page, some words long.</p><p>And some more of them.</p></div></body>"
+    other = lambda i: f"<body><div class='content'><p>A teaser.</p></div><div class='story'><p>{f'Story {i} in full. ' * 20}</p></div></body>"
+    rows = [(i, "https://x.example.org/a", page(i)) for i in range(20)] + [(100, "https://y.example.org/", other(100))]
+    rows += [(i, "https://x.example.org/b", other(i)) for i in range(100, 103)]
+    rows += [(200 + i, "https://z.example.org/", page(i)) for i in range(20)] + [(300, "https://z.example.org/", other(300))]
+    got = {r.page_id: r.text for r in H.main_texts(spark.createDataFrame(rows, PAGE)).collect()}
+    assert H.host_paths(spark.createDataFrame(rows, PAGE)).where("path like '%content'").count() == 2
+    for i in (*range(100, 103), 300):
+        assert f"Story {i} in full." in got[i], i
+    assert all("And some more" in got[i] for i in (*range(20), *range(200, 220)))
+
+
 def test_odd_rows(spark):
     ship(spark)
     rows = [(1, None, None), (1, None, None), (2, "not a url", ""), (None, "https://a.b/", "plain text & <b>more</b>"), (4, "https://a.b/", "<p>"),
