@@ -8,8 +8,11 @@ in one window, and window and item are of comparable size. Windows and items
 are sketched by their ``K`` least shingle hashes; a window is a candidate for
 an item when the sketches share a value and the share of the item's retained
 values in the window's range, less ``SLACK`` standard errors, may reach
-``CONTAINED``. Candidates are verified by exact shingle containment of the
-item in the whole document.
+``CONTAINED``. An item's pieces may stand far apart, so its retained values are
+also counted over the whole document, and a document that has so many of them
+that the share, less the same slack, may reach ``CONTAINED`` is a candidate as
+well. Candidates are verified by exact shingle containment of the item in the
+whole document.
 
 A bit table of fixed size (``BITS``; two bits a value) of the benchmark's
 shingles goes along with the scan, so documents hand on only the values that
@@ -117,7 +120,12 @@ def contained_items(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = met.join(items.select("item", "sketch"), "item")
     tried = F.size(F.filter("sketch", lambda v: v <= F.col("reach")))
     slack = F.lit(SLACK) * F.sqrt(F.lit(CONTAINED * (1 - CONTAINED)) / tried)
-    likely = met.where(F.col("both") / tried >= F.lit(CONTAINED) - slack).select(*keys, "item").distinct()
+    likely = met.where(F.col("both") / tried >= F.lit(CONTAINED) - slack).select(*keys, "item")
+    scattered = found.select(*keys, F.explode("hits").alias("v")).join(listed.select("item", "v"), "v").groupBy(*keys, "item").agg(
+        F.count(F.lit(1)).alias("both")).join(items.select("item", F.size("sketch").alias("tried")), "item")
+    slack = F.lit(SLACK) * F.sqrt(F.lit(CONTAINED * (1 - CONTAINED)) / F.col("tried"))
+    scattered = scattered.where(F.col("both") / F.col("tried") >= F.lit(CONTAINED) - slack).select(*keys, "item")
+    likely = likely.unionByName(scattered).distinct()
     pairs = likely.join(found.select(*keys, "doc_id", "hits"), keys).join(items.select("item", "item_id", "n", "whole"), "item")
     shared = F.size(F.array_intersect("hits", "whole")).cast("long")
     return (pairs.select(*keys, "doc_id", "item_id", F.col("n").alias("item_shingles"), shared.alias("shared"))

@@ -173,3 +173,17 @@ def test_a_linked_pair_is_missed_less_than_once_in_a_hundred_thousand():
     from math import comb
     miss = sum(comb(near_dups.K, i) * 0.85 ** i * 0.15 ** (near_dups.K - i) for i in range(near_dups.LEAST))
     assert miss < 1e-5
+
+
+def test_an_item_in_distant_pieces_is_found(spark):
+    item = [f"item{i}" for i in range(59)]
+    fill = lambda k: [f"fill{k}x{i}" for i in range(400)]
+    pieces = [*fill(0), *item[:20], *fill(1), *item[20:40], *fill(2), *item[40:], *fill(3)]
+    half = [*fill(4), *item[:20], *fill(5), *item[40:]]
+    long = [f"long{i}" for i in range(1000)]
+    spread = [w for k in range(10) for w in [*long[100 * k:100 * k + 100], *fill(10 + k), *fill(20 + k), *fill(30 + k), *fill(40 + k), *fill(50 + k), *fill(60 + k)]]
+    df = spark.createDataFrame([(1, " ".join(pieces)), (2, " ".join(half)), (3, " ".join(spread))], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(long))], "item_id long, text string")
+    got = {tuple(r)[:4] for r in decontamination.contamination_report(df, bench).collect()}
+    assert got == {(1, 7, 55, 47), (3, 8, 996, 960)}
+    assert [r.doc_id for r in decontamination.drop_contaminated(df, bench).collect()] == [2]
