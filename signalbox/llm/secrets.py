@@ -10,7 +10,8 @@ code points of each other in the document:
 
 Identifiers are access and account spans, secret parts are assign, hex and
 secret spans. Parts meet in an interval join on (document, bin of SCOPE code
-points), so a document with many candidates is dealt over its bins.
+points), so a document with many candidates is dealt over its bins. All pairs
+in scope count; the nearest identifier of a secret part only names its credential.
 
 Spans are code points, end exclusive. They come from the matches and the gaps
 between them (``regexp_extract_all`` and ``split`` by the same pattern).
@@ -94,16 +95,21 @@ def _near(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, ["_k1", "_k2", "_bin"]).where(gap <= SCOPE).withColumn("gap", gap).drop("_bin")
 
 
-def linked(spans: DataFrame) -> DataFrame:
-    """Credentials: each secret part with its nearest identifier in scope:
-    secret_kind, start, end, id_kind, id_start, id_end. One row per secret part
-    that has one; an account or secret span that overlaps its partner does not count."""
+def pairs(spans: DataFrame) -> DataFrame:
+    """Every secret part (kind, start, end) with every identifier in scope (r_kind, r_start, r_end) and their gap.
+    An account or secret span that overlaps its partner does not count; pairs may repeat."""
     ids = spans.where(F.col("kind").isin(_numbers(IDENTIFIERS)))
     secrets = spans.where(F.col("kind").isin(_numbers(SECRETS)))
     apart = (F.col("end") <= F.col("r_start")) | (F.col("r_end") <= F.col("start"))
-    pairs = _near(secrets, ids).where(apart)
+    return _near(secrets, ids).where(apart)
+
+
+def linked(spans: DataFrame) -> DataFrame:
+    """Credentials: each secret part with its nearest identifier in scope:
+    secret_kind, start, end, id_kind, id_start, id_end. One row per secret part
+    that has one."""
     best = F.min(F.struct("gap", "r_start", "r_kind", "r_end")).alias("b")
-    return pairs.groupBy("_k1", "_k2", F.col("kind").alias("secret_kind"), "start", "end").agg(best).select(
+    return pairs(spans).groupBy("_k1", "_k2", F.col("kind").alias("secret_kind"), "start", "end").agg(best).select(
         "_k1", "_k2", "secret_kind", "start", "end", F.col("b.r_kind").alias("id_kind"),
         F.col("b.r_start").alias("id_start"), F.col("b.r_end").alias("id_end"))
 
@@ -111,12 +117,15 @@ def linked(spans: DataFrame) -> DataFrame:
 def reported_weak(spans: DataFrame) -> DataFrame:
     """The weak spans whose complementary parts occur in scope."""
     keys = ["_k1", "_k2"]
-    links = store(linked(spans), "secret-links")
-    secret = links.where(F.col("secret_kind") >= BASE).select(*keys, F.col("secret_kind").alias("kind"), "start", "end")
-    account = links.where(F.col("id_kind") >= BASE).select(
-        *keys, F.col("id_kind").alias("kind"), F.col("id_start").alias("start"), F.col("id_end").alias("end"))
-    whole = links.select(*keys, F.lit(0).alias("kind"), F.least("start", "id_start").alias("start"),
-                         F.greatest("end", "id_end").alias("end"))
+    met = store(pairs(spans), "secret-pairs")
+    # all pairs of a secret part have it in common, so that what is in scope of
+    # one of them is in scope of the stretch from the first to the last
+    links = store(met.groupBy(*keys, "kind", "start", "end").agg(
+        F.least("start", F.min("r_start")).alias("first"), F.greatest("end", F.max("r_end")).alias("last")), "secret-links")
+    secret = links.where(F.col("kind") >= BASE).select(*keys, "kind", "start", "end")
+    account = met.where(F.col("r_kind") >= BASE).select(
+        *keys, F.col("r_kind").alias("kind"), F.col("r_start").alias("start"), F.col("r_end").alias("end"))
+    whole = links.select(*keys, F.lit(0).alias("kind"), F.col("first").alias("start"), F.col("last").alias("end"))
     ends = _near(spans.where(F.col("kind") == NAMES.index("endpoint")), whole)
     return (secret.unionByName(account).unionByName(ends.select(*keys, "kind", "start", "end"))
             .select(*keys, "kind", "start", "end").distinct())
