@@ -77,3 +77,15 @@ def test_every_message_is_stored_rejected_or_quarantined(spark, tmp_path, operat
     assert (stored, sorted(r["reject_reason"] for r in rejects), quarantine) == \
         (1, ["missing: incident_version", "missing: priority_id"], 2)
     assert read_outbox(spark, f"{tmp_path}/tables/outbox").count() == 1
+
+
+def test_dedupe_redelivers_every_message_in_a_later_epoch(spark, monkeypatch):
+    from signalbox.plans import stream_queries as SQ
+    steps = []
+    monkeypatch.setattr(SQ, "_base", lambda spark: "base")
+    monkeypatch.setattr(SQ, "_operators", lambda *a: "operators")
+    monkeypatch.setattr(SQ, "_deliver", lambda spark, sf_dir, landing, where=None: steps.append("all" if where is None else "part"))
+    monkeypatch.setattr(SQ, "run_incident_stream", lambda *a: steps.append("run"))
+    with pytest.raises(Exception):
+        SQ.stream_dedupe(spark, "none").count()   # nothing is written
+    assert steps == ["all", "all", "run", "all", "run"]
