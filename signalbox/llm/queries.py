@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators."""
+"""Registered queries of the thirteen operators."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontamination, fingerprints, html_consensus, mixing, near_dups, pii_boost,
-               quality_cnn, secrets, sharding, wavelet)
+from . import (ball_codes, bucket_repeats, decontamination, fingerprints, html_consensus, merkle, mixing,
+               near_dups, pii_boost, quality_cnn, secrets, sharding, wavelet)
 from .ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,9 +35,13 @@ def queries() -> dict[str, Query]:
         "op8_html_extraction": _on(html_consensus.main_texts, "pages"),
         "op9_decontamination": _on(decontamination.contamination_report, "documents", "benchmark"),
         "op10_personal_data": _on(pii_boost.pii_report, "documents"),
+        "op11_vector_codes": _on(ball_codes.code_report, "embeddings"),
+        "op12_merkle_manifest": _on(merkle.manifest_report, "documents"),
+        "op13_suffix_dedup": _on(bucket_repeats.repeat_report, "documents"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The other operators hash, learn or tokenize; tests hold them against brute force."""
-    return {"op5_near_dedup": near_dups.oracle(), "op9_decontamination": decontamination.oracle()}
+    return {"op5_near_dedup": near_dups.oracle(), "op9_decontamination": decontamination.oracle(),
+            "op11_vector_codes": ball_codes.oracle(), "op13_suffix_dedup": bucket_repeats.oracle()}
