@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CANCELLED_DISPLAY, TERMINAL_DISPLAY
+from ..session import materialize
 from .keys import first_per_key
 
 FLAT_COLUMNS = [
@@ -50,14 +51,13 @@ def cancelled_call(locations: Column) -> Column:
                                      c["cancelReasonCode"].alias("code")))
 
 
-def destination_reached(terminal: Column, locations: Column, journey: Column) -> Column:
+def destination_reached(terminal: Column, origin_crs: Column, journey: Column) -> Column:
     """(crs, name) reached. Without terminal: the origin call's code and
     the journey's origin name; with one: the terminal's code and the
     journey's planned destination name."""
     origin_name = F.get(journey["locationDetail"]["origin"], 0)["description"]
     dest_name = F.get(journey["locationDetail"]["destination"], 0)["description"]
-    return F.when(terminal.isNull(), F.struct(first_location(locations)["crs"].alias("crs"),
-                                              origin_name.alias("name"))) \
+    return F.when(terminal.isNull(), F.struct(origin_crs.alias("crs"), origin_name.alias("name"))) \
             .otherwise(F.struct(terminal["crs"].alias("crs"), dest_name.alias("name")))
 
 
@@ -69,9 +69,8 @@ def service_facts(services: DataFrame, doc: str = "doc") -> DataFrame:
     return services.select(
         d["serviceUid"].alias("service_uid"), d["runDate"].alias("run_date"),
         d["atocName"].alias("company_name"), d["serviceType"].alias("service_type"),
-        locs.alias("locations"),
+        F.coalesce(F.size(locs), F.lit(-1)).alias("n_locations"),
         first_location(locs)["crs"].alias("origin_crs"),
-        F.to_json(d).alias("capture"),
         last_location(locs)["description"].alias("planned_final_destination"),
         last_location(locs)["crs"].alias("planned_final_crs"),
         term.alias("terminal"),
@@ -85,11 +84,13 @@ def relevant_fields(journeys: DataFrame, services: DataFrame,
     date) and project the 17 flat fields; journeys whose pairing fails a
     required field go to quarantine with a reason.
 
-    Of repeated captures of one service the first in the order of their text
-    counts, whatever order they come in; the rest are dropped before the join,
-    so k repeats do not fan out k x k.
+    Of repeated captures of one service the first by its facts, in the order of
+    their columns, counts, whatever order they come in; the rest are dropped
+    before the join, so k repeats do not fan out k x k. The facts are written
+    once (a few values of each document): documents are parsed a single time.
     """
-    facts = first_per_key(service_facts(services, doc), ["service_uid", "run_date"], ["capture"]).drop("capture")
+    facts = materialize(service_facts(services, doc), "service-facts")
+    facts = first_per_key(facts, ["service_uid", "run_date"], [])
     j = F.col(journey)
     jr = journeys.select(j.alias("journey"), *[c for c in journeys.columns if c != journey])
     jr = jr.withColumn("_uid", F.col("journey.serviceUid")).withColumn("_rd", F.col("journey.runDate"))
@@ -97,13 +98,13 @@ def relevant_fields(journeys: DataFrame, services: DataFrame,
                      "left")
     detail = F.col("journey.locationDetail")
     reason = (F.when(F.col("service_uid").isNull(), F.lit("no service document"))
-              .when(F.coalesce(F.size("locations"), F.lit(-1)) <= 0, F.lit("no locations"))
+              .when(F.col("n_locations") <= 0, F.lit("no locations"))
               .when(F.coalesce(F.size(detail["origin"]), F.lit(-1)) <= 0, F.lit("journey without origin"))
               .when(F.coalesce(F.size(detail["destination"]), F.lit(-1)) <= 0,
                     F.lit("journey without destination")))
     paired = paired.withColumn("_reason", reason)
     good = paired.where(F.col("_reason").isNull())
-    reached = destination_reached(F.col("terminal"), F.col("locations"), F.col("journey"))
+    reached = destination_reached(F.col("terminal"), F.col("origin_crs"), F.col("journey"))
     origin = F.get(detail["origin"], 0)
     dest = F.get(detail["destination"], 0)
     flat = good.select(

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ..constants import ALERT_OPERATOR_CODES, EXTRA_OPERATORS
 from ..functions.cleaning import boolean_or_null, int_or_null, percent_or_null, split_routes
 from ..functions.timestamps import iso_wallclock
-from ..sources.xml_docs import every_operator, first_descendant
 from .keys import absent_rows, assign_ids, first_per_key, max_id
 from ..session import materialize
 from .warehouse import check_required, lookup
@@ -24,35 +23,25 @@ FLAT_INCIDENT_COLUMNS = [
 
 
 def incident_details(parsed: DataFrame, msg: str = "msg") -> DataFrame:
-    """Typed scalar fields, the operator list and the route list. Every
-    scalar is the first descendant of its name, null when there is none."""
+    """Typed scalar fields, the operator list and the route list."""
     m = F.col(msg)
     others = [c for c in parsed.columns if c not in (msg, "raw")]
-
-    def first(element: str, found: Column) -> Column:
-        return first_descendant(found, element, msg)
-    period, links, affects = m["ValidityPeriod"], m["InfoLinks"], m["Affects"]
     return parsed.select(
         *others,
         m["_corrupt_record"].alias("corrupt_record"),
-        iso_wallclock(first("CreationTime", m["CreationTime"])).alias("creation_time"),
-        first("IncidentNumber", m["IncidentNumber"]).alias("incident_number"),
-        first("Version", m["Version"]).alias("version"),
-        boolean_or_null(first("Planned", m["Planned"])).alias("planned"),
-        iso_wallclock(first("StartTime", _inner(period, "StartTime"))).alias("start_time"),
-        iso_wallclock(first("EndTime", _inner(period, "EndTime"))).alias("end_time"),
-        first("Uri", _inner(_inner(links, "InfoLink"), "Uri")).alias("info_link"),
-        first("Summary", m["Summary"]).alias("summary"),
-        int_or_null(first("IncidentPriority", m["IncidentPriority"])).alias("incident_priority"),
-        F.transform(every_operator(msg), lambda o: F.struct(
+        iso_wallclock(m["CreationTime"]).alias("creation_time"),
+        m["IncidentNumber"].alias("incident_number"),
+        m["Version"].alias("version"),
+        boolean_or_null(m["Planned"]).alias("planned"),
+        iso_wallclock(m["StartTime"]).alias("start_time"),
+        iso_wallclock(m["EndTime"]).alias("end_time"),
+        m["Uri"].alias("info_link"),
+        m["Summary"].alias("summary"),
+        int_or_null(m["IncidentPriority"]).alias("incident_priority"),
+        F.transform(m["Operators"], lambda o: F.struct(
             o["OperatorRef"].alias("affected_operator_ref"),
             o["OperatorName"].alias("affected_operator_name"))).alias("operators_affected"),
-        split_routes(first("RoutesAffected", _inner(affects, "RoutesAffected"))).alias("routes_affected"))
-
-
-def _inner(containers: Column, field: str) -> Column:
-    """The field's values over all containers, in order."""
-    return F.flatten(F.filter(F.transform(containers, lambda c: c[field]), lambda x: x.isNotNull()))
+        split_routes(m["RoutesAffected"]).alias("routes_affected"))
 
 
 def split_messages(details: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -114,10 +103,29 @@ def load_operators(info: DataFrame, existing: DataFrame | None = None) -> tuple[
 
 
 # --- incident star schema (I09-I14) ---------------------------------------------
+#
+# The loads read either one row per message (``split_messages``) or flat rows;
+# the pipeline gives them messages, as flat rows are operators times routes.
+
+def _each(rows: DataFrame, array: str, field: str | None, name: str) -> DataFrame:
+    """(name, version) with one array of a message exploded, or as flat rows have it."""
+    if name in rows.columns:
+        return rows.select(name, "version")
+    x = rows.select("version", F.explode(array).alias("_x"))
+    return x.select((F.col("_x")[field] if field else F.col("_x")).alias(name), "version")
+
+
+def each_route(rows: DataFrame) -> DataFrame:
+    return _each(rows, "routes_affected", None, "route_affected")
+
+
+def each_operator(rows: DataFrame) -> DataFrame:
+    return _each(rows, "operators_affected", "affected_operator_ref", "affected_operator_ref")
+
 
-def load_priorities(flat: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def load_priorities(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Distinct priority codes."""
-    codes = flat.select(F.col("incident_priority").alias("priority_code")).where(
+    codes = rows.select(F.col("incident_priority").alias("priority_code")).where(
         F.col("priority_code").isNotNull()).distinct()
     new = absent_rows(codes, existing, ["priority_code"])
     return assign_ids(new, ["priority_code"], "priority_id", max_id(existing, "priority_id")).select(
@@ -134,27 +142,27 @@ INCIDENT_ORDER = ["creation_time", "incident_num", "start_time", "end_time", "li
                   "incident_priority", "is_planned"]
 
 
-def load_incidents(flat: DataFrame, priority: DataFrame,
+def load_incidents(rows: DataFrame, priority: DataFrame,
                    existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """One incident per version (first by creation time), priority looked
     up; rows missing a required value, the version included, are rejected with
-    a reason. ``flat`` is read more than once: hand in a written table."""
-    cand = flat.select(
+    a reason. ``rows`` is read more than once: hand in a written table."""
+    cand = rows.select(
         F.col("incident_number").alias("incident_num"), F.col("version").alias("incident_version"),
         F.col("info_link").alias("link"), "summary", "incident_priority",
-        F.col("planned").alias("is_planned"), "creation_time", "start_time", "end_time").distinct()
+        F.col("planned").alias("is_planned"), "creation_time", "start_time", "end_time")
     named = F.col("incident_version").isNotNull()
     first = first_per_key(cand.where(named), ["incident_version"], INCIDENT_ORDER)
-    j = lookup(first.unionByName(cand.where(~named)), priority, "incident_priority", "priority_code", "priority_id")
+    j = lookup(first.unionByName(cand.where(~named).distinct()), priority, "incident_priority", "priority_code", "priority_id")
     good, rejects = check_required(j, INCIDENT_REQUIRED)
     new = absent_rows(good, existing, ["incident_version"])
     out = assign_ids(new, ["incident_version"], "incident_id", max_id(existing, "incident_id"))
     return out.select(*INCIDENT_COLUMNS), rejects
 
 
-def load_routes(flat: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def load_routes(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Distinct route names."""
-    names = flat.select(F.col("route_affected").alias("route_name")).where(
+    names = each_route(rows).select(F.col("route_affected").alias("route_name")).where(
         F.col("route_name").isNotNull()).distinct()
     new = absent_rows(names, existing, ["route_name"])
     return assign_ids(new, ["route_name"], "route_id", max_id(existing, "route_id")).select(
@@ -171,10 +179,10 @@ def _link(pairs: DataFrame, left: str, right: str, id_col: str,
     return out.select(id_col, left, right), rejects
 
 
-def link_routes(flat: DataFrame, incident: DataFrame, route: DataFrame,
+def link_routes(rows: DataFrame, incident: DataFrame, route: DataFrame,
                 existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Distinct (route, incident) pairs."""
-    p = lookup(flat.select("route_affected", "version"), route, "route_affected", "route_name",
+    p = lookup(each_route(rows), route, "route_affected", "route_name",
                "route_id")
     p = lookup(p, incident, "version", "incident_version", "incident_id")
     return _link(p, "route_id", "incident_id", "incident_route_link_id", existing)
@@ -185,10 +193,10 @@ def operator_by_code(operator: DataFrame) -> DataFrame:
     return operator.groupBy("operator_code").agg(F.min("operator_id").alias("operator_id"))
 
 
-def link_operators(flat: DataFrame, incident: DataFrame, operator: DataFrame,
+def link_operators(rows: DataFrame, incident: DataFrame, operator: DataFrame,
                    existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Distinct (operator, incident) pairs, operator found by code."""
-    p = lookup(flat.select("affected_operator_ref", "version"), operator_by_code(operator),
+    p = lookup(each_operator(rows), operator_by_code(operator),
                "affected_operator_ref", "operator_code", "operator_id")
     p = lookup(p, incident, "version", "incident_version", "incident_id")
     return _link(p, "operator_id", "incident_id", "incident_operator_link_id", existing)
@@ -264,25 +272,25 @@ INCIDENT_KEYS = {"priority": ["priority_code"], "incident": ["incident_version"]
                  "incident_operator_link": ["operator_id", "incident_id"]}
 
 
-def load_all_incidents(flat: DataFrame, operator: DataFrame,
+def load_all_incidents(rows: DataFrame, operator: DataFrame,
                        existing: Callable[[str], DataFrame | None],
                        append: Callable[[str, DataFrame], DataFrame],
                        reject: Callable[[str, DataFrame], None]) -> IncidentTables:
-    """One batch of flat rows into the incident tables, in dependency order.
+    """One batch of messages into the incident tables, in dependency order.
 
     ``existing(name)`` gives the stored table or None, ``append(name, rows)``
     stores new rows and returns the whole table, ``reject(name, rows)`` gets the
     rows that a load refuses. Batch and stream differ in these alone.
     """
-    priority = append("priority", load_priorities(flat, existing("priority")))
-    new, refused = load_incidents(flat, priority, existing("incident"))
+    priority = append("priority", load_priorities(rows, existing("priority")))
+    new, refused = load_incidents(rows, priority, existing("incident"))
     incident = append("incident", new)
     reject("incident", refused)
-    route = append("route_affected", load_routes(flat, existing("route_affected")))
-    new, refused = link_routes(flat, incident, route, existing("incident_route_link"))
+    route = append("route_affected", load_routes(rows, existing("route_affected")))
+    new, refused = link_routes(rows, incident, route, existing("incident_route_link"))
     route_link = append("incident_route_link", new)
     reject("incident_route_link", refused)
-    new, refused = link_operators(flat, incident, operator, existing("incident_operator_link"))
+    new, refused = link_operators(rows, incident, operator, existing("incident_operator_link"))
     operator_link = append("incident_operator_link", new)
     reject("incident_operator_link", refused)
     return IncidentTables(priority, incident, route, route_link, operator_link)

@@ -66,23 +66,36 @@ def assign_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
             .drop("_mid", "_part", "_pos", "_off"))
 
 
+def repeated_keys(df: DataFrame, key_cols: Sequence[str]) -> DataFrame | None:
+    """The keys (``_k0``, ``_k1``, ...) that stand in several rows, written; None
+    when there are none. A hash aggregate over the key columns alone."""
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key_cols)]
+    found = materialize(df.groupBy(*named).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "repeated-keys")
+    return None if found.isEmpty() else found
+
+
+_UNKNOWN = object()
+
+
 def first_per_key(df: DataFrame, key_cols: Sequence[str],
-                  order_cols: Sequence[str]) -> DataFrame:
+                  order_cols: Sequence[str], repeated=_UNKNOWN) -> DataFrame:
     """One row per key: the smallest by ``order_cols`` (nulls first), then by
     the other columns.
 
-    The keys that repeat are counted first (a hash aggregate over the key
-    columns alone) and written; rows of all other keys pass through without a
-    shuffle or a sort, and only the repeated ones go through ``min_by``, which
-    combines them map-side. ``df`` is read twice: hand in a written table.
+    Rows whose key does not repeat pass through without a shuffle or a sort,
+    and only the repeated ones go through ``min_by``, which combines them
+    map-side. ``repeated`` is what ``repeated_keys`` found in ``df`` or in a
+    table that ``df`` is a part of; without it ``df`` is read for them here:
+    hand in a written table.
     """
     payload = [c for c in df.columns if c not in key_cols]
     if not payload:
         return df.select(*key_cols).distinct()
+    if repeated is _UNKNOWN:
+        repeated = repeated_keys(df, key_cols)
+    if repeated is None:
+        return df
     order = F.struct(*[F.col(c) for c in dict.fromkeys([*order_cols, *payload])])
-    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key_cols)]
-    repeated = materialize(df.groupBy(*named).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"),
-                           "repeated-keys")
     same = F.lit(True)
     for i, k in enumerate(key_cols):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))

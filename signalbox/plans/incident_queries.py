@@ -25,16 +25,20 @@ def _good(spark, sf_dir):
     return I.split_messages(_details(spark, sf_dir))[0]
 
 
-def _flat(spark, sf_dir, stage: bool = False):
-    flat = I.flatten_incidents(_good(spark, sf_dir))
-    return materialize(flat, "incident-flat") if stage else flat
+def _flat(spark, sf_dir):
+    return I.flatten_incidents(_good(spark, sf_dir))
+
+
+def _messages(spark, sf_dir):
+    """The parsable messages, written once: the loads read them several times."""
+    return materialize(_good(spark, sf_dir).drop("corrupt_record"), "incident-messages")
 
 
 def incident_xml_parse(spark, sf_dir):
     d = parse_incidents(capture(spark, sf_dir, "incident_messages"))
     return d.select(F.col("message_key").alias("message_version"),
                     F.col("msg._corrupt_record").isNotNull().alias("is_malformed"),
-                    F.get(F.col("msg.Version"), 0).alias("parsed_version"))
+                    F.col("msg.Version").alias("parsed_version"))
 
 
 def incident_details(spark, sf_dir):
@@ -94,42 +98,42 @@ def _load(spark, sf_dir):
     def append(name, rows):
         rows.write.mode("append").parquet(f"{root}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{root}/{name}")
-    tables = I.load_all_incidents(_flat(spark, sf_dir, stage=True), operator, lambda name: None, append,
+    tables = I.load_all_incidents(_messages(spark, sf_dir), operator, lambda name: None, append,
                                   lambda name, rows: rows.write.parquet(f"{root}/_rejects/{name}"))
     return tables, operator
 
 
 def dim_priority(spark, sf_dir):
-    return I.load_priorities(_flat(spark, sf_dir))
+    return I.load_priorities(_good(spark, sf_dir))
 
 
 def fact_incident(spark, sf_dir):
-    flat = _flat(spark, sf_dir, stage=True)
-    return I.load_incidents(flat, I.load_priorities(flat))[0]
+    rows = _messages(spark, sf_dir)
+    return I.load_incidents(rows, I.load_priorities(rows))[0]
 
 
 def incident_rejects(spark, sf_dir):
-    flat = _flat(spark, sf_dir, stage=True)
-    rej = I.load_incidents(flat, I.load_priorities(flat))[1]
+    rows = _messages(spark, sf_dir)
+    rej = I.load_incidents(rows, I.load_priorities(rows))[1]
     return rej.select("incident_version", "reject_reason")
 
 
 def dim_route(spark, sf_dir):
-    return I.load_routes(_flat(spark, sf_dir))
+    return I.load_routes(_good(spark, sf_dir))
 
 
-def _incident_ids(flat):
-    return materialize(I.load_incidents(flat, I.load_priorities(flat))[0].select("incident_id", "incident_version"), "incident")
+def _incident_ids(rows):
+    return materialize(I.load_incidents(rows, I.load_priorities(rows))[0].select("incident_id", "incident_version"), "incident")
 
 
 def link_incident_route(spark, sf_dir):
-    flat = _flat(spark, sf_dir, stage=True)
-    return I.link_routes(flat, _incident_ids(flat), I.load_routes(flat))[0]
+    rows = _messages(spark, sf_dir)
+    return I.link_routes(rows, _incident_ids(rows), I.load_routes(rows))[0]
 
 
 def link_incident_operator(spark, sf_dir):
-    flat = _flat(spark, sf_dir, stage=True)
-    return I.link_operators(flat, _incident_ids(flat), _operators(spark, sf_dir))[0]
+    rows = _messages(spark, sf_dir)
+    return I.link_operators(rows, _incident_ids(rows), _operators(spark, sf_dir))[0]
 
 
 def incident_load_counts(spark, sf_dir):

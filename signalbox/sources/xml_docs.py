@@ -1,51 +1,110 @@
-"""Incident messages (S06): namespaced XML parsed with an explicit schema."""
+"""Incident messages (S06): one pass of a pull parser over each message.
+
+A message's fields are the first descendants of their names, in document
+order and in the namespaces of ``constants``, wherever they stand: an earlier
+element counts before one at the usual place, and an element of the same name
+in another namespace does not count. Spark's XML reader knows neither order
+nor namespaces, so the text goes through expat in Arrow batches. A value is the
+text before an element's first child; none is null.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator
+from xml.parsers import expat
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from ..constants import NS_COMMON, NS_INCIDENT
+from ..session import ship_package
+
+#: (namespace, element) of the scalar fields.
+FIELDS = [(NS_INCIDENT, "CreationTime"), (NS_INCIDENT, "IncidentNumber"), (NS_INCIDENT, "Version"),
+          (NS_INCIDENT, "Planned"), (NS_COMMON, "StartTime"), (NS_COMMON, "EndTime"), (NS_INCIDENT, "Uri"),
+          (NS_INCIDENT, "Summary"), (NS_INCIDENT, "IncidentPriority"), (NS_INCIDENT, "RoutesAffected")]
+_PLACE = {f"{ns} {name}": i for i, (ns, name) in enumerate(FIELDS)}
+_OPERATOR = f"{NS_INCIDENT} AffectedOperator"
+_PARTS = {f"{NS_INCIDENT} OperatorRef": 0, f"{NS_INCIDENT} OperatorName": 1}
+
+_OPERATORS = pa.list_(pa.struct([("OperatorRef", pa.string()), ("OperatorName", pa.string())]))
+INCIDENT_SCHEMA = ", ".join(f"{name} string" for _, name in FIELDS) + (
+    ", Operators array<struct<OperatorRef string, OperatorName string>>, _corrupt_record string")
+
+
+def read_message(text: str | None) -> tuple[list[str | None], list[list[str | None]]] | None:
+    """(scalar values in the order of ``FIELDS``, [ref, name] of each affected
+    operator) of a message; None when it is not well-formed."""
+    values: list[str | None] = [None] * len(FIELDS)
+    met = [False] * len(FIELDS)
+    operators: list[list[str | None]] = []
+    inside: list[list] = []       # operators that are open: [value, value, met, met]
+    writing: list[tuple[list, int]] = []
+    depth = 0
+
+    def start(name, _):
+        nonlocal depth
+        depth += 1
+        writing.clear()
+        if depth == 1:
+            return
+        i = _PLACE.get(name)
+        if i is not None and not met[i]:
+            met[i] = True
+            writing.append((values, i))
+        elif name == _OPERATOR:
+            inside.append([None, None, False, False])
+            operators.append(inside[-1])
+        elif name in _PARTS and inside:
+            i = _PARTS[name]
+            if not inside[-1][2 + i]:
+                inside[-1][2 + i] = True
+                writing.append((inside[-1], i))
+
+    def end(name):
+        nonlocal depth
+        depth -= 1
+        writing.clear()
+        if name == _OPERATOR and inside:
+            inside.pop()
+
+    def characters(data):
+        for row, i in writing:
+            row[i] = data if row[i] is None else row[i] + data
+
+    parser = expat.ParserCreate(namespace_separator=" ")
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, characters
+    try:
+        parser.Parse(text or "", True)
+    except (expat.ExpatError, ValueError):
+        return None
+    return values, [o[:2] for o in operators]
+
 
-# Elements of an incident message, namespaces ignored. Any of them may repeat,
-# so all are arrays, and ``first_of`` takes the first in document order. Values
-# are read as text and typed by the transform: bad values become nulls.
-INCIDENT_SCHEMA = (
-    "CreationTime array<string>, IncidentNumber array<string>, Version array<string>, Planned array<string>, "
-    "ValidityPeriod array<struct<StartTime array<string>, EndTime array<string>>>, "
-    "InfoLinks array<struct<InfoLink array<struct<Uri array<string>>>>>, Summary array<string>, "
-    "Affects array<struct<Operators array<struct<AffectedOperator array<struct<OperatorRef string, "
-    "OperatorName string>>>>, RoutesAffected array<string>>>, IncidentPriority array<string>, "
-    "_corrupt_record string")
-XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE",
-               "columnNameOfCorruptRecord": "_corrupt_record"}
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [*[pa.field(name, pa.string()) for _, name in FIELDS], pa.field("Operators", _OPERATORS),
+             pa.field("_corrupt_record", pa.string())]
+    for b in batches:
+        raw = b.column(b.num_columns - 1).to_pylist()
+        rows = [read_message(t) for t in raw]
+        columns = [pa.array([None if r is None else r[0][i] for r in rows], pa.string()) for i in range(len(FIELDS))]
+        columns.append(pa.array([None if r is None else [{"OperatorRef": a, "OperatorName": n} for a, n in r[1]]
+                                 for r in rows], _OPERATORS))
+        columns.append(pa.array([(t or "") if r is None else None for t, r in zip(raw, rows)], pa.string()))
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.StructArray.from_arrays(columns, fields=kinds)],
+                                         names=[*b.schema.names, "msg"])
 
 
 def parse_incidents(messages: DataFrame, column: str = "value") -> DataFrame:
     """Text column of XML messages -> struct column ``msg`` (malformed text
-    lands in ``msg._corrupt_record``)."""
+    lands in ``msg._corrupt_record``) beside the text as ``raw``."""
+    ship_package(messages.sparkSession)
     others = [c for c in messages.columns if c != column]
-    return messages.select(*others, F.col(column).alias("raw"),
-                           F.from_xml(F.col(column), INCIDENT_SCHEMA, XML_OPTIONS).alias("msg"))
-
-
-def first_descendant(found: Column, element: str, msg: str = "msg", raw: str = "raw") -> Column:
-    """The first of the values found at the element's usual place; else the
-    text of the first such element anywhere in the message. Malformed messages
-    have none: XPath would fail on them."""
-    anywhere = F.nullif(F.xpath_string(F.col(raw), F.lit(f"//*[local-name()='{element}']")), F.lit(""))
-    usual = F.get(F.filter(found, lambda v: v.isNotNull()), 0)
-    return F.coalesce(usual, F.when(F.col(msg)["_corrupt_record"].isNull(), anywhere))
-
-
-def every_operator(msg: str = "msg", raw: str = "raw") -> Column:
-    """(ref, name) of every affected operator, whatever container it is in."""
-    usual = F.flatten(F.flatten(F.filter(F.transform(
-        F.col(msg)["Affects"], lambda a: F.filter(F.transform(a["Operators"], lambda o: F.coalesce(
-            o["AffectedOperator"], F.array())), lambda x: x.isNotNull())), lambda x: x.isNotNull())))
-    path = "//*[local-name()='AffectedOperator']/*[local-name()='{}']/text()"
-    refs, names = (F.xpath(F.col(raw), F.lit(path.format(e))) for e in ("OperatorRef", "OperatorName"))
-    pairs = F.transform(F.arrays_zip(refs.alias("r"), names.alias("n")), lambda z: F.struct(
-        z["r"].alias("OperatorRef"), z["n"].alias("OperatorName")))
-    return F.when(F.size(usual) > 0, usual).when(F.col(msg)["_corrupt_record"].isNull(), pairs)
+    rows = messages.select(*others, messages[column].alias("raw"))
+    msg = T.StructField("msg", T.StructType.fromDDL(INCIDENT_SCHEMA))
+    return rows.mapInArrow(_read, T.StructType([*rows.schema, msg]))
 
 
 def read_incident_files(spark: SparkSession, path: str) -> DataFrame:
