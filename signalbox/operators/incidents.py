@@ -44,16 +44,33 @@ def incident_details(parsed: DataFrame, msg: str = "msg") -> DataFrame:
         split_routes(m["RoutesAffected"]).alias("routes_affected"))
 
 
+def quarantine_reason() -> Column:
+    """Why a message of ``incident_details`` cannot be flattened; null if it can."""
+    return (F.when(F.col("corrupt_record").isNotNull(), F.lit("malformed"))
+            .when(F.col("routes_affected").isNull(), F.lit("no routes"))
+            .when(F.coalesce(F.size("operators_affected"), F.lit(-1)) <= 0, F.lit("no operators")))
+
+
 def split_messages(details: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsable messages with operators and routes / quarantine with a reason."""
-    reason = (F.when(F.col("corrupt_record").isNotNull(), F.lit("malformed"))
-              .when(F.col("routes_affected").isNull(), F.lit("no routes"))
-              .when(F.coalesce(F.size("operators_affected"), F.lit(-1)) <= 0, F.lit("no operators")))
-    d = details.withColumn("quarantine_reason", reason)
+    d = details.withColumn("quarantine_reason", quarantine_reason())
     return (d.where(F.col("quarantine_reason").isNull()).drop("quarantine_reason"),
             d.where(F.col("quarantine_reason").isNotNull()))
 
 
+#: Values without which an incident is not stored.
+MESSAGE_REQUIRED = ["incident_number", "version", "info_link", "summary", "incident_priority", "planned",
+                    "creation_time", "start_time"]
+
+
+def incomplete() -> Column:
+    """True for a message (or flat row) whose incident would be rejected."""
+    missing = F.lit(False)
+    for c in MESSAGE_REQUIRED:
+        missing = missing | F.col(c).isNull()
+    return missing
+
+
 def flatten_incidents(good: DataFrame) -> DataFrame:
     """One row per (affected operator, affected route) of each message."""
     ops = good.select("*", F.explode("operators_affected").alias("_op"))
@@ -138,22 +155,24 @@ INCIDENT_REQUIRED = ["incident_num", "incident_version", "link", "summary", "pri
                      "is_planned", "creation_time", "start_time"]
 
 
-INCIDENT_ORDER = ["creation_time", "incident_num", "start_time", "end_time", "link", "summary",
+INCIDENT_ORDER = ["_incomplete", "creation_time", "incident_num", "start_time", "end_time", "link", "summary",
                   "incident_priority", "is_planned"]
 
 
 def load_incidents(rows: DataFrame, priority: DataFrame,
                    existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """One incident per version (first by creation time), priority looked
-    up; rows missing a required value, the version included, are rejected with
-    a reason. ``rows`` is read more than once: hand in a written table."""
+    """One incident per version (the first complete message by creation
+    time), priority looked up; a version without a complete message, or a message
+    without a version, is rejected with a reason. ``rows`` is read more than
+    once: hand in a written table."""
     cand = rows.select(
+        incomplete().alias("_incomplete"),
         F.col("incident_number").alias("incident_num"), F.col("version").alias("incident_version"),
         F.col("info_link").alias("link"), "summary", "incident_priority",
         F.col("planned").alias("is_planned"), "creation_time", "start_time", "end_time")
     named = F.col("incident_version").isNotNull()
     first = first_per_key(cand.where(named), ["incident_version"], INCIDENT_ORDER)
-    j = lookup(first.unionByName(cand.where(~named).distinct()), priority, "incident_priority", "priority_code", "priority_id")
+    j = lookup(first.unionByName(cand.where(~named).distinct()).drop("_incomplete"), priority, "incident_priority", "priority_code", "priority_id")
     good, rejects = check_required(j, INCIDENT_REQUIRED)
     new = absent_rows(good, existing, ["incident_version"])
     out = assign_ids(new, ["incident_version"], "incident_id", max_id(existing, "incident_id"))
@@ -252,8 +271,8 @@ def stored_alerts(good_messages: DataFrame, stored: DataFrame) -> DataFrame:
     """The alerts of the versions in ``stored`` (column version), from the
     message that was stored: the first of its version. One alert per (version,
     operator), however often and in whatever container a message names it."""
-    mine = materialize(good_messages.drop("corrupt_record").join(stored, "version", "left_semi"), "alert-messages")
-    found = alerts(first_per_key(mine, ["version"], MESSAGE_ORDER))
+    mine = good_messages.drop("corrupt_record").where(~incomplete()).join(stored, "version", "left_semi")
+    found = alerts(first_per_key(materialize(mine, "alert-messages"), ["version"], MESSAGE_ORDER))
     return found.groupBy("version", "operator_code").agg(F.min("message").alias("message"))
 
 

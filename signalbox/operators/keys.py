@@ -16,13 +16,12 @@ split layout does not matter.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, run_root
+from ..session import materialize, work_path
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
@@ -46,7 +45,7 @@ def assign_ids(df: DataFrame, key_cols: Sequence[str], id_col: str,
     """
     keys = [F.col(k).asc_nulls_first() for k in key_cols]
     spark = df.sparkSession
-    path = f"{run_root(spark)}/ids-{uuid.uuid4().hex}"
+    path = work_path(spark, "ids")
     # The range bounds come from a sample of the input: a caller with an
     # expensive input hands in a written one. The written tags fix the numbering.
     ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)

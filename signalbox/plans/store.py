@@ -40,9 +40,10 @@ def inputs_digest(spark: SparkSession, sf_dir: str) -> str:
 
 def services_store(spark: SparkSession, sf_dir: str) -> ServiceTables:
     root = f"{run_root(spark)}/store-{inputs_digest(spark, sf_dir)}"
-    tables = _OPENED.get(root)
+    there = path_exists(spark, root)  # a released run folder takes its store along
+    tables = _OPENED.get(root) if there else None
     if tables is None:
-        if not path_exists(spark, root):
+        if not there:
             t = Tables(spark, sf_dir)
             attempt = f"{run_root(spark)}/attempt-{uuid.uuid4().hex}"
             load_all(spark, service_rows(t), cancel_code_rows(t), attempt, rejects_root=f"{attempt}/_rejects")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -67,6 +70,29 @@ def run_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/signalbox-{spark.sparkContext.applicationId}"
 
 
+_SCOPE: contextvars.ContextVar[str | None] = contextvars.ContextVar("scope", default=None)
+
+
+def work_path(spark: SparkSession, label: str) -> str:
+    """A new path for a working table: in the run folder, or in the folder of
+    the ``scratch`` block that the caller is in."""
+    return f"{_SCOPE.get() or run_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """Working tables written inside the block go to a folder of their own,
+    which is deleted at its end: nothing made in it may be read afterwards. For
+    work that comes again and again, such as the epochs of a stream."""
+    folder = work_path(spark, label)
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        remove(spark, folder)
+
+
 def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -95,10 +121,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def rename(spark: SparkSession, source: str, target: str) -> bool:
-    """Move a finished folder to its name; False when the name is taken."""
-    a, fs = _file_system(spark, source)
-    b, _ = _file_system(spark, target)
-    return not fs.exists(b) and fs.rename(a, b)
+    """Move a finished folder to its name; False when the name is taken. The file
+    system itself refuses a taken name, so of two writers one wins."""
+    a, _ = _file_system(spark, source)
+    b, fs = _file_system(spark, target)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    try:
+        hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(a, b, options)
+    except Exception as e:  # noqa: BLE001 - the Java class tells
+        if "AlreadyExists" in str(e):
+            return False
+        raise
+    return True
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in the folder ``path``, none when there is no such folder."""
+    p, fs = _file_system(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
 def materialize(df, label: str = "stage"):
@@ -109,7 +152,7 @@ def materialize(df, label: str = "stage"):
     the cluster's shared folder, not in executor memory.
     """
     spark = df.sparkSession
-    path = f"{run_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
