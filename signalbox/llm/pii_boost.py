@@ -2,14 +2,20 @@
 
 High-recall generators propose spans, which may overlap: addresses with an at
 sign or one spelled out, groups of digits with any usual separators, grouped
-account codes. Each candidate gets features of its format (digits, groups,
-checks such as Luhn) and of its context (characters and words around). A
-candidate's label is 1 where a base rule finds the very span or where it passes
-a check that the base rules do not have: an account code its mod 97, an address
-a plausible domain behind a clear at, a number of 7 to 15 digits a phone word
-before it. Boosted trees learn from a bounded sample and from ``EXAMPLES`` made
-texts of every kind, so that a kind which is rare in the table is known as well;
-probabilities are calibrated on a part that the trees did not see, and each
+account codes whose check digits hold. Boosted trees decide about each from the
+format of the span (digits, groups, separators, labels) and from the words and
+characters around it, in wide groups (``GROUPS``: persons, ways to reach one,
+kinds of numbers that are no personal data). No feature is one of the rules
+that label.
+
+What they learn from: candidates of a bounded sample of documents that have
+*strong evidence* for or against (``evidence``: a phone word right before a
+number, a bracketed at with a plausible domain; a date, digits within a word,
+a broken domain; the rest is left out), and ``EXAMPLES`` made texts of every
+kind whose spans are known. In half of the made positives the word that the
+evidence rests on is left out, so format and wider context must carry them, and
+numbers of a phone's format in a context that says nothing are negative.
+Probabilities are calibrated on a part that the trees did not see, and each
 kind's threshold is the least at which the calibration part keeps
 ``PRECISION``. A candidate at or above it that overlaps no base span is added.
 
@@ -40,7 +46,7 @@ SAMPLE_DOCS = 6000
 SAMPLE_CHARS = 1 << 15
 SAMPLE_ROWS = 40_000
 PRECISION = 0.98
-EXAMPLES = 600
+EXAMPLES = 1500
 
 #: Base kinds in order, and the kinds that the method adds.
 KINDS = ["email", "ip", "card", "phone"]
@@ -150,11 +156,12 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     for m in _CODE.finditer(text):
         # a word in capitals may follow the code: every end of a group is an end
         ends = [m.start(1) + g.start() for g in re.finditer(" ", m[1])] + [m.end(1)]
-        out += [("code", m.start(1), end) for end in ends if len(text[m.start(1):end].replace(" ", "")) >= 15]
+        out += [("code", m.start(1), end) for end in ends if mod97(text[m.start(1):end])]
     return out
 
 
 _AT_SIGN = re.compile(r"@|\(at\)|\[at\]|\{at\}| at ", re.I)
+_CLEAR_AT = re.compile(r"@|\(at\)|\[at\]|\{at\}", re.I)
 _CLEAR_DOT = re.compile(r" ?(?:\(dot\)|\[dot\]|\{dot\}) ?| dot ", re.I)
 _LABELS = re.compile(r"(?:(?!-)[\w-]{1,63}(?<!-)\.)+[^\W\d_]{2,24}")
 _CUE = re.compile(r"\b(?:tele)?(?:phones?|tel|call|mobile|mob|cell|fax|sms|whatsapp|dial|hotline|contact)\b[^0-9]{0,20}\Z", re.I)
@@ -185,33 +192,67 @@ def cued(text: str, start: int, end: int) -> bool:
             and _CUE.search(text, max(0, start - 32), start) is not None)
 
 
-def passes(text: str, kind: str, start: int, end: int) -> bool:
-    """The check of the candidate's kind that no base rule has."""
+def evidence(text: str, kind: str, start: int, end: int) -> int | None:
+    """1 or 0 where the text says so by itself, else None: no label."""
+    s = text[start:end]
     if kind == "digits":
-        return cued(text, start, end)
-    return (mod97 if kind == "code" else plausible)(text[start:end])
-
-
-#: Words before a candidate that speak for personal data (fixed list).
-CONTEXT = ("phone", "tel", "call", "mobile", "fax", "mail", "card", "visa", "account", "iban", "ip", "address", "contact", "ssn")
-FEATURES = 23
+        if cued(text, start, end):
+            return 1
+        within = text[max(0, start - 1):start].isalnum() or text[end:end + 1].isalnum()
+        return 0 if within or _DATE.match(s) or s.count("(") != s.count(")") or len(_digits(s)) > 15 else None
+    if kind == "at":
+        if plausible(s):
+            return 1
+        return 0 if len(_AT_SIGN.split(s)) != 2 or not _LABELS.fullmatch(_CLEAR_DOT.sub(".", _AT_SIGN.split(s)[1].strip())) else None
+    return None
+
+
+#: Groups of words around a candidate (fixed lists).
+GROUPS = {
+    "phone": "phone phones telephone tel call calls mobile mob cell fax sms whatsapp dial hotline contact",
+    "person": "my me us our ours your you his her him their them myself",
+    "reach": "reach ring text message get speak talk answer book shout buzz catch try write mail email send drop line say",
+    "place": "number home work office desk house flat reception evenings",
+    "other": "order orders invoice ref reference serial part batch isbn version page total price qty item ticket tracking parcel "
+             "licence license key model units id sku lot case docket",
+    "account": "iban account bank pay payment transfer deposit sort bic swift",
+}
+_GROUPS = {name: frozenset(words.split()) for name, words in GROUPS.items()}
+_LEADS = frozenset("on is at via to under was".split())
+_WORDS = re.compile(r"[a-z]+")
+#: Characters on either side that count as context.
+AROUND = 40
+
+
+def _side(c: str) -> int:
+    return 0 if not c else 1 if c.isalnum() else 2 if c.isspace() else 3 if c in ":;" else 4
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
     s = text[start:end]
     d = _digits(s)
     groups = re.findall("[0-9]+", s)
-    local, _, domain = s.partition("@")
-    labels = domain.split(".") if domain else []
-    before, after = text[max(0, start - 1):start], text[end:end + 1]
-    near = text[max(0, start - 24):start].lower()
+    parts = _AT_SIGN.split(s, maxsplit=1) if kind == "at" else [s]
+    domain = parts[1] if len(parts) > 1 else ""
+    labels = _CLEAR_DOT.sub(".", domain).split(".") if domain else []
+    between = set(re.findall(r"(?<=[0-9])[^0-9]+(?=[0-9])", s))
+    before = _WORDS.findall(text[max(0, start - AROUND):start].lower())
+    after = _WORDS.findall(text[end:end + AROUND].lower())
+    lengths = [len(g) for g in groups] or [0]
     return [
-        ("at", "digits", "code").index(kind), len(s), len(d), sum(c.isalpha() for c in s), len(groups),
-        max(map(len, groups), default=0), min(map(len, groups), default=0), s.count("."), s.count("-"), s.count(" "),
-        s[:1] == "+", "@" in s, len(local) if domain else 0, len(labels), len(labels[-1]) if labels else 0,
-        bool(len(d) >= 13 and luhn(d)), len(groups) == 4 and all(len(g) < 4 and int(g) < 256 for g in groups),
-        "(" in s or "[" in s, before.isalnum() or before in ("@", "+", "."), after.isalnum() or after in ("@", "%"),
-        any(w in near for w in CONTEXT), len(set(s)) / max(1, len(s)), passes(text, kind, start, end)]
+        ("at", "digits", "code").index(kind), len(s), len(d), sum(c.isalpha() for c in s), len(groups), max(lengths), min(lengths),
+        lengths[0], lengths[-1], s.count("."), s.count("-"), s.count(" "), s.count("/"), len(between),
+        s[:1] == "+", s[:1] == "(", d[:1] == "0", s.count("(") == s.count(")"), bool(_DATE.match(s)),
+        "@" in s, _CLEAR_AT.search(s) is not None, " AT " in s, len(parts[0]) if domain else 0,
+        any(c in "._-0123456789" for c in parts[0]) if domain else 0, parts[0].isupper() if domain else 0,
+        len(labels), len(labels[-1]) if labels else 0, labels[-1].isalpha() if labels else 0, _CLEAR_DOT.search(domain) is not None,
+        " " in domain.strip(), _side(text[max(0, start - 1):start]), _side(text[end:end + 1]), _side(text[max(0, start - 2):max(0, start - 1)]),
+        bool(before) and before[-1] in _LEADS, *[any(w in g for w in before[-4:]) for g in _GROUPS.values()],
+        *[any(w in g for w in before) for g in _GROUPS.values()], *[any(w in g for w in after) for g in _GROUPS.values()],
+        len(set(s)) / max(1, len(s))]
+
+
+FEATURES = len(features("a@b.c", "at", 0, 5))
 
 
 class Trees(NamedTuple):
@@ -224,7 +265,7 @@ class Trees(NamedTuple):
     probs: np.ndarray                                        # ... and their probability
     thresholds: dict[str, float]
 
-    DEPTH, ROUNDS, RATE, BINS = 3, 40, 0.3, 32
+    DEPTH, ROUNDS, RATE, BINS = 5, 80, 0.3, 32
 
     def bins(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, i], side="left") for i, e in enumerate(self.edges)], 1)
@@ -311,35 +352,72 @@ def fit(x: np.ndarray, y: np.ndarray, part: np.ndarray) -> Trees | None:
 
 
 def _labelled(text: str) -> list[tuple[list[float], int]]:
-    """Features of a text's candidates; label 1 where a base rule finds the very span or its own check passes."""
+    """Features and label of a text's candidates that have evidence; what the base rules find is theirs."""
     base = {(s, e) for _, s, e in base_spans(text)}
-    return [(features(text, k, s, e), int((s, e) in base or passes(text, k, s, e))) for k, s, e in candidates(text)]
-
-
-def _examples() -> Iterator[str]:
-    """Made texts, the same in every run: each kind with and without what its check asks for."""
+    found = [(c, evidence(text, *c)) for c in candidates(text) if c[1:] not in base]
+    return [(features(text, *c), y) for c, y in found if y is not None]
+
+
+_PHONES = ["0## #### ####", "0#### ######", "0###-###-####", "(###) ###-####", "###-###-####", "0##########", "0## ### ####", "0#.##.##.##.##",
+           "00## ## #######", "0### ### ####", "(0###) ######", "0##-####-####"]
+#: Around a number that is somebody's: with a phone word, and without.
+_CUED = ["phone {}", "tel. {}", "Tel: {}", "call me on {}", "call us at {} today", "mobile {}", "fax {}", "Phone number: {}", "telephone {} after six",
+         "contact: {}", "sms {}", "WhatsApp {}"]
+_UNCUED = ["you can get me on {}", "our line is {}", "text us on {}", "give him a shout on {}", "his work number {}", "my new number: {}",
+           "speak to us on {} any day", "Text {} now", "Message me: {}", "home: {}", "her office is {}", "Book a table: {}", "try me at {}",
+           "we answer on {}", "Talk to us: {}", "my home is {}", "you get us under {}", "get him on {}", "Text me at {}", "their desk: {}",
+           "Book on {}", "message her on {}", "my work number was {}"]
+_OTHERS = ["order {}", "invoice no. {}", "serial {}", "ref {}", "item {} in stock", "part {}", "total {}", "ticket {}", "your order is {}", "my ticket: {}",
+           "parcel {} sent to you", "version {}", "page {}", "{} units", "case {} was", "our ref: {}", "tracking {}", "your invoice is {}"]
+_ACCOUNTS = ["IBAN {}", "account {}", "pay {} soon", "transfer to {}", "{}", "bank: {}", "my account is {}", "payment to {} now", "{} please", "and {}"]
+_SERIALS = ["serial {}", "licence key {}", "parcel {}", "part {}", "batch {}", "ref {}", "model {}", "your key: {}", "tracking id {}", "item {}"]
+
+
+def _examples() -> Iterator[tuple[str, set[Span]]]:
+    """Made texts and the spans in them that are personal data, the same in every run."""
     r = random.Random(97)
     letters = lambda a, z: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(a, z)))
     digits = lambda n: "".join(r.choices("0123456789", k=n))
     around = lambda: " ".join(letters(1, 9) for _ in range(r.randint(3, 6)))
+    shaped = lambda shape: re.sub("#", lambda m: digits(1), shape)
+
+    def placed(template: str, span: str, good: bool) -> tuple[str, set[Span]]:
+        head, tail = template.split("{}")
+        head = f"{around()}{r.choice([' ', '. ', ', '])}{head}" if r.random() < 0.7 else head
+        tail = f"{tail}{r.choice([' ', '. ', ', '])}{around()}" if r.random() < 0.7 else tail
+        return f"{head}{span}{tail}", {(len(head), len(head) + len(span))} if good else set()
     for i in range(EXAMPLES):
-        good = i % 2
+        good = i % 2 == 0
+        # numbers: half of the good ones without the word that the evidence rests on
+        yield placed(r.choice(_CUED if i % 4 else _UNCUED), shaped(r.choice(_PHONES)), True)
+        yield placed(r.choice(_UNCUED), shaped(r.choice(_PHONES)), True)
+        yield placed(f"{around()} {{}}", shaped(r.choice(_PHONES)), False)
+        yield placed(f"{around()} at {letters(3, 8)}.{letters(2, 3)} {{}}", shaped(r.choice(_PHONES)), False)
+        yield placed(r.choice(_OTHERS), shaped(r.choice([*_PHONES, "########", "# ### ###", "###-#######", "##########"])), False)
+        day = f"{r.choice(['19', '20'])}{digits(2)}{r.choice('-/.')}{r.randint(1, 12):02d}{r.choice('-/.')}{r.randint(1, 28):02d}"
+        yield placed(r.choice([*_CUED, *_UNCUED, "on {}"]), r.choice([day, f"{day} {digits(2)}"]), False)
+        yield placed(r.choice(["{}", "of {}", "with {}", "about {}"]), shaped(r.choice(["### ### ###", "# ### ### ###", "#######", "####-####", "#########"])), False)
+        # addresses
         at, dot = r.choice([("(at)", "(dot)"), (" (at) ", " dot "), (" [at] ", " [dot] "), ("{at}", "."), (" at ", " dot "), ("(at)", "."), ("@", ".")])
         domain = dot.join([letters(2, 9) + "\u00fc" * (at == "@"), *([letters(2, 6)] if r.random() < 0.3 else []), letters(2, 4) if good else digits(3)])
-        yield f"{around()} {letters(2, 8)}{at}{domain} {around()}"
-        if not good:
-            yield f"{around()} at {letters(3, 9)}. {letters(3, 9)} {around()} at {letters(3, 8)}.{letters(2, 3)} {around()}"
-        gap = r.choice(["", " ", "-", " ", "."])
-        number = gap.join(["0" + digits(r.randint(2, 3)), digits(r.randint(3, 4)), digits(r.randint(3, 4))])
-        number = f"({digits(3)}) {digits(3)}-{digits(4)}" if r.random() < 0.3 else number
-        cue = r.choice(["phone", "tel.", "Tel:", "call", "call me on", "mobile", "fax", "Phone number:", "telephone"]) if good else letters(4, 8) + "x"
-        yield f"{around()} {cue} {number} {around()}"
+        yield placed("{}", f"{letters(2, 8)}{at}{domain}", good)
+        local = f"{letters(2, 7)}{r.choice('._-')}{letters(2, 8)}" if r.random() < 0.7 else f"{letters(2, 7)}{digits(2)}"
+        yield placed(r.choice(["{}", "write to {}", "mail {}", "me: {}", "send it to {}"]), f"{local}{r.choice([' AT ', ' AT ', '(at)'])}{letters(3, 9)}.{letters(2, 3)}", True)
+        yield placed("{}", f"{letters(3, 9)} at {letters(3, 8)}.{letters(2, 3)}", False)
+        yield placed(f"{around().upper()} {{}}", f"{letters(3, 9)} AT {letters(3, 8)}.{letters(2, 3)}".upper(), False)
+        yield f"{around()} at {letters(3, 9)}. {letters(3, 9)} {around()} at {letters(3, 8)}.{letters(2, 3)} {around()}", set()
+        # account codes, all with right check digits: some are no accounts
         body = r.choice(["", letters(4, 4).upper()]) + digits(4 * r.randint(3, 5) + r.choice([0, 0, 2, 3]))
         country = letters(2, 2).upper()
         check = 98 - int("".join(str(int(x, 36)) for x in f"{body}{country}00")) % 97
-        code = f"{country}{check if good else (check + r.randint(1, 90)) % 97:02d}{body}"
+        code = f"{country}{check:02d}{body}"
         code = " ".join(code[k:k + 4] for k in range(0, len(code), 4)) if r.random() < 0.5 else code
-        yield f"{around()} {r.choice(['IBAN ', 'account ', ''])}{code} {around()}"
+        yield placed(r.choice(_ACCOUNTS if good else _SERIALS), code, good)
+
+
+def _made(text: str, spans: set[Span]) -> list[tuple[list[float], int]]:
+    base = {(s, e) for _, s, e in base_spans(text)}
+    return [(features(text, *c), int(c[1:] in spans)) for c in candidates(text) if c[1:] not in base]
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,9 +434,9 @@ def train(df: DataFrame) -> Trees | None:
     ids = df.where(F.col("doc_id").isNotNull()).select("doc_id", h.alias("_h")).distinct().orderBy("_h").limit(SAMPLE_DOCS)
     rows = df.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids), "doc_id").select("_h", "text")
     got = rows.mapInArrow(_sample, "h long, x array<double>, y int").orderBy("h", "y", "x").limit(SAMPLE_ROWS).toArrow()
-    made = [(i, x, y) for i, t in enumerate(_examples()) for x, y in _labelled(t)]
+    made = [(i, x, y) for i, (t, spans) in enumerate(_examples()) for x, y in _made(t, spans)]
     x = np.array(got["x"].to_pylist() + [m[1] for m in made], float)
-    h = np.concatenate([got["h"].to_numpy(), np.array([m[0] // 4 for m in made], np.int64)])
+    h = np.concatenate([got["h"].to_numpy(), np.array([m[0] // 13 for m in made], np.int64)])
     return fit(x, np.concatenate([got["y"].to_numpy(), np.array([m[2] for m in made], np.int32)]), (h % 3 == 0).astype(int))
 
 
@@ -379,7 +457,8 @@ def spans_of(text: str, model: Trees | None) -> tuple[list[tuple[str, int, int]]
             if s >= last and (i < 0 or ends[i] <= s):
                 added.append((ADDED[k], s, e))
                 last = e
-    return base, added
+    order = list(ADDED.values())
+    return base, sorted(added, key=lambda c: (order.index(c[0]), c[1]))
 
 
 def redact(text: str, model: Trees | None) -> str:
@@ -414,7 +493,8 @@ def _report(batches: Iterator[pa.RecordBatch], model: Trees | None) -> Iterator[
 
 def pii_report(df: DataFrame) -> DataFrame:
     """Per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans
-    (base kinds as listed, then the added ones; by start within a kind)."""
+    (base kinds as listed, then the added ones in the order of ``ADDED``; by
+    start within a kind)."""
     model = train(df)
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(lambda it: _report(it, model),

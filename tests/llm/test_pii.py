@@ -123,3 +123,56 @@ def test_planted_spans_of_each_added_kind_are_reported(spark):
         for i, (t, want) in enumerate(PLANTED):
             found = [s.split(":") for s in got[-1 - i].split(",") if s]
             assert [(k, t[int(a):int(z)]) for k, a, z in found] == want, t
+
+
+def made_model():
+    made = [(i, x, y) for i, (t, spans) in enumerate(P._examples()) for x, y in P._made(t, spans)]
+    part = np.array([m[0] // 13 % 3 == 0 for m in made]).astype(int)
+    return P.fit(np.array([m[1] for m in made], float), np.array([m[2] for m in made]), part)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return made_model()
+
+
+#: Templates that no made example has.
+HELD_OUT = ["my number is {}", "reach me on {}", "Ring {}", "drop us a line on {}", "catch me at {}", "you can ring us under {}",
+            "say hello to her on {}", "her number is {} now", "buzz me on {}", "write us at {}"]
+HELD_OUT_NOT = ["docket {}", "sku {}", "lot {}", "the {} of", "quantity {}", "id {}", "price {}", "qty {}", "a {} b", "about {} more"]
+
+
+def test_precision_and_recall_on_templates_that_the_trees_never_saw(model):
+    import random
+    r = random.Random(5)
+    hits = false = 0
+    n = 300
+    for k in range(n):
+        number = "".join(r.choice("0123456789") if c == "#" else c for c in r.choice(P._PHONES))
+        good, bad = r.choice(HELD_OUT).format(number), r.choice(HELD_OUT_NOT).format(number)
+        hits += [good[s:e] for _, s, e in P.spans_of(good, model)[1]] == [number]
+        false += len(P.spans_of(bad, model)[1])
+    print(f"recall {hits / n:.3f}, precision {hits / max(1, hits + false):.3f}")
+    assert hits / n >= 0.9 and hits / (hits + false) >= 0.95
+
+
+def test_trees_decide(model):
+    # spans that the labelling evidence does not speak for, or speaks against
+    for text, want in [("my number is 020 7946 0018", "020 7946 0018"), ("reach me on 07700 900123", "07700 900123"),
+                       ("Ring 0171-555-1234", "0171-555-1234"), ("jane.doe AT example.com", "jane.doe AT example.com")]:
+        found = [c for c in P.candidates(text) if text[c[1]:c[2]] == want]
+        assert found and all(P.evidence(text, *c) != 1 for c in found)
+        assert [text[s:e] for _, s, e in P.spans_of(text, model)[1]] == [want]
+    stump = model._replace(trees=[])
+    for text in ("my number is 020 7946 0018", "order 020 7946 0018 now", "your serial GB82 WEST 1234 5698 7654 32 now"):
+        assert P.spans_of(text, model)[1] != P.spans_of(text, stump._replace(thresholds=dict.fromkeys(model.thresholds, 0.0)))[1] or \
+            P.spans_of(text, model)[1] != P.spans_of(text, stump)[1]
+    assert P.spans_of("your serial GB82 WEST 1234 5698 7654 32 now", model)[1] == []
+
+
+def test_added_spans_come_by_kind_then_start(model):
+    text = "DE89370400440532013000 or bob(at)example(dot)org, phone 020 7946 0958. BE68 5390 0754 7034 and ann(at)example(dot)org"
+    added = P.spans_of(text, model)[1]
+    kinds = [k for k, _, _ in added]
+    assert kinds == ["email_like"] * 2 + ["number_like"] + ["account_like"] * 2
+    assert all(a[1] < b[1] for a, b in zip(added, added[1:]) if a[0] == b[0])
