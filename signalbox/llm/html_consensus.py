@@ -12,6 +12,8 @@
    teaser only. One case is left to the host: no other page has that best path,
    and the winning path holds as much as it usually does, so the page has its
    article there, beside something loud.
+4. What is clean beside the chosen container, in the containers around it, is
+   added (``_extended``): a headline or a lead may stand outside of it.
 
 Never part of the text: scripts, styles, comments in the markup, menus, page
 headers, footers, sidebars, notices, adverts, forms and reader comments, by
@@ -41,13 +43,18 @@ from pyspark.sql import functions as F
 from .common import store
 
 #: Fixed lists of tags and of the words in classes and ids.
-SKIPPED_TAGS = set("nav footer aside button select menu dialog svg math object audio video canvas map".split())
+SKIPPED_TAGS = set("nav footer aside button select menu dialog svg".split())
 RAW_TAGS = "script style title textarea noscript template iframe xmp noembed noframes head".split()
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE_TAGS = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s "
-                  "samp small span strike strong sub sup time tt u var wbr".split())
+                  "samp small span strike strong sub sup time tt u var wbr "
+                  # embedded in a line: a formula, or what stands in for a medium
+                  "object audio video canvas map math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded "
+                  "mphantom msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd semantics annotation "
+                  "annotation-xml".split())
 CONTAINERS = set("html body main article section div td center".split())
 PLAIN_TAGS = {"html", "body", "main", "article"}
+TITLES = {"h1", "h2"}
 SKIPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"}
 SKIPPED_WORDS = set(
     "nav navbar navigation menu header masthead topbar footer sidebar aside notice cookie cookies consent gdpr banner "
@@ -87,6 +94,7 @@ class Block(NamedTuple):
     text: str
     links: int                   # characters of it inside links
     inside: tuple[int, ...]      # containers around it, by number
+    title: bool = False          # a heading of the first two levels
 
 
 def _named(attrs: str) -> tuple[str, set[str], str, str]:
@@ -138,7 +146,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str, set[str]]]]:
     doubts: list[Doubt] = []
     doubtful: list[int] = []
     places: list[tuple[tuple[int, ...], bool, bool]] = []   # per block: doubtful containers, in a paragraph, in an article
-    skipped = links = article = paragraph = 0
+    skipped = links = article = paragraph = title = 0
     held: list[str] = []
     linked = 0
 
@@ -147,17 +155,18 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str, set[str]]]]:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                blocks.append(Block(text, linked, tuple(inside)))
+                blocks.append(Block(text, linked, tuple(inside), title > 0))
                 places.append((tuple(doubtful), paragraph > 0, article > 0))
             held.clear()
         linked = 0
 
     def pop() -> None:
-        nonlocal skipped, links, article, paragraph
+        nonlocal skipped, links, article, paragraph, title
         tag, number, skip, doubt = stack.pop()
         skipped -= skip
         links -= tag == "a"
         paragraph -= tag == "p"
+        title -= tag in TITLES
         if doubt:
             doubtful.pop()
         article -= tag in ("article", "main")
@@ -217,6 +226,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, str, set[str]]]]:
         stack.append((tag, number, skip, doubt))
         skipped += skip
         paragraph += tag == "p"
+        title += tag in TITLES
         links += tag == "a"
         article += tag in ("article", "main")
     flush()
@@ -289,12 +299,57 @@ def extract(page: str | None, path: str | None, usual: float | None = None, shar
     for attempt in (path, own):
         if attempt is None:
             continue
-        took = [b.text for b in blocks if any(containers[i][0] == attempt for i in b.inside)]
+        took = _extended(blocks, containers, attempt)
         if took:
-            return "\n\n".join(took)
+            return "\n\n".join(b.text for b in took)
     return "\n\n".join(b.text for b in blocks) if own is None else ""
 
 
+def _clean(blocks: list[Block]) -> bool:
+    return 3 * sum(min(b.links, len(b.text)) for b in blocks) <= sum(len(b.text) for b in blocks)
+
+
+def _extended(blocks: list[Block], containers: list[tuple[str, str, set[str]]], path: str) -> list[Block]:
+    """The blocks of the containers with the path, and of the containers around
+    the first of them, nearest first, what is clean beside it: a headline or lead
+    may stand outside the container that won.
+
+    Beside it, blocks go by the container that they are in. Those of a box count
+    when few of their characters are in links; in an article or main all such
+    boxes do, in other containers they must be smaller than what is there
+    already. The whole page (html, body), and what is around an article, only
+    adds a title that stands before.
+    """
+    took = {k for k, b in enumerate(blocks) if any(containers[i][0] == path for i in b.inside)}
+    if not took:
+        return []
+    first = min(took)
+    around = blocks[first].inside
+    at = next(n for n, i in enumerate(around) if containers[i][0] == path)
+    beside: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))   # by container around, then by box
+    for k, b in enumerate(blocks):
+        if k not in took:
+            n = next((n for n, (i, j) in enumerate(zip(b.inside, around)) if i != j), min(len(b.inside), at))
+            if n:
+                beside[n - 1][b.inside[n] if len(b.inside) > n else -1 - k].append(k)
+    whole = containers[around[at]][1] in ("article", "main")
+    for n in range(at - 1, -1, -1):
+        tag = containers[around[n]][1]
+        semantic = tag in ("article", "main")
+        for box in beside[n].values():
+            own = [blocks[k] for k in box]
+            if not _clean(own):
+                continue
+            if whole or tag in ("html", "body"):
+                fits = len(own) == 1 and own[0].title and box[0] < first
+            else:
+                fits = semantic or sum(len(b.text) for b in own) <= MOST * sum(len(blocks[k].text) for k in took)
+            if fits:
+                took.update(box)
+        whole = whole or semantic
+    return [blocks[k] for k in sorted(took)]
+
+
 def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1), F.lit("")))
 

@@ -64,6 +64,25 @@ def test_names_of_wrappers_do_not_drop_the_article(page):
     assert H.extract(page, None) == WANT
 
 
+@pytest.mark.parametrize("page, want", [
+    # headline and lead outside the container that wins
+    (f"<body><div class=page><h1>A title</h1><div class=content>{BODY.replace('<h1>A title</h1>', '')}</div></div></body>", WANT),
+    (f"<body><h1>A title</h1><div class=content>{BODY.replace('<h1>A title</h1>', '')}</div><div class=end>Some words</div></body>", WANT),
+    (f"<body><div class=page><div class=lead><p>The lead.</p></div><div class=text>{BODY}</div></div></body>", "The lead.\n\n" + WANT),
+    (f"<body><article><h1>A title</h1><p>A lead.</p><div class=body>{BODY.replace('<h1>A title</h1>', '')}</div></article></body>",
+     WANT.replace("A title\n\n", "A title\n\nA lead.\n\n")),
+    # but no list of links, and nothing as large as the article
+    (f"<body><div class=page><div class=top><a href=/>One</a> <a href=/>Two</a></div><div class=content>{BODY}</div></div></body>", WANT),
+    (f"<body><div class=page><div class=loud>{'<p>Loud words.</p>' * 20}</div><div class='post-content'>{BODY * 2}</div></div></body>", None),
+    # a formula or a medium inside a line keeps the line together
+    (f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be it.</p>{BODY}</article>", "Let x=2 be it.\n\n" + WANT),
+    (f"<article><p>See <object data=x>the plan</object> and <video src=y>the film</video>.</p>{BODY}</article>", "See the plan and the film.\n\n" + WANT),
+])
+def test_what_stands_beside_the_container(page, want):
+    got = H.extract(page, None)
+    assert got == want if want else "A title" in got
+
+
 def test_consensus_overrules_a_page(spark):
     ship(spark)
     noise = "<div class='promo-free'><p>" + "Loud words everywhere. " * 40 + "</p></div>"
