@@ -178,8 +178,9 @@ class TextEncoder:
     non-space follows, so a text of single spaces is encoded piece by piece.
     Pieces that are not known yet are encoded together as one text; only the
     first id of each begins with a space, which tells them apart again. Short
-    pieces are kept, up to a bound: the frequent ones come early. Other texts
-    are encoded whole.
+    pieces are kept, up to a bound: the frequent ones come early. Other texts,
+    such as those that hold one of the vocabulary's added tokens, are encoded
+    whole.
     """
 
     KEPT, LONGEST, JOINED = 150_000, 12, 256
@@ -190,9 +191,9 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
-        self.odd = re.compile(r" (?:\s|\Z)")
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([r" (?:\s|\Z)", *added]))
         words = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(words.values()) + 1, bool)
         self.spaced[[i for w, i in words.items() if w.startswith("\u0120")]] = True

@@ -19,9 +19,7 @@ DOC = "doc_id long, text string"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def expected(tokenizer, rows):
@@ -68,8 +66,14 @@ def test_encoder_on_any_text(text):
     assert np.frombuffer(test_encoder_on_any_text.encoder.encode([text])[0], "<u4").tolist() == whole
 
 
+def test_added_tokens_are_ids_of_their_own():
+    got = wavelet.TextEncoder().encode(["a <|endoftext|> b", "a<|endoftext|>", "a <|endoftext b"])
+    assert np.frombuffer(got[0], "<u4").tolist() == [64, 220, 50256, 275]
+    assert np.frombuffer(got[1], "<u4").tolist() == [64, 50256] and 50256 not in np.frombuffer(got[2], "<u4")
+
+
 test_encoder_on_any_text.encoder = wavelet.TextEncoder()
-test_encoder_on_any_text.tokenizer = test_encoder_on_any_text.encoder.tokenizer
+test_encoder_on_any_text.tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def rows_of(df):
@@ -83,7 +87,7 @@ def test_token_report(spark, tokenizer):
 
 
 def test_odd_rows_and_extra_columns(spark, tokenizer):
-    rows = [(3, None), (3, "a b"), (3, "a b"), (None, "null id"), (1, ""), (2, "long " * 50000), (-7, "negative")]
+    rows = [(3, None), (3, "a b"), (3, "a b"), (None, "null id"), (1, ""), (2, "long " * 50000), (-7, "negative"), (4, "x <|endoftext|> y")]
     df = spark.createDataFrame(rows, DOC).withColumns({c: F.lit("x") for c in ("part", "seq", "matrix", "start", "n_tokens")})
     assert rows_of(wavelet.token_report(df)) == expected(tokenizer, rows)
     assert wavelet.token_report(df.where("false")).count() == 0
