@@ -8,11 +8,13 @@ in one window, and window and item are of comparable size. Windows and items
 are sketched by their ``K`` least shingle hashes; a window is a candidate for
 an item when the sketches share a value and the share of the item's retained
 values in the window's range, less ``SLACK`` standard errors, may reach
-``CONTAINED``. An item's pieces may stand far apart, so its retained values are
-also counted over the whole document, and a document that has so many of them
-that the share, less the same slack, may reach ``CONTAINED`` is a candidate as
-well. Candidates are verified by exact shingle containment of the item in the
-whole document.
+``CONTAINED`` (in a partition of upper size u this is a similarity of
+``t * n / (u + n - t * n)`` with an item of n shingles, t being the share). An
+item's pieces may stand far apart: the sketches of a partition's windows are
+therefore merged, over twice as many windows at each step up to the whole
+document. A merged sketch is whole below the least reach of its windows, and is
+probed like a window's. Candidates are verified by exact shingle containment of
+the item in the whole document.
 
 A bit table of fixed size (``BITS``; two bits a value) of the benchmark's
 shingles goes along with the scan, so documents hand on only the values that
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bit_table, in_table, store, whole_row
@@ -42,7 +44,7 @@ SLACK = 5.0
 BITS = 1 << 22
 
 _ITEMS = "item long, item_id long, class int, n long, whole array<long>, sketch array<long>"
-_HITS = "doc_id long, k1 long, k2 long, hits array<long>, windows array<struct<class:int,reach:long,vs:array<long>>>"
+_HITS = "doc_id long, k1 long, k2 long, hits array<long>, windows array<struct<class:int,w:long,reach:long,vs:array<long>>>"
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,24 +67,24 @@ def item_sets(benchmark: DataFrame) -> DataFrame:
 
 
 def _windows(s: np.ndarray, at: np.ndarray, hit: np.ndarray, classes: list[int]) -> list[dict]:
-    """The sketched windows around the hits, as far as they retain one."""
+    """The sketched windows around the hits of every class that retains one."""
     out = []
     for c in classes:
-        hop = 1 << c
+        hop, own = 1 << c, []
         near = at // hop
-        for w in np.unique(np.concatenate([near, np.maximum(near - 1, 0)])):
+        for w in np.unique(np.concatenate([near, np.maximum(near - 1, 0)])).tolist():
             a, z = w * hop, w * hop + 2 * hop
             kept = np.unique(s[a:z])
             reach = int(kept[K - 1]) if len(kept) >= K else (1 << 63) - 1
             vs = np.unique(s[a:z][hit[a:z]])
-            vs = vs[vs <= reach]
-            if len(vs):
-                out.append({"class": c, "reach": reach, "vs": vs})
+            own.append({"class": c, "w": w, "reach": reach, "vs": vs[vs <= reach]})
+        if any(len(x["vs"]) for x in own):
+            out += own
     return out
 
 
 def _scan(batches: Iterator[pa.RecordBatch], table: np.ndarray, classes: list[int]) -> Iterator[pa.RecordBatch]:
-    shape = pa.list_(pa.struct([("class", pa.int32()), ("reach", pa.int64()), ("vs", pa.list_(pa.int64()))]))
+    shape = pa.list_(pa.struct([("class", pa.int32()), ("w", pa.int64()), ("reach", pa.int64()), ("vs", pa.list_(pa.int64()))]))
     for b in batches:
         keep, hits, windows = [], [], []
         for i, t in enumerate(b.column(3)):
@@ -112,20 +114,29 @@ def contained_items(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), *_keys(), "text")
     found = store(rows.mapInArrow(lambda it: _scan(it, table, classes), _HITS), "bench-hits").dropDuplicates(["k1", "k2"])
     keys = ["k1", "k2"]
-    windows = found.select(*keys, F.posexplode("windows").alias("w", "x")).select(
-        *keys, "w", F.col("x.class").alias("class"), F.col("x.reach").alias("reach"), F.explode("x.vs").alias("v"))
+    windows = found.select(*keys, F.explode("windows").alias("x")).select(
+        *keys, "x.class", "x.w", "x.reach", "x.vs")
     listed = items.select("item", "class", F.explode("sketch").alias("v"))
-    met = windows.join(listed, ["class", "v"]).groupBy(*keys, "w", "item").agg(
-        F.count(F.lit(1)).alias("both"), F.first("reach").alias("reach"))
-    met = met.join(items.select("item", "sketch"), "item")
-    tried = F.size(F.filter("sketch", lambda v: v <= F.col("reach")))
-    slack = F.lit(SLACK) * F.sqrt(F.lit(CONTAINED * (1 - CONTAINED)) / tried)
-    likely = met.where(F.col("both") / tried >= F.lit(CONTAINED) - slack).select(*keys, "item")
-    scattered = found.select(*keys, F.explode("hits").alias("v")).join(listed.select("item", "v"), "v").groupBy(*keys, "item").agg(
-        F.count(F.lit(1)).alias("both")).join(items.select("item", F.size("sketch").alias("tried")), "item")
-    slack = F.lit(SLACK) * F.sqrt(F.lit(CONTAINED * (1 - CONTAINED)) / F.col("tried"))
-    scattered = scattered.where(F.col("both") / F.col("tried") >= F.lit(CONTAINED) - slack).select(*keys, "item")
-    likely = likely.unionByName(scattered).distinct()
+    met = store(windows.select(*keys, "class", "w", "reach", F.explode("vs").alias("v")).join(listed, ["class", "v"]), "bench-met")
+    sketches = items.select("item", "sketch")
+
+    def likely_in(probed: DataFrame) -> DataFrame:
+        """(keys, item) of (keys, place, item, reach, both): may the share reach the bound?"""
+        x = probed.join(sketches, "item")
+        tried = F.size(F.filter("sketch", lambda v: v <= F.col("reach")))
+        slack = F.lit(SLACK) * F.sqrt(F.lit(CONTAINED * (1 - CONTAINED)) / tried)
+        return x.where(F.col("both") / tried >= F.lit(CONTAINED) - slack).select(*keys, "item")
+    likely = likely_in(met.groupBy(*keys, "class", "w", "item").agg(F.count(F.lit(1)).alias("both"), F.first("reach").alias("reach")))
+    # windows 2**step * i to 2**step * (i + 1) - 1 merged; the last step has them all in one
+    top = F.max("w").over(Window.partitionBy(*keys, "class"))   # the windows of a document
+    steps = F.explode(F.sequence(F.lit(1), F.ceil(F.log2(F.col("top") + F.lit(1.0))).cast("int") + 1)).alias("step")
+    tall = store(windows.select(*keys, "class", "w", "reach", top.alias("top")).select(*keys, "class", "w", "reach", "top", steps)
+                 .groupBy(*keys, "class", "step", F.expr("shiftright(w, step)").alias("g")).agg(F.min("reach").alias("low"), F.first("top").alias("top")),
+                 "bench-merged")
+    merged = (met.join(tall.select(*keys, "class", "step", "g", "low"), [*keys, "class"])
+              .where((F.expr("shiftright(w, step)") == F.col("g")) & (F.col("v") <= F.col("low")))
+              .groupBy(*keys, "class", "step", "g", "item").agg(F.count_distinct("v").alias("both"), F.first("low").alias("reach")))
+    likely = likely.unionByName(likely_in(merged)).distinct()
     pairs = likely.join(found.select(*keys, "doc_id", "hits"), keys).join(items.select("item", "item_id", "n", "whole"), "item")
     shared = F.size(F.array_intersect("hits", "whole")).cast("long")
     return (pairs.select(*keys, "doc_id", "item_id", F.col("n").alias("item_shingles"), shared.alias("shared"))

@@ -49,12 +49,12 @@ BLOCK, PAIRS_PER_COPY = 512, 512
 #: Bits of the table of wanted class ids.
 BITS = 1 << 21
 
-_SETS = "rid long, doc_id long, n long, key1 long, key2 long, sketch array<long>"
+_SETS = "rid long, th long, doc_id long, n long, key1 long, key2 long, sketch array<long>"
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rid, doc_id, texts = (b.column(i) for i in range(3))
+        rid, th, doc_id, texts = (b.column(i) for i in range(4))
         n, key1, key2, sketches = [], [], [], []
         for t in texts:
             s = np.unique(shingle_hashes(t.as_py()))
@@ -64,17 +64,21 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key2.append((d & (1 << 64) - 1) - (1 << 63))
             sketches.append(s[:K])
         yield pa.RecordBatch.from_arrays(
-            [rid, doc_id, pa.array(n, pa.int64()), pa.array(key1, pa.int64()), pa.array(key2, pa.int64()),
-             pa.array(sketches, pa.list_(pa.int64()))], ["rid", "doc_id", "n", "key1", "key2", "sketch"])
+            [rid, th, doc_id, pa.array(n, pa.int64()), pa.array(key1, pa.int64()), pa.array(key2, pa.int64()),
+             pa.array(sketches, pa.list_(pa.int64()))], ["rid", "th", "doc_id", "n", "key1", "key2", "sketch"])
 
 
 def _rid() -> Column:
     return order_key("doc_id", F.col("text"))
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text").isNull(), "text")
+
+
 def shingle_sets(df: DataFrame) -> DataFrame:
-    """Per row: rid (an id that is never null), doc_id, n, key1, key2, sketch."""
-    rows = df.select(_rid().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """Per row: rid (an id that is never null), th (hash of the text), doc_id, n, key1, key2, sketch."""
+    rows = df.select(_rid().alias("rid"), _text_hash().alias("th"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     return store(rows.mapInArrow(_sketched, _SETS), "near-sets")
 
 
@@ -208,7 +212,7 @@ def across_components(lists: DataFrame, roots: DataFrame, texts: DataFrame) -> D
 
 
 def link_components(df: DataFrame) -> DataFrame:
-    """Per row of ``df``: rid, doc_id, n_shingles, component_id, kept."""
+    """Per row of ``df``: rid, th, key1, key2 (of its text and set), doc_id, n_shingles, component_id, kept."""
     sets = shingle_sets(df)
     keys = ["key1", "key2"]
     classes = store(sets.where("n > 0").groupBy(*keys).agg(
@@ -233,25 +237,31 @@ def _report(sets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
     cls = cls.select(*keys, F.coalesce("root", "cid").alias("root"))
     rows = sets.drop("sketch").join(cls, keys, "left").withColumn("root", F.coalesce("root", "rid"))
     known = F.col("root") < (1 << 62)
-    return rows.select("rid", "doc_id", F.col("n").alias("n_shingles"),
+    return rows.select("rid", "th", *keys, "doc_id", F.col("n").alias("n_shingles"),
                        F.when(known, F.col("root")).alias("component_id"), (F.col("rid") == F.col("root")).alias("kept"))
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
-    return link_components(df).drop("rid")
+    return link_components(df).drop("rid", "th", "key1", "key2")
 
 
 def keep_one(df: DataFrame) -> DataFrame:
-    """``df`` without the documents that are not the first of their component;
-    of repeated rows of a kept document one stays."""
+    """``df`` without the documents that are not the first of their component.
+
+    Rows of one id are told apart by their texts: different sets under one id
+    are each in a component of their own and stay if they are its first. Of rows
+    with one id and equal sets the first text stays, and of equal rows one."""
+    rows = store(link_components(df), "near-rows")
+    alike = ["rid", "key1", "key2"]
+    again = rows.where("kept").groupBy(*alike).agg(F.count(F.lit(1)).alias("m"), F.min("th").alias("first")).where("m > 1")
+    later = rows.where("kept").join(again, alike).where(F.col("th") != F.col("first"))
     # a stored table: its size is known when the join is planned
-    gone = store(link_components(df).where("not kept").select("rid").distinct(), "near-gone")
-    rows = df.select(whole_row(df), _rid().alias("rid")).join(gone, "rid", "left_anti")
-    if not df.groupBy(_rid().alias("rid")).count().where("count > 1").isEmpty():
-        first = Window.partitionBy("rid").orderBy("_row.text")
-        rows = rows.withColumn("n", F.row_number().over(first)).where("n = 1")
-    return rows.select("_row.*")
+    gone = store(rows.where("not kept").select("rid", "th").unionByName(later.select("rid", "th")).distinct(), "near-gone")
+    out = df.select(whole_row(df), _rid().alias("rid"), _text_hash().alias("th")).join(gone, ["rid", "th"], "left_anti")
+    if not rows.groupBy("rid", "th").count().where("count > 1").isEmpty():
+        out = out.withColumn("n", F.row_number().over(Window.partitionBy("rid", "th").orderBy("rid"))).where("n = 1")
+    return out.select("_row.*")
 
 
 def oracle() -> str:

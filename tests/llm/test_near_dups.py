@@ -105,6 +105,14 @@ def test_odd_rows(spark):
     assert near_dups.duplicate_report(df.where("false")).count() == 0
 
 
+def test_texts_of_one_id_are_told_apart(spark):
+    rows = [(1, "one two three four five six"), (1, "other words stand in this text"), (1, "other words stand in this text"),
+            (2, "One two three four five six"), (3, "a third text of some words"), (3, "A THIRD text of some words")]
+    got = near_dups.keep_one(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted((r.doc_id, r.text.lower()) for r in got) == [
+        (1, "one two three four five six"), (1, "other words stand in this text"), (3, "a third text of some words")]
+
+
 def test_components_of_chains_and_cycles(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000 + i, 1000 + (i + 1) % 40) for i in range(40)]
@@ -187,3 +195,13 @@ def test_an_item_in_distant_pieces_is_found(spark):
     got = {tuple(r)[:4] for r in decontamination.contamination_report(df, bench).collect()}
     assert got == {(1, 7, 55, 47), (3, 8, 996, 960)}
     assert [r.doc_id for r in decontamination.drop_contaminated(df, bench).collect()] == [2]
+
+
+def test_candidates_come_from_the_partitions_alone(spark, monkeypatch):
+    item = [f"item{i}" for i in range(40)]
+    fill = lambda k: [f"fill{k}x{i}" for i in range(300)]
+    df = spark.createDataFrame([(1, " ".join([*fill(0), *item, *fill(1)])), (2, " ".join([*item[:20], *fill(2), *item[19:]]))], DOC)
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    assert {r.doc_id for r in decontamination.contamination_report(df, bench).collect()} == {1, 2}
+    monkeypatch.setattr(decontamination, "_windows", lambda *a: [])
+    assert decontamination.contamination_report(df, bench).count() == 0
