@@ -6,8 +6,9 @@ mix has as many slots as the targets need; each output shard draws its slots'
 sources from a multinomial, a repair moves the surplus draws to the sources
 that fell short, and slot j of a source takes block ``perm(j mod n)`` of its n
 blocks, ``perm`` being a swap-or-not permutation keyed by source and pass.
-Blocks are then joined by index. No source gets more than two slots a block,
-so no document is taken more than twice.
+Blocks are then joined by index. A source's last slot takes the first words of
+its block only, as many as its target, rounded to a word, still lacks. No source
+gets more than two slots a block, so no document is taken more than twice.
 
 Everything is hashed from constants and the data, so reruns agree. DataFrame
 functions only. Null text: size 0, nothing taken. A null source is a source of
@@ -65,14 +66,43 @@ def source_targets(sizes: DataFrame) -> DataFrame:
                         ).drop("_i", "_cap", "_r", "_level", "_at")
 
 
-def permuted(j: Column, n: Column, *keys: Column) -> Column:
+def permuted(j: Column, n: Column, *keys: Column, back: bool = False) -> Column:
     """Swap-or-not: a keyed permutation of 0..n-1 for any n, round by round
-    x -> K - x (mod n) or x, decided by a hash of the larger of the two."""
+    x -> K - x (mod n) or x, decided by a hash of the larger of the two. A round
+    undoes itself, so ``back`` goes through them in reverse order."""
     def step(x: Column, r: Column) -> Column:
         k = F.pmod(F.xxhash64(F.lit("key"), r, *keys), n)
         return let(F.pmod(k - x, n), lambda y: F.when(
             F.xxhash64(F.lit("bit"), r, F.greatest(x, y), *keys) % 2 == 0, x).otherwise(y))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), j.cast("long"), step)
+    rounds = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+    return F.aggregate(F.reverse(rounds) if back else rounds, j.cast("long"), step)
+
+
+def with_slots(sources: DataFrame) -> DataFrame:
+    """(src, source_size, target, ...) -> plus blocks, slots and last_words, the
+    words that the last slot takes: together exactly the rounded target.
+
+    All blocks but the last of a source are full. The target's whole passes take
+    every block; in the pass after them, slots go on until its words are
+    reached, which is one later if the short block came among them.
+    """
+    size, full = F.col("source_size"), F.lit(BLOCK_WORDS)
+    blocks = F.ceil(size / full).cast("long")
+    want = F.least(F.round("target").cast("long"), size * MOST_PASSES)
+    x = sources.withColumns({"blocks": blocks, "_want": F.when(size > 0, want).otherwise(0)})
+    x = x.withColumns({"_passes": F.floor(F.col("_want") / F.greatest(size, F.lit(1))).cast("long"),
+                       "_short": F.col("blocks") * full - size})
+    x = x.withColumn("_rest", F.col("_want") - F.col("_passes") * size)
+    place = permuted(F.col("blocks") - 1, F.greatest("blocks", F.lit(1)), F.col("src.none"), F.col("src.name"),
+                     F.col("_passes").cast("int"), back=True)
+    x = x.withColumn("_place", place)
+    early = F.ceil(F.col("_rest") / full).cast("long")
+    x = x.withColumn("_more", F.when(F.col("_place") < early, F.ceil((F.col("_rest") + F.col("_short")) / full).cast("long")).otherwise(early))
+    before = (F.col("_more") - 1) * full - F.when(F.col("_place") < F.col("_more") - 1, F.col("_short")).otherwise(0)
+    return x.withColumns({
+        "slots": F.col("_passes") * F.col("blocks") + F.col("_more"),
+        "last_words": F.when(F.col("_more") > 0, F.col("_rest") - before).otherwise(full)}).drop(
+        "_want", "_passes", "_short", "_rest", "_place", "_more")
 
 
 def _row_key() -> list[Column]:
@@ -84,16 +114,14 @@ def _row_key() -> list[Column]:
 def packed(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(docs, sources, pieces): docs with size, src and word offset in the
     source; sources with size, target, blocks and slots; pieces
-    (src, block, doc key, words of the document in the block, first of them)."""
+    (src, block, doc key, words of the document in the block, first of them,
+    place in the block)."""
     docs = df.select("doc_id", F.struct(F.col("source").isNull().alias("none"),
                                         F.coalesce("source", F.lit("")).alias("name")).alias("src"),
                      word_count(F.col("text")).alias("size"), *_row_key())
     docs = store(docs.withColumn("_ord", order_key("doc_id", F.col("_k1"), F.col("_k2"))), "mix-docs")
     sources = source_targets(docs.groupBy("src").agg(F.sum("size").alias("source_size")))
-    blocks = F.ceil(F.col("source_size") / BLOCK_WORDS)
-    slots = F.when(F.col("source_size") > 0, F.least(
-        F.round(F.col("target") * blocks / F.col("source_size")).cast("long"), blocks * MOST_PASSES)).otherwise(0)
-    sources = store(sources.withColumns({"blocks": blocks.cast("long"), "slots": slots.cast("long")}), "mix-sources")
+    sources = store(with_slots(sources), "mix-sources")
     docs = store(running_total(docs, ["src"], "_ord", ["_k1", "_k2"], "size", "offset"), "mix-offsets")
     last = F.col("offset") + F.col("size")
     pieces = (docs.where("size > 0")
@@ -103,7 +131,8 @@ def packed(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     start = F.greatest(F.col("offset"), F.col("block") * BLOCK_WORDS)
     end = F.least(F.col("_end"), (F.col("block") + 1) * BLOCK_WORDS)
     pieces = pieces.select("src", "block", "doc_id", "_k1", "_k2", F.col("offset").alias("doc_offset"),
-                           (start - F.col("offset")).alias("first"), (end - start).alias("words"))
+                           (start - F.col("offset")).alias("first"), (end - start).alias("words"),
+                           (start - F.col("block") * BLOCK_WORDS).alias("at"))
     return docs, sources, pieces
 
 
@@ -146,26 +175,30 @@ def shard_draws(sources: DataFrame) -> DataFrame:
 
 
 def mixed_slots(sources: DataFrame) -> DataFrame:
-    """(src, shard, slot, pass, block): which block every slot of the mix takes."""
+    """(src, shard, slot, pass, block, most): which block every slot of the mix
+    takes, and how many of its words."""
     # the draws are few rows that stand for many slots: deal them out in ranges first
     ranges = shard_draws(sources).select("src", "shard", (F.col("start") + F.col("count")).alias("_to"), F.explode(
         F.sequence("start", F.col("start") + F.col("count") - 1, F.lit(SLOTS_A_RANGE).cast("long"))).alias("start"))
     partitions = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = F.least(F.col("start") + SLOTS_A_RANGE, "_to") - 1
-    slots = (ranges.join(sources.select("src", "blocks"), "src").repartition(partitions, "src", "shard", "start")
-             .select("src", "shard", "blocks", F.explode(F.sequence("start", last)).alias("slot")))
+    slots = (ranges.join(sources.select("src", "blocks", "slots", "last_words"), "src").repartition(partitions, "src", "shard", "start")
+             .select("src", "shard", "blocks", "slots", "last_words", F.explode(F.sequence("start", last)).alias("slot")))
     turn = F.floor(F.col("slot") / F.col("blocks"))
     return slots.withColumn("pass", turn.cast("int")).select(
         "src", "shard", "slot", "pass",
         permuted(F.col("slot") % F.col("blocks"), F.col("blocks"),
-                 F.col("src.none"), F.col("src.name"), F.col("pass")).alias("block"))
+                 F.col("src.none"), F.col("src.name"), F.col("pass")).alias("block"),
+        F.when(F.col("slot") == F.col("slots") - 1, F.col("last_words")).otherwise(BLOCK_WORDS).alias("most"))
 
 
 def mix(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(docs, sources, taken): ``taken`` has one row per slot and document in
     its block: src, shard, slot, pass, block, doc_id, _k1, _k2, doc_offset, first, words."""
     docs, sources, pieces = packed(df)
-    return docs, sources, mixed_slots(sources).join(pieces, ["src", "block"])
+    taken = mixed_slots(sources).join(pieces, ["src", "block"]).where(F.col("at") < F.col("most"))
+    taken = taken.withColumn("words", F.least("words", F.col("most") - F.col("at")).cast("long")).drop("at", "most")
+    return docs, sources, taken
 
 
 def mix_report(df: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ code points of each other in the document:
 
 * account (``user=...``, ``client_id: ...``) next to a secret part,
 * secret (a bare base64 run) next to an identifier,
-* endpoint (URL or host:port) next to an identifier linked with a secret.
+* endpoint (URL or host:port) next to an identifier linked with a secret. Host
+  names are of 2 to 9 labels of at most 63 characters, as their format has it.
 
 Identifiers are access and account spans, secret parts are assign, hex and
 secret spans. Parts meet in an interval join on (document, bin of SCOPE code
@@ -32,7 +33,7 @@ KINDS = [
     ("assign", ASSIGN, 2, 12),
     ("access", r"AKIA[A-Z0-9]+", 0, 18),
     ("hex", r"[0-9a-f]{16,}", 0, 16),
-    ("account", r"""(?i:(user|username|login|account|client_?id|access_?key_?id))["']?\x20?[:=]\x20?["']?([A-Za-z0-9_.@-]{3,64})""", 0, 1),
+    ("account", r"""(?i:(user|username|login|account|client_?id|access_?key_?id))["']?\x20?[:=]\x20?["']?([A-Za-z0-9_.@-]{3,})""", 0, 1),
     ("secret", r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}={0,2}", 0, 32),
     ("endpoint", r"""https?://[^\x00-\x20"'<>]+|(?<![A-Za-z0-9.-])[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}:[0-9]{2,5}(?![0-9])""", 0, 8),
 ]
