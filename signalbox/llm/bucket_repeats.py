@@ -9,8 +9,9 @@ starts are sorted as far as ``LENGTH`` bytes by refining buckets of starts:
    equals), so equal strings have equal grams at equal places. The grams are
    counted over all documents; a start whose gram occurs once is alone in its
    bucket and in its final place. A bit table of the repeated grams, sized by
-   their number, goes along with the second scan; what it lets through beyond
-   them stays alone in its bucket.
+   their number (64 MB at most), goes along with the second scan; what it lets
+   through beyond them stays alone in its bucket. A like table of the grams with
+   several representatives picks the runs whose bytes are shuffled.
 2. *Whole runs.* Successive starts with the same gram place are a run; the bytes
    that their strings cover are hashed (with the gram 128 bits). Of runs with
    equal bytes the earliest one represents all; the starts of the others are
@@ -25,7 +26,7 @@ starts are sorted as far as ``LENGTH`` bytes by refining buckets of starts:
    their bytes; tasks combine them before the shuffle.
 
 Only gram hashes of all documents are shuffled, then the runs with repeated
-grams, then the texts once, to be cut where repeats were found.
+grams, then the texts in which repeats were found, to be cut.
 
 A null text is empty. Texts under ``LENGTH`` bytes lose nothing. Null ids count
 as larger than any id (ids lie below 2**62); different texts of one id, or of
@@ -154,6 +155,19 @@ def _live(length: int, table: np.ndarray):
     return _gathered(run, 1 << 13)
 
 
+def _sized_table(values: DataFrame) -> np.ndarray:
+    """A bit table of the one column of a stored table, sized by its rows."""
+    return bit_table(values, min(max(1 << (BITS_EACH * values.count()).bit_length(), LEAST_BITS), MOST_BITS))
+
+
+def _held(table: np.ndarray):
+    """The runs whose gram the table may hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(in_table(table, b.column("q").to_numpy())))
+    return run
+
+
 def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorts: each key's bucket, and which are not alone in theirs."""
     order = np.argsort(keys, kind="stable")
@@ -251,19 +265,20 @@ def repeated_starts(df: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be at least {GRAM + 8}")
     grams = df.select("text").mapInArrow(_grams(length), "q long")
     repeated = store(grams.groupBy("q").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("q"), "repeat-grams")
-    bits = min(max(1 << (BITS_EACH * repeated.count()).bit_length(), LEAST_BITS), MOST_BITS)
-    table = bit_table(repeated, bits)
-    live = store(df.select(*place_key(df), "text").mapInArrow(_live(length, table), _RUNS), "repeat-runs", compression="zstd")
+    live = store(df.select(*place_key(df), "text").mapInArrow(_live(length, _sized_table(repeated)), _RUNS), "repeat-runs",
+                 compression="zstd")
 
-    run = F.struct("dk", "th", "lo", "hi", "body")
-    classes = store(live.groupBy("q", "u").agg(F.min(run).alias("first"), F.count(F.lit(1)).alias("n")), "repeat-classes",
-                    compression="zstd")
+    classes = store(live.groupBy("q", "u").agg(F.min(F.struct("dk", "th", "lo")).alias("first"), F.count(F.lit(1)).alias("n")),
+                    "repeat-classes", compression="zstd")
     firsts = classes.where("n > 1").select("q", "u", *[F.col(f"first.{c}").alias(f"f_{c}") for c in ("dk", "th", "lo")])
     later = (F.col("dk") != F.col("f_dk")) | (F.col("th") != F.col("f_th")) | (F.col("lo") != F.col("f_lo"))
     whole = live.drop("body").join(firsts, ["q", "u"]).where(later).select("dk", "th", "lo", "hi")
 
-    mixed = classes.groupBy("q").agg(F.count(F.lit(1)).alias("nc")).where("nc > 1")
-    open_runs = store(classes.select("q", "first.*").join(mixed, "q"), "repeat-open", compression="zstd")
+    mixed = store(classes.groupBy("q").agg(F.count(F.lit(1)).alias("nc")).where("nc > 1"), "repeat-mixed")
+    some = live.mapInArrow(_held(_sized_table(mixed.select("q"))), _RUNS)
+    run = F.struct("dk", "th", "lo", "hi", "body")
+    open_runs = store(some.groupBy("q", "u").agg(F.min(run).alias("first")).select("q", "first.*").join(mixed, "q"), "repeat-open",
+                      compression="zstd")
     parts = (open_runs.where(F.col("nc") <= CROWD).select("dk", "th", "lo", "q", "body")
              .repartition("q").sortWithinPartitions("q").mapInArrow(_refine(length), _SPANS))
     crowd = open_runs.where(F.col("nc") > CROWD).select(
@@ -300,12 +315,28 @@ def _cut(length: int):
     return run
 
 
+def _told(table: np.ndarray, wanted: bool):
+    """The rows whose ``_at`` the table may hold, or the others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(in_table(table, b.column("_at").to_numpy()) == wanted))
+    return run
+
+
 def _cut_rows(df: DataFrame, carried: DataFrame, length: int) -> DataFrame:
-    """``carried``: the column to keep, dk, th and text of each row."""
+    """``carried``: the column to keep, dk, th and text of each row. Only texts
+    that may have repeats are shuffled to them."""
     starts = store(repeated_starts(df, length).groupBy("dk", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "repeat-spans")
-    joined = carried.join(starts, ["dk", "th"], "left").drop("dk", "th")
+    at = F.shiftrightunsigned(F.xxhash64("dk", "th"), 1)
+    table = _sized_table(starts.select(at.alias("at")))
+    rows = carried.withColumn("_at", at)
+    some = rows.mapInArrow(_told(table, True), rows.schema).join(starts, ["dk", "th"], "left")
+    none = rows.mapInArrow(_told(table, False), rows.schema).withColumn("spans", F.lit(None).cast(starts.schema["spans"].dataType))
+    columns = [carried.columns[0], "text", "spans"]
     name, kind = carried.columns[0], carried.schema[0].dataType.simpleString()
-    return joined.mapInArrow(_cut(length), f"{name} {kind}, n_removed long, n_spans long, kept binary")
+    shape = f"{name} {kind}, n_removed long, n_spans long, kept binary"
+    return (some.select(*columns).mapInArrow(_cut(length), shape)
+            .unionByName(none.select(*columns).mapInArrow(_cut(length), shape)))
 
 
 def cut(df: DataFrame, length: int = LENGTH) -> DataFrame:
