@@ -76,7 +76,7 @@ def test_empty_table(spark, kept):
 
 def test_registered_queries():
     names = list(queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(oracle_sql()) <= set(names)
 
 
