@@ -124,13 +124,14 @@ SERVICE_DETAIL_COLUMNS = ["service_details_id", "service_uid", "company_id", "se
 
 def service_detail_candidates(svc: DataFrame, company: DataFrame, service_type: DataFrame,
                               station: DataFrame,
-                              order_cols: Sequence[str] = SERVICE_ORDER, stage=None
+                              order_cols: Sequence[str] = SERVICE_ORDER, stage=None, **repeats
                               ) -> tuple[DataFrame, DataFrame]:
-    """First row per (service_uid, run date) with its four lookups; good / rejects."""
+    """First row per (service_uid, run date) with its four lookups; good /
+    rejects. ``repeated``, if given, is passed on to ``first_per_key``."""
     cols = ["service_uid", "origin_run_datetime", "company_name", "service_type",
             "origin_crs", "planned_final_crs", *order_cols]
     first = first_per_key(svc.select(*dict.fromkeys(cols)), ["service_uid", "origin_run_datetime"],
-                          order_cols)
+                          order_cols, **repeats)
     j = lookup(first, company, "company_name", "company_name", "company_id")
     j = lookup(j, service_type, "service_type", "service_type_name", "service_type_id")
     j = lookup(j, station, "origin_crs", "crs", "station_id", "origin_station_id")
@@ -141,10 +142,11 @@ def service_detail_candidates(svc: DataFrame, company: DataFrame, service_type:
 
 
 def load_service_details(svc: DataFrame, company: DataFrame, service_type: DataFrame,
-                         station: DataFrame, existing: DataFrame | None = None, stage=None
+                         station: DataFrame, existing: DataFrame | None = None, stage=None,
+                         order_cols: Sequence[str] = SERVICE_ORDER, **repeats
                          ) -> tuple[DataFrame, DataFrame]:
     """service_details rows to append (unique on service_uid, run_date)."""
-    good, rejects = service_detail_candidates(svc, company, service_type, station, stage=stage)
+    good, rejects = service_detail_candidates(svc, company, service_type, station, order_cols, stage, **repeats)
     new = absent_rows(good, existing, ["service_uid", "run_date"], _month_prune(existing, good))
     # Ids follow load order (run date, then uid), as daily appends number
     # them; id ranges are then also run-month ranges, so the partitioned
@@ -160,20 +162,20 @@ def _month(wanted: bool) -> list:
 
 
 def _fact_first(svc: DataFrame, keep, cols: Sequence[str],
-                order_cols: Sequence[str]) -> DataFrame:
+                order_cols: Sequence[str], **repeats) -> DataFrame:
     rows = svc.where(keep).select(*dict.fromkeys(["service_uid", "origin_run_datetime",
                                                   *cols, *order_cols]))
-    return first_per_key(rows, ["service_uid", "origin_run_datetime"], order_cols)
+    return first_per_key(rows, ["service_uid", "origin_run_datetime"], order_cols, **repeats)
 
 
 def load_delays(svc: DataFrame, service_details: DataFrame,
                 existing: DataFrame | None = None,
                 order_cols: Sequence[str] = SERVICE_ORDER, stage=None,
-                with_month: bool = False) -> tuple[DataFrame, DataFrame]:
+                with_month: bool = False, **repeats) -> tuple[DataFrame, DataFrame]:
     """Lateness > 0, fact id by (uid, run date), unique on the fact id;
     ``with_month`` adds the storage partition ``run_month``."""
     first = _fact_first(svc, F.col("arrival_lateness") > 0,
-                        ["arrival_lateness", "scheduled_arrival_datetime"], order_cols)
+                        ["arrival_lateness", "scheduled_arrival_datetime"], order_cols, **repeats)
     j = lookup(first, service_details, ["service_uid", "origin_run_datetime"],
                ["service_uid", "run_date"], "service_details_id")
     j = _staged(j, stage)
@@ -190,12 +192,12 @@ def load_delays(svc: DataFrame, service_details: DataFrame,
 def load_cancellations(svc: DataFrame, service_details: DataFrame, station: DataFrame,
                        cancel_code: DataFrame, existing: DataFrame | None = None,
                        order_cols: Sequence[str] = SERVICE_ORDER, stage=None,
-                       with_month: bool = False) -> tuple[DataFrame, DataFrame]:
+                       with_month: bool = False, **repeats) -> tuple[DataFrame, DataFrame]:
     """Rows with a cancel code; fact id, two stations and the code id;
     ``with_month`` adds the storage partition ``run_month``."""
     first = _fact_first(svc, F.col("cancel_code").isNotNull(),
                         ["cancellation_station_crs", "destination_reached_crs", "cancel_code"],
-                        order_cols)
+                        order_cols, **repeats)
     j = lookup(first, service_details, ["service_uid", "origin_run_datetime"],
                ["service_uid", "run_date"], "service_details_id")
     j = lookup(j, station, "cancellation_station_crs", "crs", "station_id", "cancelled_station_id")

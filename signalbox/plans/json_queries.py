@@ -176,6 +176,24 @@ flat AS (
 )"""
 
 
+_CODED = "upper(trim(cancel_code)) IN (SELECT upper(p_brand) FROM part WHERE p_brand IS NOT NULL AND upper(p_brand) NOT LIKE '%5')"
+#: Rows of each step of the batch; three-letter codes are required, and a
+#: cancellation needs a known code and a station of three letters.
+BATCH_RUN = f""",
+clean AS (SELECT * FROM flat WHERE length(origin_crs) = 3 AND length(planned_final_crs) = 3 AND length(destination_reached_crs) = 3),
+keyed AS (SELECT DISTINCT service_uid, origin_run_date, arrival_lateness, {_CODED} AS coded,
+                 length(cancellation_station_crs) = 3 AS placed FROM clean),
+tally AS (
+  SELECT (SELECT count(*) FROM journeys) AS j, (SELECT count(*) FROM flat) AS f, (SELECT count(*) FROM clean) AS c,
+         (SELECT count(*) FROM keyed) AS k, (SELECT count(*) FROM keyed WHERE arrival_lateness > 0) AS d,
+         (SELECT count(*) FROM keyed WHERE coded) AS n, (SELECT count(*) FROM keyed WHERE coded AND placed) AS p)
+SELECT 'extract' AS step, j AS rows_in, f AS rows_out, j - f AS set_aside, 0 AS repeated FROM tally
+UNION ALL SELECT 'clean', f, c, f - c, 0 FROM tally
+UNION ALL SELECT 'load service_details', c, k, 0, c - k FROM tally
+UNION ALL SELECT 'load delay_details', d, d, 0, 0 FROM tally
+UNION ALL SELECT 'load cancellation', n, p, n - p, 0 FROM tally"""
+
+
 def _with_calls(expr: str) -> str:
     """Null where the document has no calling points."""
     return f"CASE WHEN NOT no_locations THEN {expr} END"

@@ -20,14 +20,18 @@ from ..functions import cleaning as C
 from ..functions import timestamps as TS
 from ..operators import normalize as N
 from ..sources.binding import service_rows, valid_code_list, valid_code_rows
-from ..session import materialize
+from ..operators.part_filters import PartedTable
+from ..session import materialize, path_exists, run_root, work_path
 from ..sources.documents import code_pages
 from ..sources.html import extract_html_table, table_columns
 from ..sources.tables import Tables
 from . import incident_queries, io_queries, json_queries, oracle, stream_queries
+from .batch import batch_run
+from .bucketed import append_bucketed, open_bucketed
 from .captures import capture
+from .month_states import FIGURES, States
 from .services import TABLES, star_schema, star_schema_from_tables
-from .store import services_store
+from .store import inputs_digest, services_store
 from .wide_view import wide_services
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +162,52 @@ def _load_rejects(spark, sf_dir):
     return rejects.select("service_uid", "origin_run_datetime", "reject_reason")
 
 
+def _from_states(name: str) -> Query:
+    """A figure of the dashboard from the stored month states."""
+    def q(spark, sf_dir):
+        services_store(spark, sf_dir)
+        return getattr(States(spark, f"{run_root(spark)}/store-{inputs_digest(spark, sf_dir)}"), name)()
+    return q
+
+
+BUCKETS = 8
+
+
+def _wide_bucketed(spark, sf_dir):
+    """V01 over bucketed facts."""
+    t = services_store(spark, sf_dir)
+    root = f"{run_root(spark)}/bucketed-{inputs_digest(spark, sf_dir)}"
+    if not path_exists(spark, root):
+        append_bucketed(spark, t, root, BUCKETS)
+    return wide_services(open_bucketed(spark, t, root, BUCKETS))
+
+
+PART_CUTS = ["1993-01-01", "1994-01-01", "1995-01-01", "1996-01-01", "1997-01-01"]
+
+
+def _insert_if_absent_parts(spark, sf_dir):
+    """W02 with part filters: the services of a year at a time as stored parts,
+    then the whole batch on top; only parts that may hold a key are read. The
+    result numbers all keys, the stored ones first."""
+    t = Tables(spark, sf_dir)
+    run = F.col("origin_run_datetime")
+    keys = materialize(service_rows(t).select("service_uid", run.alias("run_date")).distinct(), "part-keys")
+    table = PartedTable(spark, work_path(spark, "parted"), "service_keys", ["service_uid", "run_date"], max(1, keys.count() // 4))
+    cut = lambda day: F.col("run_date") < F.lit(day).cast("timestamp_ntz")
+    for low, high in zip([None, *PART_CUTS], PART_CUTS):
+        table.append(keys.where(cut(high) if low is None else cut(high) & ~cut(low)))
+    stored = table.read(table.parts())
+    new = table.absent(keys)
+    return stored.select("*", F.lit(True).alias("stored")).unionByName(new.select("*", F.lit(False).alias("stored")))
+
+
+def _batch_run(spark, sf_dir):
+    """Every step of the batch, from captured documents to the star schema."""
+    t = Tables(spark, sf_dir)
+    return batch_run(spark, json_queries._journeys(spark, sf_dir), json_queries._good_services(spark, sf_dir), _published_codes(t),
+                     valid_code_rows(t), work_path(spark, "batch"))[0]
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "dim_cancel_code": _star("cancel_code"),
@@ -211,6 +261,10 @@ def queries() -> dict[str, Query]:
         "valid_cancel_code": _valid_cancel_code,
         "service_transform": _service_transform,
         "load_rejects": _load_rejects,
+        "wide_services_bucketed": _wide_bucketed,
+        "insert_if_absent_parts": _insert_if_absent_parts,
+        "batch_run": _batch_run,
+        **{f"{name}_from_states": _from_states(name) for name in FIGURES},
     }
     q.update(json_queries.QUERIES)
     q.update(incident_queries.QUERIES)
@@ -221,6 +275,11 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     out = oracle.oracle_sql()
+    out.update({f"{name}_from_states": out[name] for name in FIGURES})
+    out["wide_services_bucketed"] = out["wide_services"]
+    out["insert_if_absent_parts"] = oracle.services(f"""SELECT DISTINCT service_uid, origin_run_datetime AS run_date,
+        origin_run_datetime < TIMESTAMP '{PART_CUTS[-1]}' AS stored FROM svc""")
+    out["batch_run"] = json_queries.DOCS_CTE + json_queries.BATCH_RUN
     out.update(json_queries.oracle_sql())
     out.update(incident_queries.oracle_sql())
     out.update(stream_queries.oracle_sql())

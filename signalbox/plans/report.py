@@ -3,12 +3,11 @@ report date and returned in long form (dataset, group key, metric, value)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..constants import TOP_K
 from ..operators import analytics as A
-from ..operators import report as R
-from ..session import materialize
 from ..sinks.files import write_dated
 from .services import ServiceTables
 from .wide_view import wide_services, yesterday
@@ -17,51 +16,64 @@ REPORT_COLUMNS = ["company_name", "origin_station_name", "service_uid", "arrival
                   "cancel_code", "cancellation_id"]
 
 
-def _long(df: DataFrame, dataset: str, key: str | None, metrics: list[str]) -> DataFrame:
-    k = F.col(key).cast("string") if key else F.lit(None).cast("string")
-    stacked = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"),
-                                           F.col(m).cast("double").alias("value")) for m in metrics]))
-    return df.select(F.lit(dataset).alias("dataset"), k.alias("group_key"), stacked.alias("m")).select(
-        "dataset", "group_key", "m.metric", "m.value")
+BY_COMPANY, BY_STATION, OVERALL = 1, 2, 3  # grouping ids of (company, station)
+
+
+def group_figures(day_view: DataFrame) -> DataFrame:
+    """All sums by company, by station and over all, in one aggregate
+    with grouping sets over one scan; a row of nulls stands in for an empty day,
+    so the overall row is always there. Ranks are taken over the few groups."""
+    spark = day_view.sparkSession
+    columns = REPORT_COLUMNS
+    rows = day_view.select(*columns, F.lit(1).alias("_real"))
+    none = spark.range(1).select(*[F.lit(None).cast(day_view.schema[c].dataType).alias(c) for c in columns], F.lit(0).alias("_real"))
+    company, station = F.col(A.COMPANY), F.col(A.STATION)
+    g = rows.unionByName(none).groupingSets([[company], [station], []], company, station).agg(
+        F.grouping_id().cast("int").alias("gid"), F.sum("_real").alias("services"), F.count("service_uid").alias("uids"),
+        F.count("arrival_lateness").alias("delays"), F.sum("arrival_lateness").alias("lateness"),
+        F.avg("arrival_lateness").alias("mean"), F.count("cancel_code").alias("codes"), F.count("cancellation_id").alias("cancelled"))
+    g = g.withColumn("key", F.coalesce(company, station).cast("string"))
+    g = g.where((F.col("gid") == OVERALL) | F.col("key").isNotNull())
+
+    def rank(metric: str) -> Column:
+        return F.row_number().over(Window.partitionBy("gid").orderBy(F.col(metric).desc_nulls_last(), F.col("key").asc_nulls_last()))
+    return g.withColumns({"mean_rank": rank("mean"), "cancelled_rank": rank("cancelled")})
 
 
 def report_datasets(day_view: DataFrame) -> DataFrame:
     """Every table and chart dataset of the report, in long form."""
-    parts = [
-        _long(R.services_per_station(day_view), "services_per_station", A.STATION, ["total_services"]),
-        _long(A.avg_delay_by_company(day_view), "avg_delay_company_top", A.COMPANY,
-              ["avg_arrival_lateness"]),
-        _long(R.total_delay_by_company(day_view), "total_delay_company", A.COMPANY,
-              ["total_arrival_lateness"]),
-        _long(R.cancel_codes_by_company(day_view), "cancel_count_company", A.COMPANY,
-              ["cancel_code_count"]),
-        _long(R.mean_delay_by_station(day_view), "mean_delay_station", A.STATION,
-              ["avg_arrival_lateness"]),
-        _long(R.cancel_codes_by_station(day_view), "cancel_count_station", A.STATION,
-              ["cancel_code_count"]),
-        _long(A.cancellations_by_station(day_view), "cancellations_station_top", A.STATION,
-              ["cancellation_count"]),
-        _long(R.cancellations_per_company(day_view), "cancellations_company", A.COMPANY,
-              ["cancellation_count"]),
-        _long(A.avg_delay_by_station(day_view), "avg_delay_station_top", A.STATION,
-              ["avg_arrival_lateness"]),
-        _long(R.key_statistics(day_view), "key_statistics", None,
-              ["total_services", "total_delays", "total_cancellations", "avg_delay"]),
+    def row(dataset: str, metric: str, value: Column, gid: int, keep: Column | None = None) -> Column:
+        wanted = F.col("gid") == gid if keep is None else (F.col("gid") == gid) & keep
+        return F.when(wanted, F.struct(F.lit(dataset).alias("dataset"), F.lit(metric).alias("metric"), value.cast("double").alias("value")))
+    top, some = F.col("mean_rank") <= TOP_K, F.col("cancelled") > 0
+    mean, codes, cancelled = F.col("mean"), F.col("codes"), F.col("cancelled")
+    rows = [
+        row("services_per_station", "total_services", F.col("services"), BY_STATION),
+        row("avg_delay_company_top", "avg_arrival_lateness", mean, BY_COMPANY, top),
+        row("total_delay_company", "total_arrival_lateness", F.coalesce("lateness", F.lit(0)), BY_COMPANY),
+        row("cancel_count_company", "cancel_code_count", codes, BY_COMPANY),
+        row("mean_delay_station", "avg_arrival_lateness", mean, BY_STATION),
+        row("cancel_count_station", "cancel_code_count", codes, BY_STATION),
+        row("cancellations_station_top", "cancellation_count", cancelled, BY_STATION, some & (F.col("cancelled_rank") <= TOP_K)),
+        row("cancellations_company", "cancellation_count", cancelled, BY_COMPANY, some),
+        row("avg_delay_station_top", "avg_arrival_lateness", mean, BY_STATION, top),
+        row("key_statistics", "total_services", F.col("uids"), OVERALL),
+        row("key_statistics", "total_delays", F.col("delays"), OVERALL),
+        row("key_statistics", "total_cancellations", cancelled, OVERALL),
+        row("key_statistics", "avg_delay", mean, OVERALL),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    long = group_figures(day_view).select("key", F.explode(F.array_compact(F.array(*rows))).alias("r"))
+    return long.select("r.dataset", F.col("key").alias("group_key"), "r.metric", "r.value")
 
 
 def daily_report(t: ServiceTables, as_of, out_path: str | None = None) -> DataFrame:
-    """R08 + K04: the day view is written once and read by all datasets; with
-    ``out_path`` the datasets are written under ``report_date=<day>``."""
+    """R08 + K04: all datasets from one pass over the day view; with ``out_path``
+    they are written under ``report_date=<day>``."""
     day = yesterday(as_of)
     view = wide_services(t, REPORT_COLUMNS, as_of=as_of)
     if out_path is None:
         return report_datasets(view)
-    data = report_datasets(materialize(view, "day-view"))
+    data = report_datasets(view)
     write_dated(data, out_path, day)
     return data.sparkSession.read.parquet(out_path).where(F.col("report_date") == F.lit(day)) \
         .select("dataset", "group_key", "metric", "value")

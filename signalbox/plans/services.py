@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, fields
 from functools import cached_property
 
@@ -9,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import warehouse as W
-from ..operators.keys import check_unique
+from ..operators.keys import check_unique, repeated_keys
 from ..sources.binding import cancel_code_rows, service_rows
-from ..session import materialize, path_exists
+from ..session import counted, materialize, path_exists, work_path
 from ..sources.tables import Tables
 
 TABLES = ("cancel_code", "company", "station", "service_type", "service_details",
@@ -102,16 +103,29 @@ def open_star_schema(spark: SparkSession, root: str) -> ServiceTables:
     return ServiceTables(**{name: spark.read.parquet(f"{root}/{name}") for name in TABLES})
 
 
+class Loaded(dict):
+    """Rows appended per table; ``steps`` has what went into each load: rows in,
+    appended, rejected, and stored before or repeated within the batch."""
+
+    def __init__(self):
+        super().__init__()
+        self.steps: dict[str, dict[str, int]] = {}
+
+
 def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
-             rejects_root: str | None = None) -> dict[str, int]:
+             rejects_root: str | None = None, order_cols: Sequence[str] = W.SERVICE_ORDER,
+             states: bool = False) -> Loaded:
     """Load one batch into the tables under ``root`` in dependency order.
 
     Dimensions are written first and read back, so the fact loads see stored
     (statistics-carrying) dimensions. Facts are partitioned by run month
     (``run_month``) so the day view prunes to one month in every fact scan. The
-    batch is written once to the shared folder. Re-running with the same batch
-    appends nothing; a target that repeats a key is refused. Returns rows
-    appended per table.
+    batch is written once to the shared folder, and its repeated keys are found
+    once for all facts. Re-running with the same batch appends nothing; a target
+    that repeats a key is refused. Returns rows appended per table, counted by
+    the writes themselves; a load whose rows in are not what came out of it
+    fails. ``order_cols`` says which of rows with one key is the first. With
+    ``states`` the month states of ``plans.month_states`` are brought up to date.
     """
     def existing(name):
         p = f"{root}/{name}"
@@ -120,52 +134,62 @@ def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
         check_unique(found, KEYS[name], name, prune)
         return found
 
-    def append(name, df, partitioned):
-        if partitioned:
-            # Fact ids follow run date, and each task holds a contiguous id
-            # range (from the numbering), so a task writes one or two month
-            # folders: no extra shuffle for the file layout.
-            df = df.sortWithinPartitions("run_month", df.columns[0])
-        w = df.write.mode("append")
-        if partitioned:
-            w = w.partitionBy("run_month")
-        w.parquet(f"{root}/{name}")
-        # an empty partitioned table has no file to take the schema from
-        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    def write(name, partitioned):
+        def to(df):
+            w = df.write.mode("append")
+            (w.partitionBy("run_month") if partitioned else w).parquet(f"{root}/{name}")
+        return to
 
-    counts: dict[str, int] = {}
+    counts = Loaded()
     svc = materialize(svc, "load-batch")
+    again = {"repeated": repeated_keys(svc, ["service_uid", "origin_run_datetime"]), "order_cols": order_cols}
     months = materialize(svc.select(run_month(F.col("origin_run_datetime")).alias("run_month")).distinct(), "load-months")
 
-    def step(name, prev, new, rejects=None):
-        # Appended rows = stored rows after - before; parquet answers
-        # count() from file footers, so no extra pass over the new rows.
-        before = prev.count() if prev is not None else 0
-        out = append(name, new, name in FACTS)
-        counts[name] = out.count() - before
+    def step(name, new, rejects=None, rows_in=None, fresh=False):
+        partitioned = name in FACTS
+        if partitioned:
+            # Fact ids follow run date, and each task holds a contiguous id
+            # range (from the numbering), so a task writes one or two month
+            # folders: no extra shuffle for the file layout.
+            new = new.sortWithinPartitions("run_month", new.columns[0])
+        counts[name] = counted(new, write(name, partitioned))
+        refused = 0
         if rejects is not None and rejects_root:
-            rejects.write.mode("append").parquet(f"{rejects_root}/{name}")
-        return out
+            refused = counted(rejects, lambda df: df.write.mode("append").parquet(f"{rejects_root}/{name}"))
+        if rows_in is not None and rejects_root:
+            before = rows_in - counts[name] - refused
+            if before < 0 or fresh and before:
+                raise RuntimeError(f"{name}: {rows_in} rows in, {counts[name]} appended, {refused} rejected")
+            counts.steps[name] = {"rows_in": rows_in, "appended": counts[name], "rejected": refused, "stored_before": before}
+        # an empty partitioned table has no file to take the schema from
+        return spark.read.schema(new.schema).parquet(f"{root}/{name}")
 
     prev = existing("cancel_code")
-    cancel_code = step("cancel_code", prev, W.load_cancel_codes(codes, prev))
+    cancel_code = step("cancel_code", W.load_cancel_codes(codes, prev))
     prev = existing("company")
-    company = step("company", prev, W.load_companies(svc, prev))
+    company = step("company", W.load_companies(svc, prev))
     prev = existing("station")
-    new, rejects = W.load_stations(svc, prev)
-    station = step("station", prev, new, rejects)
+    station = step("station", *W.load_stations(svc, prev))
     prev = existing("service_type")
-    service_type = step("service_type", prev, W.absent_rows(
+    service_type = step("service_type", W.absent_rows(
         W.service_type_seed(spark), prev, ["service_type_name"]))
-    stage = lambda df: materialize(df, "load-candidates")
+    seen = {}
+
+    def stage(df):
+        path = work_path(spark, "load-candidates")
+        seen["in"] = counted(df, lambda rows: rows.write.parquet(path))
+        return spark.read.schema(df.schema).parquet(path)
     prev = existing("service_details")
-    new, rejects = W.load_service_details(svc, company, service_type, station, prev, stage=stage)
-    sd = step("service_details", prev, new.withColumn("run_month", run_month(F.col("run_date"))), rejects)
+    new, rejects = W.load_service_details(svc, company, service_type, station, prev, stage=stage, **again)
+    sd = step("service_details", new.withColumn("run_month", run_month(F.col("run_date"))), rejects, seen["in"], prev is None)
     keys = sd.select("service_details_id", "service_uid", "run_date", "run_month")
     prev = existing("delay_details")
-    new, rejects = W.load_delays(svc, keys, prev, stage=stage, with_month=True)
-    step("delay_details", prev, new, rejects)
+    new, rejects = W.load_delays(svc, keys, prev, stage=stage, with_month=True, **again)
+    step("delay_details", new, rejects, seen["in"], prev is None)
     prev = existing("cancellation")
-    new, rejects = W.load_cancellations(svc, keys, station, cancel_code, prev, stage=stage, with_month=True)
-    step("cancellation", prev, new, rejects)
+    new, rejects = W.load_cancellations(svc, keys, station, cancel_code, prev, stage=stage, with_month=True, **again)
+    step("cancellation", new, rejects, seen["in"], prev is None)
+    if states and any(counts[f] for f in FACTS):
+        from .month_states import refresh
+        refresh(spark, root, months)
     return counts

@@ -48,7 +48,7 @@ def wide_services(t: ServiceTables, columns: Sequence[str] | None = None,
     a left join under a plain aggregate because it cannot prove key
     uniqueness). ``as_of`` keeps the run day before it (V02); on stored
     tables partitioned by ``run_month`` every fact scan is pruned to that
-    month.
+    month. Bucketed facts (``plans.bucketed``) are joined bucket by bucket.
     """
     cols = list(columns or WIDE_COLUMNS)
     want = set(cols)
@@ -68,6 +68,13 @@ def wide_services(t: ServiceTables, columns: Sequence[str] | None = None,
     v = sd.select(*dict.fromkeys(["service_details_id", "service_uid", "run_date", "company_id",
                                   "service_type_id", "origin_station_id",
                                   "destination_station_id", *fact_key[1:]]))
+    # facts first, on their unique id; names are looked up in what is left
+    if want & _NEEDS["delay_details"]:
+        v = v.join(dd.select(*fact_key, "delay_details_id", "arrival_lateness",
+                             "scheduled_arrival"), fact_key, "left")
+    if want & _NEEDS["cancellation"]:
+        v = v.join(cn.select(*fact_key, "cancellation_id", "cancelled_station_id",
+                             "reached_station_id", "cancel_code_id"), fact_key, "left")
     if want & _NEEDS["company"]:
         v = v.join(t.company.select("company_id", "company_name"), "company_id", "left")
     if want & _NEEDS["service_type"]:
@@ -81,17 +88,11 @@ def wide_services(t: ServiceTables, columns: Sequence[str] | None = None,
         v = v.join(t.station.select(F.col("station_id").alias("destination_station_id"),
                                     F.col("station_name").alias("destination_station_name")),
                    "destination_station_id", "left")
-    if want & _NEEDS["delay_details"]:
-        v = v.join(dd.select(*fact_key, "delay_details_id", "arrival_lateness",
-                             "scheduled_arrival"), fact_key, "left")
-    if want & _NEEDS["cancellation"]:
-        v = v.join(cn.select(*fact_key, "cancellation_id", "cancelled_station_id",
-                             "reached_station_id", "cancel_code_id"), fact_key, "left")
-        if want & _NEEDS["cancel_code"]:
-            v = v.join(t.cancel_code.select("cancel_code_id", F.col("code").alias("cancel_code"),
-                                            F.col("reason").alias("cancel_reason"),
-                                            F.col("abbreviation").alias("cancel_abbreviation")),
-                       "cancel_code_id", "left")
+    if want & _NEEDS["cancel_code"]:
+        v = v.join(t.cancel_code.select("cancel_code_id", F.col("code").alias("cancel_code"),
+                                        F.col("reason").alias("cancel_reason"),
+                                        F.col("abbreviation").alias("cancel_abbreviation")),
+                   "cancel_code_id", "left")
     return v.select(*cols)
 
 

@@ -157,6 +157,17 @@ def materialize(df, label: str = "stage"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df, write) -> int:
+    """``write(df)``, and the number of rows that went through it: the write's
+    own metric (``observe``), no counting job."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    rows = Observation()
+    write(df.observe(rows, F.count(F.lit(1)).alias("n")))
+    return rows.get.get("n", 0)
+
+
 _shipped: set[str] = set()
 
 
