@@ -251,13 +251,19 @@ def redrive(spark: SparkSession, root: str, operator_path: str,
 def run_incident_stream(spark: SparkSession, landing: str, root: str, operator_path: str,
                         checkpoint: str, whole_files: bool = False,
                         max_files_per_trigger: int | None = None, available_now: bool = True,
-                        max_bytes_per_trigger: int | None = None, archive: str | None = None):
+                        max_bytes_per_trigger: int | None = None, archive: str | None = None,
+                        state_partitions: int | None = None):
     """Start (or resume, from ``checkpoint``) the incident stream. With
     ``available_now`` it processes what has landed and stops; with ``archive``
-    the landing folder is then empty."""
+    the landing folder is then empty. The version state lies in
+    ``state_partitions`` (the cluster's cores, if not given), fixed by the first start."""
     stream = incident_stream(spark, landing, whole_files, max_files_per_trigger, max_bytes_per_trigger, archive)
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # the query takes a copy of these when it starts; the checkpoint keeps the number of state partitions
+    own = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+           "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism)}
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         w = (first_versions(stream).writeStream
              .foreachBatch(IncidentBatchWriter(root, operator_path, checkpoint, suppressed=True))
@@ -265,7 +271,8 @@ def run_incident_stream(spark: SparkSession, landing: str, root: str, operator_p
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="15 seconds")
         q = w.start()
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     if available_now:
         q.awaitTermination()
         if archive:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -23,7 +23,17 @@ from ..operators import incidents as I
 from ..sources.xml_docs import parse_incidents
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_RANK = [f"_r{i}" for i in range(len(I.MESSAGE_ORDER))]
+
+
+def _rank() -> Column:
+    """One text that sorts as ``MESSAGE_ORDER`` does: nulls first, and after each
+    value the least character, which XML does not allow in one."""
+    def part(name: str) -> Column:
+        c = F.col(name)
+        if name == "incident_priority":
+            c = F.lpad((c.cast("long") + (1 << 31)).cast("string"), 10, "0")
+        return F.when(c.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), c.cast("string"), F.lit("\x00")))
+    return F.concat(*[part(c) for c in I.MESSAGE_ORDER])
 
 
 def _keyed(messages: DataFrame) -> DataFrame:
@@ -33,27 +43,27 @@ def _keyed(messages: DataFrame) -> DataFrame:
     # a row that is not suppressed is a group of its own text: no hot group of all of them
     key = F.when(complete, F.concat(F.lit("v"), "version")).otherwise(
         F.concat(F.lit("-"), F.sha2(F.coalesce("text", F.lit("")), 256)))
-    rank = [F.col(c).cast("double" if c == "incident_priority" else "string").alias(r)
-            for c, r in zip(I.MESSAGE_ORDER, _RANK)]
-    return details.select(key.alias("_key"), complete.alias("_complete"), *rank, "message_key", F.col("text").alias("value"))
-
-
-def _order(row: tuple) -> tuple:
-    return tuple((v is not None and v == v, v if v is not None and v == v else "") for v in row)
+    return details.select(key.alias("_key"), "message_key", F.col("text").alias("value"), _rank().alias("rank"))
 
 
 def _first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(frames))
-    if key[0].startswith("v"):
-        if state.exists:
-            return
-        state.update((True,))
-        place = [_order(r) for r in rows[[*_RANK, "value"]].itertuples(index=False, name=None)]
-        rows = rows.iloc[[min(range(len(place)), key=place.__getitem__)]]
-    yield rows[["message_key", "value"]]
+    if not key[0].startswith("v"):
+        yield from frames
+        return
+    if state.exists:
+        return
+    state.update((True,))
+    best = None
+    for rows in frames:
+        if len(rows) > 1:
+            rows = rows.sort_values(["rank", "value"], kind="stable").iloc[:1]
+        if best is None or (rows["rank"].iat[0], rows["value"].iat[0]) < (best["rank"].iat[0], best["value"].iat[0]):
+            best = rows
+    yield best
 
 
 def first_versions(messages: DataFrame) -> DataFrame:
     """A stream of (message_key, value) without the versions that it had before."""
     return _keyed(messages).groupBy("_key").applyInPandasWithState(
-        _first, "message_key string, value string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+        _first, "_key string, message_key string, value string, rank string", "seen boolean", "append",
+        GroupStateTimeout.NoTimeout).select("message_key", "value")
