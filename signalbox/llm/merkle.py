@@ -256,3 +256,62 @@ def manifest_report(df: DataFrame) -> DataFrame:
     """Per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
     out = manifest(df, chosen_by_crc(F.col("doc_id")), lower_ascii)
     return out.drop("source").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: Levels that the SQL unrolls within a source and above the sources: enough for
+#: 16**6 documents a source and 16**3 sources.
+SQL_LEVELS, SQL_TOP_LEVELS = 6, 3
+
+
+def oracle() -> str:
+    """DuckDB SQL for ``manifest_report``: every level of the tree as a table,
+    every fold by hashing the whole run anew."""
+    def value(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+
+    head = " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    bit = "list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda a, i: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END), xor(c, b))"
+    crc = ("xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)), "
+           f"lambda c, b: {bit}, CAST(4294967295 AS BIGINT)), 4294967295)")
+
+    def levels(name: str, n: int) -> str:
+        """name_k: the nodes of level k; name_run_k: their runs of 16."""
+        out = []
+        for k in range(n):
+            out.append(f"""
+{name}_run_{k} AS (
+  SELECT grp, idx // {FANOUT} AS run, list(h ORDER BY idx) AS hs, any_value(n) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM {name}_{k}) GROUP BY grp, idx // {FANOUT}),
+{name}_{k + 1} AS (
+  SELECT grp, run AS idx, CASE WHEN n = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h FROM {name}_run_{k})""")
+        return ",".join(out)
+
+    def folds(source: str, name: str, at: str, n: int, to: str) -> str:
+        """Through the runs of all levels: the fold and the siblings so far."""
+        out, last = [], source
+        for k in range(n):
+            step = f"{to}_{k}"
+            left = f"array_to_string(hs[1:{at} % {FANOUT}], '')"
+            right = f"array_to_string(hs[{at} % {FANOUT} + 2:], '')"
+            out.append(f"""
+{step} AS (
+  SELECT x.* REPLACE (CASE WHEN n = 1 THEN cur ELSE sha256({left} || cur || {right}) END AS cur,
+                      CASE WHEN n = 1 THEN siblings ELSE siblings || {left} || {right} END AS siblings, {at} // {FANOUT} AS {at})
+  FROM {last} x JOIN {name}_run_{k} r ON r.grp = x.{'src' if name == 's' else 'one'} AND r.run = x.{at} // {FANOUT})""")
+            last = step
+        return ",".join(out)
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS src, sha256({head} || {value('text')}) AS h,
+         sha256({head} || {value("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS low,
+         coalesce({crc} % 5 = 0, FALSE) AS chosen FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS LAST, h) - 1 AS i FROM leaves),
+s_0 AS (SELECT src AS grp, i AS idx, h FROM placed),{levels("s", SQL_LEVELS)},
+subroots AS (SELECT grp AS src, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS j FROM s_{SQL_LEVELS}),
+t_0 AS (SELECT 1 AS grp, j AS idx, subroot AS h FROM subroots),{levels("t", SQL_TOP_LEVELS)},
+start AS (
+  SELECT doc_id, src, h AS leaf, i, j, 1 AS one, subroot, CASE WHEN chosen THEN low ELSE h END AS cur, '' AS siblings
+  FROM placed JOIN subroots USING (src)),{folds("start", "s", "i", SQL_LEVELS, "up")},{folds(f"up_{SQL_LEVELS - 1}", "t", "j", SQL_TOP_LEVELS, "top")}
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(siblings) AS proof_sha256, cur AS folded_root, cur = t.h AS verified
+FROM top_{SQL_TOP_LEVELS - 1}, t_{SQL_TOP_LEVELS} t
+"""

@@ -44,4 +44,4 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     """The other operators hash, learn or tokenize; tests hold them against brute force."""
     return {"op5_near_dedup": near_dups.oracle(), "op9_decontamination": decontamination.oracle(),
-            "op11_vector_codes": ball_codes.oracle(), "op13_suffix_dedup": bucket_repeats.oracle()}
+            "op11_vector_codes": ball_codes.oracle(), "op12_merkle_manifest": merkle.oracle(), "op13_suffix_dedup": bucket_repeats.oracle()}

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalbox.llm import merkle
+from tools.oracle_check import duck, rows_of
 
 DOC = "doc_id long, source string, lang string, n_chars long, text string"
 SMALL = "/root/testdata/sf0.01"
@@ -73,6 +74,14 @@ def test_whole_table(spark):
     check(spark, [tuple(r) for r in df.collect()])
 
 
+def test_sql(spark):
+    df = merkle.manifest_report(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    res = duck(SMALL).execute(merkle.oracle())
+    cols = [d[0] for d in res.description]
+    assert sorted(cols) == sorted(df.columns)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, res.fetchall())
+
+
 @pytest.mark.parametrize("n", [1, 2, 16, 17, 255, 256, 257, 4095, 4096, 4097, 4113, 8193])
 def test_sizes_of_a_source(spark, n):
     check(spark, [(i, "a", "en", i, f"Text {i}") for i in range(n)] + [(n + 1, "b", None, None, "Z")])
