@@ -57,6 +57,33 @@ def order_key(doc_id: str, *spread: Column) -> Column:
     return F.when(F.col(doc_id).isNull(), last).otherwise(F.col(doc_id).cast("long"))
 
 
+#: Rows of a key that one task may well take, and the most keys that count as hot.
+ROWS_PER_COPY, MOST_HOT = 512, 1 << 14
+
+
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], spread: Column,
+                counts: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table`` on ``keys``, where one key may hold a large
+    part of ``rows``: its rows are dealt by ``spread`` (a long) to copies of its
+    rows of ``table``. ``counts`` is a stored table (keys, m): rows per key.
+
+    A key is hot beyond ``ROWS_PER_COPY`` rows and one ``MOST_HOT``-th of all
+    rows, so there are fewer than ``MOST_HOT`` hot keys in any table, and they
+    go to every task. Without a hot key this is a plain join.
+    """
+    total, most = counts.agg(F.sum("m"), F.max("m")).first()
+    least = max(ROWS_PER_COPY, (total or 0) // MOST_HOT)
+    if (most or 0) <= least:
+        return rows.join(table, keys, how)
+    hot = F.broadcast(counts.where(F.col("m") > least).select(
+        *keys, F.ceil(F.col("m") / least).cast("int").alias("_copies")))
+    dealt = rows.join(hot, keys, "left").withColumn(
+        "_salt", F.when(F.col("_copies").isNull(), 0).otherwise(F.pmod(spread, F.col("_copies"))).cast("int"))
+    copied = table.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_copies") - 1, F.lit(0)))))
+    return dealt.drop("_copies").join(copied.drop("_copies"), [*keys, "_salt"], how).drop("_salt")
+
+
 def running_total(df: DataFrame, by: list[str], order: str, ties: list[str],
                   value: str, out: str) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of the same ``by`` that

@@ -218,13 +218,14 @@ def mix_documents(df: DataFrame) -> DataFrame:
     one row with the words that the pass takes, in order; runs of successive
     blocks keep the text between them, a gap becomes one space. A document of
     which nothing is taken has no row. ``n_chars``, if there, is recounted."""
-    _, _, taken = mix(df)
+    docs, _, taken = mix(df)
     ranges = (taken.groupBy("_k1", "_k2", "doc_offset", "pass").agg(
         F.array_sort(F.collect_list(F.struct("first", "words"))).alias("_ranges"))  # of one document
         .drop("doc_offset", "pass"))
-    once = Window.partitionBy("_k1", "_k2").orderBy("_k1")  # repeated rows have their ranges under one key
     rows = df.select(whole_row(df), F.col("text"), *_row_key())
-    rows = rows.withColumn("_rn", F.row_number().over(once)).where("_rn = 1")
+    # repeated rows have their ranges under one key
+    if not docs.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("m")).where("m > 1").isEmpty():
+        rows = rows.groupBy("_k1", "_k2").agg(F.first("_row").alias("_row")).withColumn("text", F.col("_row.text"))
     joined = rows.join(ranges, ["_k1", "_k2"])
     # the text as words with the white space that follows each
     cut = F.split(F.regexp_replace(F.col("text"), "^" + SPACES, ""),

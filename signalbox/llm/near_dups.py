@@ -25,16 +25,16 @@ ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_table, in_table, order_key, store, whole_row
+from .common import bit_table, in_table, order_key, spread_join, store, whole_row
 from .components import components
 from .shingles import shingle_hashes
 
@@ -44,10 +44,10 @@ PERCENT = 85
 LEAST = 40
 #: Least similarity of the union sketch for a pair to be verified.
 ESTIMATE = LEAST / K
-#: Rows of a block of a list; pairs per copy of a hot set.
-BLOCK, PAIRS_PER_COPY = 512, 512
-#: Bits of the table of wanted class ids.
-BITS = 1 << 21
+#: Rows of a block of a list.
+BLOCK = 512
+#: Bits of the table of wanted class ids for each of them, and in all (powers of two).
+BITS_PER_ID, LEAST_BITS, MOST_BITS = 16, 1 << 21, 1 << 27
 
 _SETS = "rid long, th long, doc_id long, n long, key1 long, key2 long, sketch array<long>"
 
@@ -88,41 +88,44 @@ def _prefix(size: Column) -> Column:
     return size - F.least(share, F.lit(LEAST)) + 1
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(v, cid, n): each class under those of its rarest values that are in
-    another sketch as well and can be needed to find a linked set."""
+def _shared_values(each: DataFrame) -> DataFrame:
+    """``each`` (cid, n, v, ...) where another class has the value too, with
+    ``df``, the number of classes that have it; a value that most have is split."""
+    shared = store(each.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "near-shared")
+    return spread_join(each, shared.withColumnRenamed("m", "df"), ["v"], F.xxhash64("cid"), shared)
+
+
+def inverted_lists(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(v, cid, n), each class under those of its rarest values that are in
+    another sketch as well and can be needed to find a linked set; and per
+    list of several classes v, m (classes), the least (pivot) and its size (pn)."""
     each = classes.where("n > 0").select("cid", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("v"))
-    shared = each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    mine = each.join(shared, "v").groupBy("cid").agg(
+    mine = _shared_values(each).groupBy("cid").agg(
         F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"),  # K at most
         F.first("n").alias("n"), F.first("size").alias("size"))
     room = _prefix(F.col("size")) - (F.col("size") - F.size("vs"))
     lists = mine.where(room > 0).select("cid", "n", F.explode(F.slice("vs", F.lit(1), room)).alias("x"))
-    lists = lists.select("cid", "n", F.col("x.v").alias("v"))
-    many = lists.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min("cid").alias("pivot")).where("m > 1")
-    return store(lists.join(many, "v"), "near-lists")
+    lists = store(lists.select("cid", "n", F.col("x.v").alias("v")), "near-lists")
+    first = F.min(F.struct("cid", "n"))
+    several = lists.groupBy("v").agg(F.count(F.lit(1)).alias("m"), first.alias("first")).where("m > 1")
+    return lists, store(several.select("v", "m", F.col("first.cid").alias("pivot"), F.col("first.n").alias("pn")), "near-heads")
 
 
 def _size_fits(a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _salted(pairs: DataFrame, table: DataFrame, side: str) -> DataFrame:
-    """``pairs`` with the row of ``table`` (cid, ...) for its ``side``; a class
-    in many pairs is copied, so that no task gets all its pairs."""
-    hot = pairs.groupBy(F.col(side).alias("cid")).agg(
-        F.ceil(F.count(F.lit(1)) / PAIRS_PER_COPY).cast("int").alias("copies"))
-    copies = table.join(hot, "cid").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
-    salted = pairs.join(hot.withColumnRenamed("cid", side), side).withColumn(
-        "salt", F.pmod(F.xxhash64("a", "b"), F.col("copies")).cast("int")).drop("copies")
-    return salted.join(copies.withColumnRenamed("cid", side), [side, "salt"]).drop("salt")
+def _with_side(pairs: DataFrame, table: DataFrame, side: str) -> DataFrame:
+    """``pairs`` with the row of ``table`` (cid, ...) for its ``side``, which may be in very many pairs."""
+    counts = store(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("m")), "near-sides")
+    return spread_join(pairs, table.withColumnRenamed("cid", side), [side], F.xxhash64("a", "b"), counts)
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose union sketch says that they may be linked."""
     sk = classes.select("cid", "sketch")
-    x = _salted(pairs, sk.withColumnRenamed("sketch", "sa"), "a")
-    x = _salted(x, sk.withColumnRenamed("sketch", "sb"), "b")
+    x = _with_side(pairs, sk.withColumnRenamed("sketch", "sa"), "a")
+    x = _with_side(x, sk.withColumnRenamed("sketch", "sb"), "b")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, K)
     both = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
     return x.where(both >= F.size(union) * ESTIMATE).select("a", "b")
@@ -145,9 +148,12 @@ def _place(cid):
 
 
 def whole_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """(cid, whole): the full shingle sets of the classes in ``ids``. A bit table
-    of fixed size drops most other texts before they are shuffled."""
-    table = bit_table(ids.select(F.col("cid").bitwiseAND(F.lit((1 << 62) - 1)).alias("v")), BITS)
+    """(cid, whole): the full shingle sets of the classes in ``ids``. A bit table,
+    sized by their number up to ``MOST_BITS``, drops most other texts before
+    they are shuffled; it only spares work."""
+    bits = 1 << (BITS_PER_ID * ids.count()).bit_length()
+    bits = min(MOST_BITS, max(LEAST_BITS, bits))
+    table = bit_table(ids.select(F.col("cid").bitwiseAND(F.lit((1 << 62) - 1)).alias("v")), bits)
     some = texts.mapInArrow(lambda it: _passing(it, table), texts.schema)
     one = some.join(ids, "cid").groupBy("cid").agg(F.min("text").alias("text"))
     return store(one.mapInArrow(_whole_set, "cid long, whole array<long>"), "near-whole")
@@ -157,58 +163,80 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets have the similarity. ``texts``: (cid, text) of all classes."""
     ids = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     sets = whole_sets(texts, ids)
-    x = _salted(pairs, sets.withColumnRenamed("whole", "wa"), "a")
-    x = _salted(x, sets.withColumnRenamed("whole", "wb"), "b")
+    x = _with_side(pairs, sets.withColumnRenamed("whole", "wa"), "a")
+    x = _with_side(x, sets.withColumnRenamed("whole", "wb"), "b")
     both = F.size(F.array_intersect("wa", "wb"))
     return x.where(both * 100 >= (F.size("wa") + F.size("wb") - both) * PERCENT).select("a", "b")
 
 
-def _block_pairs(g: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components between the two blocks of a list (side 0
-    against side 1) that can still be linked: as all rarer values differ, they
-    share no more than what follows the list's value in either."""
-    a, b = g[g.side == 0], g[g.side == 1]
-    n, m = a.n.to_numpy()[:, None], b.n.to_numpy()[None]
-    most = np.minimum(n - a.pos.to_numpy()[:, None], m - b.pos.to_numpy()[None])
-    fits = (a.root.to_numpy()[:, None] != b.root.to_numpy()[None]) & (most * (100 + PERCENT) >= (n + m) * PERCENT)
-    i, j = np.nonzero(fits)
-    x, y = a.cid.to_numpy()[i], b.cid.to_numpy()[j]
-    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+def _meetings(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components among the members (v, cid, n, root,
+    pos) of each list v that can still be linked.
 
-
-def across_components(lists: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    Two sets that are linked lie in one size class or in two next to each other
+    (a class goes up to 100 / 85 of its least size). A list's members of a class
+    are cut into blocks; only blocks of such classes meet, each two under a key
+    of their own, and a pair comes out of the join only if the sizes fit and
+    what follows the list's value in either is enough: all rarer values differ.
+    """
+    rows = rows.withColumn("c", F.floor(F.log("n") / F.lit(math.log(100 / PERCENT)) + 1e-9).cast("int"))
+    parts = store(rows.groupBy("v", "c").agg(
+        F.count(F.lit(1)).alias("m"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("own"),
+        F.min("root").alias("lo"), F.max("root").alias("hi")), "near-parts")
+    around = parts
+    for name, step in (("below", 1), ("above", -1)):  # blocks of the class before and after
+        other = parts.select("v", (F.col("c") + step).alias("c"), F.col("own").alias(name))
+        around = around.join(other, ["v", "c"], "left")
+    lists = parts.groupBy("v").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("v")
+    around = around.join(lists, "v", "left_semi").select("v", "c", "own", *[F.coalesce(x, F.lit(0)).alias(x) for x in ("below", "above")])
+    x = spread_join(rows, around, ["v", "c"], F.xxhash64("cid"), parts.select("v", "c", "m"))
+    x = x.withColumn("k", F.pmod(F.xxhash64("cid"), F.col("own")).cast("int"))
+
+    def side(same: Column, next_class: Column, up: bool) -> DataFrame:
+        """Each row once per block that it meets: ``same`` of its own class, all of the next or the one before."""
+        c, k = F.col("c"), F.col("k")
+        met = F.concat(F.transform(same, lambda j: F.struct(c.alias("c"), j.alias("k"))),
+                       F.transform(next_class, lambda j: F.struct((c + 1 if up else c - 1).alias("c"), j.alias("k"))))
+        at = x.select("v", "cid", "n", "root", "pos", F.struct(c.alias("c"), k.alias("k")).alias("mine"), F.explode(met).alias("met"))
+        lo, hi = ("mine", "met") if up else ("met", "mine")
+        return at.select("v", F.col(f"{lo}.c").alias("c0"), F.col(f"{lo}.k").alias("k0"), F.col(f"{hi}.c").alias("c1"),
+                         F.col(f"{hi}.k").alias("k1"), *[F.col(y).alias(y + str(int(not up))) for y in ("cid", "n", "root", "pos")])
+
+    def upto(n: Column) -> Column:
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    low = side(F.sequence(F.col("k"), F.col("own") - 1), upto(F.col("above")), True)
+    high = side(F.sequence(F.lit(0), F.col("k")), upto(F.col("below")), False)
+    most = F.least(F.col("n0") - F.col("pos0"), F.col("n1") - F.col("pos1"))
+    meet = low.join(high, ["v", "c0", "k0", "c1", "k1"]).where(
+        (F.col("root0") != F.col("root1")) & _size_fits("n0", "n1")
+        & (most * (100 + PERCENT) >= (F.col("n0") + F.col("n1")) * PERCENT))
+    return meet.select(F.least("cid0", "cid1").alias("a"), F.greatest("cid0", "cid1").alias("b")).distinct()
+
+
+def across_components(lists: DataFrame, heads: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of one list in different components that may be linked, by full sets.
 
     Lists of two and those in one component by now drop out. The members of
     the rest are listed anew under the rarest values of their full sets: only
     ``n - 0.85 n + 1`` of them, with their place, which rules out almost all
-    pairs of large loose groups. A list is cut into blocks of its members; the
-    blocks meet two by two, each meeting in a task of its own.
+    pairs of large loose groups.
     """
     rooted = roots.withColumnRenamed("node", "cid")
-    at = lists.where("m > 2").join(rooted, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    large = heads.where("m > 2").select("v", "m")
+    at = lists.join(rooted, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     split = at.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    open_ = store(at.join(split.select("v"), "v").select("cid", "root").distinct(), "near-open")
+    split = store(large.join(split.select("v"), "v"), "near-split")
+    open_ = store(spread_join(at, split.select("v"), ["v"], F.xxhash64("cid"), split)
+                  .select("cid", "root").distinct(), "near-open")
     sets = whole_sets(texts, open_.select("cid"))
     each = sets.select("cid", F.size("whole").alias("n"), F.explode("whole").alias("v"))
-    shared = each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    mine = each.join(shared, "v").groupBy("cid").agg(
+    mine = _shared_values(each).groupBy("cid").agg(
         F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"), F.first("n").alias("n"))  # one text's shingles
     alone = F.col("n") - F.size("vs")
     room = F.col("n") - F.ceil(F.col("n") * PERCENT / F.lit(100)).cast("int") + 1 - alone
     rows = mine.where(room > 0).select("cid", "n", alone.alias("alone"), F.posexplode(F.slice("vs", F.lit(1), room)).alias("i", "x"))
     rows = rows.select("cid", "n", (F.col("alone") + F.col("i")).alias("pos"), F.col("x.v").alias("v"))
-    rows = store(rows.join(open_, "cid"), "near-open-lists")
-    split = rows.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                  F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("lo < hi")
-    rows = rows.join(split.select("v", "blocks"), "v").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # block i meets block j once, as side 0 of (i, j) with i <= j; a block meets itself on both sides
-    sides = F.when(F.col("own") == F.col("other"), F.array(F.lit(0), F.lit(1))).when(
-        F.col("own") < F.col("other"), F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
-    rows = rows.select("v", "cid", "n", "root", "pos", F.least("own", "other").alias("i"),
-                       F.greatest("own", "other").alias("j"), F.explode(sides).alias("side"))
-    return rows.groupBy("v", "i", "j").applyInPandas(_block_pairs, "a long, b long").distinct()
+    return _meetings(store(rows.join(open_, "cid"), "near-open-lists"))
 
 
 def link_components(df: DataFrame) -> DataFrame:
@@ -216,15 +244,16 @@ def link_components(df: DataFrame) -> DataFrame:
     sets = shingle_sets(df)
     keys = ["key1", "key2"]
     classes = store(sets.where("n > 0").groupBy(*keys).agg(
-        F.min("rid").alias("cid"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "near-classes")
+        F.min("rid").alias("cid"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        F.count(F.lit(1)).alias("m")), "near-classes")
     texts = df.select(_rid().alias("cid"), "text")
-    lists = inverted_lists(classes)
-    star = lists.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"), "n").distinct()
-    star = star.join(classes.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a").where(_size_fits("n", "na"))
-    links = store(verified(store(estimated(star.select("a", "b"), classes), "near-pairs"), texts), "near-links")
+    lists, heads = inverted_lists(classes)
+    star = spread_join(lists, heads.drop("m"), ["v"], F.xxhash64("cid"), heads.select("v", "m")).where(
+        (F.col("cid") != F.col("pivot")) & _size_fits("n", "pn"))
+    star = store(star.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct(), "near-star")
+    links = store(verified(store(estimated(star, classes), "near-pairs"), texts), "near-links")
     roots = components(links)
-    rest = store(across_components(lists, roots, texts).join(
-        star.select("a", "b"), ["a", "b"], "left_anti"), "near-pairs")
+    rest = store(across_components(lists, heads, roots, texts).join(star, ["a", "b"], "left_anti"), "near-pairs")
     if not rest.isEmpty():
         more = store(verified(rest, texts), "near-links")
         roots = components(links.unionByName(more))
@@ -235,7 +264,10 @@ def _report(sets: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
     keys = ["key1", "key2"]
     cls = classes.select(*keys, "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
     cls = cls.select(*keys, F.coalesce("root", "cid").alias("root"))
-    rows = sets.drop("sketch").join(cls, keys, "left").withColumn("root", F.coalesce("root", "rid"))
+    plain = sets.drop("sketch")
+    # all copies of a text have one key; rows without words meet nothing
+    rows = spread_join(plain.where("n > 0"), cls, keys, F.xxhash64("rid", "th"), classes.select(*keys, "m"))
+    rows = rows.unionByName(plain.where("n = 0").withColumn("root", F.col("rid")))
     known = F.col("root") < (1 << 62)
     return rows.select("rid", "th", *keys, "doc_id", F.col("n").alias("n_shingles"),
                        F.when(known, F.col("root")).alias("component_id"), (F.col("rid") == F.col("root")).alias("kept"))
@@ -260,7 +292,7 @@ def keep_one(df: DataFrame) -> DataFrame:
     gone = store(rows.where("not kept").select("rid", "th").unionByName(later.select("rid", "th")).distinct(), "near-gone")
     out = df.select(whole_row(df), _rid().alias("rid"), _text_hash().alias("th")).join(gone, ["rid", "th"], "left_anti")
     if not rows.groupBy("rid", "th").count().where("count > 1").isEmpty():
-        out = out.withColumn("n", F.row_number().over(Window.partitionBy("rid", "th").orderBy("rid"))).where("n = 1")
+        out = out.groupBy("rid", "th").agg(F.first("_row").alias("_row"))  # combines before the shuffle
     return out.select("_row.*")
 
 

@@ -230,7 +230,7 @@ def training_sample(df: DataFrame, labels: DataFrame) -> tuple[list[str], np.nda
     half = [known.where(F.col("_y") == y).orderBy(*order).limit(MAX_ROWS // 2) for y in (0, 1)]
     ids = F.broadcast(half[0].unionByName(half[1]))  # at most MAX_ROWS rows
     rows = df.select("doc_id", "text").where(F.length("text") <= MAX_CHARS).join(ids, F.col("doc_id") == F.col("_id"))
-    got = rows.orderBy("_id", "_y", "text").limit(2 * MAX_ROWS).select("text", "_y").collect()
+    got = rows.orderBy("_id", "_y", "text").limit(MAX_ROWS).select("text", "_y").collect()
     return [x[0] for x in got], np.array([x[1] for x in got])
 
 
