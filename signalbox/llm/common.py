@@ -69,12 +69,9 @@ def spread_join(rows: DataFrame, table: DataFrame, keys: list[str], spread: Colu
 
     A key is hot beyond ``ROWS_PER_COPY`` rows and one ``MOST_HOT``-th of all
     rows, so there are fewer than ``MOST_HOT`` hot keys in any table, and they
-    go to every task. Without a hot key this is a plain join.
+    go to every task. The join has one form at every size.
     """
-    total, most = counts.agg(F.sum("m"), F.max("m")).first()
-    least = max(ROWS_PER_COPY, (total or 0) // MOST_HOT)
-    if (most or 0) <= least:
-        return rows.join(table, keys, how)
+    least = max(ROWS_PER_COPY, (counts.agg(F.sum("m")).first()[0] or 0) // MOST_HOT)
     hot = F.broadcast(counts.where(F.col("m") > least).select(
         *keys, F.ceil(F.col("m") / least).cast("int").alias("_copies")))
     dealt = rows.join(hot, keys, "left").withColumn(
