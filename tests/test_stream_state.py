@@ -161,3 +161,21 @@ def test_operators_of_a_message():
     assert read_message(f"<i:P xmlns:i='{NS3}'>{body}</i:P>")[1] == [["A", "a"], [None, "b"], [None, None]]
     for bad in (None, "", "<a>", "<a></b>", "<x:a/>", "text"):
         assert read_message(bad) is None
+
+
+def test_state_is_kept_by_bucket(spark, tmp_path, operators, monkeypatch):  # noqa: F811
+    """A call and a state row a bucket, not a version: a stream of many versions ended by time before."""
+    from signalbox.streaming import versions as V
+    monkeypatch.setattr(V, "BUCKETS", 3)
+    early = message("V5").replace("Line closed", "First").replace("2023-09-10T10:15", "2023-09-10T09:15")
+    deliver(tmp_path, "a.txt", *[message(f"V{i}") for i in range(20)], early, "<broken", "<broken")
+    run(spark, tmp_path, operators)
+    state = spark.read.format("statestore").load(f"{tmp_path}/checkpoint")
+    assert state.count() == 3
+    late = message("V5").replace("Line closed", "Late").replace("2023-09-10T10:15", "2023-09-10T08:15")
+    deliver(tmp_path, "b.txt", late, *[message(f"V{i}") for i in range(10, 30)], "<broken")
+    run(spark, tmp_path, operators)
+    rows = read_table(spark, f"{tmp_path}/tables", "incident").collect()
+    assert sorted(r.incident_version for r in rows) == sorted(f"V{i}" for i in range(30))
+    assert [r.summary for r in rows if r.incident_version == "V5"] == ["First"]
+    assert spark.read.parquet(f"{tmp_path}/tables/quarantine").count() == 3
