@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..constants import NO_REASON, NOT_REACHED, REACHED, TOP_K
 from ..operators import analytics as A
-from ..session import path_exists
+from ..session import materialize, path_exists
 from .services import ServiceTables, open_star_schema
 
 STATION_STATE, CODE_STATE = "state_station", "state_company_code"
@@ -37,11 +37,17 @@ def _month_rows(t: ServiceTables, months: list) -> DataFrame:
 def station_state(rows: DataFrame, bus_id: Column) -> DataFrame:
     late = F.col("arrival_lateness")
     worst = F.when(late.isNotNull(), F.struct(late.cast("long").alias("lateness"), (-F.col("service_details_id")).alias("first")))
-    return rows.groupBy("run_month", "origin_station_id").agg(
-        F.count(F.lit(1)).alias("services"), F.count_if(late > 0).alias("late"), F.sum(late).alias("lateness"),
-        F.count(late).alias("measured"), F.count("cancellation_id").alias("cancelled"),
+    # The largest struct would sort every row; by lateness first, all rows are hashed and few are left to sort.
+    cells = rows.groupBy("run_month", "origin_station_id", "arrival_lateness").agg(
+        F.count(F.lit(1)).alias("services"), F.count("cancellation_id").alias("cancelled"),
         F.count_if(F.col("service_type_id") == bus_id).alias("buses"),
-        F.count("reached_station_id").alias("not_reached"), F.max(worst).alias("worst"))
+        F.count("reached_station_id").alias("not_reached"), F.min("service_details_id").alias("service_details_id"))
+    n = F.col("services")
+    return cells.groupBy("run_month", "origin_station_id").agg(
+        F.sum("services").alias("services"), F.coalesce(F.sum(F.when(late > 0, n)), F.lit(0)).alias("late"),
+        F.sum(late * n).alias("lateness"), F.coalesce(F.sum(F.when(late.isNotNull(), n)), F.lit(0)).alias("measured"),
+        F.sum("cancelled").alias("cancelled"), F.sum("buses").alias("buses"),
+        F.sum("not_reached").alias("not_reached"), F.max(worst).alias("worst"))
 
 
 def code_state(rows: DataFrame) -> DataFrame:
@@ -56,7 +62,7 @@ def refresh(spark: SparkSession, root: str, months: DataFrame) -> int:
     (as many as the calendar has); the number of months."""
     t = open_star_schema(spark, root)
     touched = [r[0] for r in months.where(F.col("run_month").isNotNull()).distinct().collect()]
-    rows = _month_rows(t, touched)
+    rows = materialize(_month_rows(t, touched), "month-rows")  # both states read the joined facts
     bus = t.service_type.where(F.col("service_type_name") == "bus").agg(F.min("service_type_id")).scalar()
     for name, state in ((STATION_STATE, station_state(rows, bus)), (CODE_STATE, code_state(rows))):
         (state.repartition("run_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

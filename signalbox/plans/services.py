@@ -177,7 +177,7 @@ def load_all(spark: SparkSession, svc: DataFrame, codes: DataFrame, root: str,
 
     def stage(df):
         path = work_path(spark, "load-candidates")
-        seen["in"] = counted(df, lambda rows: rows.write.parquet(path))
+        seen["in"] = counted(df, lambda rows: rows.write.option("compression", "zstd").parquet(path))
         return spark.read.schema(df.schema).parquet(path)
     prev = existing("service_details")
     new, rejects = W.load_service_details(svc, company, service_type, station, prev, stage=stage, **again)

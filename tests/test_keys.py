@@ -31,3 +31,38 @@ def test_insert_if_absent_is_idempotent(spark):
     more = spark.createDataFrame([("z", 0), ("x", 0)], "name string, o int")
     added = insert_if_absent(more, first, ["name"], ["o"], id_col="nid")
     assert [(r["nid"], r["name"]) for r in added.collect()] == [(3, "z")]
+
+
+def test_many_repeated_keys_are_combined_at_once(spark, monkeypatch):
+    """With many repeated keys no join shuffles the rows before they are combined."""
+    from signalbox.operators import keys as K
+    rows = [(k, o, None if o == 1 else f"{k}-{o}", t) for k in range(40) for o in (3, 1, 2) for t in (5, None)]
+    df = spark.createDataFrame(rows + [(None, 2, "b", 1), (None, 1, "a", 1)], "k int, o int, v string, t int")
+    few = K.first_per_key(df, ["k"], ["o"])
+    monkeypatch.setattr(K, "MANY_REPEATED", 10)
+    many = K.first_per_key(df, ["k"], ["o"])
+    want = {(k, 1, None, None) for k in range(40)} | {(None, 1, "a", 1)}
+    assert {tuple(r) for r in few.collect()} == want == {tuple(r) for r in many.collect()}
+    assert "Join" not in many._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbering_shuffles_only_stored_columns(spark):
+    """The columns that order repeated rows do not go through the numbering."""
+    from signalbox.operators import warehouse as W
+    from signalbox.sources.binding import SERVICE_ORDER
+    types = {"l_partkey": "long", "l_suppkey": "long", "arrival_lateness": "int", "scheduled_arrival_datetime": "timestamp_ntz"}
+    extra = [c for c in SERVICE_ORDER if c not in ("scheduled_arrival_datetime", "arrival_lateness", "cancel_code")]
+    svc = spark.sql("SELECT 'S1' service_uid, timestamp_ntz'2020-01-02 00:00:00' origin_run_datetime, 'c' company_name, 'bus' service_type, "
+                    "'N01' origin_crs, 'N02' planned_final_crs, timestamp_ntz'2020-01-03 00:00:00' scheduled_arrival_datetime, 4 arrival_lateness, "
+                    "'B' cancel_code, " + ", ".join(f"CAST(1 AS {types.get(c, 'double')}) {c}" for c in extra))
+    one = lambda sql: spark.sql("SELECT " + sql)
+    seen, assign = [], W.assign_ids
+    W.assign_ids = lambda df, *a, **k: (seen.append(df.columns), assign(df, *a, **k))[1]
+    try:
+        out, _ = W.load_service_details(svc, one("1L company_id, 'c' company_name"), one("1L service_type_id, 'bus' service_type_name"),
+                                        spark.sql("SELECT * FROM VALUES (1L, 'N01'), (2L, 'N02') AS t(station_id, crs)"))
+        late, _ = W.load_delays(svc, out)
+    finally:
+        W.assign_ids = assign
+    assert seen == [W.SERVICE_DETAIL_COLUMNS[1:], ["service_details_id", "arrival_lateness", "scheduled_arrival_datetime"]]
+    assert [r.service_details_id for r in out.collect()] == [1] and [r.arrival_lateness for r in late.collect()] == [4]
