@@ -87,3 +87,16 @@ def test_working_tables_lie_in_one_folder_and_can_be_removed(spark):
     df = materialize(spark.range(3), "to-be-removed")
     assert df.count() == 3 and run_root(spark).startswith(shared_dir(spark))
     assert path_exists(spark, run_root(spark)) and callable(release_run)
+
+
+def test_working_tables_are_written_without_overlong_code(spark, tmp_path):
+    """Also in a session that was not made by ``get_session``: methods that the JIT refuses run many times slower."""
+    from signalbox.session import counted
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+    spark.conf.set(name, "65535")
+    try:
+        assert counted(spark.range(3), lambda df: (seen.append(spark.conf.get(name)), df.write.parquet(f"{tmp_path}/t"))) == 3
+        assert seen == ["8000"] and spark.conf.get(name) == "65535"
+    finally:
+        spark.conf.set(name, before)
