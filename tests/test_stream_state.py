@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalbox.session import children, remove, rename, run_root, scratch
-from signalbox.sources.xml_docs import read_message
+from signalbox.sources.xml_docs import pack_message, parse_incidents, read_message, unpack_messages
 from signalbox.streaming.incidents import (IncidentBatchWriter, open_letters, read_outbox, redrive,
                                            run_incident_stream)
 from signalbox.streaming.packing import pack, read_table
@@ -179,3 +179,24 @@ def test_state_is_kept_by_bucket(spark, tmp_path, operators, monkeypatch):  # no
     assert sorted(r.incident_version for r in rows) == sorted(f"V{i}" for i in range(30))
     assert [r.summary for r in rows if r.incident_version == "V5"] == ["First"]
     assert spark.read.parquet(f"{tmp_path}/tables/quarantine").count() == 3
+
+
+def test_packed_messages_unpack_as_they_were_parsed(spark):
+    body = ("<i:PtIncident xmlns:i='%s' xmlns:c='%s'><i:Version>a\"\\&#9;&#233;</i:Version><i:Summary/>"
+            "<i:AffectedOperator><i:OperatorRef>A</i:OperatorRef></i:AffectedOperator><i:AffectedOperator/></i:PtIncident>" % (NS3, NS2))
+    rows = parse_incidents(spark.createDataFrame([("1", body), ("2", "<broken"), ("3", ""), ("4", None)], "message_key string, value string"))
+    packed = rows.select("message_key", pack_message().alias("parsed"))
+    assert sorted(unpack_messages(packed).collect()) == sorted(rows.select("message_key", "msg").collect())
+
+
+def test_a_message_of_the_stream_is_parsed_once(spark, tmp_path, monkeypatch):
+    from signalbox.streaming import incidents as S
+
+    def again(*_):
+        raise AssertionError("parsed again")
+    monkeypatch.setattr(S, "parse_incidents", again)
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.txt").write_text("<broken\n")
+    spark.createDataFrame([("AA", "op", "1%")], "operator_code string, operator_name string, customer_satisfaction string").write.parquet(f"{tmp_path}/ops")
+    S.run_incident_stream(spark, f"{tmp_path}/landing", f"{tmp_path}/tables", f"{tmp_path}/ops", f"{tmp_path}/ck", state_partitions=2)
+    assert [(r.reason, r.value) for r in spark.read.parquet(f"{tmp_path}/tables/quarantine").collect()] == [("malformed", "<broken")]
