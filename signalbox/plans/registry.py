@@ -158,7 +158,8 @@ def _load_rejects(spark, sf_dir):
     t = Tables(spark, sf_dir)
     svc = N.transform_services(_raw(spark, sf_dir), _published_codes(t))
     star = star_schema(spark, svc, valid_code_rows(t))
-    _, rejects = W.load_cancellations(svc, star.service_details, star.station, star.cancel_code)
+    # the batch as written: cleaned once, not for each pass over it
+    _, rejects = W.load_cancellations(star.svc, star.service_details, star.station, star.cancel_code, repeated=star.repeated)
     return rejects.select("service_uid", "origin_run_datetime", "reject_reason")
 
 

@@ -52,6 +52,11 @@ class LazyStarSchema:
         """The batch, written once to the shared folder: every table reads it."""
         return materialize(self._svc_plan, "svc")
 
+    @cached_property
+    def repeated(self):
+        """The batch's repeated keys, found once for the three facts."""
+        return repeated_keys(self.svc, ["service_uid", "origin_run_datetime"])
+
     @cached_property
     def cancel_code(self):
         return W.load_cancel_codes(self.codes)
@@ -70,16 +75,16 @@ class LazyStarSchema:
 
     @cached_property
     def service_details(self):
-        return W.load_service_details(self.svc, self.company, self.service_type, self.station)[0]
+        return W.load_service_details(self.svc, self.company, self.service_type, self.station, repeated=self.repeated)[0]
 
     @cached_property
     def delay_details(self):
-        return W.load_delays(self.svc, self.service_details)[0]
+        return W.load_delays(self.svc, self.service_details, repeated=self.repeated)[0]
 
     @cached_property
     def cancellation(self):
         return W.load_cancellations(self.svc, self.service_details, self.station,
-                                    self.cancel_code)[0]
+                                    self.cancel_code, repeated=self.repeated)[0]
 
     def items(self):
         return [(name, getattr(self, name)) for name in TABLES]

@@ -18,8 +18,10 @@ JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 def parse_json(docs: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
     """Text column of JSON documents -> one struct column ``doc``; the text of a
-    broken document lands in ``doc._corrupt_record``."""
-    return docs.select(F.from_json(F.col(column), schema, JSON_OPTIONS).alias("doc"), *[
+    broken document lands in ``doc._corrupt_record``. The parse stands in a
+    generator: a later filter or projection on fields of ``doc`` would otherwise
+    be moved below it with a parse of its own, several of each text."""
+    return docs.select(F.explode(F.array(F.from_json(F.col(column), schema, JSON_OPTIONS))).alias("doc"), *[
         c for c in docs.columns if c != column])
 
 
