@@ -189,7 +189,7 @@ def test_packed_messages_unpack_as_they_were_parsed(spark):
     assert sorted(unpack_messages(packed).collect()) == sorted(rows.select("message_key", "msg").collect())
 
 
-def test_a_message_of_the_stream_is_parsed_once(spark, tmp_path, monkeypatch):
+def test_a_message_of_the_stream_is_parsed_once(spark, tmp_path, operators, monkeypatch):  # noqa: F811
     from signalbox.streaming import incidents as S
 
     def again(*_):
@@ -197,6 +197,5 @@ def test_a_message_of_the_stream_is_parsed_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(S, "parse_incidents", again)
     (tmp_path / "landing").mkdir()
     (tmp_path / "landing" / "a.txt").write_text("<broken\n")
-    spark.createDataFrame([("AA", "op", "1%")], "operator_code string, operator_name string, customer_satisfaction string").write.parquet(f"{tmp_path}/ops")
-    S.run_incident_stream(spark, f"{tmp_path}/landing", f"{tmp_path}/tables", f"{tmp_path}/ops", f"{tmp_path}/ck", state_partitions=2)
+    S.run_incident_stream(spark, f"{tmp_path}/landing", f"{tmp_path}/tables", operators, f"{tmp_path}/ck", state_partitions=2)
     assert [(r.reason, r.value) for r in spark.read.parquet(f"{tmp_path}/tables/quarantine").collect()] == [("malformed", "<broken")]
