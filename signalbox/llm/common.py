@@ -3,14 +3,16 @@ folder, single evaluation of an expression, and distributed running totals."""
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import remove, shared_dir
 
 #: Words are maximal runs of anything but these; Java regex.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -26,9 +28,30 @@ def store(df: DataFrame, label: str, **options) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage for a
     table that several jobs read, and survives lost executors."""
     spark = df.sparkSession
-    path = f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return _written(df, f"{_FOLDER.get() or work_root(spark)}/{label}-{uuid.uuid4().hex}", **options)
+
+
+def _written(df: DataFrame, path: str, **options) -> DataFrame:
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_FOLDER: contextvars.ContextVar[str | None] = contextvars.ContextVar("folder", default=None)
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Working tables stored inside the block are deleted at its end; those
+    stored by the function that it gives belong to what is around the block. For
+    steps that leave a small table of what took large ones to find."""
+    outer = _FOLDER.get() or work_root(spark)
+    folder = f"{outer}/passing-{uuid.uuid4().hex}"
+    token = _FOLDER.set(folder)
+    try:
+        yield lambda df, label: _written(df, f"{outer}/{label}-{uuid.uuid4().hex}")
+    finally:
+        _FOLDER.reset(token)
+        remove(spark, folder)
 
 
 def release(spark: SparkSession) -> None:

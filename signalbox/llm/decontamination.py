@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bit_table, in_table, store, whole_row
+from .common import bit_table, in_table, passing, store, whole_row
 from .shingles import shingle_hashes
 
 K = 64
@@ -150,8 +150,8 @@ def contamination_report(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``df`` without the documents that contain an item."""
-    # a stored table: its size is known when the join is planned
-    bad = store(contained_items(df, benchmark).select("k1", "k2").distinct(), "contaminated")
+    with passing(df.sparkSession) as keep:  # a stored table: its size is known when the join is planned
+        bad = keep(contained_items(df, benchmark).select("k1", "k2").distinct(), "contaminated")
     return df.select(whole_row(df), *_keys()).join(bad, ["k1", "k2"], "left_anti").select("_row.*")
 
 

@@ -222,13 +222,13 @@ def mix_documents(df: DataFrame) -> DataFrame:
     ranges = (taken.groupBy("_k1", "_k2", "doc_offset", "pass").agg(
         F.array_sort(F.collect_list(F.struct("first", "words"))).alias("_ranges"))  # of one document
         .drop("doc_offset", "pass"))
-    rows = df.select(whole_row(df), F.col("text"), *_row_key())
+    rows = df.select(whole_row(df), *_row_key())  # the text goes along once, inside the row
     # repeated rows have their ranges under one key
     if not docs.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("m")).where("m > 1").isEmpty():
-        rows = rows.groupBy("_k1", "_k2").agg(F.first("_row").alias("_row")).withColumn("text", F.col("_row.text"))
+        rows = rows.groupBy("_k1", "_k2").agg(F.first("_row").alias("_row"))
     joined = rows.join(ranges, ["_k1", "_k2"])
     # the text as words with the white space that follows each
-    cut = F.split(F.regexp_replace(F.col("text"), "^" + SPACES, ""),
+    cut = F.split(F.regexp_replace(F.col("_row.text"), "^" + SPACES, ""),
                   r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     piece = let(cut, lambda w: F.array_join(F.flatten(F.transform(
         F.col("_ranges"), lambda r: F.slice(w, (r["first"] + 1).cast("int"), r["words"].cast("int")))), ""))

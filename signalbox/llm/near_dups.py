@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_table, in_table, order_key, spread_join, store, whole_row
+from .common import bit_table, in_table, order_key, passing, spread_join, store, whole_row
 from .components import components
 from .shingles import shingle_hashes
 
@@ -251,9 +251,11 @@ def link_components(df: DataFrame) -> DataFrame:
     star = spread_join(lists, heads.drop("m"), ["v"], F.xxhash64("cid"), heads.select("v", "m")).where(
         (F.col("cid") != F.col("pivot")) & _size_fits("n", "pn"))
     star = store(star.select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct(), "near-star")
-    links = store(verified(store(estimated(star, classes), "near-pairs"), texts), "near-links")
+    with passing(df.sparkSession) as keep:
+        links = keep(verified(store(estimated(star, classes), "near-pairs"), texts), "near-links")
     roots = components(links)
-    rest = store(across_components(lists, heads, roots, texts).join(star, ["a", "b"], "left_anti"), "near-pairs")
+    with passing(df.sparkSession) as keep:
+        rest = keep(across_components(lists, heads, roots, texts).join(star, ["a", "b"], "left_anti"), "near-pairs")
     if not rest.isEmpty():
         more = store(verified(rest, texts), "near-links")
         roots = components(links.unionByName(more))
@@ -284,14 +286,17 @@ def keep_one(df: DataFrame) -> DataFrame:
     Rows of one id are told apart by their texts: different sets under one id
     are each in a component of their own and stay if they are its first. Of rows
     with one id and equal sets the first text stays, and of equal rows one."""
-    rows = store(link_components(df), "near-rows")
-    alike = ["rid", "key1", "key2"]
-    again = rows.where("kept").groupBy(*alike).agg(F.count(F.lit(1)).alias("m"), F.min("th").alias("first")).where("m > 1")
-    later = rows.where("kept").join(again, alike).where(F.col("th") != F.col("first"))
-    # a stored table: its size is known when the join is planned
-    gone = store(rows.where("not kept").select("rid", "th").unionByName(later.select("rid", "th")).distinct(), "near-gone")
+    with passing(df.sparkSession) as keep:
+        with passing(df.sparkSession) as keep_rows:
+            rows = keep_rows(link_components(df), "near-rows")
+        alike = ["rid", "key1", "key2"]
+        again = rows.where("kept").groupBy(*alike).agg(F.count(F.lit(1)).alias("m"), F.min("th").alias("first")).where("m > 1")
+        later = rows.where("kept").join(again, alike).where(F.col("th") != F.col("first"))
+        # a stored table: its size is known when the join is planned
+        gone = keep(rows.where("not kept").select("rid", "th").unionByName(later.select("rid", "th")).distinct(), "near-gone")
+        repeated = not rows.groupBy("rid", "th").count().where("count > 1").isEmpty()
     out = df.select(whole_row(df), _rid().alias("rid"), _text_hash().alias("th")).join(gone, ["rid", "th"], "left_anti")
-    if not rows.groupBy("rid", "th").count().where("count > 1").isEmpty():
+    if repeated:
         out = out.groupBy("rid", "th").agg(F.first("_row").alias("_row"))  # combines before the shuffle
     return out.select("_row.*")
 

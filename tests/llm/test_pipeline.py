@@ -1,5 +1,7 @@
 """The pipeline: every stage's decisions against brute force, and the whole run."""
 
+import re
+
 import corpus_pipeline
 import pytest
 
@@ -81,6 +83,32 @@ def test_registered_queries():
 
 
 
+def test_stages_leave_no_large_working_tables(spark):
+    from signalbox.llm import decontamination, near_dups
+    from signalbox.session import children
+    rows = [(i, f"one two three four five six seven {'eight' if i < 3 else i}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string")
+
+    def left(stage):
+        before = set(children(spark, work_root(spark)))
+        out = stage()
+        return out, sorted(n.rsplit("-", 1)[0] for n in set(children(spark, work_root(spark))) - before)
+    out, names = left(lambda: near_dups.keep_one(df))
+    assert names == ["near-gone"] and sorted(r.doc_id for r in out.collect()) == [0, 3, 4, 5]
+    out, names = left(lambda: decontamination.drop_contaminated(df, items))
+    assert names == ["contaminated"] and sorted(r.doc_id for r in out.collect()) == [3, 4, 5]
+
+
+def test_mix_carries_a_text_once(spark):
+    df = spark.createDataFrame([(i, f"a{i} b c d", "en" if i % 2 else None) for i in range(9)], "doc_id long, text string, source string")
+    out = mixing.mix_documents(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS _row#" in plan and not re.search(r"AS _row#\d+, text#", plan)
+    got = out.collect()
+    assert got and all(f"a{r.doc_id} b c d".startswith(r.text) for r in got)
+
+
 def test_release_deletes_the_working_tables(spark):
     from signalbox.session import path_exists
     df = store(spark.range(3).toDF("x"), "to-be-released")
