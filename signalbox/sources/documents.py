@@ -59,7 +59,7 @@ def order_services(t: Tables) -> DataFrame:
     # Plain columns go to their order first: lists begun map-side would be sorted there and
     # carry the texts of each calling point through the shuffle.
     calls = (li.repartition("l_orderkey").groupBy("l_orderkey")
-             .agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+             .agg(F.sort_array(F.collect_list(entry)).alias("_e"))  # no entry is null; array_sort would interpret a comparison
              .select(F.col("l_orderkey").alias("o_orderkey"),
                      F.transform("_e", lambda e: e["loc"]).alias("locations")))
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",

@@ -84,3 +84,8 @@ def test_own_jobs_read_small_splits(spark):
             assert spark.conf.get(name) == given
     finally:
         spark.conf.set(name, before)
+
+
+def test_calling_points_are_sorted_without_an_interpreted_comparison(spark):
+    plan = D.order_services(_tables(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
