@@ -163,10 +163,13 @@ class WaveletMatrix:
         """All ids, by undoing the partitions from the lowest plane up."""
         cur = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
-            one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
-            cur[self.zeros[level]:] |= cur.dtype.type(1 << len(self.planes) - 1 - level)
+            one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
+            low, high = np.split(cur, [self.zeros[level]])
             up = np.empty_like(cur)
-            up[np.concatenate([np.flatnonzero(~one), np.flatnonzero(one)])] = cur
+            if len(high):
+                np.place(up, one, high | cur.dtype.type(1 << len(self.planes) - 1 - level))
+            if len(low):
+                np.place(up, ~one, low)
             cur = up
         return cur
 
