@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -174,19 +175,25 @@ class WaveletMatrix:
         return cur
 
 
+def _strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes a scalar of each first
+
+
 class TextEncoder:
     """Ids of texts as little-endian u32 bytes, by the tokenizers library.
 
     The vocabulary's pre-tokenizer always cuts before a space that a
     non-space follows, so a text of single spaces is encoded piece by piece.
-    Pieces that are not known yet are encoded together as one text; only the
-    first id of each begins with a space, which tells them apart again. Short
-    pieces are kept, up to a bound: the frequent ones come early. Other texts,
-    such as those that hold one of the vocabulary's added tokens, are encoded
-    whole.
+    Arrow cuts the texts of a call and finds their distinct pieces. Those that
+    are not known yet are encoded together as one text; only the first id of
+    each begins with a space, which tells them apart again. Short pieces are
+    kept, up to a bound: the frequent ones come early. Other texts, such as
+    those that hold one of the vocabulary's added tokens, are encoded whole.
     """
 
-    KEPT, LONGEST, JOINED = 150_000, 12, 256
+    KEPT, LONGEST, JOINED = 400_000, 16, 256
+    #: A space that no piece follows.
+    LOOSE = re.compile(r" (?:\s|\Z)")
 
     def __init__(self, path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core
@@ -195,45 +202,59 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.known: dict[str, bytes] = {}
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([r" (?:\s|\Z)", *added]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         words = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(words.values()) + 1, bool)
         self.spaced[[i for w, i in words.items() if w.startswith("\u0120")]] = True
 
-    def _whole(self, text: str) -> bytes:
-        done = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return array.array("I", done[0].ids).tobytes()
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array.array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _together(self, pieces: list[str]) -> bytes:
         """Ids of the pieces, each after a space; a few hundred make a text."""
-        texts = [" " + " ".join(pieces[i:i + self.JOINED]) for i in range(0, len(pieces), self.JOINED)]
-        return b"".join([array.array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        return b"".join(self._whole([" " + " ".join(pieces[i:i + self.JOINED]) for i in range(0, len(pieces), self.JOINED)]))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if self.odd.search(t) else t.split(" ") for t in texts]
-        pieces = list(set().union(*[p[1:] for p in cut if p]))
-        found = list(map(self.known.get, pieces))
-        here = dict(zip(pieces, found, strict=True))  # small: the lookups below stay in cache
-        new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
-        if new:
+    def _odd(self, text: str) -> bool:
+        return self.LOOSE.search(text) is not None or any(t in text for t in self.added)
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, each after a space."""
+        out = list(map(self.known.get, pieces))
+        places = [i for i, ids in enumerate(out) if ids is None]
+        if places:
+            new = [pieces[i] for i in places]
             data = self._together(new)
             cuts = [*np.flatnonzero(self.spaced[np.frombuffer(data, "<u4")]).tolist(), len(data) // 4]
             if len(cuts) != len(new) + 1:
                 raise ValueError("the vocabulary does not cut its pieces before spaces")
-            here.update(zip(new, [data[4 * a:4 * z] for a, z in itertools.pairwise(cuts)], strict=True))
-            short = (p for p in new if len(p) <= self.LONGEST)
-            self.known.update((p, here[p]) for p in itertools.islice(short, max(0, self.KEPT - len(self.known))))
-        out = []
-        for t, p in zip(texts, cut, strict=True):
-            if p is None:
-                out.append(self._whole(t))
-            else:
-                p[0] = self._whole(p[0])
-                p[1:] = map(here.__getitem__, p[1:])
-                out.append(b"".join(p))
+            for i, (a, z) in zip(places, itertools.pairwise(cuts), strict=True):
+                out[i] = data[4 * a:4 * z]
+            short = ((p, out[i]) for i, p in zip(places, new, strict=True) if len(p) <= self.LONGEST)
+            self.known.update(itertools.islice(short, max(0, self.KEPT - len(self.known))))
         return out
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        odd = [self._odd(t) for t in texts]
+        cut = pc.split_pattern(pa.array([t for t, o in zip(texts, odd, strict=True) if not o], pa.large_string()), " ")
+        starts = cut.offsets.to_numpy()
+        begins = np.zeros(len(cut.values), bool)
+        begins[starts[:-1]] = True  # no space before a text's first piece
+        first = iter(self._whole(_strings(cut.values.filter(pa.array(begins)))))
+        rest = cut.values.filter(pa.array(~begins)).dictionary_encode()
+        ids = self._pieces(_strings(rest.dictionary))
+        # the ids of each piece in turn, out of those of the distinct pieces
+        data, size = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        code = rest.indices.to_numpy()
+        each = size[code]
+        to = np.cumsum(each)
+        at = np.repeat((np.cumsum(size) - size)[code] - (to - each), each)
+        at += np.arange(len(at))
+        held = data[at].tobytes()
+        ends = np.concatenate([[0], to])[starts - np.arange(len(starts))].tolist()
+        spans = itertools.pairwise(ends)
+        whole = iter(self._whole([t for t, o in zip(texts, odd, strict=True) if o]))
+        return [next(whole) if o else next(first) + held[4 * (x := next(spans))[0]:4 * x[1]] for o in odd]
+
 
 @functools.cache
 def _encoder(path: str | None) -> TextEncoder:

@@ -66,6 +66,15 @@ def test_encoder_on_any_text(text):
     assert np.frombuffer(test_encoder_on_any_text.encoder.encode([text])[0], "<u4").tolist() == whole
 
 
+def test_a_piece_is_encoded_once(monkeypatch):
+    encoder, text = wavelet.TextEncoder(), "of sixteenletterabc and sixteenletterabc x"
+    want = encoder.encode([text, text])
+    monkeypatch.setattr(encoder, "_together", None)  # nothing is new any more
+    assert encoder.encode([text]) == want[:1] and want[0] == want[1] == encoder._whole([text])[0]
+    monkeypatch.undo()
+    assert encoder.encode(["", text, " x", "<|endoftext|>", text]) == encoder._whole(["", text, " x", "<|endoftext|>", text])
+
+
 def test_added_tokens_are_ids_of_their_own():
     got = wavelet.TextEncoder().encode(["a <|endoftext|> b", "a<|endoftext|>", "a <|endoftext b"])
     assert np.frombuffer(got[0], "<u4").tolist() == [64, 220, 50256, 275]
