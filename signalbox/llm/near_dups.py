@@ -147,13 +147,17 @@ def _place(cid):
     return cid & ((1 << 62) - 1)
 
 
+def _bits_of(values: DataFrame) -> np.ndarray:
+    """A bit table of the one column, sized by its rows up to ``MOST_BITS``."""
+    bits = 1 << (BITS_PER_ID * values.count()).bit_length()
+    return bit_table(values, min(MOST_BITS, max(LEAST_BITS, bits)))
+
+
 def whole_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """(cid, whole): the full shingle sets of the classes in ``ids``. A bit table,
     sized by their number up to ``MOST_BITS``, drops most other texts before
     they are shuffled; it only spares work."""
-    bits = 1 << (BITS_PER_ID * ids.count()).bit_length()
-    bits = min(MOST_BITS, max(LEAST_BITS, bits))
-    table = bit_table(ids.select(F.col("cid").bitwiseAND(F.lit((1 << 62) - 1)).alias("v")), bits)
+    table = _bits_of(ids.select(F.col("cid").bitwiseAND(F.lit((1 << 62) - 1)).alias("v")))
     some = texts.mapInArrow(lambda it: _passing(it, table), texts.schema)
     one = some.join(ids, "cid").groupBy("cid").agg(F.min("text").alias("text"))
     return store(one.mapInArrow(_whole_set, "cid long, whole array<long>"), "near-whole")
@@ -280,6 +284,19 @@ def duplicate_report(df: DataFrame) -> DataFrame:
     return link_components(df).drop("rid", "th", "key1", "key2")
 
 
+def _without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` whose ``keys`` are not in ``gone``. Most stay, and a bit table
+    tells so of nearly all of these; only the others go through the join."""
+    value = F.xxhash64(*keys).bitwiseAND(F.lit((1 << 62) - 1))
+    table = _bits_of(gone.select(value.alias("v")))
+
+    @F.arrow_udf("boolean")
+    def maybe(v: pa.Array) -> pa.Array:
+        return pa.array(in_table(table, v.to_numpy()))
+
+    return rows.where(~maybe(value)).unionByName(rows.where(maybe(value)).join(gone, keys, "left_anti"))
+
+
 def keep_one(df: DataFrame) -> DataFrame:
     """``df`` without the documents that are not the first of their component.
 
@@ -295,7 +312,7 @@ def keep_one(df: DataFrame) -> DataFrame:
         # a stored table: its size is known when the join is planned
         gone = keep(rows.where("not kept").select("rid", "th").unionByName(later.select("rid", "th")).distinct(), "near-gone")
         repeated = not rows.groupBy("rid", "th").count().where("count > 1").isEmpty()
-    out = df.select(whole_row(df), _rid().alias("rid"), _text_hash().alias("th")).join(gone, ["rid", "th"], "left_anti")
+    out = _without(df.select(whole_row(df), _rid().alias("rid"), _text_hash().alias("th")), gone, ["rid", "th"])
     if repeated:
         out = out.groupBy("rid", "th").agg(F.first("_row").alias("_row"))  # combines before the shuffle
     return out.select("_row.*")

@@ -117,6 +117,18 @@ def test_texts_of_one_id_are_told_apart(spark):
         (1, "one two three four five six"), (1, "other words stand in this text"), (3, "a third text of some words")]
 
 
+def test_only_rows_that_may_go_are_joined(spark):
+    """The join that takes out the copies gets the rows that the bit table lets through, not all."""
+    rows = [(i, f"one two three four five six seven {'eight' if i < 3 else i}") for i in range(9)] + [(None, None), (20, ""), (20, "")]
+    out = near_dups.keep_one(spark.createDataFrame(rows, DOC))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and re.search(r"Join LeftAnti(?s:.*)Filter pythonUDF", plan), plan
+    assert {(r.doc_id, r.text) for r in out.collect()} == {(None, None), (20, ""), (0, rows[0][1]), *rows[3:9]}
+    gone = spark.createDataFrame([(i, i) for i in range(0, 300, 3)], "a long, b long")
+    left = near_dups._without(spark.range(300).selectExpr("id as a", "id as b", "id as x"), gone, ["a", "b"])
+    assert sorted(r.x for r in left.collect()) == [i for i in range(300) if i % 3]
+
+
 def test_components_of_chains_and_cycles(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000 + i, 1000 + (i + 1) % 40) for i in range(40)]
