@@ -8,10 +8,10 @@ import contextvars
 import uuid
 from collections.abc import Callable, Iterator
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.bits import bit_table, in_table, slots  # noqa: F401 - the operators take them from here
 from ..session import remove, shared_dir
 
 #: Words are maximal runs of anything but these; Java regex.
@@ -131,29 +131,3 @@ def running_total(df: DataFrame, by: list[str], order: str, ties: list[str],
                 w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .join(before, [*by, *cells])
             .withColumn(out, F.col("_o") + F.col("_b")).drop("_o", "_b", *cells))
-
-
-def slots(v: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two places of non-negative values in a bit table."""
-    return v % bits, v // bits % bits
-
-
-def bit_table(values: DataFrame, bits: int) -> np.ndarray:
-    """A table of fixed size (``bits``, a power of two) with two bits set for
-    each value of the one long column (not negative): goes along with a scan
-    that is to hand on only rows a later join may need. At most bits / 64 rows
-    reach the driver, whatever the number of values."""
-    v = F.col(values.columns[0])
-    places = F.array(v % bits, F.shiftright(v, bits.bit_length() - 1) % bits)
-    words = (values.select(F.explode(places).alias("s")).groupBy(F.floor(F.col("s") / 64).alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("b")).toArrow())
-    table = np.zeros(bits // 64, np.int64)
-    table[words["w"].to_numpy()] = words["b"].to_numpy()
-    return table
-
-
-def in_table(table: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Which values may be in the table; none that is in it is missed."""
-    one, two = slots(v, table.size * 64)
-    has = lambda s: (table[s >> 6] >> (s & 63)) & 1
-    return (has(one) & has(two)).astype(bool)

@@ -34,7 +34,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_table, in_table, order_key, passing, spread_join, store, whole_row
+from ..functions.bits import in_table, key_value, may_be_in, sized_table
+from .common import order_key, passing, spread_join, store, whole_row
 from .components import components
 from .shingles import shingle_hashes
 
@@ -46,8 +47,6 @@ LEAST = 40
 ESTIMATE = LEAST / K
 #: Rows of a block of a list.
 BLOCK = 512
-#: Bits of the table of wanted class ids for each of them, and in all (powers of two).
-BITS_PER_ID, LEAST_BITS, MOST_BITS = 16, 1 << 21, 1 << 27
 
 _SETS = "rid long, th long, doc_id long, n long, key1 long, key2 long, sketch array<long>"
 
@@ -147,17 +146,11 @@ def _place(cid):
     return cid & ((1 << 62) - 1)
 
 
-def _bits_of(values: DataFrame) -> np.ndarray:
-    """A bit table of the one column, sized by its rows up to ``MOST_BITS``."""
-    bits = 1 << (BITS_PER_ID * values.count()).bit_length()
-    return bit_table(values, min(MOST_BITS, max(LEAST_BITS, bits)))
-
-
 def whole_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """(cid, whole): the full shingle sets of the classes in ``ids``. A bit table,
     sized by their number up to ``MOST_BITS``, drops most other texts before
     they are shuffled; it only spares work."""
-    table = _bits_of(ids.select(F.col("cid").bitwiseAND(F.lit((1 << 62) - 1)).alias("v")))
+    table = sized_table(ids.select(F.col("cid").bitwiseAND(F.lit((1 << 62) - 1)).alias("v")))
     some = texts.mapInArrow(lambda it: _passing(it, table), texts.schema)
     one = some.join(ids, "cid").groupBy("cid").agg(F.min("text").alias("text"))
     return store(one.mapInArrow(_whole_set, "cid long, whole array<long>"), "near-whole")
@@ -287,13 +280,8 @@ def duplicate_report(df: DataFrame) -> DataFrame:
 def _without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` whose ``keys`` are not in ``gone``. Most stay, and a bit table
     tells so of nearly all of these; only the others go through the join."""
-    value = F.xxhash64(*keys).bitwiseAND(F.lit((1 << 62) - 1))
-    table = _bits_of(gone.select(value.alias("v")))
-
-    @F.arrow_udf("boolean")
-    def maybe(v: pa.Array) -> pa.Array:
-        return pa.array(in_table(table, v.to_numpy()))
-
+    value = key_value(*keys)
+    maybe = may_be_in(sized_table(gone.select(value.alias("v"))))
     return rows.where(~maybe(value)).unionByName(rows.where(maybe(value)).join(gone, keys, "left_anti"))
 
 

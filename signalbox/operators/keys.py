@@ -21,7 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import compiled, materialize, work_path
+from ..functions.bits import key_value, may_be_in, sized_table
+from ..session import compiled, materialize, ship_package, work_path
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | row position
 
@@ -76,20 +77,23 @@ def repeated_keys(df: DataFrame, key_cols: Sequence[str]) -> DataFrame | None:
 
 _UNKNOWN = object()
 #: From so many repeated keys on, their join would shuffle every row before the
-#: repeated ones are shuffled again: then all rows are combined at once.
+#: repeated ones are shuffled again: then a bit table of them lets the other rows pass.
 MANY_REPEATED = 200_000
 
 
 def first_per_key(df: DataFrame, key_cols: Sequence[str],
-                  order_cols: Sequence[str], repeated=_UNKNOWN) -> DataFrame:
+                  order_cols: Sequence[str], repeated=_UNKNOWN,
+                  joined: bool = False) -> DataFrame:
     """One row per key: the smallest by ``order_cols`` (nulls first), then by
     the other columns.
 
     Rows whose key does not repeat pass through without a shuffle or a sort,
     and only the repeated ones go through ``min``, which combines them
-    map-side; beyond ``MANY_REPEATED`` keys all rows do. ``repeated`` is what ``repeated_keys`` found in ``df`` or in a
-    table that ``df`` is a part of; without it ``df`` is read for them here:
-    hand in a written table.
+    map-side; beyond ``MANY_REPEATED`` keys so do the few others that a bit
+    table takes for repeated. ``repeated`` is what ``repeated_keys`` found in
+    ``df`` or in a table that ``df`` is a part of; without it ``df`` is read
+    for them here: hand in a written table. Rows that are ``joined`` by the key
+    next are then combined all at once: the join goes on from that shuffle.
     """
     payload = [c for c in df.columns if c not in key_cols]
     if not payload:
@@ -102,7 +106,13 @@ def first_per_key(df: DataFrame, key_cols: Sequence[str],
     least = F.min(F.struct(*[F.col(c) for c in dict.fromkeys([*(c for c in order_cols if c in payload), *payload])])).alias("_row")
     taken = [*key_cols, *[F.col("_row")[c].alias(c) for c in payload]]
     if repeated.limit(MANY_REPEATED).count() == MANY_REPEATED:
-        return df.groupBy(*key_cols).agg(least).select(*taken)
+        if joined:
+            return df.groupBy(*key_cols).agg(least).select(*taken)
+        ship_package(df.sparkSession)
+        maybe = may_be_in(sized_table(repeated.select(key_value(*repeated.columns).alias("v"))))(key_value(*key_cols))
+        # a row that only may repeat is combined with none if it does not
+        again = df.where(maybe).groupBy(*key_cols).agg(least).select(*taken)
+        return df.where(~maybe).select(*key_cols, *payload).unionByName(again)
     same = F.lit(True)
     for i, k in enumerate(key_cols):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))

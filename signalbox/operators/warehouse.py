@@ -166,7 +166,7 @@ def _fact_first(svc: DataFrame, keep, cols: Sequence[str],
                 order_cols: Sequence[str], **repeats) -> DataFrame:
     rows = svc.where(keep).select(*dict.fromkeys(["service_uid", "origin_run_datetime",
                                                   *cols, *order_cols]))
-    return first_per_key(rows, ["service_uid", "origin_run_datetime"], order_cols, **repeats)
+    return first_per_key(rows, ["service_uid", "origin_run_datetime"], order_cols, joined=True, **repeats)
 
 
 def load_delays(svc: DataFrame, service_details: DataFrame,

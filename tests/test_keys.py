@@ -46,6 +46,19 @@ def test_many_repeated_keys_are_combined_at_once(spark, monkeypatch):
     assert "Join" not in many._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_rows_that_stand_alone_pass_beside_many_repeated_keys(spark, monkeypatch):
+    """With many repeated keys only those that may repeat are combined, not every row."""
+    from signalbox.operators import keys as K
+    rows = [(f"k{k}", o, f"{k}-{o}") for k in range(40) for o in (3, 1, 2)] + [(f"s{k}", 9, None) for k in range(400)]
+    df = spark.createDataFrame(rows + [(None, 2, "b"), (None, 1, "a")], "k string, o int, v string")
+    monkeypatch.setattr(K, "MANY_REPEATED", 10)
+    out = K.first_per_key(df, ["k"], ["o"])
+    want = [(f"k{k}", 1, f"{k}-1") for k in range(40)] + [(f"s{k}", 9, None) for k in range(400)] + [(None, 1, "a")]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.count("Aggregate") == 1 and "Filter pythonUDF" in plan, plan
+
+
 def test_numbering_shuffles_only_stored_columns(spark):
     """The columns that order repeated rows do not go through the numbering."""
     from signalbox.operators import warehouse as W
