@@ -22,10 +22,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import children, path_exists, remove, rename, work_path
+from ..session import children, materialize, path_exists, remove, rename, work_path
 
 HASHES = 8
 BITS_A_KEY = 32
+#: Keys of a batch whose places go to every task that reads filters.
+FEW_KEYS = 1 << 14
 
 
 def _places(key_cols: Sequence[str], bits: int) -> Column:
@@ -75,12 +77,14 @@ class PartedTable:
         """The parts that may hold a key of ``batch`` (numbers of parts: one a load)."""
         if not self.parts():
             return []
-        keys = batch.select(*self.key_cols).distinct()
+        keys = materialize(batch.select(*self.key_cols).distinct(), "probed-keys")
+        # a key has HASHES places: by the size of the keys the planner would broadcast the places of far too many
+        how = "broadcast" if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else "merge"
         probes = keys.select(F.xxhash64(*self.key_cols).alias("key"), F.posexplode(_places(self.key_cols, self.bits)).alias("i", "p"))
         words = self.spark.read.parquet(self.filters)
-        hits = probes.join(words, F.shiftright(F.col("p"), 6) == F.col("word")).where(
+        hits = probes.hint(how).join(words, F.shiftright(F.col("p"), 6) == F.col("word")).where(
             F.expr("shiftright(bits, cast(p % 64 as int)) & 1") == 1)
-        whole = hits.groupBy("part", "key").agg(F.count_distinct("i").alias("n")).where(F.col("n") == HASHES)
+        whole = hits.groupBy("part", "key").agg(F.bit_or(F.expr("shiftleft(1, i)")).alias("all")).where(F.col("all") == (1 << HASHES) - 1)
         known = set(self.parts())
         return sorted(r.part for r in whole.select("part").distinct().collect() if r.part in known)
 

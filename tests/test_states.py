@@ -161,3 +161,16 @@ def test_a_released_run_loads_its_store_anew(spark):
     first = A.kpi_totals(wide_services(store.services_store(spark, SMALL), ["arrival_lateness", "cancellation_id"])).collect()
     release_run(spark)
     assert A.kpi_totals(wide_services(store.services_store(spark, SMALL), ["arrival_lateness", "cancellation_id"])).collect() == first
+
+
+def test_the_places_of_many_keys_are_not_broadcast(spark, tmp_path):
+    limit = "spark.sql.maxBroadcastTableSize"
+    table = PartedTable(spark, f"{tmp_path}", "versions", ["version"], 1 << 20)
+    table.append(keys(spark, 0, 1 << 17))
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "16m")  # the places would take more
+        assert table.holding(keys(spark, 1 << 16, 3 << 16)) == [0]
+        assert table.holding(keys(spark, 9 << 16, (9 << 16) + 9)) == []
+    finally:
+        spark.conf.set(limit, before)
