@@ -168,7 +168,7 @@ def shard_draws(sources: DataFrame) -> DataFrame:
     short = (sources.join(got, "src", "left").withColumn("got", F.coalesce("got", F.lit(0)))
              .select("src", "got", (F.col("slots") - F.col("got")).alias("n")))
     short = units(number(short, "src")).withColumn("slot", F.col("got") + F.col("unit") - (F.col("_to") - F.col("n")))
-    more = (surplus.select("unit", "shard").join(short.select("unit", "src", "slot"), "unit")
+    more = (surplus.select("unit", "shard").hint("merge").join(short.select("unit", "src", "slot"), "unit")
             .select("src", "shard", F.col("slot").alias("start"), F.lit(1).cast("long").alias("count")))
     return (drawn.where("kept > 0").select("src", "shard", "start", F.col("kept").alias("count"))
             .unionByName(more))
@@ -196,7 +196,8 @@ def mix(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(docs, sources, taken): ``taken`` has one row per slot and document in
     its block: src, shard, slot, pass, block, doc_id, _k1, _k2, doc_offset, first, words."""
     docs, sources, pieces = packed(df)
-    taken = mixed_slots(sources).join(pieces, ["src", "block"]).where(F.col("at") < F.col("most"))
+    # both sides are made from few rows: by the size of those the planner would broadcast all slots or pieces
+    taken = mixed_slots(sources).hint("merge").join(pieces, ["src", "block"]).where(F.col("at") < F.col("most"))
     taken = taken.withColumn("words", F.least("words", F.col("most") - F.col("at")).cast("long")).drop("at", "most")
     return docs, sources, taken
 

@@ -214,6 +214,14 @@ def test_mix_odd_rows(spark, odd):
     assert mixing.mix_report(docs(spark, [(1, None, "a")])).first().taken == 0
 
 
+def test_slots_and_pieces_are_not_broadcast(spark, table):
+    got = mixing.mix_report(table[0])
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()  # after the run: as adaptive execution left it
+    assert re.search(r"SortMergeJoin \[src#\d+, block#\d+L?\]", plan)
+    assert not re.search(r"BroadcastHashJoin \[src#\d+, block#\d+L?\]", plan)
+
+
 def test_mixed_documents_are_what_was_taken(spark, table):
     df, pdf = table
     taken = mixing.mix_report(df).toPandas().set_index("doc_id").taken
