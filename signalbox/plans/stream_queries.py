@@ -8,13 +8,15 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..session import run_root
+from ..session import compiled, run_root
 from ..sources.xml_docs import parse_incidents
 from ..streaming.incidents import incident_stream, read_outbox, run_incident_stream
 from . import incident_queries as IQ
 from .captures import capture
 
 RESTART_CUTOFF = "1998-01-01"
+#: Messages of a landed file: compressed text is read whole by one task.
+FILE_MESSAGES = 100_000
 
 
 def _base(spark) -> str:
@@ -22,11 +24,12 @@ def _base(spark) -> str:
 
 
 def _deliver(spark, sf_dir, landing: str, where=None) -> None:
-    """Write the messages (optionally a slice) as new files in the landing folder."""
+    """Write the messages (optionally a slice) as new compressed files in the landing folder."""
     msgs = capture(spark, sf_dir, "incident_messages")
     if where is not None:
         msgs = msgs.where(where)
-    msgs.select("value").hint("rebalance").write.mode("append").text(landing)
+    with compiled(spark):
+        msgs.select("value").write.mode("append").options(compression="gzip", maxRecordsPerFile=FILE_MESSAGES).text(landing)
 
 
 def _operators(spark, sf_dir, base: str) -> str:

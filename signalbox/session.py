@@ -144,6 +144,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below the folder ``path``, 0 when there is no such folder."""
+    p, fs = _file_system(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def materialize(df, label: str = "stage"):
     """Write ``df`` once to the shared folder and return the read-back table.
 
@@ -163,10 +169,13 @@ def compiled(spark: SparkSession) -> Iterator[None]:
     """Plans that run inside the block leave whole-stage code where a generated
     method would be too long for the JIT (``DEFAULT_CONF``), also in a session
     that was not made by ``get_session``, and read files in splits of ``SPLIT_MB``
-    at most: what a task sorts or hashes of a compressed split fits into memory."""
-    name, split = "spark.sql.codegen.hugeMethodLimit", "spark.sql.files.maxPartitionBytes"
-    before = {k: spark.conf.get(k) for k in (name, split)}
+    at most: what a task sorts or hashes of a compressed split fits into memory.
+    When such a plan has run, its shuffle files go: only what it wrote is read again."""
+    name, split, clean = ("spark.sql.codegen.hugeMethodLimit", "spark.sql.files.maxPartitionBytes",
+                          "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before = {k: spark.conf.get(k) for k in (name, split, clean)}
     spark.conf.set(name, DEFAULT_CONF[name])
+    spark.conf.set(clean, "true")
     if _bytes(spark, before[split]) > SPLIT_MB << 20:
         spark.conf.set(split, f"{SPLIT_MB}m")
     try:

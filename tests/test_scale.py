@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import glob
+import time
+
 from pyspark.sql import functions as F
 
 from signalbox.schemas import STATION_SEARCH
-from signalbox.session import SPLIT_MB, compiled
+from signalbox.session import SPLIT_MB, compiled, materialize
 from signalbox.sources import documents as D
 from signalbox.sources import json_docs as J
 
@@ -89,3 +92,16 @@ def test_own_jobs_read_small_splits(spark):
 def test_calling_points_are_sorted_without_an_interpreted_comparison(spark):
     plan = D.order_services(_tables(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert "sort_array(" in plan and "array_sort(" not in plan
+
+
+def test_shuffle_files_of_own_jobs_go(spark):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffles = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before = shuffles()
+    rows = spark.range(20_000).withColumn("k", F.col("id") % 7919).groupBy("k").agg(F.max("id").alias("most"))
+    stored = materialize(rows, "shuffled")
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:  # they are deleted beside the next steps
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert stored.count() == rows.count() == 7919 and rows.where("most > 19999").isEmpty()
