@@ -199,3 +199,23 @@ def test_a_message_of_the_stream_is_parsed_once(spark, tmp_path, operators, monk
     (tmp_path / "landing" / "a.txt").write_text("<broken\n")
     S.run_incident_stream(spark, f"{tmp_path}/landing", f"{tmp_path}/tables", operators, f"{tmp_path}/ck", state_partitions=2)
     assert [(r.reason, r.value) for r in spark.read.parquet(f"{tmp_path}/tables/quarantine").collect()] == [("malformed", "<broken")]
+
+
+def test_only_quarantined_messages_carry_their_text_to_the_state(spark):
+    from signalbox.streaming.versions import _keyed
+    sent = {"good": message("V1"), "no routes": message("V2", routes=None), "no priority": message("V3", priority=None), "broken": "<broken"}
+    rows = {r.message_key: r for r in _keyed(spark.createDataFrame(list(sent.items()), "message_key string, value string")).collect()}
+    assert {k: r.value for k, r in rows.items()} == {"good": None, "no priority": None, "no routes": sent["no routes"], "broken": "<broken"}
+    assert [k for k, r in rows.items() if r.digest is not None] == ["good"]
+
+
+def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    from signalbox.plans import stream_queries as Q
+    small = "/root/testdata/sf0.001"
+    monkeypatch.setattr(Q, "FILE_MESSAGES", 400, raising=False)
+    Q._deliver(spark, small, f"{tmp_path}/landing")
+    files = parts(f"{tmp_path}/landing")
+    assert all(f.endswith(".gz") for f in files) and all(spark.read.text(f"{tmp_path}/landing/{f}").count() <= 400 for f in files)
+    landed = spark.read.text(f"{tmp_path}/landing")
+    sent = Q.capture(spark, small, "incident_messages").select("value")
+    assert landed.count() == sent.count() and landed.exceptAll(sent).isEmpty()
