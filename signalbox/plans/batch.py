@@ -21,20 +21,22 @@ from .services import Loaded, load_all
 #: Which of several rows of one service is the first.
 BATCH_ORDER = ["company_name", "service_type", "origin_crs", "planned_final_crs", "destination_reached_crs",
                "scheduled_arrival_datetime", "arrival_lateness", "cancellation_station_crs", "cancel_code"]
+#: Rows of a compressed CSV file, which one task reads whole.
+CSV_ROWS = 500_000
 
 
 def batch_run(spark: SparkSession, journeys: DataFrame, services: DataFrame, valid_codes: DataFrame,
               code_rows: DataFrame, root: str) -> tuple[DataFrame, Loaded]:
     """Runs the chain into the folder ``root``; (step, rows_in, rows_out,
     set_aside, repeated) of each step, and what the load reports."""
-    n = counted(journeys, lambda df: df.write.parquet(f"{root}/journeys"))
+    n = counted(journeys, lambda df: df.write.option("compression", "zstd").parquet(f"{root}/journeys"))
     journeys = spark.read.schema(journeys.schema).parquet(f"{root}/journeys")
     flat, quarantine = relevant_fields(journeys, services)
-    out = counted(flat.select(*FLAT_COLUMNS), lambda df: write_csv(df, f"{root}/csv"))
-    aside = counted(quarantine, lambda df: df.write.parquet(f"{root}/quarantine"))
+    out = counted(flat.select(*FLAT_COLUMNS), lambda df: write_csv(df, f"{root}/csv", compression="gzip", maxRecordsPerFile=CSV_ROWS))
+    aside = counted(quarantine, lambda df: df.write.option("compression", "zstd").parquet(f"{root}/quarantine"))
     steps = [("extract", n, out, aside, 0)]
     read = read_service_csv(spark, f"{root}/csv")
-    clean = counted(transform_services(read, valid_codes), lambda df: df.write.parquet(f"{root}/clean"))
+    clean = counted(transform_services(read, valid_codes), lambda df: df.write.option("compression", "zstd").parquet(f"{root}/clean"))
     steps.append(("clean", out, clean, out - clean, 0))
     svc = spark.read.parquet(f"{root}/clean")
     done = load_all(spark, svc, code_rows, f"{root}/warehouse", f"{root}/rejects", order_cols=BATCH_ORDER)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
     """CSV with a header row, no index column; the folder is created."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**options).csv(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",

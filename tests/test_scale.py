@@ -8,7 +8,8 @@ import time
 from pyspark.sql import functions as F
 
 from signalbox.schemas import STATION_SEARCH
-from signalbox.session import SPLIT_MB, compiled, materialize
+from signalbox.plans import batch, registry
+from signalbox.session import SPLIT_MB, compiled, materialize, run_root
 from signalbox.sources import documents as D
 from signalbox.sources import json_docs as J
 
@@ -105,3 +106,14 @@ def test_shuffle_files_of_own_jobs_go(spark):
         time.sleep(0.2)
     assert not shuffles() - before
     assert stored.count() == rows.count() == 7919 and rows.where("most > 19999").isEmpty()
+
+
+def test_csv_of_the_batch_is_compressed_in_bounded_files(spark, monkeypatch):
+    monkeypatch.setattr(batch, "CSV_ROWS", 1000, raising=False)
+    files = lambda: set(glob.glob(f"{run_root(spark).removeprefix('file:')}/batch-*/csv/part-*"))
+    before = files()
+    steps = {r.step: r for r in registry._batch_run(spark, "/root/testdata/sf0.001").collect()}
+    new = sorted(files() - before)
+    rows = [spark.read.option("header", True).csv(f).count() for f in new]
+    assert all(f.endswith(".csv.gz") for f in new) and max(rows) == 1000
+    assert sum(rows) == steps["extract"].rows_out == steps["clean"].rows_in
