@@ -18,7 +18,7 @@ OP_COLUMNS = ["Operator", "Code", "Passenger satisfaction[1]"]
 
 
 def _details(spark, sf_dir):
-    return I.incident_details(parse_incidents(capture(spark, sf_dir, "incident_messages")))
+    return I.incident_details(parse_incidents(capture(spark, sf_dir, "incident_messages"), keep_text=False))
 
 
 def _good(spark, sf_dir):

@@ -8,10 +8,11 @@ import time
 from pyspark.sql import functions as F
 
 from signalbox.schemas import STATION_SEARCH
-from signalbox.plans import batch, registry
+from signalbox.plans import batch, incident_queries, registry
 from signalbox.session import SPLIT_MB, compiled, materialize, run_root
 from signalbox.sources import documents as D
 from signalbox.sources import json_docs as J
+from signalbox.sources.xml_docs import parse_incidents
 
 
 class Rows:
@@ -117,3 +118,14 @@ def test_csv_of_the_batch_is_compressed_in_bounded_files(spark, monkeypatch):
     rows = [spark.read.option("header", True).csv(f).count() for f in new]
     assert all(f.endswith(".csv.gz") for f in new) and max(rows) == 1000
     assert sum(rows) == steps["extract"].rows_out == steps["clean"].rows_in
+
+
+def test_texts_that_nobody_reads_do_not_come_back_from_the_parser(spark):
+    plan = _plan(incident_queries._flat(spark, "/root/testdata/sf0.001"))
+    assert "raw#" not in next(line for line in plan.splitlines() if "MapInArrow" in line).split("]")[0].split("[")[1]
+    rows = spark.createDataFrame([("1", "<broken"), ("2", "<a/>"), ("3", None)], "message_key string, value string")
+    with_text, without = parse_incidents(rows), parse_incidents(rows, keep_text=False)
+    assert without.columns == ["message_key", "msg"]
+    assert sorted(without.collect()) == sorted(with_text.drop("raw").collect())
+    assert {r.message_key: (r.msg.Operators, r.msg._corrupt_record) for r in without.collect()} == {
+        "1": (None, "<broken"), "2": ([], None), "3": (None, "")}
